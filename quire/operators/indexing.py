@@ -34,3 +34,21 @@ def with_global_index(df: DataFrame, order: list[Column | str], name: str = "idx
                               F.col("_qpart") + 1)
     local = F.col("_qmono") - F.shiftleft(F.col("_qpart").cast("long"), 33)
     return tagged.withColumn(name, offset_col + local).drop("_qpart", "_qmono")
+
+
+def rank_within(df: DataFrame, key: str, order: list[Column | str], name: str = "in_rank",
+                size_name: str | None = "size") -> DataFrame:
+    """1-based row number inside each ``key`` group following ``order``.
+
+    Equivalent to ``row_number() over (partition by key order by ...)`` but
+    a hot key does not land in one task: the global index ranges over
+    (key, order), so one large group is spread over many range partitions;
+    the group's first index and size come from a partial aggregate.
+    """
+    idx = with_global_index(df, [F.col(key)] + list(order), "_qidx")
+    start = idx.groupBy(key).agg(F.min("_qidx").alias("_qstart"),
+                                 F.count(F.lit(1)).alias(size_name or "_qsize"))
+    out = (idx.join(start, key)
+              .withColumn(name, F.col("_qidx") - F.col("_qstart") + 1)
+              .drop("_qidx", "_qstart"))
+    return out if size_name else out.drop("_qsize")

@@ -41,8 +41,113 @@ def q_article_top(spark: SparkSession, sf: str) -> DataFrame:
     return s.orderBy(F.desc("sort_cri"), F.asc("pid")).limit(20).select("pid", "sort_cri")
 
 
+# Fixed values for the driver's 64-dim unit embeddings: their nearest
+# distances lie near 1.0, so the clustering band and eps are set there.
+EPS = 1.05
+EPS_WIDE = 1.1
+BAND = (1.2, 1.0)
+DEMO_EXCLUDE = r"^(Der|Le) "
+
+
+def _emb(spark, sf):
+    return table(spark, sf, "embeddings").select("vec_id", "embedding")
+
+
+def q_nn_distance(spark: SparkSession, sf: str) -> DataFrame:
+    prepare(spark)
+    from quire.operators.pairs import nearest_distance
+    nn = nearest_distance(_emb(spark, sf), "vec_id", "embedding")
+    return nn.select(F.col("id").alias("vec_id"), _r("nn_dist").alias("nn_dist"))
+
+
+def q_edges(spark: SparkSession, sf: str) -> DataFrame:
+    prepare(spark)
+    from quire.operators.pairs import range_edges
+    e = range_edges(_emb(spark, sf), "vec_id", "embedding", EPS_WIDE)
+    return e.select("a", "b", _r("dist").alias("dist"))
+
+
+def q_eps(spark: SparkSession, sf: str) -> DataFrame:
+    prepare(spark)
+    from quire.operators.cluster import eps_drops, select_eps
+    from quire.operators.pairs import nearest_distance
+    nn = nearest_distance(_emb(spark, sf), "vec_id", "embedding")
+    eps = select_eps(nn, *BAND)
+    d = eps_drops(nn, *BAND)
+    return d.select(_r("d").alias("d"), _r("next_d").alias("next_d"), _r("drop").alias("drop"),
+                    (F.col("d") == F.lit(eps)).alias("chosen"))
+
+
+def q_dbscan(spark: SparkSession, sf: str) -> DataFrame:
+    prepare(spark)
+    from quire.operators.cluster import dbscan
+    return dbscan(_emb(spark, sf), "vec_id", "embedding", EPS).select("vec_id", "cluster")
+
+
+def q_dbscan_auto(spark: SparkSession, sf: str) -> DataFrame:
+    prepare(spark)
+    from quire.operators.cluster import dbscan, select_eps
+    from quire.operators.pairs import nearest_distance
+    emb = _emb(spark, sf)
+    eps = select_eps(nearest_distance(emb, "vec_id", "embedding"), *BAND)
+    return dbscan(emb, "vec_id", "embedding", eps).select("vec_id", "cluster")
+
+
+def q_dbscan_two_stage(spark: SparkSession, sf: str) -> DataFrame:
+    prepare(spark)
+    from quire.operators.cluster import dbscan_two_stage
+    return dbscan_two_stage(_emb(spark, sf), "vec_id", "embedding", EPS_WIDE, EPS).select(
+        "vec_id", "cluster", "cluster2")
+
+
+def q_dbscan_minpts(spark: SparkSession, sf: str) -> DataFrame:
+    prepare(spark)
+    from quire.operators.cluster import dbscan
+    return dbscan(_emb(spark, sf), "vec_id", "embedding", EPS_WIDE, min_samples=3).select(
+        "vec_id", "cluster")
+
+
+def _scored_clusters(spark, sf):
+    from quire.plans.digest import tag_cluster_score
+    a = articles(spark, sf, with_embeddings=True)
+    scored, _ = tag_cluster_score(a, DEMO_KEYWORDS, band=BAND, exclude_pattern=DEMO_EXCLUDE)
+    return scored
+
+
+def q_cluster_articles(spark: SparkSession, sf: str) -> DataFrame:
+    prepare(spark)
+    s = _scored_clusters(spark, sf)
+    return s.select("pid", "position", "cluster", "in_keywords", _r("sort_cri").alias("sort_cri"))
+
+
+def q_cluster_rank(spark: SparkSession, sf: str) -> DataFrame:
+    prepare(spark)
+    from quire.plans.digest import rank_groups
+    g = rank_groups(_scored_clusters(spark, sf))
+    return g.select("cluster", _r("total").alias("total"), _r("top").alias("top"), "group_rank")
+
+
+def q_cluster_pick(spark: SparkSession, sf: str) -> DataFrame:
+    prepare(spark)
+    from quire.plans.digest import pick_in_groups, rank_groups
+    from quire.session import cut_lineage
+    s = cut_lineage(_scored_clusters(spark, sf))
+    p = pick_in_groups(s, rank_groups(s))
+    return p.select("cluster", "group_rank", "pid", "in_rank", "size")
+
+
 QUERIES = {
     "q_keyword_score": q_keyword_score,
     "q_article_score": q_article_score,
     "q_article_top": q_article_top,
+    "q_nn_distance": q_nn_distance,
+    "q_edges": q_edges,
+    "q_eps": q_eps,
+    "q_dbscan": q_dbscan,
+    "q_dbscan_auto": q_dbscan_auto,
+    "q_dbscan_two_stage": q_dbscan_two_stage,
+    "q_dbscan_minpts": q_dbscan_minpts,
+    "q_cluster_articles": q_cluster_articles,
+    "q_cluster_rank": q_cluster_rank,
+    "q_cluster_pick": q_cluster_pick,
 }

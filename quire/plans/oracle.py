@@ -40,3 +40,113 @@ FROM scored""",
     "q_article_top": SCORED_SQL + """
 SELECT pid, round(sc, 6) AS sort_cri FROM scored ORDER BY round(sc, 6) DESC, pid LIMIT 20""",
 }
+
+
+def _pairs(src: str, idc: str, vec: str) -> str:
+    return f"""pairs AS (
+  SELECT x.{idc} AS a, y.{idc} AS b,
+         list_distance(cast(x.{vec} AS DOUBLE[]), cast(y.{vec} AS DOUBLE[])) AS dist
+  FROM {src} x JOIN {src} y ON x.{idc} < y.{idc})"""
+
+
+NN_SQL = """nn AS (
+  SELECT id, min(dist) AS nn_dist FROM (
+    SELECT a AS id, dist FROM pairs UNION ALL SELECT b AS id, dist FROM pairs) t GROUP BY id)"""
+
+
+def _eps_sql(high: float, low: float) -> str:
+    # the band's lower bound is already above the smallest distance on driver data
+    return f"""vals AS (
+  SELECT DISTINCT nn_dist AS d FROM nn WHERE nn_dist > {low} AND nn_dist < {high}
+  UNION ALL SELECT max(nn_dist) FROM nn WHERE nn_dist <= {low}),
+ordered AS (SELECT d, lead(d) OVER (ORDER BY d DESC) AS next_d FROM vals),
+drops AS (SELECT d, next_d, d - next_d AS drop FROM ordered WHERE d > {low} AND d < {high}),
+eps AS (SELECT d AS eps FROM drops ORDER BY drop DESC, d DESC LIMIT 1)"""
+
+
+def _components_sql(edge_filter: str, prefix: str = "") -> str:
+    """CTEs ending in {prefix}comp(node, root): smallest reachable node id."""
+    return f"""{prefix}e AS (SELECT a, b FROM pairs WHERE {edge_filter}
+              UNION ALL SELECT b, a FROM pairs WHERE {edge_filter}),
+{prefix}reach(node, root) AS (SELECT a, a FROM {prefix}e
+              UNION SELECT {prefix}e.b, r.root FROM {prefix}reach r JOIN {prefix}e ON r.node = {prefix}e.a),
+{prefix}comp AS (SELECT node, min(root) AS root FROM {prefix}reach GROUP BY node),
+{prefix}lab AS (SELECT root, cast(dense_rank() OVER (ORDER BY root) - 1 AS integer) AS cluster
+              FROM (SELECT DISTINCT root FROM {prefix}comp) t)"""
+
+
+def _dbscan_select(src: str, idc: str, prefix: str = "") -> str:
+    return f"""SELECT x.{idc}, coalesce(l.cluster, -1) AS cluster FROM {src} x
+LEFT JOIN {prefix}comp c ON x.{idc} = c.node LEFT JOIN {prefix}lab l ON c.root = l.root"""
+
+
+EMB_PAIRS = _pairs("embeddings", "vec_id", "embedding")
+
+ORACLE.update({
+    "q_nn_distance": f"WITH {EMB_PAIRS}, {NN_SQL} SELECT id AS vec_id, round(nn_dist, 6) AS nn_dist FROM nn",
+    "q_edges": f"WITH {EMB_PAIRS} SELECT a, b, round(dist, 6) AS dist FROM pairs WHERE dist <= 1.1",
+    "q_eps": f"""WITH {EMB_PAIRS}, {NN_SQL}, {_eps_sql(1.2, 1.0)}
+SELECT round(d, 6) AS d, round(next_d, 6) AS next_d, round(drop, 6) AS drop,
+       d = (SELECT eps FROM eps) AS chosen FROM drops""",
+    "q_dbscan": f"WITH RECURSIVE {EMB_PAIRS}, {_components_sql('dist <= 1.05')} "
+                + _dbscan_select("embeddings", "vec_id"),
+    "q_dbscan_auto": f"WITH RECURSIVE {EMB_PAIRS}, {NN_SQL}, {_eps_sql(1.2, 1.0)}, "
+                     f"{_components_sql('dist <= (SELECT eps FROM eps)')} "
+                     + _dbscan_select("embeddings", "vec_id"),
+    "q_dbscan_two_stage": f"""WITH RECURSIVE {EMB_PAIRS}, {_components_sql('dist <= 1.1')},
+s1 AS ({_dbscan_select("embeddings", "vec_id")}),
+pairs2 AS (SELECT p.a, p.b, p.dist FROM pairs p JOIN s1 sa ON p.a = sa.vec_id JOIN s1 sb ON p.b = sb.vec_id
+           WHERE sa.cluster = sb.cluster AND sa.cluster >= 0 AND p.dist <= 1.05),
+e2 AS (SELECT a, b FROM pairs2 UNION ALL SELECT b, a FROM pairs2),
+reach2(node, root) AS (SELECT a, a FROM e2 UNION SELECT e2.b, r.root FROM reach2 r JOIN e2 ON r.node = e2.a),
+comp2 AS (SELECT node, min(root) AS root FROM reach2 GROUP BY node),
+lab2 AS (SELECT c.node, cast(dense_rank() OVER (PARTITION BY s.cluster ORDER BY c.root) - 1 AS integer) AS cluster2
+         FROM comp2 c JOIN s1 s ON c.node = s.vec_id)
+SELECT s1.vec_id, s1.cluster,
+       CASE WHEN s1.cluster >= 0 THEN coalesce(lab2.cluster2, -1) END AS cluster2
+FROM s1 LEFT JOIN lab2 ON s1.vec_id = lab2.node""",
+    "q_dbscan_minpts": f"""WITH RECURSIVE {EMB_PAIRS},
+e AS (SELECT a, b FROM pairs WHERE dist <= 1.1 UNION ALL SELECT b, a FROM pairs WHERE dist <= 1.1),
+deg AS (SELECT a AS n, count(*) AS deg FROM e GROUP BY a),
+core AS (SELECT n FROM deg WHERE deg + 1 >= 3),
+ce AS (SELECT e.a, e.b FROM e JOIN core c1 ON e.a = c1.n JOIN core c2 ON e.b = c2.n),
+reach(node, root) AS (SELECT n, n FROM core UNION SELECT ce.b, r.root FROM reach r JOIN ce ON r.node = ce.a),
+comp AS (SELECT node, min(root) AS root FROM reach GROUP BY node),
+lab AS (SELECT root, cast(dense_rank() OVER (ORDER BY root) - 1 AS integer) AS cluster
+        FROM (SELECT DISTINCT root FROM comp) t),
+corelab AS (SELECT c.node, l.cluster FROM comp c JOIN lab l ON c.root = l.root),
+border AS (SELECT e.a AS node, min(cl.cluster) AS cluster FROM e JOIN corelab cl ON e.b = cl.node
+           WHERE e.a NOT IN (SELECT n FROM core) GROUP BY e.a),
+alllab AS (SELECT * FROM corelab UNION ALL SELECT * FROM border)
+SELECT x.vec_id, coalesce(a.cluster, -1) AS cluster FROM embeddings x LEFT JOIN alllab a ON x.vec_id = a.node""",
+})
+
+# The digest chain on articles with embeddings.
+DIGEST_CTE = f"""{ARTICLES_CTE},
+art AS (SELECT a.*, e.embedding AS embeddings FROM articles a JOIN embeddings e ON a.doc_id = e.vec_id
+        WHERE NOT regexp_matches(a.article, '^(Der|Le) ')),
+{KW_SQL.replace('FROM articles', 'FROM art')},
+posd AS (SELECT *, row_number() OVER (ORDER BY dt, pid) - 1 AS position FROM tagged),
+{_pairs('posd', 'position', 'embeddings')}, {NN_SQL}, {_eps_sql(1.2, 1.0)},
+{_components_sql('dist <= (SELECT eps FROM eps)')},
+clus AS (SELECT p.*, coalesce(l.cluster, -1) AS cluster FROM posd p
+         LEFT JOIN comp c ON p.position = c.node LEFT JOIN lab l ON c.root = l.root),
+scored AS (SELECT *, in_keywords * 0.2 + focus * 0.4 + extender * 0.15 + attachments * 0.15
+                     + ln(1 + position) * 0.05 AS sort_cri FROM clus),
+groups AS (SELECT cluster, sum(sort_cri) AS total, max(sort_cri) AS top FROM scored
+           WHERE cluster > -1 GROUP BY cluster),
+kept AS (SELECT *, row_number() OVER (ORDER BY total DESC, top DESC, cluster) - 1 AS group_rank
+         FROM groups WHERE total > (SELECT quantile_cont(total, 0.2) FROM groups))"""
+
+ORACLE.update({
+    "q_cluster_articles": f"""WITH RECURSIVE {DIGEST_CTE}
+SELECT pid, position, cluster, in_keywords, round(sort_cri, 6) AS sort_cri FROM scored""",
+    "q_cluster_rank": f"""WITH RECURSIVE {DIGEST_CTE}
+SELECT cluster, round(total, 6) AS total, round(top, 6) AS top, group_rank FROM kept""",
+    "q_cluster_pick": f"""WITH RECURSIVE {DIGEST_CTE},
+g AS (SELECT s.cluster, k.group_rank, s.pid,
+             row_number() OVER (PARTITION BY s.cluster ORDER BY s.sort_cri DESC, s.pid) AS in_rank,
+             count(*) OVER (PARTITION BY s.cluster) AS size
+      FROM scored s JOIN kept k ON s.cluster = k.cluster)
+SELECT * FROM g WHERE in_rank <= CASE WHEN size < 4 THEN size ELSE floor(size / 2) END""",
+})
