@@ -136,6 +136,87 @@ def q_cluster_pick(spark: SparkSession, sf: str) -> DataFrame:
     return p.select("cluster", "group_rank", "pid", "in_rank", "size")
 
 
+# Search parameters used on driver data.
+MATCH_QUERY = "the elle und"
+FILTERS = [
+    {"type": "term", "field": "lang", "value": ["en", "fr"]},
+    {"type": "match", "field": "text", "value": ["elle", "the"]},
+    {"type": "match_phrase", "field": "text", "value": "of the"},
+    {"type": "range", "field": "n_chars", "value": {"gte": 200, "lte": 5000}},
+]
+HYBRID_KEYWORDS = [
+    {"field": "text", "keywords": ["the", "elle"], "weight": 2.0},
+    {"field": "text", "keywords": ["und die"], "weight": 0.5},
+]
+HYBRID_FILTERS = [{"type": "range", "field": "n_chars", "value": {"gte": 100}},
+                  {"type": "match", "field": "text", "value": "de"}]
+
+
+def _vdocs(spark, sf):
+    docs = table(spark, sf, "documents")
+    return table(spark, sf, "embeddings").select(F.col("vec_id").alias("doc_id"), "embedding").join(
+        docs, "doc_id", "inner")
+
+
+def _qvec(spark, sf):
+    from quire.operators.search import query_vector
+    emb = table(spark, sf, "embeddings")
+    first = emb.agg(F.min("vec_id")).first()[0]
+    return query_vector(emb, "embedding", F.col("vec_id") == F.lit(first))
+
+
+def _hits(df, id_col="doc_id"):
+    return df.select(id_col, _r("score").alias("score"))
+
+
+def q_match(spark: SparkSession, sf: str) -> DataFrame:
+    prepare(spark)
+    from quire.operators.search import match_search
+    hits, total = match_search(table(spark, sf, "documents"), "doc_id", "text", MATCH_QUERY)
+    return _hits(hits).crossJoin(F.broadcast(total))
+
+
+def q_term(spark: SparkSession, sf: str) -> DataFrame:
+    prepare(spark)
+    from quire.operators.search import term_search
+    return _hits(term_search(table(spark, sf, "documents"), "doc_id", "source", "src1"))
+
+
+def q_vector(spark: SparkSession, sf: str) -> DataFrame:
+    prepare(spark)
+    from quire.operators.search import vector_search
+    emb = table(spark, sf, "embeddings")
+    return _hits(vector_search(emb, "vec_id", "embedding", _qvec(spark, sf)), "vec_id")
+
+
+def q_vector_term(spark: SparkSession, sf: str) -> DataFrame:
+    prepare(spark)
+    from quire.operators.search import vector_term_search
+    return _hits(vector_term_search(_vdocs(spark, sf), "doc_id", "embedding", _qvec(spark, sf),
+                                    "source", "src2"))
+
+
+def q_vector_filtered(spark: SparkSession, sf: str) -> DataFrame:
+    prepare(spark)
+    from quire.operators.search import filtered_vector_search
+    return _hits(filtered_vector_search(_vdocs(spark, sf), "doc_id", "embedding", _qvec(spark, sf),
+                                        FILTERS, k=20))
+
+
+def q_hybrid(spark: SparkSession, sf: str) -> DataFrame:
+    prepare(spark)
+    from quire.operators.search import weighted_search
+    return _hits(weighted_search(_vdocs(spark, sf), "doc_id", "embedding", _qvec(spark, sf),
+                                 HYBRID_KEYWORDS, HYBRID_FILTERS))
+
+
+def q_filter_spec(spark: SparkSession, sf: str) -> DataFrame:
+    """All documents passing the filter spec (B3-B8), no ranking."""
+    prepare(spark)
+    from quire.operators.predicates import compile_filters
+    return table(spark, sf, "documents").filter(compile_filters(FILTERS)).select("doc_id", "lang", "n_chars")
+
+
 QUERIES = {
     "q_keyword_score": q_keyword_score,
     "q_article_score": q_article_score,
@@ -150,4 +231,11 @@ QUERIES = {
     "q_cluster_articles": q_cluster_articles,
     "q_cluster_rank": q_cluster_rank,
     "q_cluster_pick": q_cluster_pick,
+    "q_match": q_match,
+    "q_term": q_term,
+    "q_vector": q_vector,
+    "q_vector_term": q_vector_term,
+    "q_vector_filtered": q_vector_filtered,
+    "q_hybrid": q_hybrid,
+    "q_filter_spec": q_filter_spec,
 }

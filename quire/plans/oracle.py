@@ -150,3 +150,80 @@ g AS (SELECT s.cluster, k.group_rank, s.pid,
       FROM scored s JOIN kept k ON s.cluster = k.cluster)
 SELECT * FROM g WHERE in_rank <= CASE WHEN size < 4 THEN size ELSE floor(size / 2) END""",
 })
+
+
+# ---- search --------------------------------------------------------------
+TOK = "regexp_extract_all(lower({c}), '[\\p{{L}}\\p{{N}}_]+')"
+
+
+def _tok(c: str) -> str:
+    return TOK.format(c=c)
+
+
+def _tf(tok: str, t: str) -> str:
+    return f"len(list_filter({tok}, lambda x: x = '{t}'))"
+
+
+def _idf(nt: str) -> str:
+    return f"ln(1 + (s.n - {nt} + 0.5) / ({nt} + 0.5))"
+
+
+def _bm25(tok: str, terms, prefix: str, boost: float = 1.0) -> str:
+    parts = []
+    for i, t in enumerate(sorted(set(terms))):
+        tf = _tf(tok, t)
+        parts.append(f"({_idf(f's.{prefix}{i}')} * {boost}) * ({tf} * 2.2 / ({tf} + 1.2 * (0.25 + 0.75 * len({tok}) / s.avgdl)))")
+    return "(" + " + ".join(parts) + ")"
+
+
+def _df_aggs(tok: str, terms, prefix: str) -> str:
+    return ", ".join(f"sum(CASE WHEN list_contains({tok}, '{t}') THEN 1 ELSE 0 END) AS {prefix}{i}"
+                     for i, t in enumerate(sorted(set(terms))))
+
+
+QVEC = "(SELECT cast(embedding AS DOUBLE[]) FROM embeddings WHERE vec_id = (SELECT min(vec_id) FROM embeddings))"
+COS = f"(list_cosine_similarity(cast(embedding AS DOUBLE[]), {QVEC}) + 1.0)"
+VDOCS = "(SELECT e.vec_id AS doc_id, e.embedding, d.text, d.lang, d.source, d.n_chars FROM embeddings e JOIN documents d ON e.vec_id = d.doc_id)"
+USABLE = "embedding IS NOT NULL AND len(embedding) > 0"
+
+MQ = ["the", "elle", "und"]
+_mt = _tok("text")
+ORACLE.update({
+    "q_match": f"""WITH d AS (SELECT doc_id, {_mt} AS tok FROM documents),
+s AS (SELECT count(*) AS n, avg(len(tok)) AS avgdl, {_df_aggs('tok', MQ, 'df')} FROM d),
+sc AS (SELECT doc_id, {_bm25('tok', MQ, 'df')} AS score FROM d, s
+       WHERE len(list_intersect(tok, {sorted(set(MQ))!r})) > 0),
+tot AS (SELECT count(*) AS total FROM sc)
+SELECT doc_id, round(score, 6) AS score, total FROM sc, tot ORDER BY score DESC, doc_id LIMIT 10""",
+    "q_term": """WITH s AS (SELECT count(*) AS n, sum(CASE WHEN source = 'src1' THEN 1 ELSE 0 END) AS vc FROM documents)
+SELECT doc_id, round(ln(1 + (s.n - s.vc + 0.5) / (s.vc + 0.5)), 6) AS score FROM documents, s
+WHERE source = 'src1' ORDER BY score DESC, doc_id LIMIT 10""",
+    "q_vector": f"""SELECT vec_id, round({COS}, 6) AS score FROM embeddings WHERE {USABLE}
+ORDER BY {COS} DESC, vec_id LIMIT 10""",
+    "q_vector_term": f"""WITH v AS {VDOCS},
+s AS (SELECT count(*) AS n, sum(CASE WHEN source = 'src2' THEN 1 ELSE 0 END) AS vc FROM v),
+sc AS (SELECT doc_id, ln(1 + (s.n - s.vc + 0.5) / (s.vc + 0.5)) + {COS} AS score FROM v, s
+       WHERE {USABLE} AND source = 'src2')
+SELECT doc_id, round(score, 6) AS score FROM sc ORDER BY score DESC, doc_id LIMIT 10""",
+})
+
+_FILTER_SQL = f"""lang IN ('en', 'fr') AND n_chars >= 200 AND n_chars <= 5000
+  AND (len(list_intersect({_mt}, ['elle'])) > 0 OR len(list_intersect({_mt}, ['the'])) > 0
+       OR contains(' ' || array_to_string({_mt}, ' ') || ' ', ' of the '))"""
+
+HK1, HK2, HM = ["the"], ["elle"], ["de"]
+HK3 = ["und", "die"]
+ORACLE.update({
+    "q_filter_spec": f"SELECT doc_id, lang, n_chars FROM documents WHERE {_FILTER_SQL}",
+    "q_vector_filtered": f"""WITH v AS {VDOCS}
+SELECT doc_id, round({COS}, 6) AS score FROM v WHERE {USABLE} AND {_FILTER_SQL}
+ORDER BY {COS} DESC, doc_id LIMIT 20""",
+    "q_hybrid": f"""WITH v AS (SELECT *, {_mt} AS tok FROM {VDOCS}),
+s AS (SELECT count(*) AS n, avg(len(tok)) AS avgdl, {_df_aggs('tok', HK1 + HK2 + HK3 + HM, 'df')} FROM v),
+sc AS (SELECT doc_id,
+  {COS} + {_bm25('tok', HM, 'dfm')} + 1.0
+  + {_bm25('tok', HK1, 'dfa', 2.0)} + {_bm25('tok', HK2, 'dfb', 2.0)} + {_bm25('tok', HK3, 'dfc', 0.5)} AS score
+  FROM v, (SELECT n, avgdl, {", ".join(f"df{sorted(set(HK1 + HK2 + HK3 + HM)).index(t)} AS {p}{i}" for p, ts in (("dfm", HM), ("dfa", HK1), ("dfb", HK2), ("dfc", HK3)) for i, t in enumerate(sorted(set(ts))))} FROM s) s
+  WHERE {USABLE} AND n_chars >= 100 AND len(list_intersect(tok, ['de'])) > 0)
+SELECT doc_id, round(score, 6) AS score FROM sc ORDER BY score DESC, doc_id LIMIT 10""",
+})
