@@ -217,6 +217,63 @@ def q_filter_spec(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "documents").filter(compile_filters(FILTERS)).select("doc_id", "lang", "n_chars")
 
 
+def _orders_story(spark, sf):
+    """Dated stories composed from orders: article time, a dateline whose day
+    may differ from the article day, and relative-date words."""
+    o = table(spark, sf, "orders")
+    dt = (F.col("o_orderdate")
+          + F.make_dt_interval(F.lit(0), (F.col("o_custkey") % 24).cast("int"),
+                               (F.col("o_orderkey") % 60).cast("int")))
+    dline = F.dayofmonth(F.col("o_orderdate") - F.make_dt_interval((F.col("o_custkey") % 40).cast("int")))
+    content = F.concat(F.lit("（中央社台北"), dline.cast("string"), F.lit("日電）"), F.col("o_orderstatus"),
+                       F.lit("：今天與昨天，明後天，本月、上個月及去年"))
+    return o.select(F.col("o_orderkey").cast("string").alias("pid"), dt.alias("dt"), content.alias("content"))
+
+
+def q_story_date(spark: SparkSession, sf: str) -> DataFrame:
+    prepare(spark)
+    from quire.functions.dates import story_date
+    o = _orders_story(spark, sf)
+    return o.select("pid", story_date(F.col("dt"), F.col("content"), "v1").alias("story_v1"),
+                    story_date(F.col("dt"), F.col("content"), "v2").alias("story_v2"),
+                    story_date(F.col("dt"), F.col("content"), "calendar").alias("story_cal"))
+
+
+def q_relative_date(spark: SparkSession, sf: str) -> DataFrame:
+    prepare(spark)
+    from quire.functions.dates import resolve_relative_dates, story_date
+    o = _orders_story(spark, sf)
+    st = story_date(F.col("dt"), F.col("content"), "v2")
+    return o.select("pid", resolve_relative_dates(F.col("content"), st).alias("resolved"))
+
+
+def q_html_text(spark: SparkSession, sf: str) -> DataFrame:
+    prepare(spark)
+    from quire.functions.text import clean_article
+    return table(spark, sf, "pages").select("page_id", clean_article(F.col("html")).alias("text"))
+
+
+def q_list_items(spark: SparkSession, sf: str) -> DataFrame:
+    prepare(spark)
+    from quire.sources.html import list_items
+    return list_items(table(spark, sf, "pages"), "page_id", "html").select("page_id", "pos", "url", "title")
+
+
+# Share channel per page language on driver data.
+LANG_CHANNEL = {"en": "FB", "fr": "LINE", "de": "YOUTUBE", "es": "IG"}
+
+
+def q_url_ids(spark: SparkSession, sf: str) -> DataFrame:
+    prepare(spark)
+    from quire.functions.text import article_id, topic_id, utm_url
+    p = table(spark, sf, "pages").select("page_id", "url")
+    lang = F.regexp_extract(F.col("url"), r"^https?://[^/]+/([a-z]{2})/", 1)
+    chan = F.create_map(*[x for k, v in LANG_CHANNEL.items() for x in (F.lit(k), F.lit(v))])
+    return p.select("page_id", topic_id(F.col("url")).alias("topic_id"),
+                    article_id(F.col("url"), r"/(\d+)").alias("article_id"),
+                    utm_url(F.col("url"), F.coalesce(F.try_element_at(chan, lang), F.lit(""))).alias("share_url"))
+
+
 QUERIES = {
     "q_keyword_score": q_keyword_score,
     "q_article_score": q_article_score,
@@ -238,4 +295,9 @@ QUERIES = {
     "q_vector_filtered": q_vector_filtered,
     "q_hybrid": q_hybrid,
     "q_filter_spec": q_filter_spec,
+    "q_story_date": q_story_date,
+    "q_relative_date": q_relative_date,
+    "q_html_text": q_html_text,
+    "q_list_items": q_list_items,
+    "q_url_ids": q_url_ids,
 }

@@ -227,3 +227,7 @@ sc AS (SELECT doc_id,
   WHERE {USABLE} AND n_chars >= 100 AND len(list_intersect(tok, ['de'])) > 0)
 SELECT doc_id, round(score, 6) AS score FROM sc ORDER BY score DESC, doc_id LIMIT 10""",
 })
+
+from quire.plans.oracle_text import ORACLE_TEXT  # noqa: E402
+
+ORACLE.update(ORACLE_TEXT)
