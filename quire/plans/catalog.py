@@ -274,6 +274,115 @@ def q_url_ids(spark: SparkSession, sf: str) -> DataFrame:
                     utm_url(F.col("url"), F.coalesce(F.try_element_at(chan, lang), F.lit(""))).alias("share_url"))
 
 
+# Scan day, range and the polling clock on the events table.
+SCAN_DAY = "2024-01-02"
+SCAN_RANGE = ("2024-01-03", "2024-01-05")
+NOW = "2024-01-04 12:00:00"
+
+
+def _events(spark, sf):
+    return table(spark, sf, "events")
+
+
+def _story_key():
+    """A story id with several hits: one per (user, event type)."""
+    return F.concat(F.col("user_id").cast("string"), F.lit("/"), F.col("event_type"))
+
+
+def q_day_scan(spark: SparkSession, sf: str) -> DataFrame:
+    prepare(spark)
+    from quire.sources.scans import day_scan, hit_count
+    e = _events(spark, sf)
+    page = day_scan(e, "ts", SCAN_DAY, [F.col("ts"), F.col("event_id")])
+    total = hit_count(day_scan(e, "ts", SCAN_DAY, [F.col("event_id")], limit=None))
+    return page.select("event_id", "ts", "user_id").crossJoin(F.broadcast(total))
+
+
+def q_date_range(spark: SparkSession, sf: str) -> DataFrame:
+    prepare(spark)
+    from quire.sources.scans import date_range_scan
+    e = _events(spark, sf)
+    return date_range_scan(e, "ts", *SCAN_RANGE, order=[F.col("ts"), F.col("event_id")]).select(
+        "event_id", "ts", "event_type")
+
+
+def q_settled_new(spark: SparkSession, sf: str) -> DataFrame:
+    """All hits of stories with a settled, not-yet-done hit; done = stories
+    already seen before the scan day (pid = user/event type)."""
+    prepare(spark)
+    from quire.sources.scans import settled_new
+    e = _events(spark, sf).withColumn("pid", _story_key())
+    done = e.filter(F.col("ts") < F.lit(SCAN_DAY).cast("timestamp_ntz")).select("pid")
+    return settled_new(e, done, "pid", "ts", NOW).select("event_id", "pid", "ts")
+
+
+def q_settled_reference(spark: SparkSession, sf: str) -> DataFrame:
+    """Same selection with the repeated-hit multiplicity of the original poller."""
+    prepare(spark)
+    from quire.sources.scans import settled_new
+    e = _events(spark, sf).withColumn("pid", _story_key())
+    done = e.filter(F.col("ts") < F.lit(SCAN_DAY).cast("timestamp_ntz")).select("pid")
+    out = settled_new(e, done, "pid", "ts", NOW, multiplicity="reference")
+    return out.groupBy("pid").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+def q_projection_defaults(spark: SparkSession, sf: str) -> DataFrame:
+    """Article projection with defaults and the focus flag."""
+    prepare(spark)
+    from quire.plans.digest import flag_membership
+    a = articles(spark, sf)
+    focus_ids = table(spark, sf, "labels").filter(F.col("toxic") == 1).select("doc_id")
+    a = flag_membership(a, focus_ids, "pid", "focus")
+    return a.select("pid", "dt", "h1", "focus", "extender", "attachments", "category")
+
+
+def q_exclude_regex(spark: SparkSession, sf: str) -> DataFrame:
+    prepare(spark)
+    from quire.plans.digest import exclude_routine
+    return exclude_routine(articles(spark, sf), DEMO_EXCLUDE).select("pid")
+
+
+def q_topic_score(spark: SparkSession, sf: str) -> DataFrame:
+    """Topic-article scoring on orders: topic = customer, published date =
+    order date, extender = line count of the order (D3, E5, I13, B11)."""
+    prepare(spark)
+    from quire.operators.scoring import topic_article_score
+    li = table(spark, sf, "lineitem").groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("extender"))
+    o = table(spark, sf, "orders").select(
+        F.col("o_custkey").alias("tno"), F.col("o_orderkey").alias("l_orderkey"),
+        F.to_date("o_orderdate").alias("published_dt"))
+    o = o.join(li, "l_orderkey", "left").fillna({"extender": 0})
+    s = topic_article_score(o.withColumnRenamed("l_orderkey", "pid"), "tno", "published_dt", "extender", "pid")
+    return s.select("tno", "pid", "date_weight", _r("score").alias("score"))
+
+
+def q_related(spark: SparkSession, sf: str) -> DataFrame:
+    """Top-3 related articles (cosine > threshold, self excluded) for every
+    not-done article among current and earlier articles (C8, G1, C1, E7)."""
+    prepare(spark)
+    from quire.operators.pairs import cosine_topk
+    from quire.functions.text import category_url
+    a = articles(spark, sf, with_embeddings=True)
+    current = a.filter(F.col("category") != "src0")
+    earlier = a.filter(F.col("category") == "src0")
+    pool = current.unionByName(earlier)
+    done = table(spark, sf, "labels").filter(F.col("quality") == 1).select(F.col("doc_id").cast("string").alias("pid"))
+    rel = cosine_topk(pool, "doc_id", "embeddings", 3, threshold=0.3)
+    url = pool.select(F.col("doc_id").alias("b"), category_url(F.col("category"), F.col("pid")).alias("related_url"))
+    todo = current.join(done, "pid", "left_anti").select(F.col("doc_id").alias("a"), "pid")
+    return (rel.join(todo, "a").join(url, "b")
+               .select("pid", "rank", "related_url", _r("sim").alias("sim")))
+
+
+def q_token_stats(spark: SparkSession, sf: str) -> DataFrame:
+    """Token count per document and budget totals per source."""
+    prepare(spark)
+    from quire.functions.tokens import token_count
+    d = table(spark, sf, "documents").select("source", token_count(F.col("text")).alias("n_tokens"))
+    return d.groupBy("source").agg(F.count(F.lit(1)).alias("docs"), F.sum("n_tokens").alias("tokens"),
+                                   F.max("n_tokens").alias("max_tokens"))
+
+
 QUERIES = {
     "q_keyword_score": q_keyword_score,
     "q_article_score": q_article_score,
@@ -300,4 +409,13 @@ QUERIES = {
     "q_html_text": q_html_text,
     "q_list_items": q_list_items,
     "q_url_ids": q_url_ids,
+    "q_day_scan": q_day_scan,
+    "q_date_range": q_date_range,
+    "q_settled_new": q_settled_new,
+    "q_settled_reference": q_settled_reference,
+    "q_projection_defaults": q_projection_defaults,
+    "q_exclude_regex": q_exclude_regex,
+    "q_topic_score": q_topic_score,
+    "q_related": q_related,
+    "q_token_stats": q_token_stats,
 }

@@ -231,3 +231,7 @@ SELECT doc_id, round(score, 6) AS score FROM sc ORDER BY score DESC, doc_id LIMI
 from quire.plans.oracle_text import ORACLE_TEXT  # noqa: E402
 
 ORACLE.update(ORACLE_TEXT)
+
+from quire.plans.oracle_misc import ORACLE_MISC  # noqa: E402
+
+ORACLE.update(ORACLE_MISC)
