@@ -419,3 +419,7 @@ QUERIES = {
     "q_related": q_related,
     "q_token_stats": q_token_stats,
 }
+
+from quire.plans.catalog_text import TEXT_QUERIES  # noqa: E402
+
+QUERIES.update(TEXT_QUERIES)

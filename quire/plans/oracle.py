@@ -235,3 +235,7 @@ ORACLE.update(ORACLE_TEXT)
 from quire.plans.oracle_misc import ORACLE_MISC  # noqa: E402
 
 ORACLE.update(ORACLE_MISC)
+
+from quire.plans.oracle_enrich import ORACLE_ENRICH  # noqa: E402
+
+ORACLE.update(ORACLE_ENRICH)
