@@ -423,3 +423,7 @@ QUERIES = {
 from quire.plans.catalog_text import TEXT_QUERIES  # noqa: E402
 
 QUERIES.update(TEXT_QUERIES)
+
+from quire.plans.catalog_digest import DIGEST_QUERIES  # noqa: E402
+
+QUERIES.update(DIGEST_QUERIES)

@@ -239,3 +239,7 @@ ORACLE.update(ORACLE_MISC)
 from quire.plans.oracle_enrich import ORACLE_ENRICH  # noqa: E402
 
 ORACLE.update(ORACLE_ENRICH)
+
+from quire.plans.oracle_digest import ORACLE_DIGEST  # noqa: E402
+
+ORACLE.update(ORACLE_DIGEST)
