@@ -427,3 +427,7 @@ QUERIES.update(TEXT_QUERIES)
 from quire.plans.catalog_digest import DIGEST_QUERIES  # noqa: E402
 
 QUERIES.update(DIGEST_QUERIES)
+
+from quire.plans.catalog_io import IO_QUERIES  # noqa: E402
+
+QUERIES.update(IO_QUERIES)

@@ -243,3 +243,7 @@ ORACLE.update(ORACLE_ENRICH)
 from quire.plans.oracle_digest import ORACLE_DIGEST  # noqa: E402
 
 ORACLE.update(ORACLE_DIGEST)
+
+from quire.plans.oracle_io import ORACLE_IO  # noqa: E402
+
+ORACLE.update(ORACLE_IO)
