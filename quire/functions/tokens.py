@@ -13,13 +13,17 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 JAVA_TOKEN = r"\p{IsHan}|[[\p{L}\p{N}_]&&[^\p{IsHan}]]+"
+# Same tokens for text without any CJK ideograph, about twice as fast.
+JAVA_TOKEN_PLAIN = r"[\p{L}\p{N}_]+"
 _PY_TOKEN = regex.compile(r"\p{Han}|[[\p{L}\p{N}_]--\p{Han}]+", regex.V1)
 
 
 def tokens(text: Column) -> Column:
     """array<string> of tokens of ``text`` (empty array for null)."""
-    return F.coalesce(F.regexp_extract_all(F.lower(text), F.lit(JAVA_TOKEN), 0),
-                      F.array().cast("array<string>"))
+    low = F.lower(text)
+    toks = F.when(low.rlike(r"\p{IsHan}"), F.regexp_extract_all(low, F.lit(JAVA_TOKEN), 0)) \
+            .otherwise(F.regexp_extract_all(low, F.lit(JAVA_TOKEN_PLAIN), 0))
+    return F.coalesce(toks, F.array().cast("array<string>"))
 
 
 def py_tokens(text: str) -> list[str]:

@@ -101,6 +101,26 @@ def _band_floor(low: float, high: float, d_min: float, max_steps: int = 500) ->
     raise ValueError("no eps candidate within the step budget")
 
 
+def _eps_candidates(nn: DataFrame, high: float, low: float, dist_col: str):
+    """(drops table, band floor). ``nn`` is checkpointed first: the blocked
+    nearest-neighbour job then runs once, not once per statistic."""
+    from quire.session import cut_lineage
+    nn = cut_lineage(nn.select(F.col(dist_col).alias("d")))
+    d = F.col("d")
+    d_min = nn.agg(F.min(d)).first()[0]
+    if d_min is None:
+        return None, None
+    floor = _band_floor(low, high, d_min)
+    band = nn.filter((d > floor) & (d < high)).select("d").distinct()
+    below = nn.filter(d <= floor).agg(F.max(d).alias("d"))
+    vals = band.unionByName(below).filter(F.col("d").isNotNull())
+    idx = with_global_index(vals, [F.desc("d")], "i")
+    nxt = idx.select((F.col("i") - 1).alias("i"), F.col("d").alias("next_d"))
+    drops = (idx.join(nxt, "i").filter((F.col("d") > floor) & (F.col("d") < high))
+                .select("d", "next_d", (F.col("d") - F.col("next_d")).alias("drop")))
+    return drops, floor
+
+
 def select_eps(nn: DataFrame, high: float = 0.8, low: float = 0.5, dist_col: str = "nn_dist",
                default_eps: float | None = None) -> float:
     """eps = the nearest-neighbour distance just before the largest drop
@@ -110,40 +130,18 @@ def select_eps(nn: DataFrame, high: float = 0.8, low: float = 0.5, dist_col: str
     (a repeated value's inner gaps are zero and never win) and each gets
     its next smaller distinct value through a global index and an equi-join.
     """
-    d = F.col(dist_col)
-    d_min = nn.agg(F.min(d)).first()[0]
-    if d_min is None:
-        if default_eps is not None:
-            return default_eps
-        raise ValueError("no distances")
-    floor = _band_floor(low, high, d_min)
-    band = nn.filter((d > floor) & (d < high)).select(d.alias("d")).distinct()
-    below = nn.filter(d <= floor).agg(F.max(d).alias("d"))
-    vals = band.unionByName(below).filter(F.col("d").isNotNull())
-    if band.limit(1).count() == 0:
+    drops, floor = _eps_candidates(nn, high, low, dist_col)
+    best = drops.agg(F.max_by("d", F.struct("drop", "d")).alias("eps")).first()[0] if drops is not None else None
+    if best is None:
         if default_eps is not None:
             return default_eps
         raise ValueError(f"no nearest-neighbour distance inside ({floor}, {high})")
-    idx = with_global_index(vals, [F.desc("d")], "i")
-    nxt = idx.select((F.col("i") - 1).alias("i"), F.col("d").alias("next_d"))
-    drops = (idx.join(nxt, "i").filter((F.col("d") > floor) & (F.col("d") < high))
-                .withColumn("drop", F.col("d") - F.col("next_d")))
-    best = drops.agg(F.max_by("d", F.struct("drop", "d")).alias("eps")).first()[0]
     return float(best)
 
 
 def eps_drops(nn: DataFrame, high: float, low: float, dist_col: str = "nn_dist") -> DataFrame:
     """The candidate table behind ``select_eps``: (d, next_d, drop)."""
-    d = F.col(dist_col)
-    d_min = nn.agg(F.min(d)).first()[0]
-    floor = _band_floor(low, high, d_min)
-    band = nn.filter((d > floor) & (d < high)).select(d.alias("d")).distinct()
-    below = nn.filter(d <= floor).agg(F.max(d).alias("d"))
-    vals = band.unionByName(below).filter(F.col("d").isNotNull())
-    idx = with_global_index(vals, [F.desc("d")], "i")
-    nxt = idx.select((F.col("i") - 1).alias("i"), F.col("d").alias("next_d"))
-    return (idx.join(nxt, "i").filter((F.col("d") > floor) & (F.col("d") < high))
-               .select("d", "next_d", (F.col("d") - F.col("next_d")).alias("drop")))
+    return _eps_candidates(nn, high, low, dist_col)[0]
 
 
 def nn_then_eps(df: DataFrame, id_col: str, vec_col: str, high: float, low: float) -> float:

@@ -3,7 +3,7 @@
 
 Edges are kept as distinct undirected pairs. Each round is a grouped minimum
 (partial aggregation, so a hub node is combined map-side) and one equi-join;
-rounds run until the edge set stops changing, which takes O(log^2 n) rounds.
+rounds run until the edge set is a forest of stars, which takes O(log^2 n) rounds.
 The edge table is checkpointed reliably every round, so the driver loop has
 a short lineage and a lost executor costs at most one round.
 At the fixed point every non-root node has exactly one edge, to the smallest
@@ -40,20 +40,27 @@ def _small_star(e: DataFrame) -> DataFrame:
     return _canon(spokes.unionByName(hub), "x", "y")
 
 
+def _is_star_forest(e: DataFrame) -> bool:
+    """Exact fixed-point test: every node is either a centre (only smaller
+    endpoint) or a leaf with exactly one edge. Connectivity is preserved by
+    both star steps, so a star forest is the component partition, and each
+    centre, being smaller than its leaves, is its component's minimum."""
+    tags = (e.select(F.col("u").alias("n"), F.lit(1).alias("is_u"), F.lit(0).alias("is_v"))
+             .unionByName(e.select(F.col("v").alias("n"), F.lit(0).alias("is_u"), F.lit(1).alias("is_v"))))
+    per = tags.groupBy("n").agg(F.max("is_u").alias("cu"), F.sum("is_v").alias("lv"))
+    return per.filter(((F.col("cu") == 1) & (F.col("lv") > 0)) | (F.col("lv") > 1)).limit(1).count() == 0
+
+
 def connected_components(edges: DataFrame, src: str = "a", dst: str = "b",
                          max_rounds: int = 100) -> DataFrame:
     """(node, root) for every node that has at least one edge; root = smallest node id."""
     e = cut_lineage(_canon(edges, src, dst))
-    n_prev = e.count()
-    for _ in range(max_rounds):
-        nxt = cut_lineage(_small_star(_large_star(e)))
-        n_next = nxt.count()
-        changed = n_next != n_prev or nxt.exceptAll(e).limit(1).count() > 0
-        e, n_prev = nxt, n_next
-        if not changed:
-            break
-    else:
-        raise RuntimeError("connected components did not converge")
+    rounds = 0
+    while not _is_star_forest(e):
+        if rounds >= max_rounds:
+            raise RuntimeError("connected components did not converge")
+        e = cut_lineage(_small_star(_large_star(e)))
+        rounds += 1
     roots = e.select(F.col("u").alias("node"), F.col("u").alias("root")).distinct()
     leaves = e.select(F.col("v").alias("node"), F.col("u").alias("root"))
     return leaves.unionByName(roots)

@@ -26,21 +26,25 @@ def term(field: str, value: Any) -> Column:
     return F.col(field) == F.lit(value)
 
 
-def match(field: str, text: str) -> Column:
+def _field_tokens(field: str, tok_cols: dict | None) -> Column:
+    return F.col(tok_cols[field]) if tok_cols and field in tok_cols else tokens(F.col(field))
+
+
+def match(field: str, text: str, tok_cols: dict | None = None) -> Column:
     """Any analysed token of ``text`` occurs in the field (OR semantics)."""
     q = py_tokens(text)
     if not q:
         return F.lit(False)
-    return F.arrays_overlap(tokens(F.col(field)), F.array(*[F.lit(t) for t in q]))
+    return F.arrays_overlap(_field_tokens(field, tok_cols), F.array(*[F.lit(t) for t in q]))
 
 
-def match_phrase(field: str, text: str) -> Column:
+def match_phrase(field: str, text: str, tok_cols: dict | None = None) -> Column:
     """The analysed tokens of ``text`` occur consecutively in the field.
     Tokens never contain spaces, so a space-delimited join is exact."""
     q = py_tokens(text)
     if not q:
         return F.lit(False)
-    joined = F.concat(F.lit(" "), F.array_join(tokens(F.col(field)), " "), F.lit(" "))
+    joined = F.concat(F.lit(" "), F.array_join(_field_tokens(field, tok_cols), " "), F.lit(" "))
     return joined.contains(" " + " ".join(q) + " ")
 
 
@@ -72,15 +76,16 @@ def _one(kind: str, field: str, value: Any) -> Column:
     raise ValueError(f"unsupported filter type {kind!r}")
 
 
-def compile_filters(filters: list[dict] | None) -> Column:
-    """must = AND of required specs; should = OR of match / match_phrase specs."""
+def compile_filters(filters: list[dict] | None, tok_cols: dict | None = None) -> Column:
+    """must = AND of required specs; should = OR of match / match_phrase specs.
+    ``tok_cols`` maps a field to a column already holding its tokens."""
     must, should = [], []
     for spec in filters or []:
         kind, field, value = spec["type"], spec["field"], spec["value"]
         if kind in ("match", "match_phrase"):
             fn = match if kind == "match" else match_phrase
             values = value if isinstance(value, (list, tuple)) else [value]
-            should.extend(fn(field, v) for v in values)
+            should.extend(fn(field, v, tok_cols) for v in values)
         else:
             must.append(_one(kind, field, value))
     pred = reduce(lambda a, b: a & b, must) if must else F.lit(True)

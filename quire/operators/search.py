@@ -33,13 +33,15 @@ class CorpusStats:
     avgdl: dict = field(default_factory=dict)       # field -> average token count
     dfreq: dict = field(default_factory=dict)       # (field, token) -> document count
     value_count: dict = field(default_factory=dict)  # (field, value) -> rows with field == value
+    matched: dict = field(default_factory=dict)      # field -> rows containing any query token
 
     def idf(self, n_t: int) -> float:
         return math.log(1.0 + (self.n - n_t + 0.5) / (n_t + 0.5))
 
 
 def corpus_stats(df: DataFrame, text_terms: dict[str, list[str]] | None = None,
-                 exact_values: dict[str, list] | None = None) -> CorpusStats:
+                 exact_values: dict[str, list] | None = None,
+                 count_any: dict[str, list[str]] | None = None) -> CorpusStats:
     """One aggregate pass: N, avgdl per text field, document frequency per
     (field, token) and row counts per (keyword field, value)."""
     text_terms = {f: sorted(set(ts)) for f, ts in (text_terms or {}).items()}
@@ -57,6 +59,10 @@ def corpus_stats(df: DataFrame, text_terms: dict[str, list[str]] | None = None,
         for i, t in enumerate(ts):
             aggs.append(F.sum(F.when(F.array_contains(tok, t), 1).otherwise(0)).alias(f"df_{f}_{i}"))
             keys.append(("df", f, t, f"df_{f}_{i}"))
+    for f, ts in (count_any or {}).items():
+        q = F.array(*[F.lit(t) for t in ts]) if ts else F.array().cast("array<string>")
+        aggs.append(F.sum(F.when(F.arrays_overlap(F.col(f"_tok_{f}"), q), 1).otherwise(0)).alias(f"any_{f}"))
+        keys.append(("any", f, None, f"any_{f}"))
     for f, vals in exact_values.items():
         for i, v in enumerate(vals):
             aggs.append(F.sum(F.when(F.col(f"_val_{f}") == F.lit(v), 1).otherwise(0)).alias(f"vc_{f}_{i}"))
@@ -66,7 +72,10 @@ def corpus_stats(df: DataFrame, text_terms: dict[str, list[str]] | None = None,
     for f in text_terms:
         st.avgdl[f] = row[f"avgdl_{f}"] or 0.0
     for kind, f, t, name in keys:
-        (st.dfreq if kind == "df" else st.value_count)[(f, t)] = row[name] or 0
+        if kind == "any":
+            st.matched[f] = row[name] or 0
+        else:
+            (st.dfreq if kind == "df" else st.value_count)[(f, t)] = row[name] or 0
     return st
 
 
@@ -74,34 +83,63 @@ def _equals(t: str):
     return lambda x: x == F.lit(t)
 
 
-def bm25(field_name: str, terms: list[str], stats: CorpusStats, boost: float = 1.0) -> Column:
-    """Sum over distinct query tokens of idf * tf_norm for one text field."""
-    tok = tokens(F.col(field_name))
+def bm25(field_name: str, terms: list[str], stats: CorpusStats, boost: float = 1.0,
+         tok: Column | None = None) -> Column:
+    """Sum over distinct query tokens of idf * tf_norm for one text field.
+
+    Pass ``tok`` = a column already holding the field's tokens (see
+    ``with_tokens``): higher-order functions are evaluated outside codegen,
+    so a token expression inside them would be recomputed for every term."""
+    tok = tok if tok is not None else tokens(F.col(field_name))
     dl = F.size(tok).cast("double")
     avgdl = stats.avgdl.get(field_name) or 1.0
     total = F.lit(0.0)
     for t in sorted(set(terms)):
         idf = stats.idf(stats.dfreq.get((field_name, t), 0))
-        tf = F.size(F.filter(tok, _equals(t))).cast("double")
+        # occurrences of t = length minus length without t (codegen'd, no lambda)
+        tf = (F.size(tok) - F.size(F.array_remove(tok, F.lit(t)))).cast("double")
         norm = tf * F.lit(K1 + 1) / (tf + F.lit(K1) * (F.lit(1 - B) + F.lit(B) * dl / F.lit(avgdl)))
         total = total + F.lit(idf * boost) * norm
     return total
 
 
-def top_k(df: DataFrame, score: str, id_col: str, k: int = RECALL_SIZE) -> DataFrame:
-    """Highest scores first, ties by id; planned as TakeOrderedAndProject."""
-    return df.orderBy(F.desc(score), F.asc(id_col)).limit(k)
+def tok_col(field_name: str) -> str:
+    return f"_tok_{field_name}"
+
+
+def with_tokens(df: DataFrame, fields) -> DataFrame:
+    """Project each field's tokens once into ``_tok_<field>``; the optimizer
+    keeps this projection separate because the column is used many times."""
+    return df.select("*", *[tokens(F.col(f)).alias(tok_col(f)) for f in sorted(set(fields))])
+
+
+def top_k(df: DataFrame, score: str, id_col: str, k: int = RECALL_SIZE,
+          keep: Column | None = None) -> DataFrame:
+    """Highest scores first, ties by id; planned as TakeOrderedAndProject.
+
+    ``keep`` (a row condition) is applied *after* the limit by ordering kept
+    rows first: this is exact, and it stops the optimizer from pushing a
+    token-based condition below the projection that tokenizes each row once."""
+    if keep is None:
+        return df.orderBy(F.desc(score), F.asc(id_col)).limit(k)
+    flagged = df.withColumn("_keep", F.coalesce(keep, F.lit(False)))
+    return (flagged.orderBy(F.desc("_keep"), F.desc(score), F.asc(id_col)).limit(k)
+                   .filter(F.col("_keep")).drop("_keep"))
 
 
 def match_search(df: DataFrame, id_col: str, field_name: str, query: str,
-                 k: int = RECALL_SIZE) -> tuple[DataFrame, DataFrame]:
-    """Full-text match (H1). Returns (top-k hits, one-row total hit count D6)."""
-    q = py_tokens(query)
-    st = corpus_stats(df, {field_name: q})
-    scored = (df.withColumn("score", bm25(field_name, q, st))
-                .filter(F.arrays_overlap(tokens(F.col(field_name)),
-                                         F.array(*[F.lit(t) for t in q]) if q else F.array())))
-    return top_k(scored, "score", id_col, k), scored.agg(F.count(F.lit(1)).alias("total"))
+                 k: int = RECALL_SIZE) -> tuple[DataFrame, int]:
+    """Full-text match (H1). Returns (top-k hits, total hit count D6).
+
+    Two passes over the table: one aggregate for the statistics and the
+    hit count, one scoring pass feeding the top-k. A row matches when its
+    score is positive (every idf and every non-zero tf term is positive)."""
+    q = sorted(set(py_tokens(query)))
+    st = corpus_stats(df, {field_name: q}, count_any={field_name: q})
+    t = with_tokens(df, [field_name])
+    scored = t.withColumn("score", bm25(field_name, q, st, tok=F.col(tok_col(field_name))))
+    hits = top_k(scored, "score", id_col, k, keep=F.col("score") > 0).drop(tok_col(field_name))
+    return hits, st.matched.get(field_name, 0)
 
 
 def term_score(field_name: str, value, stats: CorpusStats) -> Column:
@@ -168,9 +206,13 @@ def vector_term_search(df: DataFrame, id_col: str, vec_col: str, query: list[flo
 def filtered_vector_search(df: DataFrame, id_col: str, vec_col: str, query: list[float],
                            filters: list[dict], k: int = RECALL_SIZE) -> DataFrame:
     """Filters only select rows; the score is cosine + 1 (H5)."""
-    scored = (df.filter(_usable(F.col(vec_col)) & compile_filters(filters))
-                .withColumn("score", cosine_to(F.col(vec_col), query) + F.lit(1.0)))
-    return top_k(scored, "score", id_col, k)
+    column_only = [s for s in filters if s["type"] not in ("match", "match_phrase")]
+    token_based = [s for s in filters if s["type"] in ("match", "match_phrase")]
+    toks = {s["field"]: tok_col(s["field"]) for s in token_based}
+    base = with_tokens(df.filter(_usable(F.col(vec_col)) & compile_filters(column_only)), toks)
+    scored = base.withColumn("score", cosine_to(F.col(vec_col), query) + F.lit(1.0))
+    keep = compile_filters(token_based, toks) if token_based else None
+    return top_k(scored, "score", id_col, k, keep=keep).drop(*toks.values())
 
 
 def weighted_search(df: DataFrame, id_col: str, vec_col: str, query: list[float],
@@ -194,7 +236,9 @@ def weighted_search(df: DataFrame, id_col: str, vec_col: str, query: list[float]
         elif spec["type"] != "range":
             raise ValueError(f"unsupported filter type {spec['type']!r}")
     st = corpus_stats(df, text_terms, exact)
-    pred = _usable(F.col(vec_col))
+    toks = {f: tok_col(f) for f in text_terms}
+    pred = _usable(F.col(vec_col))          # column-only conditions: pushed to the scan
+    keep = F.lit(True)                      # token conditions: applied after the top-k
     score = cosine_to(F.col(vec_col), query) + F.lit(1.0)
     for spec in filters:
         f, v = spec["field"], spec["value"]
@@ -202,13 +246,14 @@ def weighted_search(df: DataFrame, id_col: str, vec_col: str, query: list[float]
             pred = pred & (F.col(f) == F.lit(v))
             score = score + term_score(f, v, st)
         elif spec["type"] == "match":
-            pred = pred & compile_filters([spec])
-            score = score + bm25(f, py_tokens(v), st)
+            keep = keep & compile_filters([spec], toks)
+            score = score + bm25(f, py_tokens(v), st, tok=F.col(toks[f]))
         else:
             pred = pred & compile_filters([spec])
             score = score + F.lit(1.0)
     for spec in keyword_fields:
         w = float(spec.get("weight", 1.0))
         for kw in spec["keywords"]:
-            score = score + bm25(spec["field"], py_tokens(kw), st, boost=w)
-    return top_k(df.filter(pred).withColumn("score", score), "score", id_col, k)
+            score = score + bm25(spec["field"], py_tokens(kw), st, boost=w, tok=F.col(toks[spec["field"]]))
+    base = with_tokens(df.filter(pred), toks)
+    return top_k(base.withColumn("score", score), "score", id_col, k, keep=keep).drop(*toks.values())

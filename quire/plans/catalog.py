@@ -71,7 +71,8 @@ def q_eps(spark: SparkSession, sf: str) -> DataFrame:
     prepare(spark)
     from quire.operators.cluster import eps_drops, select_eps
     from quire.operators.pairs import nearest_distance
-    nn = nearest_distance(_emb(spark, sf), "vec_id", "embedding")
+    from quire.session import cut_lineage
+    nn = cut_lineage(nearest_distance(_emb(spark, sf), "vec_id", "embedding"))
     eps = select_eps(nn, *BAND)
     d = eps_drops(nn, *BAND)
     return d.select(_r("d").alias("d"), _r("next_d").alias("next_d"), _r("drop").alias("drop"),
@@ -173,7 +174,7 @@ def q_match(spark: SparkSession, sf: str) -> DataFrame:
     prepare(spark)
     from quire.operators.search import match_search
     hits, total = match_search(table(spark, sf, "documents"), "doc_id", "text", MATCH_QUERY)
-    return _hits(hits).crossJoin(F.broadcast(total))
+    return _hits(hits).withColumn("total", F.lit(total).cast("long"))
 
 
 def q_term(spark: SparkSession, sf: str) -> DataFrame:
@@ -242,9 +243,9 @@ def q_story_date(spark: SparkSession, sf: str) -> DataFrame:
 def q_relative_date(spark: SparkSession, sf: str) -> DataFrame:
     prepare(spark)
     from quire.functions.dates import resolve_relative_dates, story_date
-    o = _orders_story(spark, sf)
-    st = story_date(F.col("dt"), F.col("content"), "v2")
-    return o.select("pid", resolve_relative_dates(F.col("content"), st).alias("resolved"))
+    # the story date is a column of its own so the eleven replacements reuse it
+    o = _orders_story(spark, sf).withColumn("story", story_date(F.col("dt"), F.col("content"), "v2"))
+    return o.select("pid", resolve_relative_dates(F.col("content"), F.col("story")).alias("resolved"))
 
 
 def q_html_text(spark: SparkSession, sf: str) -> DataFrame:

@@ -1,12 +1,16 @@
 """Length-bounded extractive summary (K6) as a distributed job.
 
-Sentences are exploded with their position; each sentence token is joined
-to its document-level frequency (a grouped count keyed by (doc, token));
-a sentence scores the mean document frequency of its tokens (Luhn-style).
-Sentences are taken in score order while the running length stays within
-the budget (the best sentence is always kept, whole) and reassembled in
-their original order. Every shuffle is keyed by document, so the only
-per-task unit is one document's sentences.
+Sentences are exploded with their position; a sentence scores the mean
+document frequency of its tokens (Luhn-style). Sentences are taken in score
+order while the running length stays within the budget (the best sentence
+is always kept, whole) and reassembled in their original order.
+
+Plan shape: the documents are hash-partitioned by key once. Every later
+step (token counts per (key, token), scores per (key, sentence), ranking per
+key, the final fold per key) clusters on the key plus something else, which
+that partitioning already satisfies, so no further shuffle happens. Sentence
+text and its tokens travel in one exploded row set (the text on one marker
+row per sentence, not repeated per token), so no join is needed either.
 """
 
 from __future__ import annotations
@@ -29,17 +33,22 @@ def sentences(df: DataFrame, key: str, text_col: str) -> DataFrame:
 
 def extractive_summary(df: DataFrame, key: str, text_col: str, budget: int = BUDGET) -> DataFrame:
     """(key, summary, n_sentences)."""
-    sent = sentences(df, key, text_col)
-    tok = sent.select(key, "sidx", F.explode(tokens(F.col("sentence"))).alias("token"))
-    freq = tok.groupBy(key, "token").agg(F.count(F.lit(1)).alias("tf"))
-    scores = (tok.join(freq, [key, "token"])
-                 .groupBy(key, "sidx")
-                 .agg((F.sum("tf").cast("double") / F.count(F.lit(1))).alias("score")))
-    ranked = sent.join(scores, [key, "sidx"], "left").fillna({"score": 0.0})
+    docs = df.select(key, text_col).repartition(key)
+    sent = sentences(docs, key, text_col)
+    marker = F.array(F.struct(F.lit(None).cast("string").alias("token"), F.col("sentence").alias("text")))
+    toks = F.transform(tokens(F.col("sentence")),
+                       lambda t: F.struct(t.alias("token"), F.lit(None).cast("string").alias("text")))
+    rows = sent.select(key, "sidx", F.explode(F.concat(marker, toks)).alias("r")) \
+               .select(key, "sidx", F.col("r.token").alias("token"), F.col("r.text").alias("text"))
+    rows = rows.withColumn("tf", F.when(F.col("token").isNotNull(),
+                                        F.count("token").over(Window.partitionBy(key, "token"))))
+    per = rows.groupBy(key, "sidx").agg(
+        F.max("text").alias("sentence"),
+        F.coalesce(F.sum("tf").cast("double") / F.count("token"), F.lit(0.0)).alias("score"))
     w = Window.partitionBy(key).orderBy(F.desc("score"), F.asc("sidx"))
-    ranked = (ranked.withColumn("rank", F.row_number().over(w))
-                    .withColumn("cum", F.sum(F.length("sentence")).over(
-                        w.rowsBetween(Window.unboundedPreceding, Window.currentRow))))
+    ranked = (per.withColumn("rank", F.row_number().over(w))
+                 .withColumn("cum", F.sum(F.length("sentence")).over(
+                     w.rowsBetween(Window.unboundedPreceding, Window.currentRow))))
     picked = ranked.filter((F.col("rank") == 1) | (F.col("cum") <= budget))
     s = F.sort_array(F.collect_list(F.struct("sidx", "sentence")))
     return picked.groupBy(key).agg(F.array_join(F.transform(s, lambda x: x["sentence"]), " ").alias("summary"),

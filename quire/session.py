@@ -36,12 +36,32 @@ def build_session(master: str | None = None, app: str = "quire",
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Settings every query relies on: UTC session time and a checkpoint dir."""
+    """Settings every query relies on: UTC session time, a checkpoint dir,
+    and this package shipped to the executors' Python workers."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Zip the ``quire`` package once per SparkContext and add it with
+    ``addPyFile`` so pandas functions defined here unpickle on executors."""
+    import shutil
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    out = tempfile.mkdtemp(prefix="quire-pkg-")
+    archive = shutil.make_archive(os.path.join(out, "quire"), "zip", os.path.dirname(pkg), "quire")
+    sc.addPyFile(archive)
+    _SHIPPED.add(app)
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder the cluster names in ``spark.checkpoint.dir``.
 
