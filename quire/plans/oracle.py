@@ -55,12 +55,16 @@ NN_SQL = """nn AS (
 
 
 def _eps_sql(high: float, low: float) -> str:
-    # the band's lower bound is already above the smallest distance on driver data
-    return f"""vals AS (
-  SELECT DISTINCT nn_dist AS d FROM nn WHERE nn_dist > {low} AND nn_dist < {high}
-  UNION ALL SELECT max(nn_dist) FROM nn WHERE nn_dist <= {low}),
+    # lower bound raised by repeated 0.01 additions while the smallest distance is inside the band
+    return f"""steps(k, f) AS (SELECT 0, cast({low} AS DOUBLE) UNION ALL SELECT k + 1, f + 0.01 FROM steps WHERE k < 499),
+dmin AS (SELECT min(nn_dist) AS m FROM nn),
+fl AS (SELECT CASE WHEN m > {low} AND m < {high} THEN (SELECT min(f) FROM steps WHERE f >= m)
+                   ELSE cast({low} AS DOUBLE) END AS lo FROM dmin),
+vals AS (
+  SELECT DISTINCT nn_dist AS d FROM nn WHERE nn_dist > (SELECT lo FROM fl) AND nn_dist < {high}
+  UNION ALL SELECT max(nn_dist) FROM nn WHERE nn_dist <= (SELECT lo FROM fl)),
 ordered AS (SELECT d, lead(d) OVER (ORDER BY d DESC) AS next_d FROM vals),
-drops AS (SELECT d, next_d, d - next_d AS drop FROM ordered WHERE d > {low} AND d < {high}),
+drops AS (SELECT d, next_d, d - next_d AS drop FROM ordered WHERE d > (SELECT lo FROM fl) AND d < {high}),
 eps AS (SELECT d AS eps FROM drops ORDER BY drop DESC, d DESC LIMIT 1)"""
 
 
@@ -85,7 +89,7 @@ EMB_PAIRS = _pairs("embeddings", "vec_id", "embedding")
 ORACLE.update({
     "q_nn_distance": f"WITH {EMB_PAIRS}, {NN_SQL} SELECT id AS vec_id, round(nn_dist, 6) AS nn_dist FROM nn",
     "q_edges": f"WITH {EMB_PAIRS} SELECT a, b, round(dist, 6) AS dist FROM pairs WHERE dist <= 1.1",
-    "q_eps": f"""WITH {EMB_PAIRS}, {NN_SQL}, {_eps_sql(1.2, 1.0)}
+    "q_eps": f"""WITH RECURSIVE {EMB_PAIRS}, {NN_SQL}, {_eps_sql(1.2, 1.0)}
 SELECT round(d, 6) AS d, round(next_d, 6) AS next_d, round(drop, 6) AS drop,
        d = (SELECT eps FROM eps) AS chosen FROM drops""",
     "q_dbscan": f"WITH RECURSIVE {EMB_PAIRS}, {_components_sql('dist <= 1.05')} "

@@ -77,8 +77,10 @@ def validate_requests(df: DataFrame, json_col: str = "body",
     keys = key_cols or [c for c in df.columns if c != json_col]
     missing = _missing_keys(F.col(json_col))
     parsed = df.select(*keys, F.col(json_col), missing.alias("_missing"),
+                       F.json_object_keys(F.col(json_col)).isNull().alias("_malformed"),
                        F.from_json(F.col(json_col), REQUEST_SCHEMA).alias("r"))
-    bad_json = F.col("r").isNull()
+    # not a JSON object at all (from_json would give a struct of nulls)
+    bad_json = F.col("_malformed")
     is_bad = bad_json | (F.size("_missing") > 0)
     reason = F.when(bad_json, F.lit("malformed json")).otherwise(
         F.concat(F.lit("missing: "), F.array_join("_missing", ",")))
