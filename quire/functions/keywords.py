@@ -58,3 +58,28 @@ def trend_match_count(text: Column, terms: Iterable[str]) -> Column:
     if not kws:
         return F.lit(0).cast("long")
     return F.size(F.array_compact(F.array(*[F.when(text.rlike(k), F.lit(1)) for k in kws]))).cast("long")
+
+
+def keywords_in_text(text: Column, keywords: Column) -> Column:
+    """Entity keywords (an array column) that occur in the text (C11)."""
+    return F.filter(keywords, lambda k: (k != "") & text.contains(k))
+
+
+def trend_terms(trends, start, title_col: str = "title", related_col: str = "related",
+                dt_col: str = "dt", sep: str = ", "):
+    """Trend table -> distinct terms since ``start`` (A21): each title and
+    every item of its related list (the related items are kept, Q18)."""
+    recent = trends.filter(F.col(dt_col) >= F.lit(start))
+    titles = recent.select(F.col(title_col).alias("term"))
+    related = recent.select(F.explode(F.split(F.col(related_col), sep, -1)).alias("term"))
+    return titles.unionByName(related).filter(F.col("term") != "").distinct()
+
+
+def keyword_hits(docs, key: str, text_col: str, keywords):
+    """Join form of keyword matching for long single-token keyword lists:
+    (key, keyword, hits). Tokens are exploded per document and equi-joined
+    with the keyword table (its size decides broadcast, not a hint)."""
+    from quire.functions.tokens import tokens
+    toks = docs.select(key, F.explode(tokens(F.col(text_col))).alias("keyword"))
+    kw = keywords.select(F.lower(F.col(keywords.columns[0])).alias("keyword")).distinct()
+    return toks.join(kw, "keyword").groupBy(key, "keyword").agg(F.count(F.lit(1)).alias("hits"))

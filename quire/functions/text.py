@@ -160,3 +160,18 @@ def annotate_names(text: Column, entries: Column) -> Column:
         return F.when((e["name"] == "") | e["name"].isNull(), acc).otherwise(
             F.replace(acc, e["name"], F.concat(e["name"], note)))
     return F.aggregate(ordered, text, step)
+
+
+def exclude_roles(people: Column, excluded: list[str]) -> Column:
+    """Person list without the excluded entries."""
+    return F.array_except(people, F.array(*[F.lit(x) for x in excluded]).cast("array<string>"))
+
+
+def parse_embedding(col: Column, is_text: bool) -> Column:
+    """Embedding stored as JSON text -> array<double>; arrays pass through."""
+    return F.from_json(col, "array<double>") if is_text else col.cast("array<double>")
+
+
+def flatten_tagger(nested: Column) -> Column:
+    """Per-sentence tagger arrays -> one array per article."""
+    return F.flatten(nested)

@@ -128,7 +128,10 @@ def _nn_fn():
     return run
 
 
-def _topk_fn(k: int, threshold: float | None):
+def _topk_fn(k: int, threshold: float | None, include_self: bool = False, clamp: float | None = None):
+    """Local top-k per row. ``clamp``: similarities at or below it become 0
+    and still compete (ties by id, exact via lexsort); ``include_self`` keeps
+    the row itself as a candidate."""
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         diag, lid, lv, rid, rv = _split(pdf)
         qa, qb, qs = [], [], []
@@ -143,7 +146,12 @@ def _topk_fn(k: int, threshold: float | None):
                 kk = min(k, sims.shape[1])
                 if kk == 0:
                     return
-                part = np.argpartition(-sims, kk - 1, axis=1)[:, :kk]
+                if clamp is not None:
+                    sims = np.where(np.isfinite(sims) & (sims <= clamp), 0.0, sims)
+                    keys = np.broadcast_to(dst_ids, sims.shape)
+                    part = np.lexsort((keys, -sims), axis=-1)[:, :kk]
+                else:
+                    part = np.argpartition(-sims, kk - 1, axis=1)[:, :kk]
                 rows = np.repeat(np.arange(sims.shape[0]), kk)
                 cols = part.reshape(-1)
                 vals = sims[rows, cols]
@@ -156,14 +164,14 @@ def _topk_fn(k: int, threshold: float | None):
 
             for s in range(0, len(lid), CHUNK):
                 sims = lu[s:s + CHUNK] @ ru.T
-                same = lid[s:s + CHUNK, None] == rid[None, :]
-                sims[same] = -np.inf
+                if not include_self:
+                    sims[lid[s:s + CHUNK, None] == rid[None, :]] = -np.inf
                 emit(lid[s:s + CHUNK], rid, sims)
             if not diag:
                 for s in range(0, len(rid), CHUNK):
                     sims = ru[s:s + CHUNK] @ lu.T
-                    same = rid[s:s + CHUNK, None] == lid[None, :]
-                    sims[same] = -np.inf
+                    if not include_self:
+                        sims[rid[s:s + CHUNK, None] == lid[None, :]] = -np.inf
                     emit(rid[s:s + CHUNK], lid, sims)
         if not qa:
             return pd.DataFrame({"a": pd.Series([], dtype="int64"), "b": pd.Series([], dtype="int64"),
@@ -196,7 +204,8 @@ def nearest_distance(df: DataFrame, id_col: str, vec_col: str,
 
 
 def cosine_topk(df: DataFrame, id_col: str, vec_col: str, k: int, threshold: float | None = None,
-                blocks: int | None = None, block_rows: int = 4096) -> DataFrame:
+                blocks: int | None = None, block_rows: int = 4096,
+                include_self: bool = False, clamp: float | None = None) -> DataFrame:
     """For every row its k most cosine-similar other rows: (a, b, sim, rank).
 
     Each task keeps at most k candidates per row, so per row at most k * B
@@ -205,6 +214,7 @@ def cosine_topk(df: DataFrame, id_col: str, vec_col: str, k: int, threshold: flo
     from pyspark.sql import Window
     b = _blocks_for(df, blocks, block_rows)
     rep = _replicate(df, id_col, vec_col, b)
-    cand = rep.groupBy("bi", "bj").applyInPandas(_topk_fn(int(k), threshold), "a long, b long, sim double")
+    cand = rep.groupBy("bi", "bj").applyInPandas(_topk_fn(int(k), threshold, include_self, clamp),
+                                                 "a long, b long, sim double")
     w = Window.partitionBy("a").orderBy(F.desc("sim"), F.asc("b"))
     return cand.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)

@@ -92,3 +92,8 @@ def compile_filters(filters: list[dict] | None, tok_cols: dict | None = None) ->
     if should:
         pred = pred & reduce(lambda a, b: a | b, should)
     return F.coalesce(pred, F.lit(False))
+
+
+def adhoc(df, condition: str):
+    """Caller-supplied SQL condition (B9), parsed by Spark's own SQL parser."""
+    return df.filter(F.expr(condition))

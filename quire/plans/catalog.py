@@ -357,22 +357,26 @@ def q_topic_score(spark: SparkSession, sf: str) -> DataFrame:
     return s.select("tno", "pid", "date_weight", _r("score").alias("score"))
 
 
+def _related(spark, sf, mode):
+    from quire.plans.related import related_articles
+    a = articles(spark, sf, with_embeddings=True)
+    done = table(spark, sf, "labels").filter(F.col("quality") == 1).select(F.col("doc_id").cast("string").alias("pid"))
+    rel = related_articles(a.filter(F.col("category") != "src0"), a.filter(F.col("category") == "src0"), done,
+                           "doc_id", "embeddings", 3, threshold=0.3, mode=mode)
+    return rel.select("pid", "rank", "related_url", _r("sim").alias("sim"))
+
+
 def q_related(spark: SparkSession, sf: str) -> DataFrame:
     """Top-3 related articles (cosine > threshold, self excluded) for every
     not-done article among current and earlier articles (C8, G1, C1, E7)."""
     prepare(spark)
-    from quire.operators.pairs import cosine_topk
-    from quire.functions.text import category_url
-    a = articles(spark, sf, with_embeddings=True)
-    current = a.filter(F.col("category") != "src0")
-    earlier = a.filter(F.col("category") == "src0")
-    pool = current.unionByName(earlier)
-    done = table(spark, sf, "labels").filter(F.col("quality") == 1).select(F.col("doc_id").cast("string").alias("pid"))
-    rel = cosine_topk(pool, "doc_id", "embeddings", 3, threshold=0.3)
-    url = pool.select(F.col("doc_id").alias("b"), category_url(F.col("category"), F.col("pid")).alias("related_url"))
-    todo = current.join(done, "pid", "left_anti").select(F.col("doc_id").alias("a"), "pid")
-    return (rel.join(todo, "a").join(url, "b")
-               .select("pid", "rank", "related_url", _r("sim").alias("sim")))
+    return _related(spark, sf, "default")
+
+
+def q_related_reference(spark: SparkSession, sf: str) -> DataFrame:
+    """The original ranking: self included, low similarities clamped to 0, ranks 2..4."""
+    prepare(spark)
+    return _related(spark, sf, "reference")
 
 
 def q_token_stats(spark: SparkSession, sf: str) -> DataFrame:
@@ -418,6 +422,7 @@ QUERIES = {
     "q_exclude_regex": q_exclude_regex,
     "q_topic_score": q_topic_score,
     "q_related": q_related,
+    "q_related_reference": q_related_reference,
     "q_token_stats": q_token_stats,
 }
 

@@ -44,6 +44,17 @@ sims AS (SELECT t.pid, p.doc_id AS b, p.category, p.pid AS bpid,
          FROM todo t JOIN pool p ON t.doc_id <> p.doc_id),
 rk AS (SELECT *, row_number() OVER (PARTITION BY pid ORDER BY sim DESC, b) AS rank FROM sims WHERE sim > 0.3)
 SELECT pid, cast(rank AS integer) AS rank, 'None/' || bpid AS related_url, round(sim, 6) AS sim FROM rk WHERE rank <= 3""",
+    "q_related_reference": f"""WITH {ARTICLES_CTE},
+pool AS (SELECT a.doc_id, a.pid, a.category, e.embedding FROM articles a JOIN embeddings e ON a.doc_id = e.vec_id),
+cur AS (SELECT * FROM pool WHERE category <> 'src0'),
+todo AS (SELECT * FROM cur WHERE pid NOT IN (SELECT cast(doc_id AS varchar) FROM labels WHERE quality = 1)),
+sims AS (SELECT t.pid, p.doc_id AS b, p.pid AS bpid,
+           list_cosine_similarity(cast(t.embedding AS DOUBLE[]), cast(p.embedding AS DOUBLE[])) AS sim
+         FROM todo t CROSS JOIN pool p),
+cs AS (SELECT *, CASE WHEN sim > 0.3 THEN sim ELSE 0.0 END AS csim FROM sims),
+rk AS (SELECT *, row_number() OVER (PARTITION BY pid ORDER BY csim DESC, b) AS rank FROM cs)
+SELECT pid, cast(rank AS integer) AS rank, 'None/' || bpid AS related_url, round(csim, 6) AS sim
+FROM rk WHERE rank BETWEEN 2 AND 4""",
     "q_token_stats": f"""SELECT source, count(*) AS docs, sum(len({TOK})) AS tokens, max(len({TOK})) AS max_tokens
 FROM documents GROUP BY source""",
 }

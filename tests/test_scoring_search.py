@@ -83,3 +83,15 @@ def test_duplicate_pids(spark):
     twice = spark.createDataFrame([("a", old), ("a", old)], "pid string, dt timestamp_ntz")
     assert settled_new(twice, done, "pid", "dt", now).count() == 2
     assert settled_new(twice, done, "pid", "dt", now, multiplicity="reference").count() == 4
+
+
+def test_related_fixture(spark):
+    from quire.plans.related import related_articles
+    pts = {"a": (1.0, 0.0), "b": (0.8, 0.6), "c": (0.6, 0.8), "d": (0.0, 1.0)}
+    cur = spark.createDataFrame([(i, k, "x", list(v)) for i, (k, v) in enumerate(pts.items())],
+                                "doc_id long, pid string, category string, embeddings array<double>")
+    earlier = cur.limit(0)
+    done = spark.createDataFrame([], "pid string")
+    for mode, want in (("default", ["b", "c"]), ("reference", ["b", "c", "d"])):
+        rows = related_articles(cur, earlier, done, threshold=0.5, mode=mode).filter(F.col("pid") == "a").collect()
+        assert [r.related_url.split("/")[1] for r in sorted(rows, key=lambda r: r.rank)] == want
