@@ -88,10 +88,14 @@ def compile_filters(filters: list[dict] | None, tok_cols: dict | None = None) ->
             should.extend(fn(field, v, tok_cols) for v in values)
         else:
             must.append(_one(kind, field, value))
-    pred = reduce(lambda a, b: a & b, must) if must else F.lit(True)
+    # no coalesce wrapper: a filter already drops null, and plain
+    # comparisons / IN lists are what the parquet scan can push down
+    if not must and not should:
+        return F.lit(True)
+    parts = list(must)
     if should:
-        pred = pred & reduce(lambda a, b: a | b, should)
-    return F.coalesce(pred, F.lit(False))
+        parts.append(reduce(lambda a, b: a | b, should))
+    return reduce(lambda a, b: a & b, parts)
 
 
 def adhoc(df, condition: str):

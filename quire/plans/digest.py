@@ -14,6 +14,7 @@ from quire.operators.indexing import rank_within, with_global_index
 from quire.operators.pairs import nearest_distance
 from quire.operators.scoring import article_score, tag_keywords
 from quire.operators.stats import keep_above_quantile
+from quire.session import cut_lineage
 
 # The routine-item pattern (lottery results, market closes,
 # weekly round-ups and similar standing items), kept verbatim.
@@ -47,7 +48,10 @@ def tag_cluster_score(df: DataFrame, keywords: Iterable[str], eps: float | None
     order = order or [F.col("dt"), F.col("pid")]
     a = exclude_routine(df, exclude_pattern) if exclude_pattern else df
     a = tag_keywords(a, keywords)
-    a = with_global_index(a, order, "position")
+    # one reliable checkpoint: the neighbour job, the edge job, the component
+    # labels and the scores below all read this table instead of re-running
+    # the scan, the keyword regexes and the index
+    a = cut_lineage(with_global_index(a, order, "position"))
     if eps is None:
         eps = select_eps(nearest_distance(a, "position", "embeddings"), band[0], band[1])
     a = dbscan(a, "position", "embeddings", eps, name="cluster")

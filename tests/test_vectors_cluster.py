@@ -115,10 +115,10 @@ def test_eps_selection_cases(spark):
         select_eps(nn([0.95, 0.9, 0.3]), 0.8, 0.5)
 
 
-@pytest.mark.parametrize("small", [0, 1_000_000])
-def test_global_index_and_rank_within(spark, small):
+@pytest.mark.parametrize("parts", [1, 8])
+def test_global_index_and_rank_within(spark, parts):
     df = spark.range(0, 500).select((F.col("id") * 7 % 500).alias("k"), (F.col("id") % 3).alias("g"))
-    got = with_global_index(df, [F.col("k")], "i", small_rows=small).collect()
+    got = with_global_index(df, [F.col("k")], "i", num_partitions=parts).collect()
     assert sorted((r.k, r.i) for r in got) == [(k, k) for k in range(500)]
     rw = rank_within(df, "g", [F.col("k")], "r", "size").collect()
     for g in range(3):
