@@ -35,6 +35,16 @@ def with_global_index(df: DataFrame, order: list[Column | str], name: str = "idx
     return tagged.withColumn(name, offset_col + local).drop("_qpart", "_qmono")
 
 
+def with_keyed_index(df: DataFrame, key: list[str], order: list[str], name: str = "idx") -> DataFrame:
+    """Global index (ascending over the ``order`` columns) computed on the
+    slim key + order projection and joined back on the unique ``key``: the
+    range sampling, the shuffle and the checkpoint then carry only those
+    columns, not wide rows such as article text."""
+    slim_cols = list(dict.fromkeys(list(key) + list(order)))
+    slim = with_global_index(df.select(*slim_cols), [F.col(c) for c in order], name).select(*key, name)
+    return df.join(slim, list(key), "inner")
+
+
 def rank_within(df: DataFrame, key: str, order: list[Column | str], name: str = "in_rank",
                 size_name: str | None = "size") -> DataFrame:
     """1-based row number inside each ``key`` group following ``order``.

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quire.functions.keywords import in_keywords, keyword_tag
-from quire.operators.indexing import with_global_index
+from quire.operators.indexing import with_keyed_index
 
 # Weights of the article score.
 ARTICLE_WEIGHTS = {
@@ -27,10 +27,10 @@ def tag_keywords(df: DataFrame, keywords: Iterable[str]) -> DataFrame:
               .withColumn("keywords_tag", keyword_tag(F.col("text"), kws)))
 
 
-def position_score(df: DataFrame, order: list[Column | str] | None = None) -> DataFrame:
+def position_score(df: DataFrame, order: list[str] | None = None) -> DataFrame:
     """``log1p`` of the 0-based row position in an explicit order."""
-    order = order or [F.col("dt"), F.col("pid")]
-    return (with_global_index(df, order, "position")
+    order = order or ["dt", "pid"]
+    return (with_keyed_index(df, ["pid"], order, "position")
             .withColumn("position_score", F.log1p(F.col("position").cast("double"))))
 
 
@@ -46,7 +46,7 @@ def article_score(df: DataFrame, weights: Mapping[str, float] | None = None) ->
 
 def score_articles(df: DataFrame, keywords: Iterable[str],
                    weights: Mapping[str, float] | None = None,
-                   order: list[Column | str] | None = None) -> DataFrame:
+                   order: list[str] | None = None) -> DataFrame:
     """Keyword tagging, position score and the weighted article score."""
     return article_score(position_score(tag_keywords(df, keywords), order), weights)
 

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quire.operators.cluster import dbscan, select_eps
-from quire.operators.indexing import rank_within, with_global_index
+from quire.operators.indexing import rank_within, with_global_index, with_keyed_index
 from quire.operators.pairs import nearest_distance
 from quire.operators.scoring import article_score, tag_keywords
 from quire.operators.stats import keep_above_quantile
@@ -43,15 +43,15 @@ def flag_membership(df: DataFrame, ids: DataFrame, key: str = "pid", name: str =
 def tag_cluster_score(df: DataFrame, keywords: Iterable[str], eps: float | None = None,
                       band: tuple[float, float] = EPS_BAND, exclude_pattern: str | None = ROUTINE_PATTERN,
                       weights: Mapping[str, float] | None = None,
-                      order: list[Column | str] | None = None) -> tuple[DataFrame, float]:
+                      order: list[str] | None = None) -> tuple[DataFrame, float]:
     """Articles with in_keywords, keywords_tag, position, cluster, position_score, sort_cri."""
-    order = order or [F.col("dt"), F.col("pid")]
+    order = order or ["dt", "pid"]
     a = exclude_routine(df, exclude_pattern) if exclude_pattern else df
     a = tag_keywords(a, keywords)
     # one reliable checkpoint: the neighbour job, the edge job, the component
     # labels and the scores below all read this table instead of re-running
     # the scan, the keyword regexes and the index
-    a = cut_lineage(with_global_index(a, order, "position"))
+    a = cut_lineage(with_keyed_index(a, ["pid"], order, "position"))
     if eps is None:
         eps = select_eps(nearest_distance(a, "position", "embeddings"), band[0], band[1])
     a = dbscan(a, "position", "embeddings", eps, name="cluster")
