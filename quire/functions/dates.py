@@ -79,30 +79,43 @@ def resolve_relative_dates(text: Column, story: Column) -> Column:
     return out
 
 
+def _let(value: Column, body) -> Column:
+    """Evaluate ``value`` once and hand it to ``body`` as a lambda variable.
+    Expressions holding lambdas get no common-subexpression elimination, so
+    a value used several times inside them is bound once this way."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def _rebuild(text: Column, pattern: str, convert) -> Column:
     """Replace every match of ``pattern`` by ``convert(match, text_before)``.
 
     Spark has no replace-with-function; the text is split on the pattern and
-    interleaved with the converted matches, all inside the JVM."""
-    parts = F.split(text, pattern, -1)
-    hits = F.regexp_extract_all(text, F.lit(pattern), 0)
-    return F.when(F.size(hits) == 0, text).otherwise(
-        F.aggregate(F.sequence(F.lit(1), F.size(hits)), F.element_at(parts, 1),
-                    lambda acc, i: F.concat(acc, convert(F.element_at(hits, i), F.element_at(parts, i)),
-                                            F.element_at(parts, i + 1))))
+    the pieces are zipped once into (before, hit, after) elements, so the
+    per-match lambda reads only its own element."""
+    def body(t):
+        parts = F.split(t, pattern, -1)
+        hits = F.regexp_extract_all(t, F.lit(pattern), 0)
+        n = F.size(hits)
+        zipped = F.arrays_zip(F.slice(parts, 1, n).alias("b"), hits.alias("h"), F.slice(parts, 2, n).alias("a"))
+        joined = F.array_join(F.transform(zipped, lambda x: F.concat(convert(x["h"], x["b"]), x["a"])), "")
+        return F.when(n == 0, t).otherwise(F.concat(F.element_at(parts, 1), joined))
+    return _let(text, body)
 
 
 def resolve_day_mentions(text: Column, story: Column) -> Column:
     """``11月15日`` -> ``11月15日（YYYY年11月15日）`` with the story year; a lone
     ``2日`` (not right after 月) -> ``2日（date）`` shifted from the story day;
-    the original words stay (I4)."""
+    the original words stay, and dates already written in full are left alone (I4)."""
     md = r"(?U)(\d{1,2})月(\d{1,2})日"
 
-    def conv_md(m, _before):
+    def conv_md(m, before):
         mon = F.lpad(F.regexp_extract(m, md, 1), 2, "0")
         day = F.lpad(F.regexp_extract(m, md, 2), 2, "0")
-        return F.concat(m, F.lit("（"), F.date_format(story, "yyyy"), F.lit("年"), mon, F.lit("月"),
-                        day, F.lit("日）"))
+        # part of a full date already (…年10月13日) or of a longer number: unchanged
+        inside = before.endswith("年") | F.coalesce(before.rlike(r"(?U)\d$"), F.lit(False))
+        return F.when(inside, m).otherwise(
+            F.concat(m, F.lit("（"), F.date_format(story, "yyyy"), F.lit("年"), mon, F.lit("月"),
+                     day, F.lit("日）")))
 
     def conv_day(m, before):
         d = F.regexp_extract(m, DAY_PATTERN, 1).cast("int")

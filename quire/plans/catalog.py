@@ -248,6 +248,20 @@ def q_relative_date(spark: SparkSession, sf: str) -> DataFrame:
     return o.select("pid", resolve_relative_dates(F.col("content"), F.col("story")).alias("resolved"))
 
 
+def q_day_mentions(spark: SparkSession, sf: str) -> DataFrame:
+    """Relative words, month-day and bare-day mentions resolved against the
+    story date (I3, I4, the date part of K14)."""
+    prepare(spark)
+    from quire.functions.dates import resolve_day_mentions, resolve_relative_dates, story_date
+    o = _orders_story(spark, sf).join(
+        table(spark, sf, "orders").select(F.col("o_orderkey").cast("string").alias("pid"), "o_orderdate"), "pid")
+    text = F.concat(F.col("content"), F.lit("，"), F.month("o_orderdate").cast("string"), F.lit("月"),
+                    F.dayofmonth("o_orderdate").cast("string"), F.lit("日開會，另於3日表決"))
+    o = o.withColumn("story", story_date(F.col("dt"), F.col("content"), "v2")).withColumn("t", text)
+    o = o.withColumn("rel", resolve_relative_dates(F.col("t"), F.col("story")))
+    return o.select("pid", resolve_day_mentions(F.col("rel"), F.col("story")).alias("resolved"))
+
+
 def q_html_text(spark: SparkSession, sf: str) -> DataFrame:
     prepare(spark)
     from quire.functions.text import clean_article
@@ -411,6 +425,7 @@ QUERIES = {
     "q_filter_spec": q_filter_spec,
     "q_story_date": q_story_date,
     "q_relative_date": q_relative_date,
+    "q_day_mentions": q_day_mentions,
     "q_html_text": q_html_text,
     "q_list_items": q_list_items,
     "q_url_ids": q_url_ids,
