@@ -9,12 +9,12 @@ smallest position id of the component.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quire.operators.components import connected_components
-from quire.operators.indexing import with_global_index
-from quire.operators.pairs import nearest_distance, range_edges
+from quire.operators.indexing import rank_within, with_global_index
+from quire.operators.pairs import nearest_distance, range_edges, range_star_edges
 
 
 def _number_roots(node_root: DataFrame, name: str) -> DataFrame:
@@ -35,6 +35,10 @@ def dbscan(df: DataFrame, id_col: str, vec_col: str, eps: float, min_samples: in
            edges: DataFrame | None = None, name: str = "cluster") -> DataFrame:
     """DBSCAN labels in ``name`` (-1 = noise). ``id_col`` is the row position
     (a unique long); all rows are returned, with or without noise."""
+    if min_samples <= 2 and edges is None:
+        # only connectivity matters: tiles emit local stars, not every edge
+        star = range_star_edges(df, id_col, vec_col, eps)
+        return label_components(df, id_col, connected_components(star), name)
     e = edges if edges is not None else range_edges(df, id_col, vec_col, eps)
     e = e.filter(F.col("dist") <= eps).select("a", "b")
     if min_samples <= 2:
@@ -78,9 +82,10 @@ def dbscan_two_stage(df: DataFrame, id_col: str, vec_col: str, eps: float, eps2:
     comp = connected_components(e2)
     roots = (comp.join(lab.select(F.col("a").alias("node"), "ca"), "node")
                  .select("ca", "root").distinct())
-    # windows over the root table, partitioned by stage-1 cluster
-    numbered = roots.withColumn(
-        "cluster2", (F.dense_rank().over(Window.partitionBy("ca").orderBy("root")) - 1).cast("int"))
+    # number the (distinct) roots inside each stage-1 cluster; rank_within
+    # spreads one very large stage-1 cluster over several tasks
+    numbered = (rank_within(roots, "ca", [F.col("root")], "_r", None)
+                .withColumn("cluster2", (F.col("_r") - 1).cast("int")))
     labels = comp.join(numbered.select("root", "cluster2"), "root").select(
         F.col("node").alias(id_col), "cluster2")
     return (s1.join(labels, id_col, "left")

@@ -28,7 +28,12 @@ def _large_star(e: DataFrame) -> DataFrame:
     both = e.select("u", "v").unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
     m = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
     out = both.filter(F.col("v") > F.col("u")).join(m, "u").select(F.col("v").alias("x"), F.col("m").alias("y"))
-    return _canon(out, "x", "y")
+    # deduplicate under a hash partitioning on the larger endpoint: the
+    # small-star step groups and joins on exactly that column, so it reuses
+    # this partitioning instead of shuffling twice more
+    canon = (out.filter(F.col("x") != F.col("y"))
+                .select(F.least("x", "y").alias("u"), F.greatest("x", "y").alias("v")))
+    return canon.repartition("v").dropDuplicates(["u", "v"])
 
 
 def _small_star(e: DataFrame) -> DataFrame:
@@ -59,7 +64,9 @@ def connected_components(edges: DataFrame, src: str = "a", dst: str = "b",
     while not _is_star_forest(e):
         if rounds >= max_rounds:
             raise RuntimeError("connected components did not converge")
-        e = cut_lineage(_small_star(_large_star(e)))
+        # materialise between the steps: small-star reads its input in
+        # three branches, which would otherwise each recompute large-star
+        e = cut_lineage(_small_star(cut_lineage(_large_star(e))))
         rounds += 1
     roots = e.select(F.col("u").alias("node"), F.col("u").alias("root")).distinct()
     leaves = e.select(F.col("v").alias("node"), F.col("u").alias("root"))

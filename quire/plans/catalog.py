@@ -309,8 +309,8 @@ def q_day_scan(spark: SparkSession, sf: str) -> DataFrame:
     from quire.sources.scans import day_scan, hit_count
     e = _events(spark, sf)
     page = day_scan(e, "ts", SCAN_DAY, [F.col("ts"), F.col("event_id")])
-    total = hit_count(day_scan(e, "ts", SCAN_DAY, [F.col("event_id")], limit=None))
-    return page.select("event_id", "ts", "user_id").crossJoin(F.broadcast(total))
+    total = hit_count(day_scan(e, "ts", SCAN_DAY, [F.col("event_id")], limit=None)).first()[0]
+    return page.select("event_id", "ts", "user_id", F.lit(total).cast("long").alias("total"))
 
 
 def q_date_range(spark: SparkSession, sf: str) -> DataFrame:
