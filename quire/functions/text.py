@@ -118,7 +118,7 @@ def pos_filter(words: Column, tags: Column) -> Column:
 
 
 def entity_words(entities: Column) -> Column:
-    """Distinct kept entity texts longer than one character, sorted, space-joined."""
+    """Distinct kept entity texts longer than one character, sorted, space-joined."""
     kept = F.filter(entities, lambda e: e["type"].isin(ENTITY_KEEP) & (F.length(e["text"]) > 1))
     return F.array_join(F.array_sort(F.array_distinct(F.transform(kept, lambda e: e["text"]))), " ")
 

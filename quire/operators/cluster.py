@@ -4,7 +4,8 @@ With ``min_samples = 2`` a point with one neighbour within eps is already a
 core point, so DBSCAN labels are exactly the connected components of the
 graph ``dist <= eps`` that have two or more points; isolated points are noise
 (-1). Clusters are numbered in the order of their first row, i.e. by the
-smallest position id of the component.
+smallest position id of the component. The result is one labelled
+DataFrame, so no union of per-cluster fragments is needed (G2).
 """
 
 from __future__ import annotations
@@ -68,7 +69,7 @@ def dbscan(df: DataFrame, id_col: str, vec_col: str, eps: float, min_samples: in
 
 def dbscan_two_stage(df: DataFrame, id_col: str, vec_col: str, eps: float, eps2: float,
                      edges: DataFrame | None = None) -> DataFrame:
-    """Stage-1 labels in ``cluster``; inside every stage-1 cluster the points
+    """Two-stage clustering (J3). Stage-1 labels in ``cluster``; inside every stage-1 cluster the points
     are clustered again with ``eps2`` into ``cluster2`` (numbered from 0 per
     stage-1 cluster in row order; -1 = stage-2 noise; null for stage-1 noise)."""
     e = edges if edges is not None else range_edges(df, id_col, vec_col, max(eps, eps2))

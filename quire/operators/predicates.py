@@ -31,7 +31,7 @@ def _field_tokens(field: str, tok_cols: dict | None) -> Column:
 
 
 def match(field: str, text: str, tok_cols: dict | None = None) -> Column:
-    """Any analysed token of ``text`` occurs in the field (OR semantics)."""
+    """Any analysed token of ``text`` occurs in the field (OR semantics)."""
     q = py_tokens(text)
     if not q:
         return F.lit(False)
@@ -39,7 +39,7 @@ def match(field: str, text: str, tok_cols: dict | None = None) -> Column:
 
 
 def match_phrase(field: str, text: str, tok_cols: dict | None = None) -> Column:
-    """The analysed tokens of ``text`` occur consecutively in the field.
+    """The analysed tokens of ``text`` occur consecutively in the field.
     Tokens never contain spaces, so a space-delimited join is exact."""
     q = py_tokens(text)
     if not q:
@@ -49,6 +49,7 @@ def match_phrase(field: str, text: str, tok_cols: dict | None = None) -> Column:
 
 
 def range_(field: str, bounds: dict) -> Column:
+    """``{gte, gt, lte, lt}`` bounds on any field, AND-ed."""
     parts = []
     for op, v in bounds.items():
         if op not in RANGE_OPS:

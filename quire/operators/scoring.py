@@ -21,14 +21,15 @@ ARTICLE_WEIGHTS = {
 
 
 def tag_keywords(df: DataFrame, keywords: Iterable[str]) -> DataFrame:
-    """Adds ``in_keywords`` (2 x headline matches + text matches) and ``keywords_tag``."""
+    """Adds ``in_keywords`` (2 x headline matches + text matches) and ``keywords_tag``.
+    Row rules are native expressions, never Python row functions (M3)."""
     kws = list(keywords)
     return (df.withColumn("in_keywords", in_keywords(F.col("h1"), F.col("text"), kws))
               .withColumn("keywords_tag", keyword_tag(F.col("text"), kws)))
 
 
 def position_score(df: DataFrame, order: list[str] | None = None) -> DataFrame:
-    """``log1p`` of the 0-based row position in an explicit order."""
+    """``log1p`` of the 0-based row position in an explicit order."""
     order = order or ["dt", "pid"]
     return (with_keyed_index(df, ["pid"], order, "position")
             .withColumn("position_score", F.log1p(F.col("position").cast("double"))))

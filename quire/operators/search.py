@@ -115,7 +115,7 @@ def with_tokens(df: DataFrame, fields) -> DataFrame:
 
 def top_k(df: DataFrame, score: str, id_col: str, k: int = RECALL_SIZE,
           keep: Column | None = None) -> DataFrame:
-    """Highest scores first, ties by id; planned as TakeOrderedAndProject.
+    """Highest scores first, ties by id (F1, F3, F5); planned as TakeOrderedAndProject.
 
     ``keep`` (a row condition) is applied *after* the limit by ordering kept
     rows first: this is exact, and it stops the optimizer from pushing a
@@ -154,7 +154,7 @@ def term_search(df: DataFrame, id_col: str, field_name: str, value, k: int = REC
     return top_k(hits, "score", id_col, k)
 
 
-# ---- vectors ----------------------------------------------------------------
+# ---- vectors (I20: no built-in vector functions, so array HOFs) ---------------
 
 def dot(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda acc, x: acc + x)

@@ -63,6 +63,7 @@ def rank_groups(scored: DataFrame, quantile: float = GROUP_QUANTILE) -> DataFram
     """Cluster totals (D1), strict quantile cut (B12, D2) and order (E8, F2):
     (cluster, total, top, group_rank). One cluster alone equals its own
     quantile and is therefore dropped, as in the original rule."""
+    # clustered rows only (B10); noise rows are the singles below
     groups = (scored.filter(F.col("cluster") > -1).groupBy("cluster")
                     .agg(F.sum("sort_cri").alias("total"), F.max("sort_cri").alias("top")))
     kept = keep_above_quantile(groups, "total", quantile)

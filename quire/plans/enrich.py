@@ -1,6 +1,6 @@
 """Text enrichment re-aimed as table jobs.
 
-Model calls are an injected ``completer``: a function from a pandas batch
+Model calls are an injected ``completer`` (M1): a function from a pandas batch
 (columns key, task, prompt) to the same batch plus ``response``. It runs in
 ``mapInPandas`` over the prompt table, so calls are spread over tasks and
 batched by Arrow; a failing batch is retried, and rows that still fail keep

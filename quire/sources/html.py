@@ -1,5 +1,5 @@
 """Page-table extraction (A7 list items, A8 headline ids). JVM regex only:
-one row per page in, one row per item out (``posexplode``)."""
+one row per page in, one row per item out (``posexplode``, M4)."""
 
 from __future__ import annotations
 

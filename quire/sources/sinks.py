@@ -80,6 +80,11 @@ def column_mapped_write(target: DataFrame, source: DataFrame, to_cols: list[str]
     return out.drop(*[f"_src{i}" for i in range(len(to_cols))])
 
 
+def publish_columns(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Fixed column subset before a write, e.g. without the embeddings."""
+    return df.select(*[c for c in columns if c in df.columns])
+
+
 def cell(df: DataFrame, row_num: int, column: str) -> DataFrame:
     """One cell as a one-row table."""
     return df.filter(F.col("row_num") == row_num).select(F.col(column).alias("value"))
@@ -87,7 +92,8 @@ def cell(df: DataFrame, row_num: int, column: str) -> DataFrame:
 
 def update_cell(df: DataFrame, key_col: str, key, column: str,
                 value: Column | Callable[[Column], Column]) -> DataFrame:
-    """Write a value, or a function of the current value, into one keyed cell."""
+    """Write a value, or a ``Column -> Column`` function of the current
+    value (M2), into one keyed cell (A16)."""
     new = value(F.col(column)) if callable(value) else value
     return df.withColumn(column, F.when(F.col(key_col) == F.lit(key), new).otherwise(F.col(column)))
 
