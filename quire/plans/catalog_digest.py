@@ -24,12 +24,14 @@ def q_extractive(spark: SparkSession, sf: str) -> DataFrame:
 
 def _group_bodies(picks: DataFrame) -> DataFrame:
     """Per group: headlines in rank order (D9) and the body of the prompt."""
-    from quire.plans.enrich import ordered_concat
-    titles = ordered_concat(picks, ["cluster"], ["in_rank"], F.col("h1"), " | ", "titles")
-    body = ordered_concat(picks, ["cluster"], ["in_rank"],
-                          F.concat(F.col("h1"), F.lit("\n"), F.col("article")), "\n\n", "body")
-    rank = picks.groupBy("cluster").agg(F.min("group_rank").alias("group_rank"))
-    return titles.join(body, "cluster").join(rank, "cluster")
+    # one aggregation (one pass over the picks) for all three outputs
+    items = F.sort_array(F.collect_list(F.struct("in_rank", "h1", "article")))
+    g = picks.groupBy("cluster").agg(F.min("group_rank").alias("group_rank"), items.alias("_items"))
+    return g.select(
+        "cluster", "group_rank",
+        F.array_join(F.transform("_items", lambda x: x["h1"]), " | ").alias("titles"),
+        F.array_join(F.transform("_items", lambda x: F.concat(x["h1"], F.lit("\n"), x["article"])),
+                     "\n\n").alias("body"))
 
 
 def _versions(df: DataFrame, key: str) -> DataFrame:
