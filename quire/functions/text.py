@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 EDIT_MARKER = "(*#*)"
 BYLINE_PATTERN = r"(?U)[（(][\w／\/:： ]*[）)]\d{0,8}$"
 
+# Markup removed before entities are decoded.
+MARKUP_PATTERN = r"(?is)<script\b[^>]*>.*?</script>|<style\b[^>]*>.*?</style>|<!--.*?-->|<[^>]*>"
+
 # Named entities decoded after tag stripping (&amp; last).
 ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"),
             ("&nbsp;", " "), ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&")]
@@ -43,10 +46,9 @@ ENTITY_KEEP = ["PERSON", "NORP", "FAC", "ORG", "GPE", "LOC", "PRODUCT", "EVENT",
 def strip_tags(html: Column) -> Column:
     """Visible text of an HTML fragment: script/style blocks and comments
     dropped, tags removed, the common named entities decoded."""
-    t = F.regexp_replace(html, r"(?is)<script\b[^>]*>.*?</script>", "")
-    t = F.regexp_replace(t, r"(?is)<style\b[^>]*>.*?</style>", "")
-    t = F.regexp_replace(t, r"(?s)<!--.*?-->", "")
-    t = F.regexp_replace(t, r"<[^>]*>", "")
+    # one pass: leftmost-first alternation removes a whole script/style
+    # block or comment where it starts, and any other tag
+    t = F.regexp_replace(html, MARKUP_PATTERN, "")
     for ent, ch in ENTITIES:
         t = F.replace(t, F.lit(ent), F.lit(ch))
     return t
