@@ -33,15 +33,34 @@ def choose_blocks(spark, n: int, block_rows: int = 4096) -> int:
     return max(1, min(max(by_size, by_cores), max(n, 1)))
 
 
-def _replicate(df: DataFrame, id_col: str, vec_col: str, blocks: int) -> DataFrame:
-    base = df.select(F.col(id_col).cast("long").alias("id"),
-                     F.col(vec_col).cast("array<double>").alias("v"))
-    base = base.filter(F.col("v").isNotNull() & (F.size("v") > 0))
-    base = base.withColumn("blk", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int"))
-    rep = base.withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+GROUP = "_grp"
+
+
+def _replicate(df: DataFrame, id_col: str, vec_col: str, blocks: int,
+               group_col: str | None = None, block_rows: int = 4096) -> DataFrame:
+    """Rows -> (group, bi, bj, blk, id, v), one copy per block pair of the row's block.
+
+    With ``group_col`` rows are only paired inside their group (e.g. one
+    day of articles), and every group gets its own block count from its row
+    count (a grouped count joined on the group key), so a group holding a
+    large share of the rows is cut into proportionally more blocks."""
+    cols = [F.col(id_col).cast("long").alias("id"), F.col(vec_col).cast("array<double>").alias("v")]
+    if group_col:
+        cols.append(F.col(group_col).alias(GROUP))
+    base = df.select(*cols).filter(F.col("v").isNotNull() & (F.size("v") > 0))
+    if group_col:
+        per = base.groupBy(GROUP).agg(F.count(F.lit(1)).alias("_n")).select(
+            GROUP, F.greatest(F.lit(1), F.ceil(F.col("_n") / F.lit(block_rows))).cast("int").alias("_nb"))
+        base = base.join(per, GROUP)
+        nb = F.col("_nb")
+    else:
+        base = base.withColumn(GROUP, F.lit(0))
+        nb = F.lit(blocks)
+    base = base.withColumn("blk", F.pmod(F.xxhash64("id"), nb).cast("int"))
+    rep = base.withColumn("other", F.explode(F.sequence(F.lit(0), nb - 1)))
     return (rep.withColumn("bi", F.least("blk", "other"))
                .withColumn("bj", F.greatest("blk", "other"))
-               .drop("other"))
+               .drop("other", "_nb"))
 
 
 def _split(pdf: pd.DataFrame):
@@ -221,43 +240,48 @@ def _blocks_for(df: DataFrame, blocks: int | None, block_rows: int) -> int:
 
 
 def range_edges(df: DataFrame, id_col: str, vec_col: str, eps: float,
-                blocks: int | None = None, block_rows: int = 4096) -> DataFrame:
-    """Euclidean range self-join: (a, b, dist) with a < b and dist <= eps."""
-    b = _blocks_for(df, blocks, block_rows)
-    rep = _replicate(df, id_col, vec_col, b)
-    return rep.groupBy("bi", "bj").applyInPandas(_edges_fn(float(eps)), "a long, b long, dist double")
+                blocks: int | None = None, block_rows: int = 4096,
+                group_col: str | None = None) -> DataFrame:
+    """Euclidean range self-join: (a, b, dist) with a < b and dist <= eps
+    (within ``group_col`` when given)."""
+    b = 1 if group_col else _blocks_for(df, blocks, block_rows)
+    rep = _replicate(df, id_col, vec_col, b, group_col, block_rows)
+    return rep.groupBy(GROUP, "bi", "bj").applyInPandas(_edges_fn(float(eps)), "a long, b long, dist double")
 
 
 def range_star_edges(df: DataFrame, id_col: str, vec_col: str, eps: float,
-                     blocks: int | None = None, block_rows: int = 4096) -> DataFrame:
+                     blocks: int | None = None, block_rows: int = 4096,
+                     group_col: str | None = None) -> DataFrame:
     """(a, b) edges with the same connected components as the ``dist <= eps``
     graph, pre-reduced to stars inside each task (no distances)."""
-    b = _blocks_for(df, blocks, block_rows)
-    rep = _replicate(df, id_col, vec_col, b)
-    return rep.groupBy("bi", "bj").applyInPandas(_star_edges_fn(float(eps)), "a long, b long")
+    b = 1 if group_col else _blocks_for(df, blocks, block_rows)
+    rep = _replicate(df, id_col, vec_col, b, group_col, block_rows)
+    return rep.groupBy(GROUP, "bi", "bj").applyInPandas(_star_edges_fn(float(eps)), "a long, b long")
 
 
 def nearest_distance(df: DataFrame, id_col: str, vec_col: str,
-                     blocks: int | None = None, block_rows: int = 4096) -> DataFrame:
-    """Distance from each row to its closest other row: (id, nn_dist)."""
-    b = _blocks_for(df, blocks, block_rows)
-    rep = _replicate(df, id_col, vec_col, b)
-    part = rep.groupBy("bi", "bj").applyInPandas(_nn_fn(), "id long, nn_dist double")
+                     blocks: int | None = None, block_rows: int = 4096,
+                     group_col: str | None = None) -> DataFrame:
+    """Distance from each row to its closest other row (in its group): (id, nn_dist)."""
+    b = 1 if group_col else _blocks_for(df, blocks, block_rows)
+    rep = _replicate(df, id_col, vec_col, b, group_col, block_rows)
+    part = rep.groupBy(GROUP, "bi", "bj").applyInPandas(_nn_fn(), "id long, nn_dist double")
     return part.groupBy("id").agg(F.min("nn_dist").alias("nn_dist"))
 
 
 def cosine_topk(df: DataFrame, id_col: str, vec_col: str, k: int, threshold: float | None = None,
                 blocks: int | None = None, block_rows: int = 4096,
-                include_self: bool = False, clamp: float | None = None) -> DataFrame:
+                include_self: bool = False, clamp: float | None = None,
+                group_col: str | None = None) -> DataFrame:
     """For every row its k most cosine-similar other rows: (a, b, sim, rank).
 
     Each task keeps at most k candidates per row, so per row at most k * B
     candidates are shuffled before the final ``row_number() <= k`` (ties by id).
     """
     from pyspark.sql import Window
-    b = _blocks_for(df, blocks, block_rows)
-    rep = _replicate(df, id_col, vec_col, b)
-    cand = rep.groupBy("bi", "bj").applyInPandas(_topk_fn(int(k), threshold, include_self, clamp),
+    b = 1 if group_col else _blocks_for(df, blocks, block_rows)
+    rep = _replicate(df, id_col, vec_col, b, group_col, block_rows)
+    cand = rep.groupBy(GROUP, "bi", "bj").applyInPandas(_topk_fn(int(k), threshold, include_self, clamp),
                                                  "a long, b long, sim double")
     w = Window.partitionBy("a").orderBy(F.desc("sim"), F.asc("b"))
     return cand.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)

@@ -43,7 +43,8 @@ def flag_membership(df: DataFrame, ids: DataFrame, key: str = "pid", name: str =
 def tag_cluster_score(df: DataFrame, keywords: Iterable[str], eps: float | None = None,
                       band: tuple[float, float] = EPS_BAND, exclude_pattern: str | None = ROUTINE_PATTERN,
                       weights: Mapping[str, float] | None = None,
-                      order: list[str] | None = None) -> tuple[DataFrame, float]:
+                      order: list[str] | None = None,
+                      group_col: str | None = None) -> tuple[DataFrame, float]:
     """Articles with in_keywords, keywords_tag, position, cluster, position_score, sort_cri."""
     order = order or ["dt", "pid"]
     a = exclude_routine(df, exclude_pattern) if exclude_pattern else df
@@ -53,8 +54,8 @@ def tag_cluster_score(df: DataFrame, keywords: Iterable[str], eps: float | None
     # the scan, the keyword regexes and the index
     a = cut_lineage(with_keyed_index(a, ["pid"], order, "position"))
     if eps is None:
-        eps = select_eps(nearest_distance(a, "position", "embeddings"), band[0], band[1])
-    a = dbscan(a, "position", "embeddings", eps, name="cluster")
+        eps = select_eps(nearest_distance(a, "position", "embeddings", group_col=group_col), band[0], band[1])
+    a = dbscan(a, "position", "embeddings", eps, name="cluster", group_col=group_col)
     a = a.withColumn("position_score", F.log1p(F.col("position").cast("double")))
     return article_score(a, weights), eps
 

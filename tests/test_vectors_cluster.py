@@ -124,3 +124,23 @@ def test_global_index_and_rank_within(spark, parts):
     for g in range(3):
         ks = sorted(r.k for r in rw if r.g == g)
         assert sorted((r.k, r.r) for r in rw if r.g == g) == [(k, i + 1) for i, k in enumerate(ks)]
+
+
+def test_grouped_pairs_stay_inside_groups(spark):
+    rng = np.random.default_rng(5)
+    pts = rng.normal(size=(80, 3))
+    rows = [(i, [float(x) for x in p], "d1" if i < 40 else "d2") for i, p in enumerate(pts)]
+    df = spark.createDataFrame(rows, "id long, v array<double>, day string")
+    d = np.sqrt(((pts[:, None, :] - pts[None, :, :]) ** 2).sum(-1))
+    same = np.array([[(i < 40) == (j < 40) for j in range(80)] for i in range(80)])
+    want = {(i, j) for i in range(80) for j in range(i + 1, 80) if d[i, j] <= 1.2 and same[i, j]}
+    got = {(r.a, r.b) for r in range_edges(df, "id", "v", 1.2, group_col="day", block_rows=16).collect()}
+    assert got == want
+    lab = {r.id: r.cluster for r in dbscan(df, "id", "v", 1.0, group_col="day").collect()}
+    a = {r.id: r.cluster for r in dbscan(df.filter("day = 'd1'"), "id", "v", 1.0).collect()}
+    # labels of the first group agree with a run on that group alone
+    assert all((lab[i] == -1) == (a[i] == -1) for i in range(40))
+    for i in range(40):
+        for j in range(40):
+            if a[i] >= 0 and a[j] >= 0:
+                assert (a[i] == a[j]) == (lab[i] == lab[j])
