@@ -108,6 +108,15 @@ def q_dbscan_minpts(spark: SparkSession, sf: str) -> DataFrame:
         "vec_id", "cluster")
 
 
+def q_dbscan_grouped(spark: SparkSession, sf: str) -> DataFrame:
+    """DBSCAN inside each source: vectors are only neighbours within their group."""
+    prepare(spark)
+    from quire.operators.cluster import dbscan
+    src = table(spark, sf, "documents").select(F.col("doc_id").alias("vec_id"), "source")
+    emb = _emb(spark, sf).join(src, "vec_id", "inner")
+    return dbscan(emb, "vec_id", "embedding", EPS_WIDE, group_col="source").select("vec_id", "source", "cluster")
+
+
 def _scored_clusters(spark, sf):
     from quire.plans.digest import tag_cluster_score
     a = articles(spark, sf, with_embeddings=True)
@@ -413,6 +422,7 @@ QUERIES = {
     "q_dbscan_auto": q_dbscan_auto,
     "q_dbscan_two_stage": q_dbscan_two_stage,
     "q_dbscan_minpts": q_dbscan_minpts,
+    "q_dbscan_grouped": q_dbscan_grouped,
     "q_cluster_articles": q_cluster_articles,
     "q_cluster_rank": q_cluster_rank,
     "q_cluster_pick": q_cluster_pick,

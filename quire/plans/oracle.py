@@ -125,6 +125,17 @@ alllab AS (SELECT * FROM corelab UNION ALL SELECT * FROM border)
 SELECT x.vec_id, coalesce(a.cluster, -1) AS cluster FROM embeddings x LEFT JOIN alllab a ON x.vec_id = a.node""",
 })
 
+GROUPED_PAIRS = """pairs AS (
+  SELECT x.vec_id AS a, y.vec_id AS b,
+         list_distance(cast(x.embedding AS DOUBLE[]), cast(y.embedding AS DOUBLE[])) AS dist
+  FROM g x JOIN g y ON x.vec_id < y.vec_id AND x.source = y.source)"""
+
+ORACLE["q_dbscan_grouped"] = (
+    "WITH RECURSIVE g AS (SELECT e.vec_id, e.embedding, d.source FROM embeddings e "
+    "JOIN documents d ON e.vec_id = d.doc_id), " + GROUPED_PAIRS + ", " + _components_sql("dist <= 1.1")
+    + " SELECT x.vec_id, x.source, coalesce(l.cluster, -1) AS cluster FROM g x "
+      "LEFT JOIN comp c ON x.vec_id = c.node LEFT JOIN lab l ON c.root = l.root")
+
 # The digest chain on articles with embeddings.
 DIGEST_CTE = f"""{ARTICLES_CTE},
 art AS (SELECT a.*, e.embedding AS embeddings FROM articles a JOIN embeddings e ON a.doc_id = e.vec_id
