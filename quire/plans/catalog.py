@@ -186,6 +186,22 @@ def q_match(spark: SparkSession, sf: str) -> DataFrame:
     return _hits(hits).withColumn("total", F.lit(total).cast("long"))
 
 
+def q_index_search(spark: SparkSession, sf: str) -> DataFrame:
+    """The same BM25 match as q_match, answered from a token-ordered
+    postings table written to the shared checkpoint folder."""
+    prepare(spark)
+    import uuid
+    from quire.operators.index import build_postings, corpus_figures, index_search, read_postings, write_postings
+    from quire.session import checkpoint_dir
+    docs = table(spark, sf, "documents")
+    path = f"{checkpoint_dir(spark).rstrip('/')}/postings-{uuid.uuid4().hex}"
+    write_postings(build_postings(docs, "doc_id", "text"), path)
+    n, avgdl = corpus_figures(docs, "text")
+    hits, total = index_search(read_postings(spark, path), n, avgdl, MATCH_QUERY)
+    return hits.select(F.col("id").alias("doc_id"), _r("score").alias("score"),
+                       F.lit(total).cast("long").alias("total"))
+
+
 def q_term(spark: SparkSession, sf: str) -> DataFrame:
     prepare(spark)
     from quire.operators.search import term_search
@@ -428,6 +444,7 @@ QUERIES = {
     "q_cluster_pick": q_cluster_pick,
     "q_match": q_match,
     "q_term": q_term,
+    "q_index_search": q_index_search,
     "q_vector": q_vector,
     "q_vector_term": q_vector_term,
     "q_vector_filtered": q_vector_filtered,

@@ -222,6 +222,8 @@ sc AS (SELECT doc_id, ln(1 + (s.n - s.vc + 0.5) / (s.vc + 0.5)) + {COS} AS score
 SELECT doc_id, round(score, 6) AS score FROM sc ORDER BY score DESC, doc_id LIMIT 10""",
 })
 
+ORACLE["q_index_search"] = ORACLE["q_match"]
+
 _FILTER_SQL = f"""lang IN ('en', 'fr') AND n_chars >= 200 AND n_chars <= 5000
   AND (len(list_intersect({_mt}, ['elle'])) > 0 OR len(list_intersect({_mt}, ['the'])) > 0
        OR contains(' ' || array_to_string({_mt}, ' ') || ' ', ' of the '))"""

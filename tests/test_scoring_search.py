@@ -95,3 +95,18 @@ def test_related_fixture(spark):
     for mode, want in (("default", ["b", "c"]), ("reference", ["b", "c", "d"])):
         rows = related_articles(cur, earlier, done, threshold=0.5, mode=mode).filter(F.col("pid") == "a").collect()
         assert [r.related_url.split("/")[1] for r in sorted(rows, key=lambda r: r.rank)] == want
+
+
+def test_index_search_matches_scan_search(spark, tmp_path):
+    from quire.operators.index import build_postings, corpus_figures, index_search, read_postings, write_postings
+    docs = spark.createDataFrame([(1, "a b a"), (2, "b c"), (3, "c c c c"), (4, "A c b")], "id long, text string")
+    path = str(tmp_path / "postings")
+    write_postings(build_postings(docs, "id", "text"), path, partitions=2)
+    n, avgdl = corpus_figures(docs, "text")
+    p = read_postings(spark, path)
+    got, total = index_search(p, n, avgdl, "a c")
+    want, want_total = match_search(docs, "id", "text", "a c")
+    assert total == want_total == 4
+    assert [(r.id, round(r.score, 9)) for r in got.collect()] == [(r.id, round(r.score, 9)) for r in want.collect()]
+    plan = p.filter(F.col("token").isin(["a", "c"]))._jdf.queryExecution().executedPlan().toString()
+    assert "In(token" in plan
