@@ -117,13 +117,30 @@ def q_dbscan_grouped(spark: SparkSession, sf: str) -> DataFrame:
     return dbscan(emb, "vec_id", "embedding", EPS_WIDE, group_col="source").select("vec_id", "source", "cluster")
 
 
-def _scored_clusters(spark, sf):
+def _scored_clusters(spark, sf, eps=None):
     from quire.plans.digest import tag_cluster_score
     a = articles(spark, sf, with_embeddings=True)
-    scored, _ = tag_cluster_score(a, DEMO_KEYWORDS, band=BAND, exclude_pattern=DEMO_EXCLUDE)
+    scored, _ = tag_cluster_score(a, DEMO_KEYWORDS, eps=eps, band=BAND, exclude_pattern=DEMO_EXCLUDE)
     return scored
 
 
+def q_cluster_rank_fixed(spark: SparkSession, sf: str) -> DataFrame:
+    """Group ranking with a fixed eps (many groups on driver data)."""
+    prepare(spark)
+    from quire.plans.digest import rank_groups
+    g = rank_groups(_scored_clusters(spark, sf, EPS_WIDE))
+    return g.select("cluster", _r("total").alias("total"), _r("top").alias("top"), "group_rank")
+
+
+def q_cluster_pick_fixed(spark: SparkSession, sf: str) -> DataFrame:
+    prepare(spark)
+    from quire.plans.digest import pick_in_groups, rank_groups
+    from quire.session import cut_lineage
+    s = cut_lineage(_scored_clusters(spark, sf, EPS_WIDE))
+    p = pick_in_groups(s, rank_groups(s))
+    return p.select("cluster", "group_rank", "pid", "in_rank", "size")
+
+
 def q_cluster_articles(spark: SparkSession, sf: str) -> DataFrame:
     prepare(spark)
     s = _scored_clusters(spark, sf)
@@ -442,6 +459,8 @@ QUERIES = {
     "q_cluster_articles": q_cluster_articles,
     "q_cluster_rank": q_cluster_rank,
     "q_cluster_pick": q_cluster_pick,
+    "q_cluster_rank_fixed": q_cluster_rank_fixed,
+    "q_cluster_pick_fixed": q_cluster_pick_fixed,
     "q_match": q_match,
     "q_term": q_term,
     "q_index_search": q_index_search,

@@ -137,13 +137,14 @@ ORACLE["q_dbscan_grouped"] = (
       "LEFT JOIN comp c ON x.vec_id = c.node LEFT JOIN lab l ON c.root = l.root")
 
 # The digest chain on articles with embeddings.
-DIGEST_CTE = f"""{ARTICLES_CTE},
+def _digest_cte(eps_ctes: str, eps_expr: str) -> str:
+    return f"""{ARTICLES_CTE},
 art AS (SELECT a.*, e.embedding AS embeddings FROM articles a JOIN embeddings e ON a.doc_id = e.vec_id
         WHERE NOT regexp_matches(a.article, '^(Der|Le) ')),
 {KW_SQL.replace('FROM articles', 'FROM art')},
 posd AS (SELECT *, row_number() OVER (ORDER BY dt, pid) - 1 AS position FROM tagged),
-{_pairs('posd', 'position', 'embeddings')}, {NN_SQL}, {_eps_sql(1.2, 1.0)},
-{_components_sql('dist <= (SELECT eps FROM eps)')},
+{_pairs('posd', 'position', 'embeddings')}, {eps_ctes}
+{_components_sql('dist <= ' + eps_expr)},
 clus AS (SELECT p.*, coalesce(l.cluster, -1) AS cluster FROM posd p
          LEFT JOIN comp c ON p.position = c.node LEFT JOIN lab l ON c.root = l.root),
 scored AS (SELECT *, in_keywords * 0.2 + focus * 0.4 + extender * 0.15 + attachments * 0.15
@@ -153,6 +154,11 @@ groups AS (SELECT cluster, sum(sort_cri) AS total, max(sort_cri) AS top FROM sco
 kept AS (SELECT *, row_number() OVER (ORDER BY total DESC, top DESC, cluster) - 1 AS group_rank
          FROM groups WHERE total > (SELECT quantile_cont(total, 0.2) FROM groups))"""
 
+
+
+DIGEST_CTE = _digest_cte(f"{NN_SQL}, {_eps_sql(1.2, 1.0)},", "(SELECT eps FROM eps)")
+DIGEST_CTE_FIXED = _digest_cte("", "1.1")
+
 ORACLE.update({
     "q_cluster_articles": f"""WITH RECURSIVE {DIGEST_CTE}
 SELECT pid, position, cluster, in_keywords, round(sort_cri, 6) AS sort_cri FROM scored""",
@@ -264,3 +270,9 @@ ORACLE.update(ORACLE_DIGEST)
 from quire.plans.oracle_io import ORACLE_IO  # noqa: E402
 
 ORACLE.update(ORACLE_IO)
+
+
+ORACLE.update({
+    "q_cluster_rank_fixed": ORACLE["q_cluster_rank"].replace(DIGEST_CTE, DIGEST_CTE_FIXED),
+    "q_cluster_pick_fixed": ORACLE["q_cluster_pick"].replace(DIGEST_CTE, DIGEST_CTE_FIXED),
+})
