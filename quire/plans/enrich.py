@@ -3,7 +3,9 @@
 Model calls are an injected ``completer`` (M1): a function from a pandas batch
 (columns key, task, prompt) to the same batch plus ``response``. It runs in
 ``mapInPandas`` over the prompt table, so calls are spread over tasks and
-batched by Arrow; a failing batch is retried, and rows that still fail keep
+batched by Arrow (batches are capped by rows and by
+``spark.sql.execution.arrow.maxBytesPerBatch``, so long articles do not
+make huge batches); a failing batch is retried, and rows that still fail keep
 ``status``/``error`` instead of stopping the job. The built-in completers
 are deterministic so results can be checked.
 """
