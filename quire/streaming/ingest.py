@@ -1,13 +1,22 @@
 """Incremental settled ingest.
 
-Each run reads the new files of a landing directory with the file source,
-appends them to a history table, then selects every hit of each key that
-has a settled (older than ``now - minutes``) hit and is not yet in the done
-table, and appends those keys to the done table. Every write is keyed by
-the micro-batch id (``batch=<id>`` with dynamic partition overwrite), so a
-batch that is replayed after a failure replaces its own output instead of
-duplicating it. A watermark is not used: it would drop late rows, whereas
-settling only postpones fresh ones to a later run.
+Each run reads the new files of a landing directory with the file source.
+A key qualifies once it has a settled hit (older than ``now - minutes``)
+and is not in the done table; all hits of a qualifying key are selected
+and the key is appended to the done table.
+
+State is kept small: a key that is not done cannot have a settled hit in an
+earlier batch (it would have qualified then), so all earlier hits that
+still matter are the unsettled hits of keys that are not done. They are
+kept as a *pending* snapshot. A micro-batch only looks at its own rows plus
+the previous snapshot, never at the whole history; the done table is read
+for the anti join.
+
+Every write is keyed by the micro-batch id (``batch=<id>`` with dynamic
+partition overwrite), and snapshot ``N`` is a function of batch ``N`` and
+snapshot ``N-1`` only. A batch replayed after a failure therefore replaces
+its own output instead of duplicating it. A watermark is not used: it
+would drop late rows, whereas settling only postpones fresh ones.
 """
 
 from __future__ import annotations
@@ -15,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.sources.scans import SETTLE_MINUTES, settled, not_done
+from quire.sources.scans import SETTLE_MINUTES, not_done, settled
 from quire.sources.sinks import path_exists
 
 
@@ -24,21 +33,31 @@ def _write_batch(df: DataFrame, path: str, batch_id: int) -> None:
        .option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(path))
 
 
+def _batch_part(spark: SparkSession, path: str, batch_id: int, schema) -> DataFrame:
+    """Rows of one batch partition, or an empty frame with ``schema``."""
+    part = f"{path}/batch={batch_id}"
+    if batch_id >= 0 and path_exists(spark, part):
+        return spark.read.schema(schema).parquet(part)
+    return spark.createDataFrame([], schema)
+
+
 def run_settled_ingest(spark: SparkSession, landing: str, schema, state: str, key_expr,
                        ts_col: str, now, minutes: int = SETTLE_MINUTES) -> None:
     """One availableNow run over ``landing``; state lives under ``state``."""
-    history, done_path, out = f"{state}/history", f"{state}/done", f"{state}/selected"
+    done_path, pending_path, out = f"{state}/done", f"{state}/pending", f"{state}/selected"
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
-        _write_batch(batch.withColumn("pid", key_expr), history, batch_id)
-        hist = spark.read.parquet(history).drop("batch")
+        fresh = batch.withColumn("pid", key_expr)
+        candidates = fresh.unionByName(_batch_part(spark, pending_path, batch_id - 1, fresh.schema))
         # keys marked done by this very batch id (a replay) must not hide its own output
         done = (spark.read.parquet(done_path).filter(F.col("batch") != batch_id).select("pid")
                 if path_exists(spark, done_path) else spark.createDataFrame([], "pid string"))
-        qualifying = not_done(settled(hist, ts_col, now, minutes), done, "pid").select("pid").distinct()
-        picked = hist.join(qualifying, "pid", "left_semi")
+        open_hits = not_done(candidates, done, "pid")
+        qualifying = settled(open_hits, ts_col, now, minutes).select("pid").distinct()
+        picked = open_hits.join(qualifying, "pid", "left_semi")
         _write_batch(picked, out, batch_id)
         _write_batch(qualifying, done_path, batch_id)
+        _write_batch(open_hits.join(qualifying, "pid", "left_anti"), pending_path, batch_id)
 
     q = (spark.readStream.schema(schema).parquet(landing).writeStream
          .foreachBatch(on_batch).trigger(availableNow=True)
