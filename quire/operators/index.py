@@ -38,10 +38,12 @@ def corpus_figures(df: DataFrame, field: str) -> tuple[int, float]:
 
 
 def write_postings(postings: DataFrame, path: str, partitions: int | None = None) -> None:
-    """Token-ordered parquet: one token range per file, sorted inside."""
+    """Token-ordered parquet: one token range per file, sorted inside. The
+    range bounds are on (token, id), so the postings of one very common
+    token are split over several files instead of landing in one task."""
     spark = postings.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    (postings.repartitionByRange(n, "token").sortWithinPartitions("token", "id")
+    (postings.repartitionByRange(n, "token", "id").sortWithinPartitions("token", "id")
              .write.mode("overwrite").parquet(path))
 
 
