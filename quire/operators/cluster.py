@@ -32,9 +32,9 @@ def label_components(df: DataFrame, id_col: str, node_root: DataFrame,
               .withColumn(name, F.coalesce(F.col(name), F.lit(-1)).cast("int")))
 
 
-def dbscan(df: DataFrame, id_col: str, vec_col: str, eps: float, min_samples: int = 2,
+def dbscan(df: DataFrame, id_col: str, vec_col: str, eps: float | None, min_samples: int = 2,
            edges: DataFrame | None = None, name: str = "cluster",
-           group_col: str | None = None) -> DataFrame:
+           group_col: str | None = None, eps_col: str | None = None) -> DataFrame:
     """DBSCAN labels in ``name`` (-1 = noise). ``id_col`` is the row position
     (a unique long); all rows are returned, with or without noise. With
     ``group_col`` (e.g. the publication day) points are only neighbours
@@ -42,7 +42,7 @@ def dbscan(df: DataFrame, id_col: str, vec_col: str, eps: float, min_samples: in
     with the square of the table."""
     if min_samples <= 2 and edges is None:
         # only connectivity matters: tiles emit local stars, not every edge
-        star = range_star_edges(df, id_col, vec_col, eps, group_col=group_col)
+        star = range_star_edges(df, id_col, vec_col, eps, group_col=group_col, eps_col=eps_col)
         return label_components(df, id_col, connected_components(star), name)
     e = edges if edges is not None else range_edges(df, id_col, vec_col, eps, group_col=group_col)
     e = e.filter(F.col("dist") <= eps).select("a", "b")
@@ -154,5 +154,42 @@ def eps_drops(nn: DataFrame, high: float, low: float, dist_col: str = "nn_dist")
     return _eps_candidates(nn, high, low, dist_col)[0]
 
 
+def _step_values(low: float, max_steps: int = 500) -> list[float]:
+    """The lower bounds the step-up rule can reach, by repeated addition."""
+    vals, cur = [], low
+    for _ in range(max_steps):
+        vals.append(cur)
+        cur = cur + 0.01
+    return vals
+
+
+def select_eps_by_group(nn: DataFrame, group_col: str, high: float = 0.8, low: float = 0.5,
+                        dist_col: str = "nn_dist") -> DataFrame:
+    """(group, eps) with the eps rule applied to every group on its own,
+    as one job for all groups: the step-up bound is an expression over the
+    literal list of reachable bounds, the "next smaller distance" comes from
+    the skew-safe in-group rank, and the arg-max is a grouped ``max_by``.
+    A group with no candidate gets a null eps."""
+    from quire.session import cut_lineage
+    g, d = F.col(group_col), F.col("d")
+    nn = cut_lineage(nn.select(g.alias("g"), F.col(dist_col).alias("d")))
+    steps = F.array(*[F.lit(v) for v in _step_values(low)])
+    floors = nn.groupBy("g").agg(F.min("d").alias("dmin")).select(
+        "g", F.when((F.col("dmin") > low) & (F.col("dmin") < high),
+                    F.element_at(F.filter(steps, lambda s: s >= F.col("dmin")), 1))
+              .otherwise(F.lit(low)).alias("floor"))
+    nf = nn.join(floors, "g")
+    band = nf.filter((d > F.col("floor")) & (d < high)).select("g", "d").distinct()
+    below = nf.filter(d <= F.col("floor")).groupBy("g").agg(F.max("d").alias("d"))
+    vals = band.unionByName(below)
+    ranked = rank_within(vals, "g", [F.desc("d")], "r", None)
+    nxt = ranked.select("g", (F.col("r") - 1).alias("r"), F.col("d").alias("next_d"))
+    drops = (ranked.join(nxt, ["g", "r"]).join(floors, "g")
+                   .filter((d > F.col("floor")) & (d < high))
+                   .withColumn("drop", d - F.col("next_d")))
+    return drops.groupBy("g").agg(F.max_by("d", F.struct("drop", "d")).alias("eps")) \
+                .withColumnRenamed("g", group_col)
+
+
 def nn_then_eps(df: DataFrame, id_col: str, vec_col: str, high: float, low: float) -> float:
     return select_eps(nearest_distance(df, id_col, vec_col), high, low)

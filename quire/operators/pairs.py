@@ -37,7 +37,8 @@ GROUP = "_grp"
 
 
 def _replicate(df: DataFrame, id_col: str, vec_col: str, blocks: int,
-               group_col: str | None = None, block_rows: int = 4096) -> DataFrame:
+               group_col: str | None = None, block_rows: int = 4096,
+               eps_col: str | None = None) -> DataFrame:
     """Rows -> (group, bi, bj, blk, id, v), one copy per block pair of the row's block.
 
     With ``group_col`` rows are only paired inside their group (e.g. one
@@ -47,6 +48,8 @@ def _replicate(df: DataFrame, id_col: str, vec_col: str, blocks: int,
     cols = [F.col(id_col).cast("long").alias("id"), F.col(vec_col).cast("array<double>").alias("v")]
     if group_col:
         cols.append(F.col(group_col).alias(GROUP))
+    if eps_col:
+        cols.append(F.col(eps_col).cast("double").alias("_eps"))
     base = df.select(*cols).filter(F.col("v").isNotNull() & (F.size("v") > 0))
     if group_col:
         per = base.groupBy(GROUP).agg(F.count(F.lit(1)).alias("_n")).select(
@@ -78,8 +81,12 @@ def _exact(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.sqrt(((a - b) ** 2).sum(axis=1))
 
 
-def _edges_fn(eps: float):
+def _edges_fn(eps_fixed: float | None):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        # a fixed eps, or the group's own eps carried in the rows
+        eps = eps_fixed if eps_fixed is not None else pdf["_eps"].iloc[0]
+        if eps is None or not np.isfinite(eps):
+            eps = -1.0          # a group without an eps has no edges: all noise
         diag, lid, lv, rid, rv = _split(pdf)
         out_a, out_b, out_d = [], [], []
         if len(lid) and len(rid):
@@ -127,7 +134,7 @@ def _local_stars(a: np.ndarray, b: np.ndarray):
     return nodes[keep], nodes[lab[keep]]
 
 
-def _star_edges_fn(eps: float):
+def _star_edges_fn(eps: float | None):
     """Edges within eps, reduced inside the task to one edge from every node
     to the smallest node of its local component: same connectivity, far
     fewer edges, and the global star rounds start from stars."""
@@ -249,14 +256,18 @@ def range_edges(df: DataFrame, id_col: str, vec_col: str, eps: float,
     return rep.groupBy(GROUP, "bi", "bj").applyInPandas(_edges_fn(float(eps)), "a long, b long, dist double")
 
 
-def range_star_edges(df: DataFrame, id_col: str, vec_col: str, eps: float,
+def range_star_edges(df: DataFrame, id_col: str, vec_col: str, eps: float | None,
                      blocks: int | None = None, block_rows: int = 4096,
-                     group_col: str | None = None) -> DataFrame:
+                     group_col: str | None = None, eps_col: str | None = None) -> DataFrame:
     """(a, b) edges with the same connected components as the ``dist <= eps``
-    graph, pre-reduced to stars inside each task (no distances)."""
+    graph, pre-reduced to stars inside each task (no distances). With
+    ``eps_col`` (constant within each group) every group uses its own eps."""
+    if eps is None and not (eps_col and group_col):
+        raise ValueError("give eps, or eps_col together with group_col")
     b = 1 if group_col else _blocks_for(df, blocks, block_rows)
-    rep = _replicate(df, id_col, vec_col, b, group_col, block_rows)
-    return rep.groupBy(GROUP, "bi", "bj").applyInPandas(_star_edges_fn(float(eps)), "a long, b long")
+    rep = _replicate(df, id_col, vec_col, b, group_col, block_rows, eps_col if eps is None else None)
+    fixed = float(eps) if eps is not None else None
+    return rep.groupBy(GROUP, "bi", "bj").applyInPandas(_star_edges_fn(fixed), "a long, b long")
 
 
 def nearest_distance(df: DataFrame, id_col: str, vec_col: str,

@@ -124,6 +124,17 @@ def _scored_clusters(spark, sf, eps=None):
     return scored
 
 
+def q_cluster_rank_by_source(spark: SparkSession, sf: str) -> DataFrame:
+    """The ranking chain run per source (as per day in production): eps is
+    chosen inside every source and neighbours never cross sources."""
+    prepare(spark)
+    from quire.plans.digest import rank_groups, tag_cluster_score
+    a = articles(spark, sf, with_embeddings=True)
+    scored, _ = tag_cluster_score(a, DEMO_KEYWORDS, band=BAND, exclude_pattern=DEMO_EXCLUDE, group_col="category")
+    g = rank_groups(scored)
+    return g.select("cluster", _r("total").alias("total"), _r("top").alias("top"), "group_rank")
+
+
 def q_cluster_rank_fixed(spark: SparkSession, sf: str) -> DataFrame:
     """Group ranking with a fixed eps (many groups on driver data)."""
     prepare(spark)
@@ -460,6 +471,7 @@ QUERIES = {
     "q_cluster_rank": q_cluster_rank,
     "q_cluster_pick": q_cluster_pick,
     "q_cluster_rank_fixed": q_cluster_rank_fixed,
+    "q_cluster_rank_by_source": q_cluster_rank_by_source,
     "q_cluster_pick_fixed": q_cluster_pick_fixed,
     "q_match": q_match,
     "q_term": q_term,

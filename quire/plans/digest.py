@@ -9,7 +9,7 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quire.operators.cluster import dbscan, select_eps
+from quire.operators.cluster import dbscan, select_eps, select_eps_by_group
 from quire.operators.indexing import rank_within, with_global_index, with_keyed_index
 from quire.operators.pairs import nearest_distance
 from quire.operators.scoring import article_score, tag_keywords
@@ -53,6 +53,15 @@ def tag_cluster_score(df: DataFrame, keywords: Iterable[str], eps: float | None
     # labels and the scores below all read this table instead of re-running
     # the scan, the keyword regexes and the index
     a = cut_lineage(with_keyed_index(a, ["pid"], order, "position"))
+    if eps is None and group_col:
+        # eps chosen inside every group (e.g. every day), as a per-row column
+        per = select_eps_by_group(nearest_distance(a, "position", "embeddings", group_col=group_col)
+                                  .join(a.select(F.col("position").alias("id"), group_col), "id"),
+                                  group_col, band[0], band[1])
+        a = a.join(per, group_col, "left")
+        a = dbscan(a, "position", "embeddings", None, name="cluster", group_col=group_col, eps_col="eps")
+        return article_score(a.withColumn("position_score", F.log1p(F.col("position").cast("double"))),
+                             weights), float("nan")
     if eps is None:
         eps = select_eps(nearest_distance(a, "position", "embeddings", group_col=group_col), band[0], band[1])
     a = dbscan(a, "position", "embeddings", eps, name="cluster", group_col=group_col)

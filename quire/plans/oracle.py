@@ -276,3 +276,46 @@ ORACLE.update({
     "q_cluster_rank_fixed": ORACLE["q_cluster_rank"].replace(DIGEST_CTE, DIGEST_CTE_FIXED),
     "q_cluster_pick_fixed": ORACLE["q_cluster_pick"].replace(DIGEST_CTE, DIGEST_CTE_FIXED),
 })
+
+
+# The ranking chain per source: neighbours and eps inside each source.
+GROUPED_DIGEST = f"""{ARTICLES_CTE},
+art AS (SELECT a.*, e.embedding AS embeddings FROM articles a JOIN embeddings e ON a.doc_id = e.vec_id
+        WHERE NOT regexp_matches(a.article, '^(Der|Le) ')),
+{KW_SQL.replace('FROM articles', 'FROM art')},
+posd AS (SELECT *, row_number() OVER (ORDER BY dt, pid) - 1 AS position FROM tagged),
+pairs AS (
+  SELECT x.position AS a, y.position AS b, x.category,
+         list_distance(cast(x.embeddings AS DOUBLE[]), cast(y.embeddings AS DOUBLE[])) AS dist
+  FROM posd x JOIN posd y ON x.position < y.position AND x.category = y.category),
+nn AS (SELECT id, category, min(dist) AS nn_dist FROM (
+         SELECT a AS id, category, dist FROM pairs UNION ALL SELECT b AS id, category, dist FROM pairs) t
+       GROUP BY id, category),
+steps(k, f) AS (SELECT 0, cast(1.0 AS DOUBLE) UNION ALL SELECT k + 1, f + 0.01 FROM steps WHERE k < 499),
+dmin AS (SELECT category, min(nn_dist) AS m FROM nn GROUP BY category),
+fl AS (SELECT category, CASE WHEN m > 1.0 AND m < 1.2 THEN (SELECT min(f) FROM steps WHERE f >= m)
+                             ELSE cast(1.0 AS DOUBLE) END AS lo FROM dmin),
+vals AS (
+  SELECT DISTINCT n.category, n.nn_dist AS d FROM nn n JOIN fl ON n.category = fl.category
+  WHERE n.nn_dist > fl.lo AND n.nn_dist < 1.2
+  UNION ALL
+  SELECT n.category, max(n.nn_dist) FROM nn n JOIN fl ON n.category = fl.category
+  WHERE n.nn_dist <= fl.lo GROUP BY n.category),
+ordered AS (SELECT category, d, lead(d) OVER (PARTITION BY category ORDER BY d DESC) AS next_d FROM vals),
+drops AS (SELECT o.category, o.d, o.d - o.next_d AS drop FROM ordered o JOIN fl ON o.category = fl.category
+          WHERE o.d > fl.lo AND o.d < 1.2 AND o.next_d IS NOT NULL),
+eps AS (SELECT category, d AS eps FROM (
+          SELECT *, row_number() OVER (PARTITION BY category ORDER BY drop DESC, d DESC) AS rn FROM drops) t
+        WHERE rn = 1),
+{_components_sql('dist <= (SELECT eps FROM eps WHERE eps.category = pairs.category)')},
+clus AS (SELECT p.*, coalesce(l.cluster, -1) AS cluster FROM posd p
+         LEFT JOIN comp c ON p.position = c.node LEFT JOIN lab l ON c.root = l.root),
+scored AS (SELECT *, in_keywords * 0.2 + focus * 0.4 + extender * 0.15 + attachments * 0.15
+                     + ln(1 + position) * 0.05 AS sort_cri FROM clus),
+groups AS (SELECT cluster, sum(sort_cri) AS total, max(sort_cri) AS top FROM scored
+           WHERE cluster > -1 GROUP BY cluster),
+kept AS (SELECT *, row_number() OVER (ORDER BY total DESC, top DESC, cluster) - 1 AS group_rank
+         FROM groups WHERE total > (SELECT quantile_cont(total, 0.2) FROM groups))"""
+
+ORACLE["q_cluster_rank_by_source"] = (f"WITH RECURSIVE {GROUPED_DIGEST} "
+    "SELECT cluster, round(total, 6) AS total, round(top, 6) AS top, group_rank FROM kept")

@@ -144,3 +144,19 @@ def test_grouped_pairs_stay_inside_groups(spark):
         for j in range(40):
             if a[i] >= 0 and a[j] >= 0:
                 assert (a[i] == a[j]) == (lab[i] == lab[j])
+
+
+def test_eps_and_dbscan_per_group(spark):
+    from quire.operators.cluster import select_eps_by_group
+    dists = {"d1": [0.9, 0.78, 0.75, 0.58, 0.55, 0.45], "d2": [0.9, 0.78, 0.70, 0.60, 0.555], "d3": [0.95, 0.3]}
+    nn = spark.createDataFrame([(g, float(v)) for g, vs in dists.items() for v in vs], "day string, nn_dist double")
+    got = {r.day: r.eps for r in select_eps_by_group(nn, "day", 0.8, 0.5).collect()}
+    assert got["d1"] == 0.75 and got["d2"] == 0.70 and got.get("d3") is None
+    # per-group eps column drives the clustering of each group
+    pts = [(0, (0, 0), "a", 0.6), (1, (0.5, 0), "a", 0.6), (2, (1.0, 0), "a", 0.6),
+           (3, (0, 0), "b", 0.4), (4, (0.5, 0), "b", 0.4), (5, (0.8, 0), "b", 0.4)]
+    df = spark.createDataFrame([(i, [float(x) for x in p], g, e) for i, p, g, e in pts],
+                               "id long, v array<double>, day string, eps double")
+    lab = {r.id: r.cluster for r in dbscan(df, "id", "v", None, group_col="day", eps_col="eps").collect()}
+    assert lab[0] == lab[1] == lab[2] >= 0
+    assert lab[3] == -1 and lab[4] == lab[5] >= 0 and lab[4] != lab[0]
