@@ -28,6 +28,8 @@ def build_session(master: str | None = None, app: str = "quire",
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # delete reliable checkpoint files once their DataFrames are gone
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.driver.memory", os.environ.get("QUIRE_DRIVER_MEMORY", "16g"))
         .getOrCreate()
     )
