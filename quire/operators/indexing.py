@@ -20,6 +20,12 @@ from quire.session import cut_lineage
 def with_global_index(df: DataFrame, order: list[Column | str], name: str = "idx",
                       num_partitions: int | None = None) -> DataFrame:
     """Append a 0-based ``long`` index following ``order`` (which must be a total order)."""
+    return indexed(df, order, name, num_partitions)[0]
+
+
+def indexed(df: DataFrame, order: list[Column | str], name: str = "idx",
+            num_partitions: int | None = None) -> tuple[DataFrame, int]:
+    """``with_global_index`` plus the row count it already knows."""
     spark = df.sparkSession
     parts = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ranged = cut_lineage(df.repartitionByRange(parts, *order).sortWithinPartitions(*order))
@@ -32,7 +38,7 @@ def with_global_index(df: DataFrame, order: list[Column | str], name: str = "idx
     offset_col = F.element_at(F.array(*[F.lit(o).cast("long") for o in offsets]),
                               F.col("_qpart") + 1)
     local = F.col("_qmono") - F.shiftleft(F.col("_qpart").cast("long"), 33)
-    return tagged.withColumn(name, offset_col + local).drop("_qpart", "_qmono")
+    return tagged.withColumn(name, offset_col + local).drop("_qpart", "_qmono"), sum(sizes)
 
 
 def with_keyed_index(df: DataFrame, key: list[str], order: list[str], name: str = "idx") -> DataFrame:

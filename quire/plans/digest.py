@@ -4,16 +4,16 @@ the digest prompts (K2, K12)."""
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quire.operators.cluster import dbscan, select_eps, select_eps_by_group
-from quire.operators.indexing import rank_within, with_global_index, with_keyed_index
+from quire.operators.indexing import indexed, rank_within, with_keyed_index
 from quire.operators.pairs import nearest_distance
 from quire.operators.scoring import article_score, tag_keywords
-from quire.operators.stats import keep_above_quantile
 from quire.session import cut_lineage
 
 # The routine-item pattern (lottery results, market closes,
@@ -76,8 +76,20 @@ def rank_groups(scored: DataFrame, quantile: float = GROUP_QUANTILE) -> DataFram
     # clustered rows only (B10); noise rows are the singles below
     groups = (scored.filter(F.col("cluster") > -1).groupBy("cluster")
                     .agg(F.sum("sort_cri").alias("total"), F.max("sort_cri").alias("top")))
-    kept = keep_above_quantile(groups, "total", quantile)
-    return with_global_index(kept, [F.desc("total"), F.desc("top"), F.asc("cluster")], "group_rank")
+    # one index in the final order serves the quantile too: ascending
+    # position p is descending index n-1-p, and the groups above the
+    # threshold are a prefix of this order, so their index is their rank
+    ranked, n = indexed(groups, [F.desc("total"), F.desc("top"), F.asc("cluster")], "group_rank")
+    if n == 0:
+        return ranked
+    h = (n - 1) * quantile
+    lo = math.floor(h)
+    hi = min(lo + 1, n - 1)
+    got = dict(ranked.filter(F.col("group_rank").isin(n - 1 - lo, n - 1 - hi))
+                     .select("group_rank", "total").collect())
+    v_lo, v_hi = got[n - 1 - lo], got[n - 1 - hi]
+    threshold = v_lo + (h - lo) * (v_hi - v_lo)
+    return ranked.filter(F.col("total") > F.lit(threshold))
 
 
 def pick_in_groups(scored: DataFrame, groups: DataFrame) -> DataFrame:
