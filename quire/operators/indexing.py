@@ -26,9 +26,12 @@ def with_global_index(df: DataFrame, order: list[Column | str], name: str = "idx
 def indexed(df: DataFrame, order: list[Column | str], name: str = "idx",
             num_partitions: int | None = None) -> tuple[DataFrame, int]:
     """``with_global_index`` plus the row count it already knows."""
-    spark = df.sparkSession
-    parts = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = cut_lineage(df.repartitionByRange(parts, *order).sortWithinPartitions(*order))
+    # without an explicit count the range shuffle may be coalesced by AQE:
+    # it only merges adjacent ranges, so the global order is kept, and
+    # small inputs do not spread over hundreds of near-empty partitions
+    shuffled = (df.repartitionByRange(num_partitions, *order) if num_partitions
+                else df.repartitionByRange(*order))
+    ranged = cut_lineage(shuffled.sortWithinPartitions(*order))
     tagged = (ranged.withColumn("_qpart", F.spark_partition_id())
               .withColumn("_qmono", F.monotonically_increasing_id()))
     counts = dict(tagged.groupBy("_qpart").count().collect())
