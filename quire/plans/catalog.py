@@ -135,6 +135,33 @@ def q_cluster_rank_by_source(spark: SparkSession, sf: str) -> DataFrame:
     return g.select("cluster", _r("total").alias("total"), _r("top").alias("top"), "group_rank")
 
 
+def q_singles(spark: SparkSession, sf: str) -> DataFrame:
+    """Best unclustered articles up to the quota set by the group count."""
+    prepare(spark)
+    from quire.plans.digest import pick_singles, rank_groups
+    from quire.session import cut_lineage
+    s = cut_lineage(_scored_clusters(spark, sf, EPS_WIDE))
+    n_groups = rank_groups(s).count()
+    return pick_singles(s, n_groups).select("pid", _r("sort_cri").alias("sort_cri"))
+
+
+def q_photo_count(spark: SparkSession, sf: str) -> DataFrame:
+    """Photo entries per page built from its list items: capitalised items
+    are 'extender' entries, long titles carry two URLs (D11, D12)."""
+    prepare(spark)
+    from quire.functions.text import PHOTO_SEP, attachment_count, photo_url_count
+    from quire.sources.html import LIST_ITEM
+    p = table(spark, sf, "pages")
+    items = F.arrays_zip(F.regexp_extract_all("html", F.lit(LIST_ITEM), 1).alias("u"),
+                         F.regexp_extract_all("html", F.lit(LIST_ITEM), 2).alias("t"))
+    photos = F.transform(items, lambda x: F.struct(
+        F.when(x["t"].rlike(r"^\p{Lu}"), F.lit("extender")).otherwise(F.lit("photo")).alias("iType"),
+        F.when(F.length(x["t"]) > 5, F.concat(x["u"], F.lit(PHOTO_SEP), x["u"])).otherwise(x["u"]).alias("Photo")))
+    return p.select("page_id", photos.alias("photos")).select(
+        "page_id", photo_url_count(F.col("photos")).alias("extender"),
+        attachment_count(F.col("photos")).alias("attachments"))
+
+
 def q_cluster_rank_fixed(spark: SparkSession, sf: str) -> DataFrame:
     """Group ranking with a fixed eps (many groups on driver data)."""
     prepare(spark)
@@ -471,6 +498,8 @@ QUERIES = {
     "q_cluster_rank": q_cluster_rank,
     "q_cluster_pick": q_cluster_pick,
     "q_cluster_rank_fixed": q_cluster_rank_fixed,
+    "q_singles": q_singles,
+    "q_photo_count": q_photo_count,
     "q_cluster_rank_by_source": q_cluster_rank_by_source,
     "q_cluster_pick_fixed": q_cluster_pick_fixed,
     "q_match": q_match,

@@ -319,3 +319,11 @@ kept AS (SELECT *, row_number() OVER (ORDER BY total DESC, top DESC, cluster) -
 
 ORACLE["q_cluster_rank_by_source"] = (f"WITH RECURSIVE {GROUPED_DIGEST} "
     "SELECT cluster, round(total, 6) AS total, round(top, 6) AS top, group_rank FROM kept")
+
+
+ORACLE["q_singles"] = f"""WITH RECURSIVE {DIGEST_CTE_FIXED},
+ng AS (SELECT count(*) AS n FROM kept),
+sg AS (SELECT pid, sort_cri, row_number() OVER (ORDER BY sort_cri DESC, pid) - 1 AS srank
+       FROM scored WHERE cluster < 0)
+SELECT pid, round(sort_cri, 6) AS sort_cri FROM sg
+WHERE srank < (SELECT CASE WHEN n < 25 THEN 25 - n ELSE 5 END FROM ng)"""
