@@ -52,12 +52,18 @@ def run_settled_ingest(spark: SparkSession, landing: str, schema, state: str, ke
         # keys marked done by this very batch id (a replay) must not hide its own output
         done = (spark.read.parquet(done_path).filter(F.col("batch") != batch_id).select("pid")
                 if path_exists(spark, done_path) else spark.createDataFrame([], "pid string"))
-        open_hits = not_done(candidates, done, "pid")
-        qualifying = settled(open_hits, ts_col, now, minutes).select("pid").distinct()
-        picked = open_hits.join(qualifying, "pid", "left_semi")
-        _write_batch(picked, out, batch_id)
-        _write_batch(qualifying, done_path, batch_id)
-        _write_batch(open_hits.join(qualifying, "pid", "left_anti"), pending_path, batch_id)
+        # three writes read these two frames: keep them for the batch
+        # (lost blocks are recomputed from the batch's lineage)
+        open_hits = not_done(candidates, done, "pid").persist()
+        qualifying = settled(open_hits, ts_col, now, minutes).select("pid").distinct().persist()
+        try:
+            picked = open_hits.join(qualifying, "pid", "left_semi")
+            _write_batch(picked, out, batch_id)
+            _write_batch(qualifying, done_path, batch_id)
+            _write_batch(open_hits.join(qualifying, "pid", "left_anti"), pending_path, batch_id)
+        finally:
+            qualifying.unpersist()
+            open_hits.unpersist()
 
     q = (spark.readStream.schema(schema).parquet(landing).writeStream
          .foreachBatch(on_batch).trigger(availableNow=True)
