@@ -7,7 +7,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quire.operators.cluster import dbscan, select_eps, select_eps_by_group
@@ -111,5 +111,4 @@ def pick_singles(scored: DataFrame, n_groups: int) -> DataFrame:
     """Best noise rows up to the quota (top-k by score, ties by pid)."""
     m = singles_quota(n_groups)
     noise = scored.filter(F.col("cluster") < 0)
-    return (noise.orderBy(F.desc("sort_cri"), F.asc("pid")).limit(m)
-                 .withColumn("single_rank", F.lit(None).cast("int")))
+    return noise.orderBy(F.desc("sort_cri"), F.asc("pid")).limit(m)
