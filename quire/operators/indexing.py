@@ -55,18 +55,29 @@ def with_keyed_index(df: DataFrame, key: list[str], order: list[str], name: str
 
 
 def rank_within(df: DataFrame, key: str, order: list[Column | str], name: str = "in_rank",
-                size_name: str | None = "size") -> DataFrame:
+                size_name: str | None = "size", slim: list[str] | None = None,
+                unique: list[str] | None = None) -> DataFrame:
     """1-based row number inside each ``key`` group following ``order``.
 
     Equivalent to ``row_number() over (partition by key order by ...)`` but
     a hot key does not land in one task: the global index ranges over
     (key, order), so one large group is spread over many range partitions;
     the group's first index and size come from a partial aggregate.
+
+    With ``slim`` (the key, order and ``unique`` columns) the ranking runs
+    on that narrow projection and is joined back on the ``unique`` key, so
+    wide rows (article text) are neither range-shuffled nor checkpointed.
     """
-    idx = with_global_index(df, [F.col(key)] + list(order), "_qidx")
+    base = df.select(*slim) if slim else df
+    idx = with_global_index(base, [F.col(key)] + list(order), "_qidx")
     start = idx.groupBy(key).agg(F.min("_qidx").alias("_qstart"),
                                  F.count(F.lit(1)).alias(size_name or "_qsize"))
     out = (idx.join(start, key)
               .withColumn(name, F.col("_qidx") - F.col("_qstart") + 1)
               .drop("_qidx", "_qstart"))
-    return out if size_name else out.drop("_qsize")
+    if not size_name:
+        out = out.drop("_qsize")
+    if slim:
+        extra = [name] + ([size_name] if size_name else [])
+        out = df.join(out.select(*unique, *extra), unique, "inner")
+    return out

@@ -97,7 +97,8 @@ def pick_in_groups(scored: DataFrame, groups: DataFrame) -> DataFrame:
     otherwise floor(size / 2) (E2, E3). The in-group rank comes from
     ``rank_within`` so one very large cluster is still spread over tasks."""
     g = scored.join(groups.select("cluster", "group_rank"), "cluster", "inner")
-    g = rank_within(g, "cluster", [F.desc("sort_cri"), F.asc("pid")], "in_rank", "size")
+    g = rank_within(g, "cluster", [F.desc("sort_cri"), F.asc("pid")], "in_rank", "size",
+                    slim=["cluster", "sort_cri", "pid"], unique=["pid"])
     quota = F.when(F.col("size") < 4, F.col("size")).otherwise(F.floor(F.col("size") / 2))
     return g.filter(F.col("in_rank") <= quota)
 
