@@ -34,7 +34,8 @@ def label_components(df: DataFrame, id_col: str, node_root: DataFrame,
 
 def dbscan(df: DataFrame, id_col: str, vec_col: str, eps: float | None, min_samples: int = 2,
            edges: DataFrame | None = None, name: str = "cluster",
-           group_col: str | None = None, eps_col: str | None = None) -> DataFrame:
+           group_col: str | None = None, eps_col: str | None = None,
+           blocks: int | None = None) -> DataFrame:
     """DBSCAN labels in ``name`` (-1 = noise). ``id_col`` is the row position
     (a unique long); all rows are returned, with or without noise. With
     ``group_col`` (e.g. the publication day) points are only neighbours
@@ -42,9 +43,9 @@ def dbscan(df: DataFrame, id_col: str, vec_col: str, eps: float | None, min_samp
     with the square of the table."""
     if min_samples <= 2 and edges is None:
         # only connectivity matters: tiles emit local stars, not every edge
-        star = range_star_edges(df, id_col, vec_col, eps, group_col=group_col, eps_col=eps_col)
+        star = range_star_edges(df, id_col, vec_col, eps, blocks=blocks, group_col=group_col, eps_col=eps_col)
         return label_components(df, id_col, connected_components(star), name)
-    e = edges if edges is not None else range_edges(df, id_col, vec_col, eps, group_col=group_col)
+    e = edges if edges is not None else range_edges(df, id_col, vec_col, eps, blocks=blocks, group_col=group_col)
     e = e.filter(F.col("dist") <= eps).select("a", "b")
     if min_samples <= 2:
         return label_components(df, id_col, connected_components(e), name)

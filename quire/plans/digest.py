@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from quire.operators.cluster import dbscan, select_eps, select_eps_by_group
 from quire.operators.indexing import indexed, rank_within, with_keyed_index
-from quire.operators.pairs import nearest_distance
+from quire.operators.pairs import choose_blocks, nearest_distance
 from quire.operators.scoring import article_score, tag_keywords
 from quire.session import cut_lineage
 
@@ -62,9 +62,12 @@ def tag_cluster_score(df: DataFrame, keywords: Iterable[str], eps: float | None
         a = dbscan(a, "position", "embeddings", None, name="cluster", group_col=group_col, eps_col="eps")
         return article_score(a.withColumn("position_score", F.log1p(F.col("position").cast("double"))),
                              weights), float("nan")
+    # one count of the (checkpointed) table sets the block count of both pair jobs
+    blocks = choose_blocks(a.sparkSession, a.count())
     if eps is None:
-        eps = select_eps(nearest_distance(a, "position", "embeddings", group_col=group_col), band[0], band[1])
-    a = dbscan(a, "position", "embeddings", eps, name="cluster", group_col=group_col)
+        eps = select_eps(nearest_distance(a, "position", "embeddings", blocks=blocks, group_col=group_col),
+                         band[0], band[1])
+    a = dbscan(a, "position", "embeddings", eps, name="cluster", blocks=blocks, group_col=group_col)
     a = a.withColumn("position_score", F.log1p(F.col("position").cast("double")))
     return article_score(a, weights), eps
 
