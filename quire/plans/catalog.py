@@ -28,6 +28,18 @@ def q_keyword_score(spark: SparkSession, sf: str) -> DataFrame:
     return a.select("pid", "in_keywords", "keywords_tag")
 
 
+def q_keyword_hits(spark: SparkSession, sf: str) -> DataFrame:
+    """Join form of keyword matching for long keyword lists (C4, C11):
+    keywords are the first token of every benchmark text; hits per
+    (document, keyword) come from exploded tokens and an equi-join."""
+    prepare(spark)
+    from quire.functions.keywords import keyword_hits
+    from quire.functions.tokens import tokens
+    kw = table(spark, sf, "benchmark").select(F.element_at(tokens(F.col("text")), 1).alias("kw")) \
+        .filter(F.col("kw").isNotNull())
+    return keyword_hits(table(spark, sf, "documents"), "doc_id", "text", kw).select("doc_id", "keyword", "hits")
+
+
 def q_article_score(spark: SparkSession, sf: str) -> DataFrame:
     prepare(spark)
     s = score_articles(articles(spark, sf), DEMO_KEYWORDS)
@@ -484,6 +496,7 @@ def q_token_stats(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES = {
     "q_keyword_score": q_keyword_score,
+    "q_keyword_hits": q_keyword_hits,
     "q_article_score": q_article_score,
     "q_article_top": q_article_top,
     "q_nn_distance": q_nn_distance,

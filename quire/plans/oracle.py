@@ -327,3 +327,10 @@ sg AS (SELECT pid, sort_cri, row_number() OVER (ORDER BY sort_cri DESC, pid) - 1
        FROM scored WHERE cluster < 0)
 SELECT pid, round(sort_cri, 6) AS sort_cri FROM sg
 WHERE srank < (SELECT CASE WHEN n < 25 THEN 25 - n ELSE 5 END FROM ng)"""
+
+
+ORACLE["q_keyword_hits"] = r"""WITH kw AS (
+  SELECT DISTINCT lower(regexp_extract_all(lower(text), '[\p{L}\p{N}_]+')[1]) AS keyword FROM benchmark
+  WHERE len(regexp_extract_all(lower(text), '[\p{L}\p{N}_]+')) > 0),
+t AS (SELECT doc_id, unnest(regexp_extract_all(lower(text), '[\p{L}\p{N}_]+')) AS keyword FROM documents)
+SELECT t.doc_id, t.keyword, count(*) AS hits FROM t JOIN kw ON t.keyword = kw.keyword GROUP BY t.doc_id, t.keyword"""
