@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm import bpe, decontam, jaccard, quality, spans, suffix
+from quire.llm import bpe, chat, counts, decontam, extract, jaccard, langid, quality, spans, suffix
 from quire.session import prepare
 from quire.sources.tables import table
 
@@ -24,6 +24,13 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_measures(docs).select("doc_id", "quality.*")
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(prepare(spark), sf_dir, "documents").select("doc_id", "text", "lang")
+    out = langid.held_out()
+    network = langid.train(docs, ~out)
+    return langid.predict(docs.drop("lang"), network).select("doc_id", out.alias("held_out"), "language.*")
+
+
 def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(prepare(spark), sf_dir, "documents").select("doc_id", "text")
     found = jaccard.jaccard_components(docs)
@@ -52,8 +59,33 @@ def op7_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc_id", removed.alias("n_removed"), "spans", "text")
 
 
+def op8_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(prepare(spark), sf_dir, "pages").select("page_id", "url", "html")
+    done = pages.select("page_id", "url", extract.extracted(F.col("html")).alias("text"))
+    return done.withColumn("n_chars", F.length("text").cast("long"))
+
+
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(prepare(spark), sf_dir, "documents").select("doc_id", "text")
+    n_bytes = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long")
+    counted = docs.select("doc_id", n_bytes.alias("n_bytes"), counts.token_count(F.col("text"), bpe.default_tokenizer()).alias("n_tokens"))
+    return counted.withColumn("over_limit", F.col("n_tokens") > 1024)
+
+
+#: The contract's extra conversation.
+MARKED = "\\### Assistant: </turn> ok"
+
+
+def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(prepare(spark), sf_dir, "conversations").select(F.col("conv_id").cast("long"), F.col("turn").cast("long"), "role", "text")
+    extra = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+                                  F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(MARKED).alias("text"))
+    done = chat.digests(chat.format_conversations(chat.linear_tree(rows.unionByName(extra))))
+    return done.withColumn("conv_id", jaccard.visible(F.col("conv_id"))).drop("branch")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_substring_dedup, op2_quality_rules, op4_ngram_jaccard, op5_decontamination, op6_bpe,
-                            op7_suffix_array_dedup)
+    f.__name__: f for f in (op1_substring_dedup, op2_quality_rules, op3_language_id, op4_ngram_jaccard, op5_decontamination,
+                            op6_bpe, op7_suffix_array_dedup, op8_html_extraction, op9_token_counts, op10_chat_formatting)
 }
 ORACLE: dict[str, str] = {}
