@@ -19,11 +19,18 @@ RELATIVE_WORDS = [
 ]
 FULL_DATE = "yyyy年MM月dd日"
 
+_WIDE, _NARROW = "０１２３４５６７８９", "0123456789"
+
+
+def _number(digits: Column) -> Column:
+    """Digits, full-width ones too, as an integer (null for anything else)."""
+    return F.translate(digits, _WIDE, _NARROW).try_cast("int")
+
 
 def dateline_day(content: Column) -> Column:
     """Day number of the dateline (e.g. 15 in 15日) or null."""
     head = F.substring(content, 1, DATELINE_WINDOW)
-    return F.nullif(F.regexp_extract(head, DAY_PATTERN, 1), F.lit("")).try_cast("int")
+    return _number(F.nullif(F.regexp_extract(head, DAY_PATTERN, 1), F.lit("")))
 
 
 def _add_days(ts: Column, days: Column) -> Column:
@@ -109,8 +116,8 @@ def resolve_day_mentions(text: Column, story: Column) -> Column:
     md = r"(?U)(\d{1,2})月(\d{1,2})日"
 
     def conv_md(m, before):
-        mon = F.lpad(F.regexp_extract(m, md, 1), 2, "0")
-        day = F.lpad(F.regexp_extract(m, md, 2), 2, "0")
+        mon = F.lpad(F.translate(F.regexp_extract(m, md, 1), _WIDE, _NARROW), 2, "0")
+        day = F.lpad(F.translate(F.regexp_extract(m, md, 2), _WIDE, _NARROW), 2, "0")
         # part of a full date already (…年10月13日) or of a longer number: unchanged
         inside = before.endswith("年") | F.coalesce(before.rlike(r"(?U)\d$"), F.lit(False))
         return F.when(inside, m).otherwise(
@@ -118,15 +125,29 @@ def resolve_day_mentions(text: Column, story: Column) -> Column:
                      day, F.lit("日）")))
 
     def conv_day(m, before):
-        d = F.regexp_extract(m, DAY_PATTERN, 1).cast("int")
+        d = _number(F.regexp_extract(m, DAY_PATTERN, 1))
         when = _add_days(story, d - F.dayofmonth(story))
-        return F.when(before.endswith("月") | F.coalesce(before.rlike(r"(?U)\d$"), F.lit(False)), m) \
+        return F.when(before.endswith("月") | F.coalesce(before.rlike(r"(?U)\d$"), F.lit(False)) | when.isNull(), m) \
                 .otherwise(F.concat(m, F.lit("（"), F.date_format(when, FULL_DATE), F.lit("）")))
 
     once = _rebuild(text, md, conv_md)
     return _rebuild(once, DAY_PATTERN, conv_day)
 
 
+# The forms in which sources write times and days.
+TIME_FORMATS = ("yyyy/MM/dd HH:mm", "yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd", "yyyyMMdd")
+
+
 def parse_minute_time(text: Column) -> Column:
     """``yyyy/MM/dd HH:mm`` text -> timestamp_ntz (null when malformed)."""
-    return F.try_to_timestamp(text, F.lit("yyyy/MM/dd HH:mm")).cast("timestamp_ntz")
+    return parse_time(text, TIME_FORMATS[:1])
+
+
+def parse_time(text: Column, formats: tuple[str, ...] = TIME_FORMATS) -> Column:
+    """Text in any of the forms -> timestamp_ntz (I19); null when none fits."""
+    return F.coalesce(*[F.try_to_timestamp(text, F.lit(f)).cast("timestamp_ntz") for f in formats])
+
+
+def format_time(ts: Column, form: str = TIME_FORMATS[0]) -> Column:
+    """A timestamp written in one of the forms."""
+    return F.date_format(ts, form)

@@ -7,17 +7,18 @@ from collections.abc import Iterable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Keyword lists come from one editor cell or a trend table; they are
-# inlined as literals. Longer lists belong in a join, see keyword_hits().
-MAX_INLINE_KEYWORDS = 512
+# Lists up to this length become one expression for each keyword; longer ones
+# are one array literal that a lambda runs over, with the same results.
+UNROLLED = 64
 
 
 def clean_keywords(keywords: Iterable[str]) -> list[str]:
     """Drop empty entries (a trailing separator would otherwise match everywhere)."""
-    out = [k for k in keywords if k]
-    if len(out) > MAX_INLINE_KEYWORDS:
-        raise ValueError("keyword list too long to inline; use keyword_hits()")
-    return out
+    return [k for k in keywords if k]
+
+
+def _literals(keywords: list[str]) -> Column:
+    return F.array(*[F.lit(k) for k in keywords])
 
 
 def split_editor_keywords(cell: str, sep: str = "：") -> list[str]:
@@ -32,6 +33,9 @@ def keyword_count(text: Column, keywords: Iterable[str]) -> Column:
     kws = clean_keywords(keywords)
     if not kws:
         return F.lit(0).cast("long")
+    if len(kws) > UNROLLED:
+        return F.aggregate(_literals(kws), F.lit(0).cast("long"),
+                           lambda n, k: n + F.coalesce(F.regexp_count(text, k), F.lit(0)))
     terms = [F.coalesce(F.regexp_count(text, F.lit(k)), F.lit(0)).cast("long") for k in kws]
     total = terms[0]
     for t in terms[1:]:
@@ -49,7 +53,10 @@ def keyword_tag(text: Column, keywords: Iterable[str], sep: str = "|") -> Column
     kws = clean_keywords(keywords)
     if not kws:
         return F.lit("")
-    hits = F.array_compact(F.array(*[F.when(text.rlike(k), F.lit(k)) for k in kws]))
+    if len(kws) > UNROLLED:
+        hits = F.filter(_literals(kws), lambda k: F.coalesce(F.rlike(text, k), F.lit(False)))
+    else:
+        hits = F.array_compact(F.array(*[F.when(text.rlike(k), F.lit(k)) for k in kws]))
     return F.array_join(F.array_sort(hits), sep)
 
 
@@ -58,7 +65,7 @@ def trend_match_count(text: Column, terms: Iterable[str]) -> Column:
     kws = clean_keywords(terms)
     if not kws:
         return F.lit(0).cast("long")
-    return F.size(F.array_compact(F.array(*[F.when(text.rlike(k), F.lit(1)) for k in kws]))).cast("long")
+    return F.size(F.filter(_literals(kws), lambda k: F.coalesce(F.rlike(text, k), F.lit(False)))).cast("long")
 
 
 def keywords_in_text(text: Column, keywords: Column) -> Column:
@@ -76,11 +83,13 @@ def trend_terms(trends, start, title_col: str = "title", related_col: str = "rel
     return titles.unionByName(related).filter(F.col("term") != "").distinct()
 
 
-def keyword_hits(docs, key: str, text_col: str, keywords):
-    """Join form of keyword matching for long single-token keyword lists:
-    (key, keyword, hits). Tokens are exploded per document and equi-joined
-    with the keyword table (its size decides broadcast, not a hint)."""
+def token_hits(docs, key: str, text_col: str, keywords):
+    """(key, keyword, hits): how often each whole lower-cased token of a keyword
+    table occurs in each text. This is token equality, not the regex matching of
+    ``keyword_count``. A text's tokens are counted before the join, so a frequent
+    token comes once for each document that has it, and the join can split it."""
     from quire.functions.tokens import tokens
     toks = docs.select(key, F.explode(tokens(F.col(text_col))).alias("keyword"))
+    counted = toks.groupBy(key, "keyword").agg(F.count(F.lit(1)).alias("hits"))
     kw = keywords.select(F.lower(F.col(keywords.columns[0])).alias("keyword")).distinct()
-    return toks.join(kw, "keyword").groupBy(key, "keyword").agg(F.count(F.lit(1)).alias("hits"))
+    return counted.join(kw, "keyword").select(key, "keyword", "hits")

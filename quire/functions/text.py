@@ -2,20 +2,22 @@
 
 from __future__ import annotations
 
+import re
+from html import unescape
+
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # The editing marker removed before tag stripping, and the
 # trailing bracketed byline pattern (with Unicode \w).
 EDIT_MARKER = "(*#*)"
 BYLINE_PATTERN = r"(?U)[（(][\w／\/:： ]*[）)]\d{0,8}$"
 
-# Markup removed before entities are decoded.
-MARKUP_PATTERN = r"(?is)<script\b[^>]*>.*?</script>|<style\b[^>]*>.*?</style>|<!--.*?-->|<[^>]*>"
-
-# Named entities decoded after tag stripping (&amp; last).
-ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"),
-            ("&nbsp;", " "), ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&")]
+# Markup removed before entities are decoded; a quoted attribute may hold ">".
+MARKUP_PATTERN = (r"(?is)<script\b[^>]*>.*?</script>|<style\b[^>]*>.*?</style>|<!--.*?-->"
+                  r"""|</?[a-z!?](?:[^>"']|"[^"]*"|'[^']*')*>|<[^>]*>""")
 
 # Photo URL separator inside one photo entry.
 PHOTO_SEP = "|$@$|"
@@ -34,24 +36,31 @@ CATEGORY_CODES = {
     "生活": "ahel", "社會": "asoc", "地方": "aloc", "文化": "acul", "運動": "aspt", "娛樂": "amov",
 }
 
-# POS tags kept (regex search) and punctuation classes turned into a space.
-POS_KEEP = ["^N", "^V", "Cbb", "Caa", "^D$"]
+# The pattern of POS tags kept and the punctuation classes turned into a space.
+POS_KEEP = "^N|^V|Cbb|Caa|^D$"
 POS_SPACE = ["COLONCATEGORY", "COMMACATEGORY", "DASHCATEGORY", "DOTCATEGORY", "ETCCATEGORY",
              "EXCLAMATIONCATEGORY", "PARENTHESISCATEGORY", "PAUSECATEGORY", "PERIODCATEGORY",
              "QUESTIONCATEGORY", "SEMICOLONCATEGORY", "SPCHANGECATEGORY", "WHITESPACE"]
 # Entity classes kept.
-ENTITY_KEEP = ["PERSON", "NORP", "FAC", "ORG", "GPE", "LOC", "PRODUCT", "EVENT", "WORK_OF_ART"]
+ENTITY_KEEP = ["ORG", "GPE", "DATE", "PERSON", "EVENT", "FAC", "WORK_OF_ART", "LAW", "LOC"]
+
+
+@F.arrow_udf(T.StringType())
+def _decoded(texts: pa.Array) -> pa.Array:
+    return pa.array([t and unescape(t) for t in texts.to_pylist()], pa.string())
+
+
+def decode_references(text: Column) -> Column:
+    """Numeric and all named HTML character references decoded."""
+    return _decoded(text)
 
 
 def strip_tags(html: Column) -> Column:
     """Visible text of an HTML fragment: script/style blocks and comments
-    dropped, tags removed, the common named entities decoded."""
+    dropped, tags removed, character references decoded."""
     # one pass: leftmost-first alternation removes a whole script/style
     # block or comment where it starts, and any other tag
-    t = F.regexp_replace(html, MARKUP_PATTERN, "")
-    for ent, ch in ENTITIES:
-        t = F.replace(t, F.lit(ent), F.lit(ch))
-    return t
+    return decode_references(F.regexp_replace(html, MARKUP_PATTERN, ""))
 
 
 def clean_article(content: Column) -> Column:
@@ -112,10 +121,9 @@ def split_keywords(text: Column, sep: str = ",") -> Column:
 def pos_filter(words: Column, tags: Column) -> Column:
     """Tokens whose tag matches any kept pattern are kept, punctuation
     classes become one space, others are dropped; joined without separator (B14)."""
-    keep = "|".join(f"({p})" for p in POS_KEEP)
     zipped = F.arrays_zip(words.alias("w"), tags.alias("t"))
     mapped = F.transform(zipped, lambda z: F.when(z["t"].isin(POS_SPACE), F.lit(" "))
-                         .when(z["t"].rlike(keep), z["w"]))
+                         .when(z["t"].rlike(POS_KEEP), z["w"]))
     return F.array_join(F.array_compact(mapped), "")
 
 
@@ -151,17 +159,29 @@ def name_entries(names: Column) -> Column:
 
 
 def annotate_names(text: Column, entries: Column) -> Column:
-    """Append ``（orig，title）`` / ``（title）`` after each listed name, longest
-    names first so a short name inside a longer one is not annotated twice (C10)."""
-    ordered = F.array_sort(entries, lambda a, b: F.length(b["name"]) - F.length(a["name"]))
-
-    def step(acc, e):
-        note = F.when(e["orig"].isNotNull() & (e["orig"] != ""),
-                      F.concat(F.lit("（"), e["orig"], F.lit("，"), e["title"], F.lit("）"))) \
-                .otherwise(F.concat(F.lit("（"), e["title"], F.lit("）")))
-        return F.when((e["name"] == "") | e["name"].isNull(), acc).otherwise(
-            F.replace(acc, e["name"], F.concat(e["name"], note)))
-    return F.aggregate(ordered, text, step)
+    """Append ``（orig，title）`` / ``（title）`` after each listed name (C10), in one
+    pass over the text: at each place the longest listed name that begins there
+    is taken, so a short name inside a longer one is not annotated. Of entries
+    with the same name the first counts."""
+    named = F.filter(entries, lambda e: F.coalesce(e["name"], F.lit("")) != "")
+    notes = F.transform(named, lambda e: F.struct(e["name"].alias("name"), F.concat(
+        F.lit("（"), F.when(F.coalesce(e["orig"], F.lit("")) != "", F.concat(e["orig"], F.lit("，"))).otherwise(F.lit("")),
+        F.coalesce(e["title"], F.lit("")), F.lit("）")).alias("note")))
+    return _annotated(text, notes)
+
+
+@F.arrow_udf(T.StringType())
+def _annotated(texts: pa.Array, notes: pa.Array) -> pa.Array:
+    out = []
+    for text, some in zip(texts.to_pylist(), notes.to_pylist()):
+        if text and some:
+            note: dict[str, str] = {}
+            for e in some:
+                note.setdefault(e["name"], e["note"])
+            names = re.compile("|".join(map(re.escape, sorted(note, key=len, reverse=True))))
+            text = names.sub(lambda m, note=note: m[0] + note[m[0]], text)
+        out.append(text)
+    return pa.array(out, pa.string())
 
 
 def exclude_roles(people: Column, excluded: list[str]) -> Column:

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from quire.session import cut_lineage
 
+
 def with_global_index(df: DataFrame, order: list[Column | str], name: str = "idx",
                       num_partitions: int | None = None) -> DataFrame:
     """Append a 0-based ``long`` index following ``order`` (which must be a total order)."""
@@ -48,12 +49,19 @@ def with_keyed_index(df: DataFrame, key: list[str], order: list[str], name: str
     """Global index (ascending over the ``order`` columns) computed on the
     slim key + order projection and joined back on the unique ``key``: the
     range sampling, the shuffle and the checkpoint then carry only those
-    columns, not wide rows such as article text."""
+    columns, not wide rows such as article text. Where a key repeats, the
+    whole rows are indexed instead, each once."""
+    if _repeats(df.select(*key), key):  # joined back, k rows of a key would become k * k
+        return with_global_index(df, [F.col(c) for c in order], name)
     slim_cols = list(dict.fromkeys(list(key) + list(order)))
     slim = with_global_index(df.select(*slim_cols), [F.col(c) for c in order], name).select(*key, name)
     return df.join(slim, list(key), "inner")
 
 
+def _repeats(keys: DataFrame, key: list[str]) -> bool:
+    return keys.groupBy(*key).count().filter("count > 1").limit(1).count() > 0
+
+
 def rank_within(df: DataFrame, key: str, order: list[Column | str], name: str = "in_rank",
                 size_name: str | None = "size", slim: list[str] | None = None,
                 unique: list[str] | None = None) -> DataFrame:
@@ -68,6 +76,8 @@ def rank_within(df: DataFrame, key: str, order: list[Column | str], name: str =
     on that narrow projection and is joined back on the ``unique`` key, so
     wide rows (article text) are neither range-shuffled nor checkpointed.
     """
+    if slim and _repeats(df.select(*unique), list(unique)):
+        slim = None
     base = df.select(*slim) if slim else df
     idx = with_global_index(base, [F.col(key)] + list(order), "_qidx")
     start = idx.groupBy(key).agg(F.min("_qidx").alias("_qstart"),

@@ -94,7 +94,9 @@ def _edges_fn(eps_fixed: float | None):
             for s in range(0, len(lid), CHUNK):
                 blk = lv[s:s + CHUNK]
                 d2 = (blk * blk).sum(axis=1)[:, None] + rn[None, :] - 2.0 * blk @ rv.T
-                ii, jj = np.nonzero(d2 <= (eps + SLACK) ** 2 + SLACK)
+                # the Gram form's rounding grows with the norms, so the slack does too
+                room = SLACK + 64 * np.finfo(float).eps * ((blk * blk).sum(axis=1)[:, None] + rn[None, :])
+                ii, jj = np.nonzero(d2 <= (eps + SLACK) ** 2 + room)
                 ii = ii + s
                 keep = lid[ii] != rid[jj]
                 if diag:
@@ -208,13 +210,15 @@ def _topk_fn(k: int, threshold: float | None, include_self: bool = False, clamp:
                     return
                 if clamp is not None:
                     sims = np.where(np.isfinite(sims) & (sims <= clamp), 0.0, sims)
-                    keys = np.broadcast_to(dst_ids, sims.shape)
-                    part = np.lexsort((keys, -sims), axis=-1)[:, :kk]
-                else:
-                    part = np.argpartition(-sims, kk - 1, axis=1)[:, :kk]
-                rows = np.repeat(np.arange(sims.shape[0]), kk)
-                cols = part.reshape(-1)
+                # all that reach the k-th value; ties are then broken by id, so the
+                # result does not depend on how rows fall into tiles
+                last = -np.partition(-sims, kk - 1, axis=1)[:, kk - 1]
+                rows, cols = np.nonzero(sims >= last[:, None])
                 vals = sims[rows, cols]
+                order = np.lexsort((dst_ids[cols], -vals, rows))
+                rows, cols, vals = rows[order], cols[order], vals[order]
+                place = np.arange(len(rows)) - np.searchsorted(rows, rows)
+                rows, cols, vals = rows[place < kk], cols[place < kk], vals[place < kk]
                 ok = np.isfinite(vals)
                 if threshold is not None:
                     ok &= vals > threshold

@@ -29,15 +29,13 @@ def q_keyword_score(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_keyword_hits(spark: SparkSession, sf: str) -> DataFrame:
-    """Join form of keyword matching for long keyword lists (C4, C11):
-    keywords are the first token of every benchmark text; hits per
-    (document, keyword) come from exploded tokens and an equi-join."""
+    """Token hits of a keyword table (C4): every distinct token of every
+    benchmark text against the counted tokens of every document."""
     prepare(spark)
-    from quire.functions.keywords import keyword_hits
+    from quire.functions.keywords import token_hits
     from quire.functions.tokens import tokens
-    kw = table(spark, sf, "benchmark").select(F.element_at(tokens(F.col("text")), 1).alias("kw")) \
-        .filter(F.col("kw").isNotNull())
-    return keyword_hits(table(spark, sf, "documents"), "doc_id", "text", kw).select("doc_id", "keyword", "hits")
+    kw = table(spark, sf, "benchmark").select(F.explode(tokens(F.col("text"))).alias("kw"))
+    return token_hits(table(spark, sf, "documents"), "doc_id", "text", kw).select("doc_id", "keyword", "hits")
 
 
 def q_article_score(spark: SparkSession, sf: str) -> DataFrame:
@@ -231,8 +229,8 @@ HYBRID_FILTERS = [{"type": "range", "field": "n_chars", "value": {"gte": 100}},
 
 def _vdocs(spark, sf):
     docs = table(spark, sf, "documents")
-    return table(spark, sf, "embeddings").select(F.col("vec_id").alias("doc_id"), "embedding").join(
-        docs, "doc_id", "inner")
+    # all documents: corpus figures count those without a vector too
+    return docs.join(table(spark, sf, "embeddings").select(F.col("vec_id").alias("doc_id"), "embedding"), "doc_id", "left")
 
 
 def _qvec(spark, sf):
@@ -318,7 +316,7 @@ def _orders_story(spark, sf):
           + F.make_dt_interval(F.lit(0), (F.col("o_custkey") % 24).cast("int"),
                                (F.col("o_orderkey") % 60).cast("int")))
     dline = F.dayofmonth(F.col("o_orderdate") - F.make_dt_interval((F.col("o_custkey") % 40).cast("int")))
-    content = F.concat(F.lit("（中央社台北"), dline.cast("string"), F.lit("日電）"), F.col("o_orderstatus"),
+    content = F.concat(F.lit("（晨光社台北"), dline.cast("string"), F.lit("日電）"), F.col("o_orderstatus"),
                        F.lit("：今天與昨天，明後天，本月、上個月及去年"))
     return o.select(F.col("o_orderkey").cast("string").alias("pid"), dt.alias("dt"), content.alias("content"))
 
@@ -407,10 +405,11 @@ def q_day_scan(spark: SparkSession, sf: str) -> DataFrame:
 
 def q_date_range(spark: SparkSession, sf: str) -> DataFrame:
     prepare(spark)
-    from quire.sources.scans import date_range_scan
+    from quire.sources.scans import date_range_scan, hit_count
     e = _events(spark, sf)
-    return date_range_scan(e, "ts", *SCAN_RANGE, order=[F.col("ts"), F.col("event_id")]).select(
-        "event_id", "ts", "event_type")
+    found = date_range_scan(e, "ts", *SCAN_RANGE, order=[F.col("ts"), F.col("event_id")])
+    total = hit_count(found).first()[0]
+    return found.select("event_id", "ts", "event_type", F.lit(total).cast("long").alias("total"))
 
 
 def q_settled_new(spark: SparkSession, sf: str) -> DataFrame:

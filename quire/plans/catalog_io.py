@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 from quire.session import checkpoint_dir, prepare
 from quire.sources.tables import table
 
-# The two polling clocks of the streaming ingest and the
+# The three polling clocks of the streaming ingest and the
 # instant the landing directory receives its second drop.
-STREAM_NOW = ("2024-01-10 00:00:00", "2024-01-20 00:00:00")
+STREAM_NOW = ("2024-01-10 00:00:00", "2024-01-20 00:00:00", "2024-06-01 00:00:00")
 SECOND_DROP = "2024-01-15 00:00:00"
 
 
@@ -79,7 +79,8 @@ def _land(df: DataFrame, path: str) -> None:
 
 
 def q_stream_ingest(spark: SparkSession, sf: str) -> DataFrame:
-    """Two availableNow runs over a landing directory that grows between them (L1)."""
+    """Three availableNow runs over a landing directory that grows before the
+    second only; the third releases what has settled meanwhile (L1)."""
     prepare(spark)
     from quire.streaming.ingest import run_settled_ingest, selected
     ev = table(spark, sf, "events")
@@ -89,8 +90,10 @@ def q_stream_ingest(spark: SparkSession, sf: str) -> DataFrame:
     _land(ev.filter(F.col("ts") < cut), f"{base}/landing")
     run_settled_ingest(spark, f"{base}/landing", ev.schema, f"{base}/state", key, "ts", STREAM_NOW[0])
     _land(ev.filter(F.col("ts") >= cut), f"{base}/landing")
-    run_settled_ingest(spark, f"{base}/landing", ev.schema, f"{base}/state", key, "ts", STREAM_NOW[1])
-    return selected(spark, f"{base}/state").select("event_id", "pid", "ts", "batch")
+    for now in STREAM_NOW[1:]:
+        run_settled_ingest(spark, f"{base}/landing", ev.schema, f"{base}/state", key, "ts", now)
+    batch = F.when(F.col("batch") < 0, 2).otherwise(F.col("batch")).alias("batch")
+    return selected(spark, f"{base}/state").select("event_id", "pid", "ts", batch)
 
 
 def q_stream_requests(spark: SparkSession, sf: str) -> DataFrame:

@@ -67,6 +67,7 @@ def q_requests(spark: SparkSession, sf: str) -> DataFrame:
 
 
 # Pseudo tagging of driver text (tagger output stand-in).
+TAGGER_CLASSES = ["LOC", "CARDINAL", "ORG", "NORP", "GPE", "DATE", "PRODUCT", "PERSON", "EVENT", "FAC", "LAW", "WORK_OF_ART"]
 TOKEN_OR_PUNCT = r"[\p{L}\p{N}_]+|[,.]"
 
 
@@ -78,8 +79,8 @@ def tagged_docs(spark: SparkSession, sf: str) -> DataFrame:
                        .when(F.length(w) == 3, "D").otherwise("P"))
     ents = F.transform(F.filter(words, lambda w: w.rlike(r"^\p{Lu}")),
                        lambda w: F.struct(w.alias("text"),
-                                          F.when(F.length(w) > 6, "GPE").when(F.length(w) > 3, "PERSON")
-                                          .otherwise("CARDINAL").alias("type")))
+                                          F.element_at(F.array(*map(F.lit, TAGGER_CLASSES)),
+                                                       F.length(w) % len(TAGGER_CLASSES) + 1).alias("type")))
     return d.select("doc_id", headline(F.col("text")).alias("title"), words.alias("words"),
                     tags.alias("tags"), ents.alias("entities"))
 

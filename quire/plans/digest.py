@@ -78,7 +78,8 @@ def rank_groups(scored: DataFrame, quantile: float = GROUP_QUANTILE) -> DataFram
     quantile and is therefore dropped, as in the original rule."""
     # clustered rows only (B10); noise rows are the singles below
     groups = (scored.filter(F.col("cluster") > -1).groupBy("cluster")
-                    .agg(F.sum("sort_cri").alias("total"), F.max("sort_cri").alias("top")))
+                    # rounded: the last digits of a float sum vary with the partitioning
+                    .agg(F.round(F.sum("sort_cri"), 9).alias("total"), F.round(F.max("sort_cri"), 9).alias("top")))
     # one index in the final order serves the quantile too: ascending
     # position p is descending index n-1-p, and the groups above the
     # threshold are a prefix of this order, so their index is their rank
@@ -91,7 +92,7 @@ def rank_groups(scored: DataFrame, quantile: float = GROUP_QUANTILE) -> DataFram
     got = dict(ranked.filter(F.col("group_rank").isin(n - 1 - lo, n - 1 - hi))
                      .select("group_rank", "total").collect())
     v_lo, v_hi = got[n - 1 - lo], got[n - 1 - hi]
-    threshold = v_lo + (h - lo) * (v_hi - v_lo)
+    threshold = round(v_lo + (h - lo) * (v_hi - v_lo), 9)
     return ranked.filter(F.col("total") > F.lit(threshold))
 
 

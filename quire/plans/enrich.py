@@ -5,7 +5,7 @@ Model calls are an injected ``completer`` (M1): a function from a pandas batch
 ``mapInPandas`` over the prompt table, so calls are spread over tasks and
 batched by Arrow (batches are capped by rows and by
 ``spark.sql.execution.arrow.maxBytesPerBatch``, so long articles do not
-make huge batches); a failing batch is retried, and rows that still fail keep
+make huge batches); rows of a failing batch are retried one by one, and rows that still fail keep
 ``status``/``error`` instead of stopping the job. The built-in completers
 are deterministic so results can be checked.
 """
@@ -60,31 +60,40 @@ def task_prompts(df: DataFrame, key: str, text_col: str,
 def complete(prompts: DataFrame, key: str, completer: Completer = digest_completer,
              retries: int = 3, backoff: float = 0.5) -> DataFrame:
     """Run the completer over the prompt table (K4): (key, task, prompt,
-    response, status, error). Batches are retried with exponential backoff."""
+    response, status, error). When a batch fails its rows are called one by one,
+    each retried with exponential backoff; what still fails keeps its error."""
     key_type = prompts.schema[key].dataType.simpleString()
     schema = f"{key} {key_type}, task string, prompt string, response string, status string, error string"
 
     def run(batches):
         for b in batches:
-            last = None
-            for attempt in range(retries):
-                try:
-                    res = completer(b[[key, "task", "prompt"]])
-                    res = res.assign(status="ok", error=None)
-                    break
-                except Exception as e:  # keep going; record the failure
-                    last = e
-                    time.sleep(backoff * (2 ** attempt))
-            else:
-                res = b[[key, "task", "prompt"]].assign(response=None, status="error", error=repr(last))
-            yield res[[key, "task", "prompt", "response", "status", "error"]]
+            b = b[[key, "task", "prompt"]]
+            try:
+                parts = [completer(b).assign(status="ok", error=None)]
+            except Exception:  # one bad row must not cost its neighbours: each row on its own
+                parts = [alone(b.iloc[i:i + 1]) for i in range(len(b))]
+            for res in parts:
+                yield res[[key, "task", "prompt", "response", "status", "error"]]
+
+    def alone(row):
+        last = None
+        for attempt in range(retries):
+            try:
+                return completer(row).assign(status="ok", error=None)
+            except Exception as e:  # keep going; record the failure
+                last = e
+                time.sleep(backoff * (2 ** attempt))
+        return row.assign(response=None, status="error", error=repr(last))
     return prompts.mapInPandas(run, schema)
 
 
 def responses_to_columns(done: DataFrame, key: str, tasks: list[str]) -> DataFrame:
     """One column per task (K5): pivot with the task list given, so the
-    planner needs no extra pass to find the values."""
-    return done.groupBy(key).pivot("task", tasks).agg(F.first("response"))
+    planner needs no extra pass to find the values; ``status`` is ok if all
+    tasks are, and ``error`` holds the distinct errors."""
+    wide = [F.max(F.when(F.col("task") == t, F.col("response"))).alias(t) for t in tasks]
+    status = F.when(F.max(F.col("status") != "ok"), "error").otherwise("ok").alias("status")
+    return done.groupBy(key).agg(*wide, status, F.array_join(F.array_sort(F.collect_set("error")), "; ").alias("error"))
 
 
 def ordered_concat(df: DataFrame, group: list[str], order: list[Column | str], value: Column,

@@ -139,7 +139,7 @@ ORACLE["q_dbscan_grouped"] = (
 # The digest chain on articles with embeddings.
 def _digest_cte(eps_ctes: str, eps_expr: str) -> str:
     return f"""{ARTICLES_CTE},
-art AS (SELECT a.*, e.embedding AS embeddings FROM articles a JOIN embeddings e ON a.doc_id = e.vec_id
+art AS (SELECT a.*, e.embedding AS embeddings FROM articles a LEFT JOIN embeddings e ON a.doc_id = e.vec_id
         WHERE NOT regexp_matches(a.article, '^(Der|Le) ')),
 {KW_SQL.replace('FROM articles', 'FROM art')},
 posd AS (SELECT *, row_number() OVER (ORDER BY dt, pid) - 1 AS position FROM tagged),
@@ -204,7 +204,7 @@ def _df_aggs(tok: str, terms, prefix: str) -> str:
 
 QVEC = "(SELECT cast(embedding AS DOUBLE[]) FROM embeddings WHERE vec_id = (SELECT min(vec_id) FROM embeddings))"
 COS = f"(list_cosine_similarity(cast(embedding AS DOUBLE[]), {QVEC}) + 1.0)"
-VDOCS = "(SELECT e.vec_id AS doc_id, e.embedding, d.text, d.lang, d.source, d.n_chars FROM embeddings e JOIN documents d ON e.vec_id = d.doc_id)"
+VDOCS = "(SELECT d.doc_id, e.embedding, d.text, d.lang, d.source, d.n_chars FROM documents d LEFT JOIN embeddings e ON e.vec_id = d.doc_id)"
 USABLE = "embedding IS NOT NULL AND len(embedding) > 0"
 
 MQ = ["the", "elle", "und"]
@@ -280,7 +280,7 @@ ORACLE.update({
 
 # The ranking chain per source: neighbours and eps inside each source.
 GROUPED_DIGEST = f"""{ARTICLES_CTE},
-art AS (SELECT a.*, e.embedding AS embeddings FROM articles a JOIN embeddings e ON a.doc_id = e.vec_id
+art AS (SELECT a.*, e.embedding AS embeddings FROM articles a LEFT JOIN embeddings e ON a.doc_id = e.vec_id
         WHERE NOT regexp_matches(a.article, '^(Der|Le) ')),
 {KW_SQL.replace('FROM articles', 'FROM art')},
 posd AS (SELECT *, row_number() OVER (ORDER BY dt, pid) - 1 AS position FROM tagged),
@@ -330,7 +330,6 @@ WHERE srank < (SELECT CASE WHEN n < 25 THEN 25 - n ELSE 5 END FROM ng)"""
 
 
 ORACLE["q_keyword_hits"] = r"""WITH kw AS (
-  SELECT DISTINCT lower(regexp_extract_all(lower(text), '[\p{L}\p{N}_]+')[1]) AS keyword FROM benchmark
-  WHERE len(regexp_extract_all(lower(text), '[\p{L}\p{N}_]+')) > 0),
+  SELECT DISTINCT unnest(regexp_extract_all(lower(text), '[\p{L}\p{N}_]+')) AS keyword FROM benchmark),
 t AS (SELECT doc_id, unnest(regexp_extract_all(lower(text), '[\p{L}\p{N}_]+')) AS keyword FROM documents)
 SELECT t.doc_id, t.keyword, count(*) AS hits FROM t JOIN kw ON t.keyword = kw.keyword GROUP BY t.doc_id, t.keyword"""

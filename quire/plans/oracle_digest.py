@@ -21,7 +21,7 @@ rk AS (SELECT s.doc_id, s.sidx, s.sentence,
          sum(length(s.sentence)) OVER (PARTITION BY s.doc_id ORDER BY coalesce(sc.score, 0.0) DESC, s.sidx
                                        ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum
        FROM sent s LEFT JOIN sc ON s.doc_id = sc.doc_id AND s.sidx = sc.sidx)
-SELECT doc_id, string_agg(sentence, ' ' ORDER BY sidx) AS summary, count(*) AS n_sentences
+SELECT doc_id, string_agg(substr(sentence, 1, 200), ' ' ORDER BY sidx) AS summary, count(*) AS n_sentences
 FROM rk WHERE rank = 1 OR cum <= 200 GROUP BY doc_id"""
 
 PICKS = """g AS (SELECT s.cluster, k.group_rank, s.pid, s.h1, s.article,

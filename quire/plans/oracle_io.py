@@ -19,10 +19,14 @@ SELECT l.last_row, l.c_mktsegment, s.name AS last_name FROM l JOIN s ON l.last_r
 k1 AS (SELECT DISTINCT pid FROM ev WHERE ts < timestamp '2024-01-15 00:00:00'
        AND ts < timestamp '2024-01-10 00:00:00' - INTERVAL 30 MINUTE),
 k2 AS (SELECT DISTINCT pid FROM ev WHERE ts < timestamp '2024-01-20 00:00:00' - INTERVAL 30 MINUTE
-       AND pid NOT IN (SELECT pid FROM k1))
+       AND pid NOT IN (SELECT pid FROM k1)),
+k3 AS (SELECT DISTINCT pid FROM ev WHERE ts < timestamp '2024-06-01 00:00:00' - INTERVAL 30 MINUTE
+       AND pid NOT IN (SELECT pid FROM k1) AND pid NOT IN (SELECT pid FROM k2))
 SELECT event_id, pid, ts, 0 AS batch FROM ev WHERE ts < timestamp '2024-01-15 00:00:00' AND pid IN (SELECT pid FROM k1)
 UNION ALL
-SELECT event_id, pid, ts, 1 AS batch FROM ev WHERE pid IN (SELECT pid FROM k2)""",
+SELECT event_id, pid, ts, 1 AS batch FROM ev WHERE pid IN (SELECT pid FROM k2)
+UNION ALL
+SELECT event_id, pid, ts, 2 AS batch FROM ev WHERE pid IN (SELECT pid FROM k3)""",
     "q_stream_requests": """SELECT conv_id, turn,
   CASE WHEN role <> 'assistant' THEN replace(text, chr(10), '') END AS text,
   CASE WHEN role = 'assistant' THEN 'missing: name_list' END AS reason,

@@ -13,8 +13,8 @@ ORACLE_MISC = {
     "q_day_scan": """WITH t AS (SELECT count(*) AS total FROM events WHERE cast(ts AS date) = date '2024-01-02')
 SELECT event_id, ts, user_id, total FROM events, t WHERE cast(ts AS date) = date '2024-01-02'
 ORDER BY ts, event_id LIMIT 1000""",
-    "q_date_range": """SELECT event_id, ts, event_type FROM events
-WHERE cast(ts AS date) BETWEEN date '2024-01-03' AND date '2024-01-05' ORDER BY ts, event_id LIMIT 1000""",
+    "q_date_range": """SELECT event_id, ts, event_type, count(*) OVER () AS total FROM events
+WHERE cast(ts AS date) BETWEEN date '2024-01-03' AND date '2024-01-05'""",
     "q_settled_new": "WITH " + SETTLED + """
 SELECT event_id, pid, ts FROM ev WHERE pid IN (SELECT pid FROM q)""",
     "q_settled_reference": "WITH " + SETTLED + """

@@ -1,9 +1,10 @@
 """Length-bounded extractive summary (K6) as a distributed job.
 
 Sentences are exploded with their position; a sentence scores the mean
-document frequency of its tokens (Luhn-style). Sentences are taken in score
-order while the running length stays within the budget (the best sentence
-is always kept, whole) and reassembled in their original order.
+frequency of its tokens in its own document (Luhn-style). Sentences are taken
+in score order while the running length stays within the budget (the best
+sentence is always kept, cut to the budget) and reassembled in their original
+order, each joined by one space.
 
 Plan shape: the documents are hash-partitioned by key once. Every later
 step (token counts per (key, token), scores per (key, sentence), ranking per
@@ -49,7 +50,8 @@ def extractive_summary(df: DataFrame, key: str, text_col: str, budget: int = BUD
     ranked = (per.withColumn("rank", F.row_number().over(w))
                  .withColumn("cum", F.sum(F.length("sentence")).over(
                      w.rowsBetween(Window.unboundedPreceding, Window.currentRow))))
-    picked = ranked.filter((F.col("rank") == 1) | (F.col("cum") <= budget))
+    picked = ranked.filter((F.col("rank") == 1) | (F.col("cum") <= budget)).withColumn(
+        "sentence", F.substring("sentence", 1, budget))
     s = F.sort_array(F.collect_list(F.struct("sidx", "sentence")))
     return picked.groupBy(key).agg(F.array_join(F.transform(s, lambda x: x["sentence"]), " ").alias("summary"),
                                    F.count(F.lit(1)).alias("n_sentences"))

@@ -12,31 +12,37 @@ _CHECKPOINT_KEY = "spark.checkpoint.dir"
 
 def build_session(master: str | None = None, app: str = "quire",
                   shuffle_partitions: int | None = None) -> SparkSession:
-    """Session for local runs and tests. On a cluster, pass no master and
-    let spark-submit supply it; the settings below are safe at any scale."""
-    cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    builder = SparkSession.builder.appName(app)
-    if master or not os.environ.get("SPARK_MASTER"):
-        builder = builder.master(master or f"local[{cpus}]")
-    parts = shuffle_partitions or cpus
-    spark = (
-        builder.config("spark.ui.enabled", "false")
-        .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.sql.shuffle.partitions", str(parts))
-        .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
-        .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        # delete reliable checkpoint files once their DataFrames are gone
-        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
-        .config("spark.driver.memory", os.environ.get("QUIRE_DRIVER_MEMORY", "16g"))
-        .getOrCreate()
-    )
+    """A session with the settings below, which are safe at any scale. Master,
+    shuffle partitions and driver memory are the cluster's to say: they are set
+    only where the caller passes them (bench and tests do)."""
+    spark = SparkSession.builder.config(map=options(master, app, shuffle_partitions)).getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 
 
+def options(master: str | None = None, app: str = "quire", shuffle_partitions: int | None = None) -> dict[str, str]:
+    """The settings that ``build_session`` makes."""
+    out = {
+        "spark.app.name": app,
+        "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.session.timeZone": "UTC",
+        "spark.sql.execution.arrow.pyspark.enabled": "true",
+        # delete reliable checkpoint files once their DataFrames are gone
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+    }
+    if master:
+        out["spark.master"] = master
+    if shuffle_partitions:
+        out["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if os.environ.get("QUIRE_DRIVER_MEMORY"):
+        out["spark.driver.memory"] = os.environ["QUIRE_DRIVER_MEMORY"]
+    return out
+
+
 def prepare(spark: SparkSession) -> SparkSession:
     """Settings every query relies on: UTC session time, a checkpoint dir,
     and this package shipped to the executors' Python workers."""

@@ -78,14 +78,20 @@ def validate_requests(df: DataFrame, json_col: str = "body",
     missing = _missing_keys(F.col(json_col))
     parsed = df.select(*keys, F.col(json_col), missing.alias("_missing"),
                        F.json_object_keys(F.col(json_col)).isNull().alias("_malformed"),
-                       F.from_json(F.col(json_col), REQUEST_SCHEMA).alias("r"))
+                       F.from_json(F.col(json_col), REQUEST_SCHEMA).alias("r"),
+                       F.try_variant_get(F.try_parse_json(json_col), "$.content", "string").alias("_plain"),
+                       F.schema_of_variant(F.try_variant_get(F.try_parse_json(json_col), "$.content", "variant")).alias("_kind"))
     # not a JSON object at all (from_json would give a struct of nulls)
     bad_json = F.col("_malformed")
-    is_bad = bad_json | (F.size("_missing") > 0)
+    # content is a list of texts, or one text; anything else has no text to join
+    is_text = F.coalesce(F.col("_kind") == "STRING", F.lit(False))
+    is_list = F.coalesce(F.col("_kind").isin("ARRAY<STRING>", "ARRAY<VOID>"), F.lit(False))
+    is_bad = bad_json | (F.size("_missing") > 0) | ~(is_text | is_list)
     reason = F.when(bad_json, F.lit("malformed json")).otherwise(
-        F.concat(F.lit("missing: "), F.array_join("_missing", ",")))
+        F.when(F.size("_missing") > 0, F.concat(F.lit("missing: "), F.array_join("_missing", ",")))
+        .otherwise(F.lit("content is neither a text nor a list of texts")))
     valid = parsed.filter(~is_bad).select(
-        *keys, join_content(F.col("r.content")).alias("text"),
+        *keys, F.when(is_text, F.col("_plain")).otherwise(join_content(F.col("r.content"))).alias("text"),
         F.col("r.entity_list").alias("entity_list"), F.col("r.name_list").alias("name_list"))
     quarantine = parsed.filter(is_bad).select(*keys, reason.alias("reason"))
     return valid, quarantine

@@ -21,8 +21,9 @@ def day_scan(df: DataFrame, date_col: str, day: str | _dt.date, order: list[Colu
 
 
 def date_range_scan(df: DataFrame, date_col: str, start, end, order: list[Column | str],
-                    limit: int | None = SCAN_PAGE) -> DataFrame:
-    """Rows with ``start <= date <= end`` inclusive (A2)."""
+                    limit: int | None = None) -> DataFrame:
+    """Rows with ``start <= date <= end`` inclusive (A2): all of them, or the
+    first ``limit`` in order where a page is asked for."""
     d = F.to_date(F.col(date_col))
     out = df.filter(d.between(F.lit(start).cast("date"), F.lit(end).cast("date"))).orderBy(*order)
     return out.limit(limit) if limit else out

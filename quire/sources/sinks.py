@@ -14,16 +14,22 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+TSV = {"sep": "\t", "header": True, "encoding": "UTF-8", "quote": '"', "escape": '"', "lineSep": "\n",
+       "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+
+
 def write_tsv(df: DataFrame, path: str, mode: str = "overwrite", partition_by: list[str] | None = None) -> None:
-    """Tab-separated UTF-8 with a header (A9); a dated run partitions by ``dt=``."""
-    w = df.write.mode(mode).option("sep", "\t").option("header", True).option("encoding", "UTF-8")
+    """Tab-separated UTF-8 with a header (A9); a dated run partitions by ``dt=``.
+    Line breaks, quotes and outer blanks of a text come back as they were; an
+    empty text is written quoted, which tells it from null."""
+    w = df.write.mode(mode).options(**TSV)
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.csv(path)
 
 
 def read_tsv(spark: SparkSession, path: str, schema) -> DataFrame:
-    return spark.read.schema(schema).option("sep", "\t").option("header", True).csv(path)
+    return spark.read.schema(schema).options(**TSV, multiLine=True).csv(path)
 
 
 def write_json_records(df: DataFrame, path: str, mode: str = "overwrite") -> None:

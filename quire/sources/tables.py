@@ -38,6 +38,8 @@ def articles(spark: SparkSession, sf_dir: str, with_embeddings: bool = False) ->
     attachments = n_chars % 5. ``labels`` is a dimension keyed by doc_id;
     the join is an equi-join so Catalyst may broadcast it only when its
     statistics say it is small, and otherwise shuffles both sides on doc_id.
+    With embeddings every article stays; one without a vector has null there
+    and is noise to the clustering.
     """
     docs = table(spark, sf_dir, "documents")
     labels = table(spark, sf_dir, "labels").select("doc_id", "quality")
@@ -57,11 +59,11 @@ def articles(spark: SparkSession, sf_dir: str, with_embeddings: bool = False) ->
     if with_embeddings:
         emb = table(spark, sf_dir, "embeddings").select(
             F.col("vec_id").alias("doc_id"), F.col("embedding").alias("embeddings"))
-        out = out.join(emb, "doc_id", "inner")
+        out = out.join(emb, "doc_id", "left")
     return out
 
 
 def article_columns(df: DataFrame) -> DataFrame:
-    """Project onto the canonical article columns, filling defaults (A3)."""
-    return df.select(*[F.coalesce(F.col(c), F.lit(d)).alias(c) if d is not None else F.col(c)
-                       for c, d in ARTICLE_COLUMNS if c in df.columns])
+    """Project onto the canonical article columns (A3); nulls and absent columns get the default."""
+    return df.select(*[(F.coalesce(F.col(c), F.lit(d)) if c in df.columns and d is not None
+                        else F.col(c) if c in df.columns else F.lit(d)).alias(c) for c, d in ARTICLE_COLUMNS])

@@ -69,6 +69,32 @@ def run_settled_ingest(spark: SparkSession, landing: str, schema, state: str, ke
          .foreachBatch(on_batch).trigger(availableNow=True)
          .option("checkpointLocation", f"{state}/_checkpoint").start())
     q.awaitTermination()
+    release_pending(spark, state, ts_col, now, minutes)
+
+
+def release_pending(spark: SparkSession, state: str, ts_col: str, now, minutes: int = SETTLE_MINUTES) -> None:
+    """Selects keys whose pending hits have settled by ``now`` although no new
+    file came. The writes go under a run id made of ``now`` (negative, so it
+    never meets a micro-batch id); repeating the call replaces its own output.
+    The next micro-batch skips the released keys, as they are done."""
+    done_path, pending_path, out = f"{state}/done", f"{state}/pending", f"{state}/selected"
+    if not path_exists(spark, pending_path):
+        return
+    pending = spark.read.parquet(pending_path)
+    last = pending.agg(F.max("batch")).first()[0]
+    if last is None:
+        return
+    run_id = -int(spark.sql("select unix_timestamp(cast(:t as timestamp))", args={"t": str(now)}).first()[0])
+    waiting = pending.filter(F.col("batch") == last).drop("batch")
+    done = spark.read.parquet(done_path).filter(F.col("batch") != run_id).select("pid")
+    open_hits = not_done(waiting, done, "pid")
+    qualifying = settled(open_hits, ts_col, now, minutes).select("pid").distinct().persist()
+    try:
+        if qualifying.limit(1).count():
+            _write_batch(open_hits.join(qualifying, "pid", "left_semi"), out, run_id)
+            _write_batch(qualifying, done_path, run_id)
+    finally:
+        qualifying.unpersist()
 
 
 def selected(spark: SparkSession, state: str) -> DataFrame:

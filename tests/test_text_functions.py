@@ -24,10 +24,10 @@ def _story(spark, created, content, variant):
 
 def test_story_date_variants(spark):
     cases = [
-        ("2024/10/15 13:07", "（中央社台北15日電）", "2024/10/15 13:07", "2024/10/15 13:07", "2024/10/15 13:07"),
-        ("2024/10/15 13:07", "（中央社台北14日電）", "2024/10/14 13:07", "2024/10/14 13:07", "2024/10/14 13:07"),
-        ("2024/11/01 09:00", "（中央社台北31日電）", "2024/12/01 09:00", "2024/11/01 09:00", "2024/10/31 09:00"),
-        ("2024/11/02 09:00", "（中央社台北30日電）", "2024/11/30 09:00", "2024/10/30 09:00", "2024/10/30 09:00"),
+        ("2024/10/15 13:07", "（晨光社台北15日電）", "2024/10/15 13:07", "2024/10/15 13:07", "2024/10/15 13:07"),
+        ("2024/10/15 13:07", "（晨光社台北14日電）", "2024/10/14 13:07", "2024/10/14 13:07", "2024/10/14 13:07"),
+        ("2024/11/01 09:00", "（晨光社台北31日電）", "2024/12/01 09:00", "2024/11/01 09:00", "2024/10/31 09:00"),
+        ("2024/11/02 09:00", "（晨光社台北30日電）", "2024/11/30 09:00", "2024/10/30 09:00", "2024/10/30 09:00"),
         ("2024/10/15 13:07", "no day here", "2024/10/15 13:07", "2024/10/15 13:07", "2024/10/15 13:07"),
         ("2024/10/15 13:07", "x" * 40 + "3日", "2024/10/15 13:07", "2024/10/15 13:07", "2024/10/15 13:07"),
     ]
