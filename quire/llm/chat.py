@@ -96,7 +96,7 @@ def best_paths(messages: DataFrame, branches: int | None = 1) -> DataFrame:
     jumps = [nodes.filter("parent is not null").select("conv", "msg", F.col("parent").alias("above"))]
     step = nodes.select("conv", "msg", F.col("parent").alias("above"), F.col("score").alias("way"))
     total, moving = nodes.count(), step.filter("above is not null").count()
-    while moving and 1 << len(jumps) <= total:
+    while moving and 1 << (len(jumps) - 1) <= total:  # only a cycle goes on for longer
         far = step.select("conv", F.col("msg").alias("above"), F.col("above").alias("next"), F.col("way").alias("more"))
         both = step.join(far, ["conv", "above"], "left")
         step = cut_lineage(both.select("conv", "msg", F.col("next").alias("above"), (F.col("way") + F.coalesce("more", F.lit(0.0))).alias("way")))
