@@ -59,7 +59,7 @@ def range_(field: str, bounds: dict) -> Column:
 
 
 def wildcard(field: str, pattern: str) -> Column:
-    like = pattern.replace("%", r"\%").replace("_", r"\_").replace("*", "%").replace("?", "_")
+    like = pattern.replace("\\", "\\\\").replace("%", r"\%").replace("_", r"\_").replace("*", "%").replace("?", "_")
     return F.col(field).like(like)
 
 

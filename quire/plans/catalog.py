@@ -551,3 +551,7 @@ QUERIES.update(DIGEST_QUERIES)
 from quire.plans.catalog_io import IO_QUERIES  # noqa: E402
 
 QUERIES.update(IO_QUERIES)
+
+from quire.plans.catalog_more import MORE_QUERIES  # noqa: E402
+
+QUERIES.update(MORE_QUERIES)

@@ -333,3 +333,7 @@ ORACLE["q_keyword_hits"] = r"""WITH kw AS (
   SELECT DISTINCT unnest(regexp_extract_all(lower(text), '[\p{L}\p{N}_]+')) AS keyword FROM benchmark),
 t AS (SELECT doc_id, unnest(regexp_extract_all(lower(text), '[\p{L}\p{N}_]+')) AS keyword FROM documents)
 SELECT t.doc_id, t.keyword, count(*) AS hits FROM t JOIN kw ON t.keyword = kw.keyword GROUP BY t.doc_id, t.keyword"""
+
+from quire.plans.catalog_more import MORE_ORACLE  # noqa: E402
+
+ORACLE.update(MORE_ORACLE)
