@@ -190,6 +190,26 @@ def _nn_fn():
     return run
 
 
+def _best(src_ids, dst_ids, sims, k: int, threshold: float | None, clamp: float | None):
+    """Of similarities (rows = src, columns = dst) the k best of each row: (src, dst, value)."""
+    kk = min(k, sims.shape[1])
+    if kk == 0:
+        return src_ids[:0], dst_ids[:0], np.empty(0)
+    if clamp is not None:
+        sims = np.where(np.isfinite(sims) & (sims <= clamp), 0.0, sims)
+    # all that reach the k-th value; ties are then broken by id, so the result
+    # does not depend on how rows fall into tiles
+    last = -np.partition(-sims, kk - 1, axis=1)[:, kk - 1]
+    rows, cols = np.nonzero(sims >= last[:, None])
+    vals = sims[rows, cols]
+    order = np.lexsort((dst_ids[cols], -vals, rows))
+    rows, cols, vals = rows[order], cols[order], vals[order]
+    ok = (np.arange(len(rows)) - np.searchsorted(rows, rows) < kk) & np.isfinite(vals)
+    if threshold is not None:
+        ok &= vals > threshold
+    return src_ids[rows[ok]], dst_ids[cols[ok]], vals[ok]
+
+
 def _topk_fn(k: int, threshold: float | None, include_self: bool = False, clamp: float | None = None):
     """Local top-k per row. ``clamp``: similarities at or below it become 0
     and still compete (ties by id, exact via lexsort); ``include_self`` keeps
@@ -204,27 +224,10 @@ def _topk_fn(k: int, threshold: float | None, include_self: bool = False, clamp:
             ru = rv / np.where(rnorm == 0, 1, rnorm)[:, None]
 
             def emit(src_ids, dst_ids, sims):
-                # sims: rows = src, cols = dst; keep top-k per src row
-                kk = min(k, sims.shape[1])
-                if kk == 0:
-                    return
-                if clamp is not None:
-                    sims = np.where(np.isfinite(sims) & (sims <= clamp), 0.0, sims)
-                # all that reach the k-th value; ties are then broken by id, so the
-                # result does not depend on how rows fall into tiles
-                last = -np.partition(-sims, kk - 1, axis=1)[:, kk - 1]
-                rows, cols = np.nonzero(sims >= last[:, None])
-                vals = sims[rows, cols]
-                order = np.lexsort((dst_ids[cols], -vals, rows))
-                rows, cols, vals = rows[order], cols[order], vals[order]
-                place = np.arange(len(rows)) - np.searchsorted(rows, rows)
-                rows, cols, vals = rows[place < kk], cols[place < kk], vals[place < kk]
-                ok = np.isfinite(vals)
-                if threshold is not None:
-                    ok &= vals > threshold
-                qa.append(src_ids[rows[ok]])
-                qb.append(dst_ids[cols[ok]])
-                qs.append(vals[ok])
+                a, b, v = _best(src_ids, dst_ids, sims, k, threshold, clamp)
+                qa.append(a)
+                qb.append(b)
+                qs.append(v)
 
             for s in range(0, len(lid), CHUNK):
                 sims = lu[s:s + CHUNK] @ ru.T
@@ -300,3 +303,47 @@ def cosine_topk(df: DataFrame, id_col: str, vec_col: str, k: int, threshold: flo
                                                  "a long, b long, sim double")
     w = Window.partitionBy("a").orderBy(F.desc("sim"), F.asc("b"))
     return cand.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+
+
+def cosine_topk_between(left: DataFrame, right: DataFrame, id_col: str, vec_col: str, k: int,
+                        threshold: float | None = None, block_rows: int = 4096,
+                        include_self: bool = False, clamp: float | None = None) -> DataFrame:
+    """``cosine_topk`` of the rows of ``left`` only, among those of ``right``: (a, b, sim,
+    rank). Both sides are cut into blocks of their own; a row is copied once for
+    each block of the other side, so few left rows against a long archive send
+    every archive row to few tiles."""
+    from pyspark.sql import Window
+
+    def side(df: DataFrame, mine: int, others: int, is_left: bool) -> DataFrame:
+        v = F.col(vec_col).cast("array<double>")
+        rows = df.select(F.col(id_col).cast("long").alias("id"), v.alias("v")).filter(F.size("v") > 0)
+        own, other = ("bi", "bj") if is_left else ("bj", "bi")
+        return rows.select("id", "v", F.pmod(F.xxhash64("id"), F.lit(mine)).cast("int").alias(own),
+                           F.explode(F.sequence(F.lit(0), F.lit(others - 1))).alias(other),
+                           F.lit(is_left).alias("is_left")).select("id", "v", "bi", "bj", "is_left")
+
+    n_left, n_right = (max(1, math.ceil(df.count() / block_rows)) for df in (left, right))
+    n_right = max(n_right, math.ceil(left.sparkSession.sparkContext.defaultParallelism / n_left))
+    tiles = side(left, n_left, n_right, True).unionByName(side(right, n_right, n_left, False))
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        parts = []
+        a, b = pdf[pdf["is_left"]], pdf[~pdf["is_left"]]
+        if len(a) and len(b):
+            ids, unit = [], []
+            for x in (a, b):
+                v = np.stack(x["v"].to_numpy()).astype(np.float64)
+                norm = np.linalg.norm(v, axis=1)
+                ids.append(x["id"].to_numpy(np.int64))
+                unit.append(v / np.where(norm == 0, 1, norm)[:, None])
+            for s in range(0, len(a), CHUNK):
+                sims = unit[0][s:s + CHUNK] @ unit[1].T
+                if not include_self:
+                    sims[ids[0][s:s + CHUNK, None] == ids[1][None, :]] = -np.inf
+                parts.append(_best(ids[0][s:s + CHUNK], ids[1], sims, k, threshold, clamp))
+        out = [np.concatenate([p[i] for p in parts]) if parts else np.empty(0) for i in range(3)]
+        return pd.DataFrame({"a": out[0].astype(np.int64), "b": out[1].astype(np.int64), "sim": out[2]})
+
+    cand = tiles.groupBy("bi", "bj").applyInPandas(run, "a long, b long, sim double")
+    w = Window.partitionBy("a").orderBy(F.desc("sim"), F.asc("b"))
+    return cand.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)

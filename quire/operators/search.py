@@ -14,12 +14,14 @@ from __future__ import annotations
 
 import math
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quire.functions.tokens import py_tokens, tokens
 from quire.operators.predicates import compile_filters
+from quire.session import cut_lineage
 
 # BM25 parameters and the default result size.
 K1 = 1.2
@@ -131,15 +133,25 @@ def match_search(df: DataFrame, id_col: str, field_name: str, query: str,
                  k: int = RECALL_SIZE) -> tuple[DataFrame, int]:
     """Full-text match (H1). Returns (top-k hits, total hit count D6).
 
-    Two passes over the table: one aggregate for the statistics and the
-    hit count, one scoring pass feeding the top-k. A row matches when its
-    score is positive (every idf and every non-zero tf term is positive)."""
+    One tokenising pass writes a slim table of (id, length, frequency of each
+    query term); corpus figures, scores and the top-k come from it, and only the
+    k hits are joined back to their rows. A row matches when it has a query term."""
     q = sorted(set(py_tokens(query)))
-    st = corpus_stats(df, {field_name: q}, count_any={field_name: q})
-    t = with_tokens(df, [field_name])
-    scored = t.withColumn("score", bm25(field_name, q, st, tok=F.col(tok_col(field_name))))
-    hits = top_k(scored, "score", id_col, k, keep=F.col("score") > 0).drop(tok_col(field_name))
-    return hits, st.matched.get(field_name, 0)
+    terms = [f"tf{i}" for i in range(len(q))]
+    tok = F.col(tok_col(field_name))
+    slim = cut_lineage(with_tokens(df.select(id_col, field_name), [field_name]).select(
+        id_col, F.greatest(F.size(tok), F.lit(0)).cast("double").alias("dl"),
+        *[F.coalesce(F.size(tok) - F.size(F.array_remove(tok, F.lit(t))), F.lit(0)).alias(c) for t, c in zip(q, terms)]))
+    any_term = reduce(lambda a, b: a | b, [F.col(c) > 0 for c in terms], F.lit(False))
+    st = slim.agg(F.count(F.lit(1)).alias("n"), F.avg("dl").alias("avgdl"), F.count_if(any_term).alias("total"),
+                  *[F.count_if(F.col(c) > 0).alias(c) for c in terms]).first()
+    score, avgdl = F.lit(0.0), st["avgdl"] or 1.0
+    for c in terms:
+        idf = math.log(1 + (st["n"] - st[c] + 0.5) / (st[c] + 0.5))
+        tf = F.col(c).cast("double")
+        score = score + F.lit(idf) * (tf * F.lit(K1 + 1) / (tf + F.lit(K1) * (F.lit(1 - B) + F.lit(B) * F.col("dl") / F.lit(avgdl))))
+    top = slim.filter(any_term).select(id_col, score.alias("score")).orderBy(F.desc("score"), F.asc(id_col)).limit(k)
+    return df.join(F.broadcast(top), id_col).orderBy(F.desc("score"), F.asc(id_col)), st["total"]
 
 
 def term_score(field_name: str, value, stats: CorpusStats) -> Column:

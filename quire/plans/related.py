@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quire.functions.text import category_url
-from quire.operators.pairs import cosine_topk
+from quire.operators.pairs import cosine_topk_between
+from quire.session import cut_lineage
 
 # Related articles per article and the similarity threshold.
 RELATED_K = 3
@@ -23,15 +24,19 @@ def related_articles(current: DataFrame, earlier: DataFrame, done: DataFrame, id
     above ``threshold`` count. reference: the original ranking, i.e. all
     candidates including the article itself, similarities at or below the
     threshold set to 0 but still ranked (ties by id), ranks 2..k+1 kept.
+
+    Only not-done articles are compared, each with the whole pool. Articles
+    without a vector have no related ones and are none.
     """
     pool = current.unionByName(earlier, allowMissingColumns=True)
+    todo = current.join(done, "pid", "left_anti").select(F.col(id_col).alias("a"), "pid")
+    left = cut_lineage(current.join(done, "pid", "left_anti").select(id_col, vec_col))
     if mode == "default":
-        rel = cosine_topk(pool, id_col, vec_col, k, threshold=threshold)
+        rel = cosine_topk_between(left, pool, id_col, vec_col, k, threshold=threshold)
     elif mode == "reference":
-        rel = cosine_topk(pool, id_col, vec_col, k + 1, include_self=True, clamp=threshold)
+        rel = cosine_topk_between(left, pool, id_col, vec_col, k + 1, include_self=True, clamp=threshold)
         rel = rel.filter(F.col("rank").between(2, k + 1))
     else:
         raise ValueError(f"unknown mode {mode!r}")
     url = pool.select(F.col(id_col).alias("b"), category_url(F.col("category"), F.col("pid")).alias("related_url"))
-    todo = current.join(done, "pid", "left_anti").select(F.col(id_col).alias("a"), "pid")
     return rel.join(todo, "a").join(url, "b").select("pid", "rank", "related_url", "sim")
