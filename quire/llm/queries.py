@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quire.llm import bpe, chat, counts, decontam, extract, jaccard, langid, quality, spans, suffix
+from quire.llm.oracle import ORACLE as ORACLE
 from quire.session import prepare
 from quire.sources.tables import table
 
@@ -88,4 +89,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_substring_dedup, op2_quality_rules, op3_language_id, op4_ngram_jaccard, op5_decontamination,
                             op6_bpe, op7_suffix_array_dedup, op8_html_extraction, op9_token_counts, op10_chat_formatting)
 }
-ORACLE: dict[str, str] = {}
