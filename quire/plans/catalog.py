@@ -135,14 +135,34 @@ def _scored_clusters(spark, sf, eps=None):
 
 
 def q_cluster_rank_by_source(spark: SparkSession, sf: str) -> DataFrame:
-    """The ranking chain run per source (as per day in production): eps is
-    chosen inside every source and neighbours never cross sources."""
+    """The ranking chain run per source (as per day in production): eps,
+    positions, quantile and ranks are each source's own, and neighbours never
+    cross sources."""
     prepare(spark)
-    from quire.plans.digest import rank_groups, tag_cluster_score
+    from quire.plans.digest import rank_groups
+    g = rank_groups(_scored_by_source(spark, sf), group_col="category")
+    return g.select("category", "cluster", _r("total").alias("total"), _r("top").alias("top"), "group_rank")
+
+
+def _scored_by_source(spark, sf):
+    from quire.plans.digest import tag_cluster_score
     a = articles(spark, sf, with_embeddings=True)
-    scored, _ = tag_cluster_score(a, DEMO_KEYWORDS, band=BAND, exclude_pattern=DEMO_EXCLUDE, group_col="category")
-    g = rank_groups(scored)
-    return g.select("cluster", _r("total").alias("total"), _r("top").alias("top"), "group_rank")
+    return tag_cluster_score(a, DEMO_KEYWORDS, band=BAND, exclude_pattern=DEMO_EXCLUDE, group_col="category")[0]
+
+
+def q_digest_by_source(spark: SparkSession, sf: str) -> DataFrame:
+    """What each source's digest is made of: the picked articles of its ranked
+    clusters (E2, E3), then its best single ones up to its own quota (E4)."""
+    prepare(spark)
+    from quire.plans.digest import pick_in_groups, pick_singles_by_group, rank_groups
+    from quire.session import cut_lineage
+    s = cut_lineage(_scored_by_source(spark, sf).select("category", "cluster", "pid", "sort_cri"))
+    ranked = cut_lineage(rank_groups(s, group_col="category"))
+    picks = pick_in_groups(s, ranked).select("category", "cluster", F.col("group_rank").cast("long").alias("group_rank"),
+                                             F.col("in_rank").cast("long").alias("in_rank"), "pid")
+    singles = pick_singles_by_group(s, ranked, "category").select(
+        "category", "cluster", F.lit(None).cast("long").alias("group_rank"), F.col("single_rank").cast("long").alias("in_rank"), "pid")
+    return picks.unionByName(singles)
 
 
 def q_singles(spark: SparkSession, sf: str) -> DataFrame:
@@ -513,6 +533,7 @@ QUERIES = {
     "q_singles": q_singles,
     "q_photo_count": q_photo_count,
     "q_cluster_rank_by_source": q_cluster_rank_by_source,
+    "q_digest_by_source": q_digest_by_source,
     "q_cluster_pick_fixed": q_cluster_pick_fixed,
     "q_match": q_match,
     "q_term": q_term,

@@ -60,8 +60,11 @@ def tag_cluster_score(df: DataFrame, keywords: Iterable[str], eps: float | None
                                   group_col, band[0], band[1])
         a = a.join(per, group_col, "left")
         a = dbscan(a, "position", "embeddings", None, name="cluster", group_col=group_col, eps_col="eps")
-        return article_score(a.withColumn("position_score", F.log1p(F.col("position").cast("double"))),
-                             weights), float("nan")
+        # the score's position counts inside the group, as each day is a run of its own
+        a = rank_within(a, group_col, [F.col(c) for c in order], "position_in_group", None,
+                        slim=list(dict.fromkeys([group_col, "position", *order])), unique=["position"])
+        place = F.col("position_in_group").cast("double") - 1
+        return article_score(a.withColumn("position_score", F.log1p(place)), weights), float("nan")
     # one count of the (checkpointed) table sets the block count of both pair jobs
     blocks = choose_blocks(a.sparkSession, a.count())
     if eps is None:
@@ -72,10 +75,13 @@ def tag_cluster_score(df: DataFrame, keywords: Iterable[str], eps: float | None
     return article_score(a, weights), eps
 
 
-def rank_groups(scored: DataFrame, quantile: float = GROUP_QUANTILE) -> DataFrame:
+def rank_groups(scored: DataFrame, quantile: float = GROUP_QUANTILE, group_col: str | None = None) -> DataFrame:
     """Cluster totals (D1), strict quantile cut (B12, D2) and order (E8, F2):
     (cluster, total, top, group_rank). One cluster alone equals its own
-    quantile and is therefore dropped, as in the original rule."""
+    quantile and is therefore dropped, as in the original rule. With
+    ``group_col`` (a day) totals are cut and ranked inside each group."""
+    if group_col:
+        return _rank_in_groups(scored, quantile, group_col)
     # clustered rows only (B10); noise rows are the singles below
     groups = (scored.filter(F.col("cluster") > -1).groupBy("cluster")
                     # rounded: the last digits of a float sum vary with the partitioning
@@ -96,10 +102,22 @@ def rank_groups(scored: DataFrame, quantile: float = GROUP_QUANTILE) -> DataFram
     return ranked.filter(F.col("total") > F.lit(threshold))
 
 
+def _rank_in_groups(scored: DataFrame, quantile: float, group_col: str) -> DataFrame:
+    """rank_groups inside each value of ``group_col``: the exact interpolated
+    quantile is one aggregate, the ranks are skew-safe in-group ranks."""
+    totals = cut_lineage(scored.filter(F.col("cluster") > -1).groupBy(group_col, "cluster")
+                         .agg(F.round(F.sum("sort_cri"), 9).alias("total"), F.round(F.max("sort_cri"), 9).alias("top")))
+    bound = totals.groupBy(group_col).agg(F.round(F.percentile("total", F.lit(quantile)), 9).alias("_bound"))
+    ranked = rank_within(totals, group_col, [F.desc("total"), F.desc("top"), F.asc("cluster")], "_rank", None)
+    kept = ranked.join(bound, group_col).filter(F.col("total") > F.col("_bound"))
+    return kept.select(group_col, "cluster", "total", "top", (F.col("_rank") - 1).alias("group_rank"))
+
+
 def pick_in_groups(scored: DataFrame, groups: DataFrame) -> DataFrame:
     """Rows of ranked groups, best first; a group of fewer than 4 keeps all,
     otherwise floor(size / 2) (E2, E3). The in-group rank comes from
     ``rank_within`` so one very large cluster is still spread over tasks."""
+    # the groups are few rows beside the articles; a hot cluster stays splittable in this join
     g = scored.join(groups.select("cluster", "group_rank"), "cluster", "inner")
     g = rank_within(g, "cluster", [F.desc("sort_cri"), F.asc("pid")], "in_rank", "size",
                     slim=["cluster", "sort_cri", "pid"], unique=["pid"])
@@ -112,6 +130,17 @@ def singles_quota(n_groups: int) -> int:
     return 25 - n_groups if n_groups < 25 else 5
 
 
+def pick_singles_by_group(scored: DataFrame, ranked: DataFrame, group_col: str) -> DataFrame:
+    """pick_singles inside each value of ``group_col``; ``ranked`` are its ranked
+    clusters, whose number sets the group's quota."""
+    n = F.coalesce(F.col("_n"), F.lit(0))
+    counts = ranked.groupBy(group_col).agg(F.count(F.lit(1)).alias("_n"))
+    noise = rank_within(scored.filter(F.col("cluster") < 0), group_col, [F.desc("sort_cri"), F.asc("pid")], "single_rank", None,
+                        slim=[group_col, "sort_cri", "pid"], unique=["pid"])
+    return noise.join(counts, group_col, "left").filter(
+        F.col("single_rank") <= F.when(n < 25, F.lit(25) - n).otherwise(F.lit(5))).drop("_n")
+
+
 def pick_singles(scored: DataFrame, n_groups: int) -> DataFrame:
     """Best noise rows up to the quota (top-k by score, ties by pid)."""
     m = singles_quota(n_groups)

@@ -283,7 +283,7 @@ GROUPED_DIGEST = f"""{ARTICLES_CTE},
 art AS (SELECT a.*, e.embedding AS embeddings FROM articles a LEFT JOIN embeddings e ON a.doc_id = e.vec_id
         WHERE NOT regexp_matches(a.article, '^(Der|Le) ')),
 {KW_SQL.replace('FROM articles', 'FROM art')},
-posd AS (SELECT *, row_number() OVER (ORDER BY dt, pid) - 1 AS position FROM tagged),
+posd AS (SELECT *, row_number() OVER (ORDER BY dt, pid) - 1 AS position, row_number() OVER (PARTITION BY category ORDER BY dt, pid) - 1 AS gpos FROM tagged),
 pairs AS (
   SELECT x.position AS a, y.position AS b, x.category,
          list_distance(cast(x.embeddings AS DOUBLE[]), cast(y.embeddings AS DOUBLE[])) AS dist
@@ -311,14 +311,27 @@ eps AS (SELECT category, d AS eps FROM (
 clus AS (SELECT p.*, coalesce(l.cluster, -1) AS cluster FROM posd p
          LEFT JOIN comp c ON p.position = c.node LEFT JOIN lab l ON c.root = l.root),
 scored AS (SELECT *, in_keywords * 0.2 + focus * 0.4 + extender * 0.15 + attachments * 0.15
-                     + ln(1 + position) * 0.05 AS sort_cri FROM clus),
-groups AS (SELECT cluster, sum(sort_cri) AS total, max(sort_cri) AS top FROM scored
-           WHERE cluster > -1 GROUP BY cluster),
-kept AS (SELECT *, row_number() OVER (ORDER BY total DESC, top DESC, cluster) - 1 AS group_rank
-         FROM groups WHERE total > (SELECT quantile_cont(total, 0.2) FROM groups))"""
+                     + ln(1 + gpos) * 0.05 AS sort_cri FROM clus),
+groups AS (SELECT category, cluster, round(sum(sort_cri), 9) AS total, round(max(sort_cri), 9) AS top FROM scored
+           WHERE cluster > -1 GROUP BY category, cluster),
+bound AS (SELECT category, round(quantile_cont(total, 0.2), 9) AS q FROM groups GROUP BY category),
+kept AS (SELECT g.*, row_number() OVER (PARTITION BY g.category ORDER BY total DESC, top DESC, cluster) - 1 AS group_rank
+         FROM groups g JOIN bound b ON b.category = g.category WHERE total > b.q)"""
+
+ORACLE["q_digest_by_source"] = f"""WITH RECURSIVE {GROUPED_DIGEST},
+g AS (SELECT s.category, s.cluster, k.group_rank, s.pid,
+             row_number() OVER (PARTITION BY s.cluster ORDER BY s.sort_cri DESC, s.pid) AS in_rank,
+             count(*) OVER (PARTITION BY s.cluster) AS size
+      FROM scored s JOIN kept k ON s.cluster = k.cluster),
+ng AS (SELECT category, count(*) AS n FROM kept GROUP BY category),
+sg AS (SELECT s.*, row_number() OVER (PARTITION BY s.category ORDER BY s.sort_cri DESC, s.pid) AS in_rank, coalesce(ng.n, 0) AS n
+       FROM scored s LEFT JOIN ng ON ng.category = s.category WHERE s.cluster < 0)
+SELECT category, cluster, cast(group_rank AS bigint) AS group_rank, in_rank, pid FROM g
+WHERE in_rank <= CASE WHEN size < 4 THEN size ELSE floor(size / 2) END
+UNION ALL SELECT category, cluster, NULL, in_rank, pid FROM sg WHERE in_rank <= CASE WHEN n < 25 THEN 25 - n ELSE 5 END"""
 
 ORACLE["q_cluster_rank_by_source"] = (f"WITH RECURSIVE {GROUPED_DIGEST} "
-    "SELECT cluster, round(total, 6) AS total, round(top, 6) AS top, group_rank FROM kept")
+    "SELECT category, cluster, round(total, 6) AS total, round(top, 6) AS top, group_rank FROM kept")
 
 
 ORACLE["q_singles"] = f"""WITH RECURSIVE {DIGEST_CTE_FIXED},
