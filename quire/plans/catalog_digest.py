@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quire.plans.enrich import digest_completer
 from quire.session import cut_lineage, prepare
 from quire.sources.tables import table
 
@@ -23,14 +22,17 @@ def q_extractive(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _group_bodies(picks: DataFrame) -> DataFrame:
-    """Per group: headlines in rank order (D9) and the body of the prompt."""
+    """Per group: headlines in rank order (D9) and the body of the prompt (K2, D8):
+    the notes of its picked articles, which are of bounded length each."""
+    from quire.plans.enrich import article_notes
+    picks = picks.join(article_notes(picks, "pid", "article"), "pid")
     # one aggregation (one pass over the picks) for all three outputs
-    items = F.sort_array(F.collect_list(F.struct("in_rank", "h1", "article")))
+    items = F.sort_array(F.collect_list(F.struct("in_rank", "h1", "notes")))
     g = picks.groupBy("cluster").agg(F.min("group_rank").alias("group_rank"), items.alias("_items"))
     return g.select(
         "cluster", "group_rank",
         F.array_join(F.transform("_items", lambda x: x["h1"]), " | ").alias("titles"),
-        F.array_join(F.transform("_items", lambda x: F.concat(x["h1"], F.lit("\n"), x["article"])),
+        F.array_join(F.transform("_items", lambda x: x["notes"]),
                      "\n\n").alias("body"))
 
 
@@ -38,7 +40,7 @@ def _versions(df: DataFrame, key: str) -> DataFrame:
     """Both prompt versions through the completer, one column each."""
     from quire.plans.enrich import complete, responses_to_columns, task_prompts
     prompts = task_prompts(df, key, "body", [(v, i) for v, i in DIGEST_VERSIONS])
-    return responses_to_columns(complete(prompts, key, digest_completer), key, [v for v, _ in DIGEST_VERSIONS])
+    return responses_to_columns(complete(prompts, key), key, [v for v, _ in DIGEST_VERSIONS])
 
 
 def _scored(spark, sf):
@@ -51,12 +53,13 @@ def q_prompt_group(spark: SparkSession, sf: str) -> DataFrame:
     from quire.plans.digest import pick_in_groups, rank_groups
     s = _scored(spark, sf)
     g = _group_bodies(pick_in_groups(s, rank_groups(s)))
-    return g.select("cluster", "group_rank", "titles", F.md5("body").alias("body_md5"))
+    return g.select("cluster", "group_rank", "titles", "body")
 
 
 def q_digest(spark: SparkSession, sf: str) -> DataFrame:
     """Digest rows (K12): ranked groups first, then the best single articles
-    up to the quota; each row has its headlines and both summary versions."""
+    up to the quota; each row has its headlines, both summary versions and
+    whether they could be made."""
     prepare(spark)
     from quire.plans.digest import pick_in_groups, pick_singles, rank_groups
     s = _scored(spark, sf)
@@ -66,15 +69,16 @@ def q_digest(spark: SparkSession, sf: str) -> DataFrame:
     gv = _versions(g.select(F.col("cluster").cast("string").alias("key"), "body"), "key")
     grows = g.select(F.col("cluster").cast("string").alias("key"), "group_rank", "titles").join(gv, "key") \
              .select(F.col("group_rank").alias("digest_rank"), F.lit("group").alias("kind"), "key", "titles",
-                     "ver1", "ver2")
+                     "ver1", "ver2", "status")
     singles = pick_singles(s, n_groups)
     # at most the quota (<= 25) rows here, so an unpartitioned window is bounded
     singles = singles.withColumn("srank", F.row_number().over(Window.orderBy(F.desc("sort_cri"), F.asc("pid"))) - 1)
-    sb = singles.select(F.col("pid").alias("key"), "srank", F.col("h1").alias("titles"),
-                        F.concat(F.col("h1"), F.lit("\n"), F.col("article")).alias("body"))
+    from quire.plans.enrich import article_notes
+    sb = singles.join(article_notes(singles, "pid", "article"), "pid").select(
+        F.col("pid").alias("key"), "srank", F.col("h1").alias("titles"), F.col("notes").alias("body"))
     sv = _versions(sb.select("key", "body"), "key")
     srows = sb.join(sv, "key").select((F.col("srank") + F.lit(n_groups)).alias("digest_rank"),
-                                      F.lit("single").alias("kind"), "key", "titles", "ver1", "ver2")
+                                      F.lit("single").alias("kind"), "key", "titles", "ver1", "ver2", "status")
     return grows.unionByName(srows)
 
 

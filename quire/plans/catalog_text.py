@@ -174,7 +174,29 @@ def q_stance(spark: SparkSession, sf: str) -> DataFrame:
     return ordered_concat(c, ["conv_id", "role"], ["turn"], F.col("text"), " ", "statements")
 
 
+def q_timeline_text(spark: SparkSession, sf: str) -> DataFrame:
+    """Dates taken from event texts, events merged per topic and day."""
+    prepare(spark)
+    from quire.plans.enrich import timeline
+    later = F.col("o_orderdate") + F.make_dt_interval(F.lit(5))
+    text = F.concat(F.date_format("o_orderdate", "yyyy年M月d日"), F.lit("下單 "), F.col("o_orderpriority"), F.lit("。沒有日期的一句。預計"),
+                    F.date_format(later, "yyyy年MM月dd日"), F.lit("出貨。"))
+    o = table(spark, sf, "orders").select(F.col("o_custkey").alias("tno"), "o_orderkey", text.alias("facts"))
+    return timeline(o, "tno", "facts", ["o_orderkey"])
+
+
+def q_stance_text(spark: SparkSession, sf: str) -> DataFrame:
+    """Parties parsed from lines of text, their words merged, one kind left out."""
+    prepare(spark)
+    from quire.plans.enrich import stances
+    said = F.concat(F.col("role"), F.lit("："), F.replace("text", F.lit("\n"), F.lit(" ")), F.lit("\n沒有說話者的一行"))
+    c = table(spark, sf, "conversations").select("conv_id", "turn", said.alias("stance"))
+    return stances(c, "conv_id", "stance", ["turn"], STANCE_EXCLUDE)
+
+
 TEXT_QUERIES = {
+    "q_timeline_text": q_timeline_text,
+    "q_stance_text": q_stance_text,
     "q_json_flatten": q_json_flatten,
     "q_requests": q_requests,
     "q_pos_filter": q_pos_filter,

@@ -12,7 +12,7 @@ are deterministic so results can be checked.
 
 from __future__ import annotations
 
-import hashlib
+import re
 import time
 from collections.abc import Callable
 
@@ -34,15 +34,36 @@ TOPIC_TASKS = [
     ("stance", "Merge the positions of each party across these article notes."),
 ]
 
+# The labels of an article's notes in a group prompt.
+NOTE_LABELS = [("事件摘要: ", "what_happen_200"), ("關鍵事件: ", "key_facts"), ("立場文: ", "stance")]
+
 Completer = Callable[[pd.DataFrame], pd.DataFrame]
 
 
-def digest_completer(batch: pd.DataFrame) -> pd.DataFrame:
-    """Deterministic stand-in for a model: md5 hex of the prompt text."""
-    out = batch.copy()
-    out["response"] = [hashlib.md5(p.encode("utf-8")).hexdigest() if p is not None else None
-                       for p in out["prompt"]]
-    return out
+# Sentences, and the form of each task's answer: characters in all, or
+# items of so many characters (of sentences that name a speaker, for stances).
+SENTENCE = re.compile(r"[^.!?\n]+[.!?]*")
+FORMS = {"what_happen_50": ("chars", 50), "what_happen_200": ("chars", 200), "key_facts": ("items", 100),
+         "stance": ("spoken", 100), "normal": ("chars", 200), "timeline": ("items", 100),
+         "ver1": ("chars", 200), "ver2": ("items", 100)}
+MAX_ITEMS = 5
+
+
+def answer(task: str, text: str) -> str:
+    """The built-in extractive answer (K6) to a task: its leading sentences in the task's form."""
+    form, size = FORMS.get(task, ("chars", 200))
+    found = [s for s in (m.strip(" ") for m in SENTENCE.findall(text)) if s]
+    if form == "chars":
+        return " ".join(found)[:size]
+    if form == "spoken":
+        found = [s for s in found if ":" in s or "：" in s or '"' in s]
+    return "\n".join(s[:size] for s in found[:MAX_ITEMS])
+
+
+def extractive_completer(batch: pd.DataFrame) -> pd.DataFrame:
+    """A stand-in for a model that takes its answers from the prompt's text."""
+    parts = [(p or "").split("\n\n", 1)[-1] for p in batch["prompt"]]
+    return batch.assign(response=[answer(t, x) for t, x in zip(batch["task"], parts)])
 
 
 def task_prompts(df: DataFrame, key: str, text_col: str,
@@ -57,7 +78,7 @@ def task_prompts(df: DataFrame, key: str, text_col: str,
                       .alias("prompt")))
 
 
-def complete(prompts: DataFrame, key: str, completer: Completer = digest_completer,
+def complete(prompts: DataFrame, key: str, completer: Completer = extractive_completer,
              retries: int = 3, backoff: float = 0.5) -> DataFrame:
     """Run the completer over the prompt table (K4): (key, task, prompt,
     response, status, error). When a batch fails its rows are called one by one,
@@ -106,6 +127,43 @@ def ordered_concat(df: DataFrame, group: list[str], order: list[Column | str], v
         F.array_join(F.transform(F.sort_array(F.collect_list(s)), lambda x: x["_v"]), sep).alias(name))
 
 
+# A date written in full, the sign between a party and its words, parties left out of stance tables.
+FULL_DATE = r"(?U)(\d{4})年(\d{1,2})月(\d{1,2})日"
+PARTY_LINE = r"^([^：]+)：(.+)$"
+LEFT_OUT = ["新聞媒體", "網友", "居民"]
+
+
+def dated_events(df: DataFrame, key: str, text_col: str, order: list[str]) -> DataFrame:
+    """(key, day, place..., event): the sentences of a text that name a full date."""
+    parts = F.filter(F.transform(F.split(F.col(text_col), r"[。\n]", -1), lambda x: F.trim(x)), lambda x: x != "")
+    each = df.select(key, *order, F.posexplode(parts).alias("place", "event"))
+    digits = lambda n: F.translate(F.regexp_extract("event", FULL_DATE, n), "０１２３４５６７８９", "0123456789")
+    day = F.try_to_date(F.concat_ws("-", digits(1), digits(2), digits(3)), "yyyy-M-d")
+    return each.withColumn("day", day).filter(F.col("day").isNotNull())
+
+
+def timeline(df: DataFrame, key: str, text_col: str, order: list[str]) -> DataFrame:
+    """(key, day, events): dated events merged per day."""
+    return ordered_concat(dated_events(df, key, text_col, order), [key, "day"], [*order, "place"], F.col("event"), " ", "events")
+
+
+def stances(df: DataFrame, key: str, text_col: str, order: list[str], left_out: list[str] | None = None) -> DataFrame:
+    """(key, party, statements): lines ``party：words`` merged per party, less the parties left out."""
+    each = df.select(key, *order, F.posexplode(F.split(F.col(text_col), "\n", -1)).alias("place", "line"))
+    said = each.select(key, *order, "place", F.trim(F.regexp_extract("line", PARTY_LINE, 1)).alias("party"),
+                       F.trim(F.regexp_extract("line", PARTY_LINE, 2)).alias("words"))
+    kept = said.filter((F.col("party") != "") & ~F.col("party").isin(LEFT_OUT if left_out is None else left_out))
+    return ordered_concat(kept, [key, "party"], [*order, "place"], F.col("words"), " ", "statements")
+
+
+def article_notes(df: DataFrame, key: str, text_col: str, completer: Completer = extractive_completer) -> DataFrame:
+    """(key, notes): what a group prompt says of an article: summary, key facts and stances (K2)."""
+    tasks = [t for t in ARTICLE_TASKS if t[0] != "what_happen_50"]
+    wide = responses_to_columns(complete(task_prompts(df, key, text_col, tasks), key, completer), key, [t[0] for t in tasks])
+    labelled = [F.concat(F.lit(label), F.coalesce(F.col(c), F.lit(""))) for label, c in NOTE_LABELS]
+    return wide.select(key, F.array_join(F.array(*labelled), "\n").alias("notes"))
+
+
 def fenced(label: Column, body: Column) -> Column:
     """A labelled, fenced block of text used inside topic prompts (K3)."""
     return F.concat(F.lit("### "), label, F.lit("\n```\n"), F.coalesce(body, F.lit("")), F.lit("\n```"))

@@ -1,11 +1,10 @@
 """DuckDB twins of the summary, group-prompt and digest queries."""
 
-from quire.plans.catalog_digest import DIGEST_VERSIONS
 from quire.plans.oracle import DIGEST_CTE
+from quire.plans.oracle_enrich import answer_sql
 
-
-def _q(s: str) -> str:
-    return "'" + s.replace("'", "''") + "'"
+NOTES = ("('事件摘要: ' || " + answer_sql("what_happen_200", "article") + " || chr(10) || '關鍵事件: ' || "
+         + answer_sql("key_facts", "article") + " || chr(10) || '立場文: ' || " + answer_sql("stance", "article") + ")")
 
 
 EXTRACTIVE = r"""WITH raw AS (
@@ -24,30 +23,30 @@ rk AS (SELECT s.doc_id, s.sidx, s.sentence,
 SELECT doc_id, string_agg(substr(sentence, 1, 200), ' ' ORDER BY sidx) AS summary, count(*) AS n_sentences
 FROM rk WHERE rank = 1 OR cum <= 200 GROUP BY doc_id"""
 
-PICKS = """g AS (SELECT s.cluster, k.group_rank, s.pid, s.h1, s.article,
+PICKS = f"""g AS (SELECT s.cluster, k.group_rank, s.pid, s.h1, {NOTES} AS notes,
              row_number() OVER (PARTITION BY s.cluster ORDER BY s.sort_cri DESC, s.pid) AS in_rank,
              count(*) OVER (PARTITION BY s.cluster) AS size
       FROM scored s JOIN kept k ON s.cluster = k.cluster),
 picks AS (SELECT * FROM g WHERE in_rank <= CASE WHEN size < 4 THEN size ELSE floor(size / 2) END),
 gb AS (SELECT cluster, min(group_rank) AS group_rank, string_agg(h1, ' | ' ORDER BY in_rank) AS titles,
-              string_agg(h1 || chr(10) || article, chr(10) || chr(10) ORDER BY in_rank) AS body
+              string_agg(notes, chr(10) || chr(10) ORDER BY in_rank) AS body
        FROM picks GROUP BY cluster)"""
 
 
 def _ver(body: str) -> str:
-    return ", ".join(f"md5({_q(i)} || chr(10) || chr(10) || {body}) AS {v}" for v, i in DIGEST_VERSIONS)
+    return f"{answer_sql('ver1', body)} AS ver1, {answer_sql('ver2', body)} AS ver2, 'ok' AS status"
 
 
 ORACLE_DIGEST = {
     "q_extractive": EXTRACTIVE,
-    "q_prompt_group": f"WITH RECURSIVE {DIGEST_CTE}, {PICKS} SELECT cluster, group_rank, titles, md5(body) AS body_md5 FROM gb",
+    "q_prompt_group": f"WITH RECURSIVE {DIGEST_CTE}, {PICKS} SELECT cluster, group_rank, titles, body FROM gb",
     "q_digest": f"""WITH RECURSIVE {DIGEST_CTE}, {PICKS},
 ng AS (SELECT count(*) AS n FROM kept),
-sg AS (SELECT pid, h1, article, row_number() OVER (ORDER BY sort_cri DESC, pid) - 1 AS srank
+sg AS (SELECT pid, h1, {NOTES} AS notes, row_number() OVER (ORDER BY sort_cri DESC, pid) - 1 AS srank
        FROM scored WHERE cluster < 0)
 SELECT group_rank AS digest_rank, 'group' AS kind, cast(cluster AS varchar) AS key, titles, {_ver('body')} FROM gb
 UNION ALL
 SELECT srank + (SELECT n FROM ng) AS digest_rank, 'single' AS kind, pid AS key, h1 AS titles,
-       {_ver("h1 || chr(10) || article")}
+       {_ver("notes")}
 FROM sg WHERE srank < (SELECT CASE WHEN n < 25 THEN 25 - n ELSE 5 END FROM ng)""",
 }

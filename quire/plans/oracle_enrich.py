@@ -8,6 +8,19 @@ def _q(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
 
+def answer_sql(task: str, text: str) -> str:
+    """Leading sentences in the form of a task: 50 or 200 characters, or five items of 100."""
+    s = (f"list_filter(list_transform(regexp_extract_all(coalesce({text}, ''), '[^.!?\\n]+[.!?]*'), lambda x: trim(x)), "
+         "lambda y: y <> '')")
+    if task == "what_happen_50":
+        return f"substr(array_to_string({s}, ' '), 1, 50)"
+    if task in ("what_happen_200", "normal", "ver1"):
+        return f"substr(array_to_string({s}, ' '), 1, 200)"
+    if task == "stance":
+        s = f"list_filter({s}, lambda z: contains(z, ':') OR contains(z, '：') OR contains(z, '\"'))"
+    return f"array_to_string(list_transform(({s})[1:5], lambda u: substr(u, 1, 100)), chr(10))"
+
+
 def _prompt(instr: str, body: str) -> str:
     return f"({_q(instr)} || chr(10) || chr(10) || coalesce({body}, ''))"
 
@@ -59,16 +72,22 @@ FROM d""",
     "q_prompt_articles": "SELECT doc_id, task, md5(p) AS prompt_md5, cast(length(p) AS integer) AS prompt_len FROM ("
         + " UNION ALL ".join(f"SELECT doc_id, {_q(t)} AS task, {_prompt(i, 'text')} AS p FROM documents"
                              for t, i, _ in ARTICLE_TASKS) + ") x",
-    "q_enrich_pivot": "SELECT doc_id, " + ", ".join(f"md5({_prompt(i, 'text')}) AS {t}" for t, i, _ in ARTICLE_TASKS)
+    "q_enrich_pivot": "SELECT doc_id, " + ", ".join(f"{answer_sql(t, 'text')} AS {t}" for t, i, _ in ARTICLE_TASKS)
         + ", 'ok' AS status, '' AS error FROM documents",
     "q_topic_abstract": f"""WITH n AS (
   SELECT conv_id, string_agg({FENCED}, chr(10) ORDER BY turn) AS notes, count(*) AS article_num
   FROM conversations GROUP BY conv_id)
-SELECT conv_id, """ + ", ".join(f"md5({_prompt(i, 'notes')}) AS {t}" for t, i in TOPIC_TASKS)
+SELECT conv_id, """ + ", ".join(f"{answer_sql(t, 'notes')} AS {t}" for t, i in TOPIC_TASKS)
         + ", 'ok' AS status, '' AS error, article_num, timestamp '2024-02-01 00:00:00' AS update_dt FROM n",
     "q_timeline": """SELECT user_id AS tno, cast(ts AS date) AS day,
   string_agg(event_type || ' ' || cast(cast(round(value * 100) AS bigint) AS varchar), ' ' ORDER BY ts, event_id) AS events
 FROM events GROUP BY user_id, cast(ts AS date)""",
+    "q_timeline_text": """SELECT o_custkey AS tno, day, string_agg(event, ' ' ORDER BY o_orderkey, place) AS events FROM (
+  SELECT o_custkey, o_orderkey, 0 AS place, cast(o_orderdate AS date) AS day, strftime(o_orderdate, '%Y年%-m月%-d日') || '下單 ' || o_orderpriority AS event FROM orders
+  UNION ALL SELECT o_custkey, o_orderkey, 2, cast(o_orderdate + INTERVAL 5 DAY AS date), '預計' || strftime(o_orderdate + INTERVAL 5 DAY, '%Y年%m月%d日') || '出貨' FROM orders) t
+GROUP BY o_custkey, day""",
+    "q_stance_text": """SELECT conv_id, role AS party, string_agg(trim(replace(text, chr(10), ' ')), ' ' ORDER BY turn) AS statements
+FROM conversations WHERE role <> 'system' AND trim(replace(text, chr(10), ' ')) <> '' GROUP BY conv_id, role""",
     "q_stance": """SELECT conv_id, role, string_agg(text, ' ' ORDER BY turn) AS statements
 FROM conversations WHERE role NOT IN ('system') GROUP BY conv_id, role""",
 }

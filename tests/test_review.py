@@ -153,3 +153,22 @@ def test_absent_columns_get_defaults(spark):
     from quire.sources.tables import article_columns
     got = article_columns(spark.createDataFrame([("p", None)], "pid string, h1 string")).first()
     assert (got.pid, got.h1, got.focus, got.category, got.embeddings) == ("p", "", 0, "", None)
+
+
+def test_answers_keep_their_limits():
+    from quire.plans.enrich import answer
+    text = "First one is here. " + "long " * 100 + ". He said: no. " + "A. " * 10
+    assert len(answer("what_happen_50", text)) <= 50 and len(answer("what_happen_200", text)) <= 200
+    assert answer("stance", text) == "He said: no."
+    items = answer("key_facts", text).split("\n")
+    assert len(items) == 5 and all(len(x) <= 100 for x in items)
+    assert answer("ver1", "") == ""
+
+
+def test_dates_and_parties_from_text(spark):
+    from quire.plans.enrich import stances, timeline
+    df = spark.createDataFrame([(1, 1, "2024年1月5日甲。無日。２０２４年１月４日乙\n2024年1月5日丙。2024年13月5日丁"),
+                                (1, 2, "部長：不行\n網友：好\n部長：再看\n沒有說話者")], "k long, o long, t string")
+    got = {str(r.day): r.events for r in timeline(df, "k", "t", ["o"]).collect()}
+    assert got == {"2024-01-04": "２０２４年１月４日乙", "2024-01-05": "2024年1月5日甲 2024年1月5日丙"}
+    assert [(r.party, r.statements) for r in stances(df, "k", "t", ["o"]).collect()] == [("部長", "不行 再看")]
