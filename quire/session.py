@@ -8,6 +8,9 @@ import tempfile
 from pyspark.sql import DataFrame, SparkSession
 
 _CHECKPOINT_KEY = "spark.checkpoint.dir"
+_ARROW_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+#: Batches to Python by size, not by number of rows: long texts then need no more memory than short ones.
+ARROW_BYTES = 2 << 20
 
 
 def build_session(master: str | None = None, app: str = "quire",
@@ -47,6 +50,7 @@ def prepare(spark: SparkSession) -> SparkSession:
     """Settings every query relies on: UTC session time, a checkpoint dir,
     and this package shipped to the executors' Python workers."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    spark.conf.set(_ARROW_BYTES, str(ARROW_BYTES))
     checkpoint_dir(spark)
     ship_package(spark)
     return spark
