@@ -42,8 +42,9 @@ from pyspark.sql import types as T
 
 SHORT = 256
 PIECE = 1 << 18
-AHEAD = 1 << 21
-CACHED = 800_000
+AHEAD = 1 << 19
+#: Pieces of text whose ids a worker keeps, some 200 bytes each.
+CACHED = 200_000
 _NONE = 1 << 60
 
 # Fixed value: the pre-token pattern that a byte-level tokenizer file means by "use_regex".
@@ -90,7 +91,6 @@ class Merges:
         self._split = regex.compile("|".join(regex.escape(s) for s in sorted(self.special, key=len, reverse=True))) if self.special else None
         self.spaced = _Pieces(self, " ")
         self.plain = _Pieces(self, "")
-        self._pretokens: dict[str, bytes] = {}
         self._table()
 
     def merge(self, data: bytes) -> list[int]:
@@ -173,21 +173,26 @@ class Merges:
         new: set[str] = set()
         for text in texts:
             new.update(_pieces(text)[1:])
-        known, spaced = self._pretokens, self.spaced
-        if len(spaced) > CACHED:
-            spaced.clear()
-        if len(known) > CACHED:
-            known.clear()
+        spaced, plain = self.spaced, self.plain
+        for kept in (spaced, plain):
+            if len(kept) > CACHED:
+                kept.clear()
         found = [(p, _PRETOKEN.findall(" " + p)) for p in new if p not in spaced and len(p) <= 64]
-        words = list({w for _, some in found for w in some if w not in known})
-        known.update(zip(words, self.merge_many([w.encode("utf-8", "replace") for w in words])))
-        spaced.update((p, known[some[0]] if len(some) == 1 else b"".join([known[w] for w in some])) for p, some in found)
+        # a pre-token is itself a piece: with a space before it, or at a text's beginning
+        kept_as = lambda w: (spaced, w[1:]) if w[0] == " " and len(w) > 1 else (plain, w)
+        words = list({w for _, some in found for w in some if (k := kept_as(w))[1] not in k[0]})
+        for w, ids in zip(words, self.merge_many([w.encode("utf-8", "replace") for w in words])):
+            kept, name = kept_as(w)
+            kept[name] = ids
+        for p, some in found:
+            if len(some) > 1:
+                spaced[p] = b"".join([(k := kept_as(w))[0][k[1]] for w in some])
 
     def beside(self, left: int | None, right: int) -> bool:
         """Whether two tokens can be neighbours in an encoding (left None: right begins it)."""
         known = self._beside.get((left, right))
         if known is None:
-            if len(self._beside) > CACHED:
+            if len(self._beside) > CACHED // 4:
                 self._beside.clear()
             want = [right] if left is None else [left, right]
             known = self._beside[left, right] = self.merge(b"".join(self.bytes_of[t] for t in want)) == want
@@ -195,17 +200,11 @@ class Merges:
 
     def pretoken(self, text: str) -> bytes:
         """Ids of a whole pre-token, four bytes each."""
-        got = self._pretokens.get(text)
-        if got is None:
-            data = text.encode("utf-8", "replace")
-            if len(data) > SHORT:
-                run = Run(self)
-                return np.array([*run.feed(data), *run.finish()], "<u4").tobytes()
-            got = np.array(self.merge(data), "<u4").tobytes()
-            if len(self._pretokens) > CACHED:
-                self._pretokens.clear()
-            self._pretokens[text] = got
-        return got
+        data = text.encode("utf-8", "replace")
+        if len(data) > SHORT:
+            run = Run(self)
+            return np.array([*run.feed(data), *run.finish()], "<u4").tobytes()
+        return np.array(self.merge(data), "<u4").tobytes()
 
     def stretch(self, text: str) -> bytes:
         """Ids of text that begins and ends between pre-tokens."""
@@ -404,7 +403,7 @@ def merges_of(path: str) -> Merges:
 
 
 def _known(m: Merges, texts: pa.Array) -> Iterator[str]:
-    """The texts, their pieces learnt some two million characters ahead."""
+    """The texts, their pieces learnt some half a million characters ahead."""
     held, size = [], 0
     for t in texts:
         held.append(t.as_py() or "")

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 BATCH_BYTES = 1 << 20
-CACHED = 1_000_000
+CACHED = 500_000
 LONGEST = 64  # characters of a piece that is kept
 
 _BREAK = re.compile(r" (?=\S)")

@@ -39,7 +39,7 @@ from quire.session import cut_lineage
 MIN_SENTENCES = 2
 MIN_WORDS = 20
 #: Runs that a task holds before it sends them on.
-HELD = 500_000
+HELD = 200_000
 
 _END = re.compile(rb"(?:[.!?]+[\"')\]]*(?=\s)|\xe3\x80\x82|\xef\xbc\x81|\xef\xbc\x9f)\s*|\n\s*")
 PLACES = "key long, id long, fp long, lo long, hi long, later boolean"
