@@ -109,49 +109,50 @@ def _blocks(benchmark: DataFrame, id_col: str, text_col: str) -> Iterator[list[t
             block, size = [], 0
         block.append((item, text))
         size += new
-    if block:
-        yield block
+    yield block  # an empty benchmark is one empty block
 
 
 _HIT = T.StructType([T.StructField("n_words", T.LongType()), T.StructField("spans", T.ArrayType(T.ArrayType(T.LongType()))),
-                     T.StructField("items", T.ArrayType(T.StringType())), T.StructField("places", T.ArrayType(T.ArrayType(T.LongType())))])
+                     T.StructField("items", T.ArrayType(T.StringType())), T.StructField("places", T.ArrayType(T.ArrayType(T.LongType()))), T.StructField("rest", T.StringType())])
 _ARROW = pa.struct([("n_words", pa.int64()), ("spans", pa.list_(pa.list_(pa.int64()))),
-                    ("items", pa.list_(pa.string())), ("places", pa.list_(pa.list_(pa.int64())))])
+                    ("items", pa.list_(pa.string())), ("places", pa.list_(pa.list_(pa.int64()))), ("rest", pa.string())])
 
 
-def _scanner(known):
+def _scanner(known, rest: bool):
     @F.arrow_udf(_HIT)
     def scan(texts: pa.Array) -> pa.Array:
         w, out = known.value, []
-        for _, some in groups(texts, 1 << 19):
-            for n, spans, items, places in w.scan(some):
-                out.append({"n_words": n, "spans": spans, "items": [w.ids[i] for i in sorted(items)], "places": places})
+        for at, some in groups(texts, 1 << 18):
+            for k, (n, spans, items, places) in enumerate(w.scan(some)):
+                left = None
+                if rest and texts[at + k].is_valid:
+                    left = (without(some[k], places) if places else some[k]).decode("utf-8", "replace")
+                out.append({"n_words": n, "spans": spans, "items": [w.ids[i] for i in sorted(items)], "places": places, "rest": left})
         return pa.array(out, _ARROW)
     return scan
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id",
-                  item_text: str = "text", n: int = WINDOW, out: str = "hits") -> DataFrame:
+                  item_text: str = "text", n: int = WINDOW, out: str = "hits", rest: bool = False) -> DataFrame:
     """``docs`` with a column ``out``: n_words, spans (hit words, [from, to) and
-    merged), items (ids with occurring windows, sorted) and places (the spans as byte offsets)."""
+    merged), items (ids with occurring windows, sorted), places (the spans as byte
+    offsets) and, if ``rest`` is asked for, the text without them."""
     spark = docs.sparkSession
     text = F.col(text_col).cast("string")
     cols = []
     df = docs
     for block in _blocks(benchmark, item_col, item_text):
         col = fresh(df, f"block_{len(cols)}")
-        df = df.withColumn(col, _scanner(spark.sparkContext.broadcast(Windows(block, n)))(text))
-        cols.append(col)
-    if not cols:
-        col = fresh(df, "block_0")
-        df = df.withColumn(col, _scanner(spark.sparkContext.broadcast(Windows([], n)))(text))
+        known = spark.sparkContext.broadcast(Windows(block, n))
+        df = df.withColumn(col, _scanner(known, rest and len(cols) == 0)(text))
         cols.append(col)
     if len(cols) == 1:
         return df.withColumn(out, F.col(cols[0])).drop(cols[0])
     both = lambda f: F.concat(*[F.col(f"{c}.{f}") for c in cols])
     return df.withColumn(out, F.struct(F.col(f"{cols[0]}.n_words"), _merged(both("spans")).alias("spans"),
                                        F.array_sort(F.array_distinct(both("items"))).alias("items"),
-                                       _merged(both("places")).alias("places"))).drop(*cols)
+                                       _merged(both("places")).alias("places"),
+                                       (cut(text, _merged(both("places"))) if rest else F.lit(None)).alias("rest"))).drop(*cols)
 
 
 @F.arrow_udf(T.ArrayType(T.ArrayType(T.LongType())))
@@ -191,9 +192,8 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, remove: str = "spans",
     words out and drops a document only if nothing remains of it."""
     out = fresh(docs, "hits")
     names = [F.col(f"`{c}`") for c in docs.columns]
-    found = contamination(docs, benchmark, text_col, out=out, **named)
-    if remove == "documents":
-        return found.filter(F.size(f"{out}.spans") == 0).select(*names)
+    found = contamination(docs, benchmark, text_col, out=out, rest=remove == "spans", **named)
     hit = F.size(f"{out}.spans") > 0
-    body = cut(F.col(text_col).cast("string"), F.col(f"{out}.places"))
-    return found.withColumn(text_col, body).filter(~hit | (F.length(text_col) > 0)).select(*names)
+    if remove == "documents":
+        return found.filter(~hit).select(*names)
+    return found.withColumn(text_col, F.col(f"{out}.rest")).filter(~hit | (F.length(text_col) > 0)).select(*names)
