@@ -98,8 +98,9 @@ def best_paths(messages: DataFrame, branches: int | None = 1) -> DataFrame:
     total, moving = nodes.count(), step.filter("above is not null").count()
     while moving and 1 << (len(jumps) - 1) <= total:  # only a cycle goes on for longer
         far = step.select("conv", F.col("msg").alias("above"), F.col("above").alias("next"), F.col("way").alias("more"))
-        both = step.join(far, ["conv", "above"], "left")
-        step = cut_lineage(both.select("conv", "msg", F.col("next").alias("above"), (F.col("way") + F.coalesce("more", F.lit(0.0))).alias("way")))
+        going = step.filter("above is not null").join(far, ["conv", "above"])  # who has come to a root is left alone
+        further = going.select("conv", "msg", F.col("next").alias("above"), (F.col("way") + F.col("more")).alias("way"))
+        step = cut_lineage(step.filter("above is null").unionByName(further))
         jump = step.filter("above is not null").select("conv", "msg", "above")
         moving = jump.count()
         if moving:
