@@ -18,7 +18,8 @@ levels, each a Spark stage:
    are complete as a set has more filled groups than D; where chance could leave
    fewer, in small bands, several independent dealings are used, so that a miss
    is as unlikely as a clash of two 64-bit hashes.)
-2. Boxes. In a cell, points (64 coarse group counts) are packed by size into
+2. Boxes. In a cell, points (``dims`` coarse group counts: 64 will do for 90
+   percent, lower thresholds need more to tell long texts apart) are packed by size into
    boxes; box pairs, then point pairs, survive only if sizes and summed minima
    allow a link. What survives joins the cell's classes into candidate groups.
    A cell over CELL classes is not pruned but taken whole, as one group.
@@ -137,13 +138,15 @@ def cell_keys(s: np.ndarray, bands: Bands) -> np.ndarray:
     return np.concatenate(out)
 
 
-def _points(words: int):
-    """(id, fp, n, sig, point): the point as 64 counts of two bytes, or four in very large sets."""
+def _points(words: int, dims: int):
+    """(id, fp, n, sig, point): the point as ``dims`` (a power of 2) counts of two bytes, or four in very large sets."""
+    shift = U64(64 - dims.bit_length() + 1)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at, texts in groups(batch.column("text"), 1 << 19):
                 sets = shingle_sets(texts, words)
-                points = [np.bincount((s >> U64(58)).astype(np.int64), minlength=DIMS) for s in sets]
+                points = [np.bincount((s >> shift).astype(np.int64), minlength=dims) for s in sets]
                 k = len(sets)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("id").slice(at, k), batch.column("fp").slice(at, k), pa.array([len(s) for s in sets], pa.int64()),
@@ -257,7 +260,7 @@ def box_join(n: np.ndarray, points: np.ndarray, percent: int) -> list[tuple[int,
             if (100 + percent) * np.minimum(top[i], top[j]).sum() < percent * (least[i] + least[j]):
                 continue
             c, d = boxes[j]
-            shared = np.minimum(points[a:b, None, :], points[None, c:d, :]).sum(-1)
+            shared = np.minimum(points[a:b, None, :], points[None, c:d, :]).sum(-1, dtype=np.int64)
             ok = ((100 + percent) * shared >= percent * (n[a:b, None] + n[None, c:d])) & (100 * n[a:b, None] >= percent * n[None, c:d])
             for x, y in np.argwhere(ok).tolist():
                 if a + x < c + y and forest.join(a + x, c + y):
@@ -290,7 +293,7 @@ def _runs(batches: Iterator[pa.RecordBatch], by: list[str]) -> Iterator[pa.Recor
         yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
 
 
-def _edges_of(percent: int):
+def _edges_of(percent: int, dims: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _runs(batches, ["cell"]):
             cell, sig, n = (batch.column(c).to_numpy() for c in ("cell", "sig", "n"))
@@ -298,7 +301,7 @@ def _edges_of(percent: int):
             start = np.flatnonzero(np.concatenate(([True], cell[1:] != cell[:-1])))
             a, b = [], []
             for lo, hi in zip(start.tolist(), [*start[1:].tolist(), len(cell)]):
-                points = np.array([np.frombuffer(p, "<u2" if len(p) == 2 * DIMS else "<u4") for p in point[lo:hi]], np.int64)
+                points = np.array([np.frombuffer(p, "<u2" if len(p) == 2 * dims else "<u4") for p in point[lo:hi]], np.int32)
                 for x, y in box_join(n[lo:hi], points, percent):
                     a.append(sig[lo + x])
                     b.append(sig[lo + y])
@@ -372,7 +375,7 @@ def _sets(words: int):
     return run
 
 
-def _tiles(classes: DataFrame, percent: int) -> DataFrame:
+def _tiles(classes: DataFrame, percent: int, shingles: int = TILE_SHINGLES) -> DataFrame:
     """(comp, pair, side, sig): every class of a candidate group in all tile pairs it takes
     part in. A tile is (size bin, number); sizes that can link are in the same or in
     neighbouring bins. Tiles are numbered within a group; a pair names two of them."""
@@ -380,7 +383,7 @@ def _tiles(classes: DataFrame, percent: int) -> DataFrame:
     size_bin = F.floor(F.log(F.col("n").cast("double")) / F.lit(ratio)).cast("int")
     binned = classes.withColumn("bin", size_bin)
     top = F.exp((F.col("bin") + 1) * F.lit(ratio))
-    room = F.greatest(F.lit(1), F.least(F.lit(TILE_DOCS), F.floor(F.lit(TILE_SHINGLES) / top)))
+    room = F.greatest(F.lit(1), F.least(F.lit(TILE_DOCS), F.floor(F.lit(shingles) / top)))
     counts = binned.groupBy("comp", "bin").agg(F.count("*").alias("size")).withColumn("tiles", F.ceil(F.col("size") / room).cast("int"))
     next_ = counts.select("comp", (F.col("bin") - 1).alias("bin"), F.col("tiles").alias("above"))
     before = counts.select("comp", (F.col("bin") + 1).alias("bin"), F.col("tiles").alias("below"))
@@ -400,11 +403,12 @@ def _tiles(classes: DataFrame, percent: int) -> DataFrame:
     return seen.select("comp", "v.pair", "v.side", "sig")
 
 
-def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT, n: int = N) -> DataFrame:
+def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT, n: int = N,
+                       dims: int = DIMS, tile: int = TILE_SHINGLES) -> DataFrame:
     """(id, fp, n_shingles, component): one row for each row of ``docs``; component is the
     smallest id reachable by links (NULL_ID stands for a null id)."""
     rows = with_id(docs, id_col, text_col)
-    points = cut_lineage(rows.mapInArrow(_points(n), "id long, fp long, n long, sig long, point binary"))
+    points = cut_lineage(rows.mapInArrow(_points(n, dims), "id long, fp long, n long, sig long, point binary"))
     filled = points.filter("n > 0")
     classes = filled.groupBy("sig").agg(F.min("id").alias("rep"), F.first("n").alias("n"), F.first("point").alias("point"))
 
@@ -413,13 +417,13 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     cells = cut_lineage(cells.dropDuplicates())
     stars = cells.filter("cell = 0 and head <> 0").select(F.col("head").alias("a"), F.col("sig").alias("b"))
     inside = cells.filter("not (cell = 0 and head <> 0)").select("cell", "sig").join(classes.drop("rep"), "sig")
-    pruned = inside.repartition("cell").sortWithinPartitions("cell").mapInArrow(_edges_of(percent), "a long, b long")
+    pruned = inside.repartition("cell").sortWithinPartitions("cell").mapInArrow(_edges_of(percent, dims), "a long, b long")
     candidates = connected_components(pruned.unionByName(stars))
 
     grouped = cut_lineage(candidates.withColumnsRenamed({"node": "sig", "root": "comp"}).join(classes.drop("point"), "sig"))
     texts = rows.join(small(grouped.select(F.col("rep").alias("id")).distinct()), "id", "left_semi")
     sets = texts.select("text").mapInArrow(_sets(n), "sig long, shingles binary")
-    tiles = _tiles(grouped, percent).join(sets, "sig")
+    tiles = _tiles(grouped, percent, tile).join(sets, "sig")
     links = (tiles.repartition("comp", "pair").sortWithinPartitions("comp", "pair")
              .select("comp", "pair", "side", "sig", "shingles").mapInArrow(_links_of(percent), "a long, b long"))
     linked = connected_components(links).withColumnsRenamed({"node": "sig"})
@@ -433,10 +437,10 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     return full.unionByName(empty).withColumnRenamed("n", "n_shingles")
 
 
-def near_duplicates_kept(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT, n: int = N) -> DataFrame:
+def near_duplicates_kept(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT, n: int = N, **sizes: int) -> DataFrame:
     """``docs`` with one document of each group of links: the one with the smallest id.
     Rows repeated under that id with the same text all stay, as one document."""
-    found = jaccard_components(docs, id_col, text_col, percent, n)
+    found = jaccard_components(docs, id_col, text_col, percent, n, **sizes)
     gone = cut_lineage(found.filter("component <> id").select("id", "fp").distinct())
     a, b = fresh(docs, "id"), fresh(docs, "fp")
     keyed = docs.withColumns(dict(zip((a, b), id_columns(id_col, text_col))))
