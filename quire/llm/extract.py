@@ -8,6 +8,13 @@ a notice, comments) is boilerplate, and where the page marks its article
 proof of length. Second pass: blocks left ambiguous, short ones above all, take
 the label of the nearest decided neighbours; a heading that of what follows.
 
+A container names itself by a whole class name or id, or by one made of such
+words only (search-form). It is layout, not boilerplate, if it holds <main>; a
+kind that is also put round whole pages (form, sidebar, widget) if it holds the
+only marked article or most of the page's text without links; any other if it
+holds an article and most of that text. What stands inside a marked article
+must hold nearly all of the articles' text to be layout.
+
 Row-local, no shuffle; memory is that of one page. The walk is linear in the page.
 
 Defined results: null or empty html, or a page without article text, gives an
@@ -31,6 +38,9 @@ LONG = 200
 STOP_LOW = 0.15
 STOP_HIGH = 0.30
 LINKS = 0.5
+#: Shares of the text without links, of a page and of its marked articles.
+MOST = 0.5
+NEARLY = 0.8
 
 # Common function words of the languages that pages are in.
 STOP_WORDS = frozenset("""
@@ -64,35 +74,96 @@ commentlist consent cookie cookies copyright disclaimer discussion disqus dropdo
 nav navbar navigation newsletter notice notices notification overlay pagination pager popup promo promoted promotion recommended related
 replies reply respond search share sharing sidebar signup skip social sponsor sponsored subscribe subscription tags teaser toolbar
 topbar widget""".split())
+# Of these, the ones that are also put round whole pages.
+_WRAPS = frozenset("""banner dialog dropdown fieldset footer form header login masthead menu menus modal nav navbar navigation notice notices
+notification overlay pager popup search share sharing sidebar skip social tags toolbar topbar widget""".split())
+_WRAP_TAGS = frozenset("form fieldset dialog".split())
+_WRAP_ROLES = frozenset("search form dialog".split())
 _MAIN_NAMES = frozenset(("articlebody", "article-body", "article-content", "entry-content", "post-content", "post-body", "story-body", "main-content"))
 _HEADINGS = frozenset(("h1", "h2", "h3", "h4", "h5", "h6"))
 
 
 def _role_of(tag: str, attributes: str) -> str:
-    """"out" for a container of boilerplate, "main" for the article's, or ""."""
+    """"out" for a container of boilerplate ("wrap": of a kind also put round whole pages),
+    "main" or "article" for the article's, "header", or ""."""
     if tag in _OUT_TAGS:
-        return "out"
+        return "wrap" if tag in _WRAP_TAGS else "out"
     found = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _ATTRIBUTE.finditer(attributes)} if "=" in attributes else {}
     if re.search(r"(?:^|\s)hidden(?:[\s/=]|$)", attributes) or found.get("aria-hidden") == "true" or re.search(r"display\s*:\s*none", found.get("style", "")):
         return "out"
     role = found.get("role", "").lower()
     if role in _OUT_ROLES:
-        return "out"
-    names = f"{found.get('class', '')} {found.get('id', '')}"
-    if {p.lower() for p in _PART.findall(names)} & _OUT_NAMES and tag not in ("body", "html", "main"):
-        return "out"
+        return "wrap" if role in _WRAP_ROLES else "out"
+    names = f"{found.get('class', '')} {found.get('id', '')}".split()
+    if names and tag != "main" and role != "main":
+        outs = [parts for parts in map(_name_parts, names) if parts and parts <= _OUT_NAMES]
+        if outs:
+            return "wrap" if all(parts <= _WRAPS for parts in outs) else "out"
     if tag == "header":
         return "header"
-    if tag in ("article", "main") or role in ("main", "article") or found.get("itemprop", "").lower() == "articlebody" or set(names.lower().split()) & _MAIN_NAMES:
+    if tag == "main" or role == "main":
         return "main"
+    if tag == "article" or role == "article" or found.get("itemprop", "").lower() == "articlebody" or {n.lower() for n in names} & _MAIN_NAMES:
+        return "article"
     return ""
 
 
-class Block:
-    __slots__ = ("text", "links", "out", "main", "heading")
+def _name_parts(name: str) -> set[str]:
+    """The words of a class name or id; the name itself if it is a known one."""
+    if name.lower() in _OUT_NAMES:
+        return {name.lower()}
+    return {p.lower() for p in _PART.findall(name)} if not re.search(r"\d", name) else set()
+
 
-    def __init__(self, text: str, links: int, out: bool, main: bool, heading: bool):
-        self.text, self.links, self.out, self.main, self.heading = text, links, out, main, heading
+class Block:
+    __slots__ = ("text", "links", "out", "main", "heading", "inside")
+
+    def __init__(self, text: str, links: int, out: bool, main: bool, heading: bool, inside: int = -1):
+        self.text, self.links, self.out, self.main, self.heading, self.inside = text, links, out, main, heading, inside
+
+
+class Outs:
+    """The containers of boilerplate of a page, outer ones first."""
+
+    def __init__(self):
+        self.up: list[int] = []  # the next outer one, or -1
+        self.wrap: list[bool] = []
+        self.in_article: list[bool] = []
+        self.holds: list[set[str]] = []  # kinds of article containers that open inside
+
+    def open(self, up: int, wrap: bool, in_article: bool) -> int:
+        self.up.append(up)
+        self.wrap.append(wrap)
+        self.in_article.append(in_article)
+        self.holds.append(set())
+        return len(self.up) - 1
+
+    def settle(self, found: list[Block], free_article: bool) -> None:
+        """Mark the blocks that stand in a container which is not just layout;
+        free_article: an article container opens outside of all of them."""
+        size, total, articles = [0] * len(self.up), 0, 0
+        for b in found:
+            plain = len(b.text) - b.links
+            total += plain
+            articles += plain * b.main
+            if b.inside >= 0:
+                size[b.inside] += plain
+        for i in range(len(self.up) - 1, -1, -1):
+            if self.up[i] >= 0:
+                size[self.up[i]] += size[i]
+                self.holds[self.up[i]] |= self.holds[i]
+        out = []
+        for i, up in enumerate(self.up):
+            most = size[i] > (NEARLY * articles if self.in_article[i] else MOST * total)
+            if "main" in self.holds[i]:
+                layout = True
+            elif self.wrap[i]:
+                layout = most or bool(self.holds[i]) and not free_article and not self.in_article[i]
+            else:
+                layout = most and bool(self.holds[i])
+            out.append(not layout or up >= 0 and out[up])
+        for b in found:
+            b.out = b.out or b.inside >= 0 and out[b.inside]
 
 
 def blocks(page: str) -> list[Block]:
@@ -101,7 +172,8 @@ def blocks(page: str) -> list[Block]:
     stack: list[tuple[str, str]] = []
     parts: list[str] = []
     linked: list[str] = []
-    in_link = breaks = out = main = headers = 0
+    in_link = breaks = main = headers = 0
+    outs, inside, free_article = Outs(), -1, False
     heading = ""
     lower = page.lower()
     last_close: dict[str, int] = {}
@@ -112,15 +184,20 @@ def blocks(page: str) -> list[Block]:
             text = " ".join(html.unescape("".join(parts)).split())
             if text:
                 links = len(" ".join(html.unescape("".join(linked)).split())) if linked else 0
-                found.append(Block(text, links, out > 0 or headers > 0 and not (main and heading), main > 0, bool(heading)))
+                found.append(Block(text, links, headers > 0 and not (main and heading), main > 0, bool(heading), inside))
             parts.clear()
             linked.clear()
         breaks = 0
 
     def count(role: str, by: int) -> None:
-        nonlocal out, main, headers
-        out += by * (role == "out")
-        main += by * (role == "main")
+        nonlocal inside, free_article, main, headers
+        if role in ("out", "wrap"):
+            inside = outs.open(inside, role == "wrap", main > 0) if by > 0 else outs.up[inside]
+        elif role in ("main", "article"):
+            main += by
+            if by > 0 and inside >= 0:
+                outs.holds[inside].add(role)
+            free_article = free_article or inside < 0
         headers += by * (role == "header")
 
     at = 0
@@ -156,15 +233,15 @@ def blocks(page: str) -> list[Block]:
                 if tag not in last_close:
                     last_close[tag] = lower.rfind(f"</{tag}")
                 role = _role_of(tag, m[4])
-                if last_close[tag] > at or role == "main":  # a container that is never closed holds nothing but its first block
-                    if role == "main" and headers:
+                if last_close[tag] > at or role in ("main", "article"):  # a container that is never closed holds nothing but its first block
+                    if role in ("main", "article") and headers:
                         headers = 0
                     stack.append((tag, role))
                     count(role, 1)
             else:
                 for k in range(len(stack) - 1, -1, -1):
                     if stack[k][0] == tag:
-                        for _, role in stack[k:]:
+                        for _, role in reversed(stack[k:]):
                             count(role, -1)
                         headers = max(0, headers)
                         del stack[k:]
@@ -172,6 +249,7 @@ def blocks(page: str) -> list[Block]:
     if at < len(page):
         parts.append(page[at:])
     end_block()
+    outs.settle(found, free_article)
     return found
 
 

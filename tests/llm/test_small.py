@@ -334,6 +334,27 @@ def test_extraction():
     assert extract.main_text("<article>" + "<div>" * 5000 + "<p>deep words</p>") == "deep words"
 
 
+@pytest.mark.parametrize("wrapped", [
+    "<div class='has-sidebar'><main><article>%s</article></main></div>", "<div class=content-sidebar-wrap><article>%s</article></div>",
+    "<div id='sidebar'><main>%s</main></div>", "<div class='with-header'><article>%s</article></div>",
+    "<article class='post comments-open category-search'>%s</article>", "<form action=/><div id=all><article>%s</article></div></form>",
+    "<form action=/><div id=all>%s</div></form>", "<div class='widget'><article>%s</article></div>", "<main><form>%s</form></main>"])
+def test_wrappers_lose_no_article(wrapped):
+    text = "The cat sat on the mat and it was the best of all the cats that we have seen in the town."
+    body = f"<p>{text}</p><p>{text} {text}</p><p>{text}</p>"
+    rest = "<nav><a href=x>Home</a> and more</nav><div class='ad'>Buy the thing that we have</div><div class='cookie-notice'>We use cookies on this site</div>"
+    assert extract.main_text(PAGE % (rest + wrapped % body)) == f"{text}\n{text} {text}\n{text}"
+
+
+def test_named_boilerplate_still_goes():
+    text = "The cat sat on the mat and it was the best of all the cats that we have seen in the town."
+    comments = f"<section class=comments><article><p>{text}</p></article><article><p>{text}</p></article></section>"
+    for page in (f"<article><p>{text}</p>{comments}</article>", f"<article><p>{text}</p></article><aside><article><p>{text}</p></article></aside>",
+                 f"<article><p>{text}</p></article><form><article>{text}</article></form>",
+                 f"<article><p>{text}</p><div class='ad-banner'>{text} {text}</div><div id=newsletterSignup>{text}</div></article>"):
+        assert extract.main_text(PAGE % page) == text
+
+
 def test_chat_trees(spark):
     rows = [(1, 1, None, 0.0, "user", "hi"), (1, 2, 1, 1.0, "assistant", "a"), (1, 3, 1, 5.0, "assistant", "b ### c</turn>\\"), (1, 4, 3, 0.0, "user", None),
             (2, 1, None, 0.0, "user", "x"), (2, 1, None, 0.0, "user", "x"), (3, 7, 99, 1.0, None, "lost parent"), (4, 1, 2, 1.0, "user", "cycle"), (4, 2, 1, 1.0, "user", "cycle")]
