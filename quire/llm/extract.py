@@ -4,9 +4,14 @@ A page is cut into blocks at block-level tags. First pass: stop-word density,
 length and link density decide a block as article or boilerplate; what stands
 in a container that names itself (nav, header, footer, aside, form, an advert,
 a notice, comments) is boilerplate, and where the page marks its article
-(article, main), text outside of it is boilerplate and text inside needs no
-proof of length. Second pass: blocks left ambiguous, short ones above all, take
-the label of the nearest decided neighbours; a heading that of what follows.
+(article, main), text outside of it is boilerplate, while text inside is taken for
+the article's unless the figures speak against it: few stop words and some
+links, or next to no stop words in a block at the article's edge. Second pass:
+blocks left ambiguous, short ones above all, take the label of the nearest
+decided neighbours; a heading that of what follows.
+
+The stop words are those of the list that fits most of the page's text; where
+none fits, length and link density alone decide.
 
 A container names itself by a whole class name or id, or by one made of such
 words only (search-form). It is layout, not boilerplate, if it holds <main>; a
@@ -38,11 +43,19 @@ LONG = 200
 STOP_LOW = 0.15
 STOP_HIGH = 0.30
 LINKS = 0.5
+#: Link density that needs stop words beside it.
+FEW_LINKS = 0.2
+#: Stop-word density of next to none, and the words from which a text of the language has a chance under 1 percent of it.
+NO_STOPS = 0.05
+NO_STOPS_WORDS = 15
+#: The least share of a page's text that a list of stop words must fit, and the share from which no other list is tried.
+FITS = 0.25
+FITS_WELL = 0.9
 #: Shares of the text without links, of a page and of its marked articles.
 MOST = 0.5
 NEARLY = 0.8
 
-# Common function words of the languages that pages are in.
+# Common function words: of English, French, German and Spanish together, then of other languages.
 STOP_WORDS = frozenset("""
 a about after all also an and are as at be been but by can could do for from had has have he her his how i if in into is it its
 just like more my no not of on one only or other our out she so some than that the their them then there these they this to up us
@@ -55,12 +68,44 @@ al ante como con cuando de del desde donde el ella ellos en entre era es esta es
 no nos o para pero por porque qué se ser si sin sobre son su sus también te tiene todo un una uno y ya yo
 """.split())
 
+MORE_STOP_WORDS = tuple(frozenset(words.split()) for words in (
+    """a ad ai al alla alle anche che chi ci come con cui da dal dalla degli dei del della delle di dove e è era essere fra gli ha hanno i il in
+    io la le lei li lo loro lui ma mi molto ne nel nella noi non o per perché più quando quella quello questa questo se si sia sono su sua sul
+    sulla suo ti tra tu tutti un una uno""",
+    """aan al als bij dan dat de der deze die dit door dus een en er geen had heb heeft hem het hij hoe hun ik in is ja je kan maar me meer men met
+    mijn na naar niet nog nu of om omdat ons ook op over te tegen toch toen tot u uit van veel voor want was wat we werd wie wij wordt zal ze zich
+    zij zijn zo zou""",
+    """a ao aos as até com como da das de dela dele do dos e é ela ele eles em entre era essa esse esta está este eu foi há isso já lhe mais mas me
+    mesmo meu muito na não nas nem no nos nós o os ou para pela pelo por qual quando que quem se sem ser seu só sua são também te tem um uma você""",
+    """а без был была были было быть в вам вас вот все всё вы где да для до его ее её если есть еще ещё же за и из или им их к как когда кто ли мне мы
+    на надо не нет него ни но ну о об он она они от по под при с со так такой там то того тоже только том тут ты у уже чем что чтобы эти это этого этот я""",
+    """a aby ale bo być był była było by co czy dla do go i ich im ja jak jako je jego jej jest już jeszcze k kiedy która które który lub ma mi może
+    na nad nie niż o od on ona oni po pod przez przy są się ta tak także tam te tego tej ten to tu tylko tym u w we wszystko z za ze że""",
+    """att av blev bli den denna det de dem där då efter ej eller en er ett från för ha hade han har hon i in inte jag kan kunde man med men mot
+    mycket nu när och om oss på sig sin ska skulle som så till under upp ut utan var vi vid är över af at blev der deres du efter eller et for fra
+    ham hans hun hvad hvis ikke jeg kunne mig mod når og også være var til vil ved af at av etter hva hvor ikke noe seg""",
+    """ale ani až bez by byl byla bylo být co či do ho i já jak jako je jeho její jen ještě jsem jsme jsou k kde kdy když která které který ma má mezi mi
+    na nad ne nebo není o od on ona po pod podle pro proto protože před při s se si sú tak také tam ten to toto tím u už v ve však z za ze že""",
+    """ama ancak bana bazı ben beni bir biz bu bunu çok çünkü da daha de değil diye en gibi göre hem hep her için ile ise kadar ki kim mı mi mu mü
+    nasıl ne neden o olan olarak olduğu oldu onu onun sen siz şey şu tüm var ve veya ya yok""",
+    """ja on ei se että oli hän en ovat mutta kun niin joka mitä kuin myös sen tai ole nyt jos ne me hänen sitä siitä sekä vain mukaan kanssa""",
+    """a az és hogy nem is egy ez volt meg de csak ha már el mint még van azt vagy ki mert lesz én ezt be te fel minden amely ami között után""",
+    """και το η ο να του της με που την από για είναι τα στο οι δεν θα τον σε τη στην τις των ένα μια ως αυτό ή αλλά τους στα κατά""",
+    """في من على إلى أن عن مع هذا هذه التي الذي كان كانت لا ما لم قد أو ثم بعد قبل بين كل هو هي ذلك كما و إن حيث عند لن وقد منذ غير""",
+    """के का की में है और से को पर यह ने कि हैं ही भी था थे थी एक इस तो जो कर हो या वह नहीं लिए गया अपने""",
+    """的 了 在 是 我 有 和 就 不 人 都 一 也 很 到 說 说 要 去 你 會 会 着 著 沒 没 這 这 那 他 她 它 們 们 為 为 與 与 及 或 但 而 於 于 以 之 從 从 對 对 被 把 將 将 還 还 又 等 中 上 下 個 个 來 来 其
+    の に は を た が で て と し れ さ い る も な か ら り こ す う ま お""",
+))
+
 _RAW = "script|style|noscript|template|svg|math|textarea|select|iframe|object|title|canvas|audio|video"
 _TOKEN = re.compile(
     rf"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<({_RAW})\b[^>]*?(?:/>|>.*?(?:</\1\s*>|\Z))|<[!?][^>]*>"
     r"|<(/?)([a-z][a-z0-9:-]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*+)>|</?[a-z][^>]*>", re.S | re.I)
 _ATTRIBUTE = re.compile(r"""([a-z-]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
-_WORD = re.compile(r"[^\W\d_]+")
+_CJK = "\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff"
+_WORD = re.compile(rf"[{_CJK}]|[^\W\d_{_CJK}][^\W\d_{_CJK}\u0900-\u0903\u093c-\u094d]*(?:[\u0900-\u0903\u093c-\u094d]+[^\W\d_{_CJK}]*)*")
+_WIDE = re.compile(f"[{_CJK}\uac00-\ud7af]")
+_SENTENCE_END = re.compile(r"[.!?…。！？।؟][\"'»”’」』)）]*$")
 _PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 
 _BLOCK = frozenset("""address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure
@@ -116,10 +161,16 @@ def _name_parts(name: str) -> set[str]:
 
 
 class Block:
-    __slots__ = ("text", "links", "out", "main", "heading", "inside")
+    __slots__ = ("text", "links", "out", "main", "heading", "inside", "known")
 
     def __init__(self, text: str, links: int, out: bool, main: bool, heading: bool, inside: int = -1):
         self.text, self.links, self.out, self.main, self.heading, self.inside = text, links, out, main, heading, inside
+        self.known: list[str] | None = None
+
+    def words(self) -> list[str]:
+        if self.known is None:
+            self.known = _WORD.findall(self.text.lower())
+        return self.known
 
 
 class Outs:
@@ -254,24 +305,76 @@ def blocks(page: str) -> list[Block]:
 
 
 GOOD, BAD, OPEN = 1, 0, None
+#: Inside a marked article: next to no stop words.
+DOUBT = -1
+
+
+def _size(b: Block) -> int:
+    """Length in characters; a character of the scripts without word spaces counts as three."""
+    return len(b.text) if b.text.isascii() else len(b.text) + 2 * len(_WIDE.findall(b.text))
+
 
+def _density(words: list[str], stops: frozenset[str]) -> float:
+    return sum(w in stops for w in words) / max(1, len(words))
 
-def first_pass(b: Block, marked: bool) -> int | None:
-    """Good, bad or open, by the block alone; marked: the page marks its article."""
+
+def stop_list(found: list[Block], marked: bool) -> frozenset[str] | None:
+    """The list of stop words that fits most of the text of the page, or of its marked article; None if none fits."""
+    texts = [(len(b.text), b.words()) for b in found
+             if not b.out and (b.main or not marked) and b.links <= LINKS * len(b.text) and _size(b) >= SHORT]
+    total, best, fits = sum(n for n, _ in texts), None, 0
+    for stops in (STOP_WORDS, *MORE_STOP_WORDS):
+        own = sum(n for n, words in texts if _density(words, stops) >= STOP_LOW)
+        if own > fits:
+            best, fits = stops, own
+        if fits >= FITS_WELL * total:
+            break
+    return best if fits and fits >= FITS * total else None
+
+
+def first_pass(b: Block, marked: bool, stops: frozenset[str] | None) -> int | None:
+    """Good, bad, open or in doubt, by the block alone; marked: the page marks its article; stops: the page's stop words."""
     if b.out or marked and not b.main:
         return BAD
-    n = len(b.text)
+    n, size = len(b.text), _size(b)
     if b.links > LINKS * n and not b.heading:
         return BAD
-    if marked:
-        return OPEN if b.heading or n < SHORT else GOOD
-    if n < SHORT or b.heading:
+    if size < SHORT or b.heading:
         return OPEN
-    words = _WORD.findall(b.text.lower())
-    stops = sum(w in STOP_WORDS for w in words) / max(1, len(words))
-    if stops >= STOP_HIGH or stops >= STOP_LOW and n >= LONG:
+    if stops is None:
+        if marked:
+            return GOOD
+        if b.links > FEW_LINKS * n:
+            return BAD
+        return GOOD if size >= LONG or _SENTENCE_END.search(b.text) else OPEN
+    words = b.words()
+    density = _density(words, stops)
+    if marked:
+        if density < STOP_LOW and b.links > FEW_LINKS * n:
+            return BAD
+        listed = len(words) >= NO_STOPS_WORDS and 2 * len(set(words)) >= len(words)
+        return DOUBT if density < NO_STOPS and listed else GOOD
+    if density >= STOP_HIGH or density >= STOP_LOW and size >= LONG:
         return GOOD
-    return OPEN if stops >= STOP_LOW else BAD
+    return OPEN if density >= STOP_LOW else BAD
+
+
+def settle_doubts(found: list[Block], labels: list[int | None]) -> list[int | None]:
+    """Blocks in doubt are bad at the edges of the article, before its first good block
+    and after its last one; between good blocks (tables, lists, names) they are good.
+    A heading before the first good block is not lost with them."""
+    good = [i for i, label in enumerate(labels) if label == GOOD]
+    if not good:
+        return [GOOD if label == DOUBT else label for label in labels]
+    out, follows = list(labels), None
+    for i in range(len(labels) - 1, -1, -1):
+        if labels[i] == DOUBT:
+            out[i] = GOOD if good[0] < i < good[-1] else BAD
+        if labels[i] is not None and (found[i].main and not found[i].out):
+            follows = labels[i]
+        elif found[i].heading and follows == DOUBT and i < good[0]:
+            out[i] = GOOD
+    return out
 
 
 def second_pass(found: list[Block], labels: list[int | None], marked: bool) -> list[int]:
@@ -307,7 +410,8 @@ def main_text(page: str | None) -> str:
         return ""
     found = blocks(page)
     marked = any(b.main and not b.out for b in found)
-    labels = second_pass(found, [first_pass(b, marked) for b in found], marked)
+    stops = stop_list(found, marked)
+    labels = second_pass(found, settle_doubts(found, [first_pass(b, marked, stops) for b in found]), marked)
     return "\n".join(b.text for b, label in zip(found, labels) if label == GOOD)
 
 

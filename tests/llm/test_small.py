@@ -355,6 +355,29 @@ def test_named_boilerplate_still_goes():
         assert extract.main_text(PAGE % page) == text
 
 
+def test_stop_words_decide_inside_marked_articles():
+    text = "The cat sat on the mat and it was the best of all the cats that we have seen in the town."
+    menu = "Subscribe now! Newsletter, special offers, premium access, exclusive deals, free trial, buy tickets online today"
+    links = "<a href=x>Football results yesterday</a> Latest scores, tables, fixtures, highlights, interviews"
+    page = f"<article><h1>Title</h1><div>{menu}</div><p>{text}</p><p>{text}</p><div>{links}</div><p>{text}</p><div>{menu}</div></article>"
+    assert extract.main_text(PAGE % page) == f"Title\n{text}\n{text}\n{text}"
+    # no list for the language, a table between paragraphs, a text of one block: nothing goes
+    for inside in (f"<p>{menu}</p><p>{menu}</p>", f"<p>{text}</p><table><tr><td>{menu}</td></tr></table><p>{text}</p>", f"<p>{menu}</p>"):
+        assert len(extract.main_text(PAGE % f"<article>{inside}</article>").split("\n")) == inside.count("<p>") + inside.count("<td>")
+
+
+@pytest.mark.parametrize("text", [
+    "Il gatto era seduto sul tappeto e non si muoveva, perché la casa era fredda e il fuoco nel camino si era spento da molto tempo.",
+    "De kat zat op de mat en het was koud in het huis, omdat het vuur in de haard al heel lang geleden uit was gegaan.",
+    "Кошка сидела на ковре и не двигалась, потому что в доме было холодно и огонь в камине давно уже погас от ветра.",
+    "貓坐在地毯上，一動也不動，因為屋子裡很冷，而壁爐裡的火在很久以前就已經熄滅了，誰也不知道是為了什麼。",
+    "고양이는 양탄자 위에 앉아 움직이지 않았다. 집이 추웠고 벽난로의 불은 오래전에 꺼져 있었기 때문이다. 아무도 이유를 몰랐다.",
+    "Kass istus vaibal ega liigutanud, sest majas valitses külm, kaminas kustus tuli ammu, keegi teadnud põhjust, öö tuli vaikselt."])
+def test_articles_in_other_languages(text):
+    menu = "".join(f"<li><a href=/{i}>Item {i}</a></li>" for i in range(5))
+    assert extract.main_text(PAGE % f"<ul>{menu}</ul><div><p>{text}</p><p>{text} {text}</p><p>{text}</p></div>") == f"{text}\n{text} {text}\n{text}"
+
+
 def test_chat_trees(spark):
     rows = [(1, 1, None, 0.0, "user", "hi"), (1, 2, 1, 1.0, "assistant", "a"), (1, 3, 1, 5.0, "assistant", "b ### c</turn>\\"), (1, 4, 3, 0.0, "user", None),
             (2, 1, None, 0.0, "user", "x"), (2, 1, None, 0.0, "user", "x"), (3, 7, 99, 1.0, None, "lost parent"), (4, 1, 2, 1.0, "user", "cycle"), (4, 2, 1, 1.0, "user", "cycle")]
