@@ -22,7 +22,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates: five-word shingles, similarity 0.8 or more."""
     prepare(spark)
-    return jaccard.near_duplicates_kept(docs, percent=80, n=5, dims=256, tile=1 << 18)
+    return jaccard.near_duplicates_kept(docs, percent=80, n=5, dims=256, tile=1 << 18, repeats=False)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

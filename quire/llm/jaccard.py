@@ -30,9 +30,10 @@ levels, each a Spark stage:
 
 Defined results: null, empty and word-less texts have the empty set and link
 with nothing; with fewer words than a shingle the whole sequence is the one shingle. Copies
-are one class. A null doc_id has a null component unless a copy or neighbour
-has an id. Rows with the same doc_id are taken row by row, a row's own text
-deciding. Other columns pass through.
+are one class. A null id is the smallest id, and a component that has one shows
+as null. Rows with the same doc_id are taken row by row, a row's own text
+deciding; (id, fp), fp a hash of the text, names a row, and the smallest one of
+a component names the row that stays of it. Other columns pass through.
 """
 
 from __future__ import annotations
@@ -368,10 +369,13 @@ def _links_of(percent: int):
 
 def _sets(words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = set()
         for batch in batches:
             for _, texts in groups(batch.column("text"), 1 << 19):
-                sets = shingle_sets(texts, words)
-                yield pa.RecordBatch.from_arrays([pa.array([signature(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())], ["sig", "shingles"])
+                sets = {sig: s for sig, s in ((signature(s), s) for s in shingle_sets(texts, words)) if sig not in seen}
+                if len(seen) < 200_000:  # rows repeated under one id and text
+                    seen.update(sets)
+                yield pa.RecordBatch.from_arrays([pa.array(list(sets), pa.int64()), pa.array([s.tobytes() for s in sets.values()], pa.binary())], ["sig", "shingles"])
     return run
 
 
@@ -405,12 +409,12 @@ def _tiles(classes: DataFrame, percent: int, shingles: int = TILE_SHINGLES) -> D
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT, n: int = N,
                        dims: int = DIMS, tile: int = TILE_SHINGLES) -> DataFrame:
-    """(id, fp, n_shingles, component): one row for each row of ``docs``; component is the
-    smallest id reachable by links (NULL_ID stands for a null id)."""
+    """(id, fp, n_shingles, component, component_fp): one row for each row of ``docs``; component is the
+    smallest id reachable by links (NULL_ID stands for a null id), with component_fp the smallest (id, fp)."""
     rows = with_id(docs, id_col, text_col)
     points = cut_lineage(rows.mapInArrow(_points(n, dims), "id long, fp long, n long, sig long, point binary"))
     filled = points.filter("n > 0")
-    classes = filled.groupBy("sig").agg(F.min("id").alias("rep"), F.first("n").alias("n"), F.first("point").alias("point"))
+    classes = filled.groupBy("sig").agg(F.min(F.struct("id", "fp")).alias("rep"), F.first("n").alias("n"), F.first("point").alias("point"))
 
     keys = rows.select("text").mapInArrow(_cells(percent, n), "key long, sig long")
     cells = keys.repartition("key").sortWithinPartitions("key", "sig").mapInArrow(_members, "cell long, sig long, head long")
@@ -421,7 +425,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     candidates = connected_components(pruned.unionByName(stars))
 
     grouped = cut_lineage(candidates.withColumnsRenamed({"node": "sig", "root": "comp"}).join(classes.drop("point"), "sig"))
-    texts = rows.join(small(grouped.select(F.col("rep").alias("id")).distinct()), "id", "left_semi")
+    texts = rows.join(small(grouped.select("rep.id", "rep.fp").distinct()), ["id", "fp"], "left_semi")
     sets = texts.select("text").mapInArrow(_sets(n), "sig long, shingles binary")
     tiles = _tiles(grouped, percent, tile).join(sets, "sig")
     links = (tiles.repartition("comp", "pair").sortWithinPartitions("comp", "pair")
@@ -431,20 +435,30 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     named = linked.join(classes.select("sig", "rep"), "sig")
     least = named.groupBy("root").agg(F.min("rep").alias("least"))
     joined = cut_lineage(named.join(least, "root").select("sig", "least"))
-    by_class = classes.select("sig", "rep").join(small(joined), "sig", "left").select("sig", F.coalesce("least", "rep").alias("component"))
-    empty = points.filter("n = 0").select("id", "fp", "n", F.col("id").alias("component"))
-    full = filled.join(by_class, "sig").select("id", "fp", "n", "component")
+    by_class = classes.select("sig", "rep").join(small(joined), "sig", "left").select("sig", F.coalesce("least", "rep").alias("first"))
+    empty = points.filter("n = 0").select("id", "fp", "n", F.col("id").alias("component"), F.col("fp").alias("component_fp"))
+    full = filled.join(by_class, "sig").select("id", "fp", "n", F.col("first.id").alias("component"), F.col("first.fp").alias("component_fp"))
     return full.unionByName(empty).withColumnRenamed("n", "n_shingles")
 
 
-def near_duplicates_kept(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT, n: int = N, **sizes: int) -> DataFrame:
-    """``docs`` with one document of each group of links: the one with the smallest id.
-    Rows repeated under that id with the same text all stay, as one document."""
+def near_duplicates_kept(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT, n: int = N,
+                         repeats: bool = True, **sizes: int) -> DataFrame:
+    """``docs`` with one document of each group of links: the one with the smallest id, and
+    under that id the smallest hash of its text. Rows that repeat its id and text stay with
+    it as one document, unless ``repeats`` is false; rows without an id are documents of
+    their own, so of their copies one stays. Of such rows it is the smallest by all columns."""
     found = jaccard_components(docs, id_col, text_col, percent, n, **sizes)
-    gone = cut_lineage(found.filter("component <> id").select("id", "fp").distinct())
+    other = (F.col("component") != F.col("id")) | (F.col("component_fp") != F.col("fp"))
+    alone = F.col("n_shingles") > 0 if not repeats else (F.col("n_shingles") > 0) & (F.col("id") == NULL_ID)
+    named = cut_lineage(found.groupBy("id", "fp").agg(F.max(other).alias("gone"), F.count_if(alone).alias("copies")).filter("gone or copies > 1"))
     a, b = fresh(docs, "id"), fresh(docs, "fp")
     keyed = docs.withColumns(dict(zip((a, b), id_columns(id_col, text_col))))
-    return keyed.join(small(gone.withColumnsRenamed({"id": a, "fp": b})), [a, b], "left_anti").drop(a, b)
+    gone, many = (small(named.filter(x).select(F.col("id").alias(a), F.col("fp").alias(b))) for x in ("gone", "not gone"))
+    if many.isEmpty():
+        return keyed.join(gone, [a, b], "left_anti").drop(a, b)
+    once = keyed.join(many, [a, b], "left_semi").groupBy(a, b).agg(F.min(F.struct(*docs.columns)).alias("row"))
+    rest = small(named.select(F.col("id").alias(a), F.col("fp").alias(b)))
+    return keyed.join(rest, [a, b], "left_anti").drop(a, b).unionByName(once.select("row.*"))
 
 
 def visible(component):

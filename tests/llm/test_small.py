@@ -117,6 +117,21 @@ def test_jaccard_keeps_one_of_a_group(docs):
     assert kept.count() == len(want)
 
 
+def test_one_survivor_a_group_under_null_and_equal_ids(spark):
+    rng = random.Random(3)
+    texts = [" ".join(sentence(rng) for _ in range(8)) for _ in range(4)]
+    near = lambda t, k: t + f" tail{k}."
+    rows = [(i, near(texts[g], k), "en", "s", k) for g, i in ((0, None), (1, None), (2, 7)) for k in (0, 1, 1, 2, 2)]
+    rows += [(7, texts[3], "en", "s", 1), (None, "", "en", "s", 0), (None, "", "en", "s", 0), (9, near(texts[2], 0), "en", "s", 0)]
+    docs = clashing(spark.createDataFrame(rows, SCHEMA).repartition(4))
+    kept = jaccard.near_duplicates_kept(docs, percent=80, n=5, repeats=False)
+    assert kept.columns == docs.columns
+    group = lambda t: next((g for g, x in enumerate(texts) if t.startswith(x)), -1)
+    assert sorted((group(r.text), r.doc_id is None) for r in kept.collect()) == [(-1, True), (-1, True), (0, True), (1, True), (2, False), (3, False)]
+    kept = [(group(r.text), r.doc_id, r.text) for r in jaccard.near_duplicates_kept(docs, percent=80, n=5).collect()]
+    assert [sum(g == x for x, *_ in kept) for g in (0, 1, 3)] == [1, 1, 1] and len({x for x in kept if x[0] == 2}) == 1
+
+
 @pytest.mark.parametrize("cell,tile", [(3, 4), (2048, 2048)])
 def test_jaccard_large_cells_and_many_tiles(docs, monkeypatch, cell, tile):
     monkeypatch.setattr(jaccard, "TILE_DOCS", tile)
