@@ -24,7 +24,8 @@ a giant conversation needs no giant row.
 Defined results: null text or role is empty; null conversation ids are one
 conversation, NULL_ID; a message whose parent does not exist is a root;
 messages on a cycle have no root and are left out; repeated (conv, msg) rows
-count once, the one with the smallest role and text. Other columns are ignored.
+count once, the one with the smallest role and text (then parent and score).
+Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -83,11 +84,18 @@ def linear_tree(rows: DataFrame, conv: str = "conv_id", turn: str = "turn") -> D
     return msg.select("conv", "msg", F.when(F.col("msg") > 1, F.col("msg") - 1).alias("parent"), F.lit(1.0).alias("score"), "role", "text")
 
 
+def one_each(messages: DataFrame) -> DataFrame:
+    """One row for each (conv, msg): the smallest role and text, null as empty."""
+    told = F.struct(F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"), "parent", "score")
+    return messages.groupBy("conv", "msg").agg(F.min(told).alias("m")).select("conv", "msg", "m.parent", "m.score", "m.role", "m.text")
+
+
 def best_paths(messages: DataFrame, branches: int | None = 1) -> DataFrame:
     """(conv, leaf, rank, msg, up): the messages of each chosen path, ``up`` steps above its leaf."""
+    messages = one_each(messages)
     nodes = messages.select("conv", "msg", "parent", F.coalesce("score", F.lit(0.0)).alias("score"))
     known = nodes.select("conv", F.col("msg").alias("parent"))
-    linked = nodes.join(known.withColumn("has", F.lit(True)).dropDuplicates(["conv", "parent"]), ["conv", "parent"], "left")
+    linked = nodes.join(known.withColumn("has", F.lit(True)), ["conv", "parent"], "left")
     nodes = cut_lineage(linked.select("conv", "msg", F.when(F.col("has"), F.col("parent")).alias("parent"), "score"))
     replied = nodes.filter("parent is not null").select("conv", F.col("parent").alias("msg")).distinct()
     leaves = nodes.join(replied, ["conv", "msg"], "left_anti").select("conv", F.col("msg").alias("leaf"), "score")
@@ -159,9 +167,7 @@ def format_conversations(messages: DataFrame, branches: int | None = 1) -> DataF
     conversation; loss are the places of assistant texts in ``text``. The parts of a
     conversation are in one partition, in order."""
     paths = best_paths(messages, branches)
-    first = W.partitionBy("conv", "msg").orderBy("role", "text")
-    bodies = messages.select("conv", "msg", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
-    bodies = bodies.withColumn("n", F.row_number().over(first)).filter("n = 1").drop("n")
+    bodies = one_each(messages).select("conv", "msg", "role", "text")
     rows = paths.select("conv", "msg", "rank", "up").distinct().join(bodies, ["conv", "msg"])
     dealt = rows.repartition("conv", "rank").sortWithinPartitions("conv", "rank", F.desc("up"))
     return dealt.select("conv", F.col("rank").cast("long").alias("rank"), "role", "text").mapInArrow(_format, _PARTS)

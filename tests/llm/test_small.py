@@ -410,6 +410,18 @@ def test_chat_trees(spark):
     assert [list(chat.read_turns(r.text)) for r in chat.format_conversations(line).collect()] == [[("user", "b"), ("user", "a"), ("user", "a")]]
 
 
+def test_chat_repeated_messages_count_once(spark):
+    rows = [(1, 1, None, 0.0, "user", "hi"), (1, 2, 1, 5.0, "assistant", "b"), (1, 2, 1, 5.0, "assistant", "b"), (1, 2, 1, 5.0, "assistant", "a"),
+            (1, 3, 1, 1.0, "assistant", "second"), (2, 1, None, 0.0, "user", "x"), (2, 1, None, 0.0, "user", "x")]
+    rows += [(3, i, i - 1 if i else None, 1.0, "user", f"t{i}") for i in range(20) for _ in range(3)]
+    messages = spark.createDataFrame(rows, "conv long, msg long, parent long, score double, role string, text string")
+    done = chat.format_conversations(messages, 2).collect()
+    assert sorted((r.conv_id, r.branch) for r in done) == [(1, 1), (1, 2), (2, 1), (3, 1)]
+    turns = {(r.conv_id, r.branch): [x for _, x in chat.read_turns(r.text)] for r in done}
+    assert turns == {(1, 1): ["hi", "a"], (1, 2): ["hi", "second"], (2, 1): ["x"], (3, 1): [f"t{i}" for i in range(20)]}
+    assert chat.best_paths(messages, 2).count() == 2 + 2 + 1 + 20
+
+
 @pytest.mark.parametrize("text", ["", "\\", "### ", "</turn>", "#\\## </turn>\\\\", "<|endoftext|>", "\\### Assistant: </turn> ok", "a: b\n"])
 def test_escape_is_undone(text):
     formatted, a, b = chat.format_turn(text, text)
