@@ -1,6 +1,6 @@
-"""Sparse suffix-array dedup: of all suffixes only those at content-selected
-minimiser positions are kept; they are sorted by what they begin with, equal
-neighbours are compared, and matches extended left and right.
+"""Sparse suffix dedup: of all suffixes only those at content-selected minimiser
+positions are kept; they are grouped by a hash of what they begin with, and
+hashes of the stretches round them stand for sorted texts and extended matches.
 
 Words are runs of non-space bytes, ASCII letters lower-cased. The minimiser of
 a stretch of LENGTH words is the position in it whose K-word hash is smallest;
