@@ -83,4 +83,79 @@ SELECT cast(conv_id AS bigint) AS conv_id, count(*) AS n_turns,
   cast(sum(14 + {_escaped_chars('role', ':')} + {_escaped_chars('text')}) AS bigint) AS formatted_chars
 FROM c GROUP BY conv_id"""
 
-ORACLE = {"op2_quality_rules": QUALITY, "op4_ngram_jaccard": JACCARD, "op5_decontamination": DECONTAMINATION, "op10_chat_formatting": CHAT}
+
+
+def _crc32(text: str) -> str:
+    """Unsigned CRC-32 of ASCII text, bit by bit from its reversed polynomial."""
+    step = "CASE WHEN c % 2 = 1 THEN xor(3988292384, c // 2) ELSE c // 2 END"
+    byte = f"list_reduce([xor(c, b)] || [{', '.join(['0'] * 8)}], lambda c, z: {step})"
+    return f"""xor(4294967295, list_reduce([cast(4294967295 AS bigint)] || list_transform(string_split({text}, ''), lambda x: cast(ascii(x) AS bigint)),
+  lambda c, b: {byte}))"""
+
+
+def _written(column: str) -> str:
+    return f"CASE WHEN {column} IS NULL THEN '-' ELSE strlen(cast({column} AS varchar)) || ':' || cast({column} AS varchar) END"
+
+
+def _climb(name: str, start: str, nodes: str) -> str:
+    """From a leaf to its root: the folded hash and the siblings passed."""
+    return f"""{name}(rid, tree, lvl, i, n, h, proof) AS ({start} UNION ALL
+  SELECT w.rid, w.tree, w.lvl + 1, w.i // 2, (w.n + 1) // 2,
+    sha256(CASE WHEN w.i % 2 = 1 THEN s.h || w.h ELSE w.h || coalesce(s.h, '') END), w.proof || coalesce(s.h, '')
+  FROM {name} w LEFT JOIN {nodes} s ON s.tree = w.tree AND s.lvl = w.lvl AND s.i = xor(w.i, 1) WHERE w.n > 1)"""
+
+
+def _grow(name: str, start: str) -> str:
+    return f"""{name}(tree, lvl, i, h, n) AS ({start} UNION ALL
+  SELECT tree, lvl + 1, i // 2, sha256(string_agg(h, '' ORDER BY i)), (n + 1) // 2 FROM {name} WHERE n > 1 GROUP BY tree, lvl, i // 2, n)"""
+
+
+_LEAF = "sha256(" + " || ".join(_written(c) for c in ("doc_id", "source", "lang", "{n_chars}", "text")) + ")"
+MERKLE = f"""WITH RECURSIVE d AS (SELECT *, row_number() OVER () AS rid, {_LEAF.format(n_chars="n_chars")} AS leaf,
+  CASE WHEN {_crc32("cast(doc_id AS varchar)")} % 7 = 0 THEN {_LEAF.format(n_chars="(n_chars + 1)")} END AS tampered FROM documents),
+l AS (SELECT *, cast(dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS bigint) AS tree, count(*) OVER (PARTITION BY lang) AS n,
+  row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS r FROM d),
+{_grow("node", "SELECT tree, 0, r, leaf, n FROM l")},
+sub AS (SELECT tree, h FROM node WHERE n = 1),
+{_grow("over_", "SELECT 0, 0, tree, h, (SELECT count(*) FROM sub) FROM sub")},
+{_climb("low", "SELECT rid, tree, 0, r, n, coalesce(tampered, leaf), '' FROM l", "node")},
+{_climb("high", "SELECT rid, 0, 0, tree, (SELECT count(*) FROM sub), h, proof FROM low WHERE n = 1", "over_")}
+SELECT l.doc_id, l.leaf, sub.h AS subroot, o.h AS root, sha256(high.proof) AS proof_sha256, high.h AS folded_root, high.h = o.h AS verified
+FROM l JOIN sub ON sub.tree = l.tree JOIN high ON high.rid = l.rid AND high.n = 1 CROSS JOIN (SELECT h FROM over_ WHERE n = 1) o"""
+
+_VISIBLE = r"[^\x20\x09-\x0D]"
+REPAIR = f"""WITH RECURSIVE src AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+  {_crc32("(coalesce(cast(conv_id AS varchar), ' ') || ':' || coalesce(cast(turn AS varchar), ' '))")} % 20 AS f FROM conversations),
+dam AS (SELECT conv_id, turn, CASE WHEN f = 4 THEN 'user' ELSE role END AS role,
+  CASE f WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+  unnest(range(CASE f WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS copy FROM src),
+convs AS (SELECT DISTINCT conv_id, coalesce(cast(conv_id AS varchar), ' ') AS c FROM src),
+num AS (SELECT coalesce(cast(conv_id AS varchar), ' ') AS c, turn, role, text, left(role, 1) AS l,
+  row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i FROM dam),
+flag AS (SELECT *, NOT regexp_matches(text, '{_VISIBLE}') AS blank, row_number() OVER (PARTITION BY c, role, text ORDER BY i) > 1 AS again,
+  NOT regexp_matches(text, '[.!?][\\x20\\x09-\\x0D]*\\z') AS open, lag(l) OVER (PARTITION BY c ORDER BY i) AS prev FROM num),
+r AS (SELECT *, blank OR again AS gone, CASE WHEN NOT blank AND NOT again AND open THEN 3 ELSE 0 END AS pen FROM flag),
+stat AS (SELECT c, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count_if(blank) AS blank,
+  count_if(NOT blank AND again) AS duplicate, count_if(pen > 0) AS truncated,
+  count_if(prev IS NOT NULL AND prev || l NOT IN ('su', 'ua', 'au')) AS illegal FROM r GROUP BY c),
+nxt(st, nx, nm) AS (VALUES ('-', 'u', 'user:'), ('s', 'u', 'user:'), ('u', 'a', 'assistant:'), ('a', 'u', 'user:')),
+ins AS (SELECT st, st AS s2, 0 AS cost, '' AS a, cast([] AS varchar[]) AS o FROM nxt
+  UNION ALL SELECT st, nx, 3, 'I', [nm] FROM nxt
+  UNION ALL SELECT x.st, y.nx, 6, 'II', [x.nm, y.nm] FROM nxt x JOIN nxt y ON y.st = x.nx),
+dp(c, i, st, best) AS (SELECT c, 0, '-', {{'cost': 0, 'audit': '', 'lines': cast([] AS varchar[])}} FROM stat
+  UNION ALL SELECT c, i + 1, s3, min({{'cost': cost, 'audit': audit, 'lines': lines}}) FROM (
+    SELECT dp.c, dp.i, e.s3, dp.best.cost + ins.cost + e.cost AS cost, dp.best.audit || ins.a || e.a AS audit,
+      list_concat(list_concat(dp.best.lines, ins.o), e.o) AS lines
+    FROM dp JOIN ins ON ins.st = dp.st JOIN r ON r.c = dp.c AND r.i = dp.i + 1 JOIN nxt ON nxt.st = ins.s2, LATERAL (
+      SELECT ins.s2 AS s3, 4 AS cost, 'D' AS a, cast([] AS varchar[]) AS o
+      UNION ALL SELECT r.l, r.pen, 'K', [r.role || ':' || r.text] WHERE NOT r.gone AND (r.l = nxt.nx OR r.l = 's' AND ins.s2 = '-')
+      UNION ALL SELECT nxt.nx, r.pen + 3, 'R', [nxt.nm || r.text] WHERE NOT r.gone) e) t GROUP BY c, i, s3),
+fin AS (SELECT dp.c, min({{'cost': best.cost + ins.cost, 'audit': best.audit || ins.a, 'lines': list_concat(best.lines, ins.o)}}) AS best
+  FROM dp JOIN stat ON stat.c = dp.c AND stat.n = dp.i JOIN ins ON ins.st = dp.st AND ins.s2 IN ('-', 'a') GROUP BY dp.c)
+SELECT conv_id, cast(coalesce(gaps, 0) AS bigint) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+  coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, cast(coalesce(best.cost, 0) AS bigint) AS cost,
+  coalesce(best.audit, '') AS audit, sha256(coalesce(array_to_string(best.lines, chr(10)), '')) AS repaired_sha256
+FROM convs LEFT JOIN stat ON stat.c = convs.c LEFT JOIN fin ON fin.c = convs.c"""
+
+ORACLE = {"op2_quality_rules": QUALITY, "op4_ngram_jaccard": JACCARD, "op5_decontamination": DECONTAMINATION, "op10_chat_formatting": CHAT,
+          "op12_conversation_repair": REPAIR, "op13_merkle_manifest": MERKLE}

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm import bpe, chat, counts, decontam, extract, jaccard, langid, quality, spans, suffix
+from quire.llm import bpe, chat, counts, decontam, extract, jaccard, langid, merkle, quality, repair, spans, suffix
 from quire.llm.oracle import ORACLE as ORACLE
 from quire.session import prepare
 from quire.sources.tables import table
@@ -85,7 +85,34 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.withColumn("conv_id", jaccard.visible(F.col("conv_id"))).drop("branch")
 
 
+def damaged(rows: DataFrame) -> DataFrame:
+    """The contract's damage to rows (conv_id, turn, role, text); a dropped row stays with live = false."""
+    key = F.concat(*[F.coalesce(F.col(c).cast("string"), F.lit(" ")) if c != ":" else F.lit(c) for c in ("conv_id", ":", "turn")])
+    fault, text = F.crc32(key) % 20, F.coalesce("text", F.lit(" "))
+    changed = rows.select("conv_id", "turn", F.when(fault == 4, "user").otherwise(F.coalesce("role", F.lit(" "))).alias("role"),
+                          F.when(fault == 1, "").when(fault == 2, F.translate(text, ".!?", "")).otherwise(text).alias("text"), fault.alias("fault"))
+    copies = F.explode(F.sequence(F.lit(1), F.when(F.col("fault") == 3, 2).otherwise(1)))
+    return changed.select("conv_id", "turn", "role", "text", (F.col("fault") != 0).alias("live"), copies).drop("col")
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = damaged(table(prepare(spark), sf_dir, "conversations").select("conv_id", "turn", "role", "text"))
+    return repair.with_digest(*repair.repair(rows, F.col("live")))
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(prepare(spark), sf_dir, "documents").select("doc_id", "source", "lang", "n_chars", "text")
+    hit = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 7 == 0, F.lit(False))
+    rest = [F.col(c) for c in ("doc_id", "source", "lang")]
+    tampered = merkle.leaf_hash(*rest, F.try_add(F.col("n_chars"), F.when(hit, 1).otherwise(0)), F.col("text"))
+    leaves = docs.select("doc_id", "lang", merkle.leaf_hash(*rest, F.col("n_chars"), F.col("text")).alias("leaf"), F.when(hit, tampered).alias("tampered"))
+    done = merkle.manifest(leaves, "lang", ["doc_id"])
+    return (done.select("doc_id", "leaf", "subroot", "root", merkle.proof_digest(F.col("path")).alias("proof_sha256"),
+                        merkle.fold(F.coalesce("tampered", "leaf"), F.col("path")).alias("folded_root"))
+            .withColumn("verified", F.col("folded_root") == F.col("root")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_substring_dedup, op2_quality_rules, op3_language_id, op4_ngram_jaccard, op5_decontamination,
-                            op6_bpe, op7_suffix_array_dedup, op8_html_extraction, op9_token_counts, op10_chat_formatting)
+                            op6_bpe, op7_suffix_array_dedup, op8_html_extraction, op9_token_counts, op10_chat_formatting, op12_conversation_repair, op13_merkle_manifest)
 }
