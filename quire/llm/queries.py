@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm import bpe, chat, counts, decontam, extract, jaccard, langid, merkle, quality, repair, spans, suffix
+from quire.llm import bpe, chat, counts, decontam, extract, jaccard, langid, merkle, packing, quality, repair, spans, suffix
 from quire.llm.oracle import ORACLE as ORACLE
 from quire.session import prepare
 from quire.sources.tables import table
@@ -85,6 +85,11 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.withColumn("conv_id", jaccard.visible(F.col("conv_id"))).drop("branch")
 
 
+def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(prepare(spark), sf_dir, "documents").select("doc_id", "text")
+    return packing.pack(docs, packing.default_tokenizer(), end_id=2)
+
+
 def damaged(rows: DataFrame) -> DataFrame:
     """The contract's damage to rows (conv_id, turn, role, text); a dropped row stays with live = false."""
     key = F.concat(*[F.coalesce(F.col(c).cast("string"), F.lit(" ")) if c != ":" else F.lit(c) for c in ("conv_id", ":", "turn")])
@@ -114,5 +119,5 @@ def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_substring_dedup, op2_quality_rules, op3_language_id, op4_ngram_jaccard, op5_decontamination,
-                            op6_bpe, op7_suffix_array_dedup, op8_html_extraction, op9_token_counts, op10_chat_formatting, op12_conversation_repair, op13_merkle_manifest)
+                            op6_bpe, op7_suffix_array_dedup, op8_html_extraction, op9_token_counts, op10_chat_formatting, op11_packing, op12_conversation_repair, op13_merkle_manifest)
 }
