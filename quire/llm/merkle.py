@@ -147,16 +147,14 @@ def _forest(leaves: DataFrame, over: Callable[[DataFrame], DataFrame]) -> DataFr
     return done.withColumnRenamed("lo", "rank")
 
 
-def manifest(leaves: DataFrame, tree: str, order: list[str], digest: str = "leaf") -> DataFrame:
-    """``leaves`` with subroot, root and path, an array of (left, right) from the leaf to the root (see ``fold``).
+def manifest(leaves: DataFrame, tree: str, order: list[str], digest: str = "leaf", out: str = "proof") -> DataFrame:
+    """``leaves`` with ``out`` (replaced if there is one): a struct of subroot, root and path, an array of
+    (left, right) from the leaf to the root (see ``fold``).
 
     ``digest`` is the column of leaf hashes, ``tree`` the one that tells trees apart, ``order`` the order in a tree.
-    The columns of ``leaves`` are range-shuffled and written once, so pass no more than shall come back; none
-    may be called subroot, root or path.
+    The columns of ``leaves`` are range-shuffled and written once, so pass no more than shall come back.
     """
-    taken = {"subroot", "root", "path"} & {c.lower() for c in leaves.columns}
-    if taken:
-        raise ValueError(f"columns {sorted(taken)} are made here")
+    leaves = leaves.drop(out)
     t, r = fresh(leaves, "tree_"), fresh(leaves, "rank_")
     ranked = cut_lineage(numbered(leaves, [tree], [*order, digest], r, t)[0])
     root = []
@@ -170,5 +168,6 @@ def manifest(leaves: DataFrame, tree: str, order: list[str], digest: str = "leaf
         return roots.join(found.select(F.col("rank").alias("tree"), F.col("path").alias("rest")), "tree")
 
     paths = _forest(ranked.select(F.col(t).alias("tree"), F.col(r).alias("rank"), F.col(digest).alias("digest")), over)
-    paths = paths.select(F.col("tree").alias(t), F.col("rank").alias(r), "path", "subroot")
-    return ranked.join(paths, [t, r]).withColumn("root", F.lit(root[0].subroot if root else None).cast("string")).drop(t, r)
+    top = F.lit(root[0].subroot if root else None).cast("string")
+    proof = F.struct("subroot", top.alias("root"), "path").alias(out)
+    return ranked.join(paths.select(F.col("tree").alias(t), F.col("rank").alias(r), proof), [t, r]).drop(t, r)

@@ -38,7 +38,9 @@ from __future__ import annotations
 
 import json
 import os
+import re
 import zlib
+from array import array
 from collections import defaultdict
 from collections.abc import Iterator
 from functools import lru_cache
@@ -54,9 +56,9 @@ from quire.operators.indexing import numbered
 from quire.session import cut_lineage
 
 WINDOW = 4096
-#: Words whose ids a worker keeps, some 200 bytes each.
-CACHED = 400_000
-#: Characters of a word that is kept.
+#: Pieces of text whose ids a worker keeps, some 200 bytes each.
+CACHED = 800_000
+#: Bytes of a piece that is kept.
 LONGEST = 64
 
 
@@ -72,12 +74,45 @@ PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 _PRETOKEN = regex.compile(PATTERN)
 
 
+# Bytes by what the pattern makes of them. White space ends a piece, letters and other characters run on, digits stand alone.
+_SPACE, _LETTER, _DIGIT, _OTHER = range(4)
+_KIND = np.full(256, _OTHER, np.uint8)
+_KIND[[9, 10, 11, 12, 13, 32]] = _SPACE
+_KIND[[*range(65, 91), *range(97, 123), *range(128, 256)]] = _LETTER
+_KIND[48:58] = _DIGIT
+_SMALL = np.arange(256, dtype=np.uint8)
+_SMALL[65:91] += 32
+# A word with one of these goes through the whole library: apostrophes, which the pattern looks behind; characters
+# that aren't letters between U+00C0 and U+023F, whose composition, lower case or kind the library is to say.
+_ODD = np.zeros(256, bool)
+_ODD[[*range(28, 32), ord("'"), 0xC2, *range(0xC9, 256)]] = True
+
+
+class Cache:
+    """A bounded dictionary of two generations: what is asked for stays, what isn't goes when the younger one is full."""
+
+    def __init__(self, size: int = CACHED):
+        self.size, self.new, self.old = size, {}, {}
+
+    def get(self, key):
+        value = self.new.get(key)
+        if value is None and (value := self.old.get(key)) is not None:
+            self.put(key, value)
+        return value
+
+    def put(self, key, value) -> None:
+        if len(self.new) >= self.size // 2:
+            self.old, self.new = self.new, {}
+        self.new[key] = value
+
+
 class Tokens:
-    """Ids by the tokenizers library, word by word, each different word once while it is kept.
+    """Ids by the tokenizers library, each different piece of text once while it is kept.
 
     If the tokenizer drops white space and nothing in it spans white space, a text's ids are those of its
-    words. The library's model is asked directly where lower-casing and splitting a word is beyond doubt
-    (characters below U+0250 are their own composed form); any other word goes through the whole library."""
+    words. A word of ASCII and Latin letters below U+0240, which are their own composed form, is split and
+    lower-cased here, many at once, and the library's model is asked for the ids of each piece; any other
+    word goes through the whole library."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
@@ -96,66 +131,67 @@ class Tokens:
                         and split.get("pattern") == {"Regex": PATTERN} and split.get("behavior") == "Removed" and split.get("invert") is True
                         and not steps[1]["add_prefix_space"] and not steps[1]["use_regex"] and not data["model"].get("unk_token")
                         and not any(t["lstrip"] or t["rstrip"] or t["single_word"] or t["normalized"] or any(c.isspace() for c in t["content"]) for t in added))
-        self.marks = {t["content"][:2] for t in added}
+        self.odd = _ODD.copy()
+        self.odd[[t["content"].encode()[0] for t in added]] = True
+        self.is_odd = re.compile(b"[" + b"".join(re.escape(bytes([b])) for b in np.flatnonzero(self.odd).tolist()) + b"]|\xc3[\x97\xb7]")
         plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
-        rest = [b for b in range(256) if b not in set(plain)]
-        self.letter = [""] * 256
-        for b in plain:
-            self.letter[b] = chr(b)
-        for k, b in enumerate(rest):
-            self.letter[b] = chr(256 + k)
-        self.words: dict[bytes, bytes] = {}
-        self.tokens: dict[str, list[int]] = {}
-
-    def _token(self, piece: str) -> list[int]:
-        ids = self.tokens.get(piece)
-        if ids is None:
-            ids = [t.id for t in self.library.model.tokenize("".join([self.letter[b] for b in piece.encode()]))]
-            if len(self.tokens) >= CACHED:
-                for k in list(self.tokens)[:CACHED // 2]:  # the older half
-                    del self.tokens[k]
-            if len(piece) <= LONGEST:
-                self.tokens[piece] = ids
-        return ids
-
-    def _word(self, word: bytes) -> bytes:
-        text = word.decode("utf-8", "replace")
-        if max(text, default="") < "ɐ" and not any(m in text for m in self.marks):
-            ids = [i for p in _PRETOKEN.findall(text.lower()) for i in self._token(p)]
+        letter = dict(zip(plain, map(chr, plain))) | {b: chr(256 + k) for k, b in enumerate(sorted(set(range(256)) - set(plain)))}
+        self.letters = {chr(b): c for b, c in letter.items()}
+        self.table = str.maketrans(self.letters)
+        self.known = Cache()
+
+    def _piece(self, piece: bytes) -> bytes:
+        if self.is_odd.search(piece):
+            ids = self.library.encode(piece.decode("utf-8", "replace"), add_special_tokens=False).ids
         else:
-            ids = self.library.encode(text, add_special_tokens=False).ids
-        return np.array(ids, "<u4").tobytes()
+            parts = [piece] if piece.isascii() else [p.encode() for p in _PRETOKEN.findall(piece.decode("utf-8", "replace").lower())]
+            ids = [t.id for p in parts for t in self.library.model.tokenize(p.decode("latin-1").translate(self.table))]
+        return array("I", ids).tobytes()
+
+    def _pieces(self, texts: list[bytes]) -> tuple[pa.Array, np.ndarray]:
+        """The texts' pieces, lower-cased if not odd, and the number of the first piece of each text and of the end."""
+        buf = np.frombuffer(b" ".join([*texts, b""]), np.uint8)
+        kind = _KIND[buf]
+        inside = kind != _SPACE
+        before = np.concatenate((np.zeros(1, np.uint8), kind[:-1]))
+        first = inside & ((kind != before) | (kind == _DIGIT))
+        odd = self.odd[buf]
+        odd[1:] |= (buf[:-1] == 0xC3) & ((buf[1:] == 0x97) | (buf[1:] == 0xB7))
+        small = _SMALL[buf]
+        if odd.any():  # a word with an odd byte is one piece, as it is written
+            begins = np.flatnonzero(inside & (before == _SPACE))
+            ends = np.flatnonzero(~inside & (before != _SPACE))
+            for w in np.unique(np.searchsorted(begins, np.flatnonzero(odd), "right") - 1).tolist():
+                lo, hi = begins[w], ends[w]
+                small[lo:hi] = buf[lo:hi]
+                first[lo + 1:hi] = False
+        place = np.cumsum(inside)
+        starts = np.flatnonzero(first)
+        offsets = np.append(place[starts] - 1, place[-1] if len(place) else 0)
+        pieces = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(small[inside])])
+        length = np.fromiter(map(len, texts), np.int64, len(texts)) + 1
+        return pieces, np.searchsorted(starts, np.concatenate(([0], np.cumsum(length))))
 
     def ids(self, texts: list[bytes]) -> list[np.ndarray]:
         """Token ids of each text."""
         if not self.by_word:
             return [np.array(e.ids, np.uint32) for e in self.library.encode_batch([t.decode("utf-8", "replace") for t in texts], add_special_tokens=False)]
-        buf = np.frombuffer(b" ".join([*texts, b""]), np.uint8)
-        cut = np.append(np.flatnonzero(buf == 32), len(buf))
-        offsets = np.concatenate(([0], cut + 1)).astype(np.int64)
-        offsets[-1] = len(buf)
-        words = pa.Array.from_buffers(pa.large_binary(), len(offsets) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(buf)])
-        coded = words.dictionary_encode()
-        known, made = self.words, []
-        for w in coded.dictionary.to_pylist():
-            ids = known.get(w)
+        pieces, first = self._pieces(texts)
+        coded = pieces.dictionary_encode()
+        get, put, made = self.known.get, self.known.put, []
+        for piece in coded.dictionary.to_pylist():
+            ids = get(piece)
             if ids is None:
-                ids = self._word(w)
-                if len(w) <= LONGEST:
-                    known[w] = ids
+                ids = self._piece(piece)
+                if len(piece) <= LONGEST:
+                    put(piece, ids)
             made.append(ids)
-        if len(known) > CACHED:
-            for k in list(known)[:len(known) - CACHED // 2]:  # the older ones
-                del known[k]
         at = coded.indices.to_numpy()
         size = np.fromiter(map(len, made), np.int64, len(made)) // 4
         flat, start = np.frombuffer(b"".join(made), "<u4"), np.concatenate(([0], np.cumsum(size)))[:-1]
         count = size[at]
         end = np.concatenate(([0], np.cumsum(count)))
         ids = flat[np.repeat(start[at] - end[:-1], count) + np.arange(end[-1])]
-        # the words of a text: those between the blanks that were put between texts
-        length = np.fromiter(map(len, texts), np.int64, len(texts)) + 1
-        first = np.searchsorted(offsets, np.concatenate(([0], np.cumsum(length))))
         return [ids[end[a]:end[b]] for a, b in zip(first[:-1], first[1:])]
 
 
@@ -168,32 +204,60 @@ def tokens_of(path: str) -> Tokens:
 _MEASURED = T.StructType([T.StructField("n", T.LongType()), T.StructField("crcs", T.ArrayType(T.LongType())), T.StructField("tail", T.BinaryType())])
 
 
-def _slices(texts: pa.Array, limit: int = 1 << 21) -> Iterator[list[bytes]]:
+def _slices(texts: pa.Array, limit: int = 1 << 21) -> Iterator[list[tuple[int, bytes]]]:
+    """(row, text) in lists of about ``limit`` bytes; a longer text in parts, cut at spaces; null as empty."""
     held, size = [], 0
-    for t in texts:
-        held.append((t.as_py() or "").encode("utf-8", "replace"))
-        size += len(held[-1])
-        if size >= limit:
-            yield held
-            held, size = [], 0
+    for row, t in enumerate(texts):
+        data, lo = (t.as_py() or "").encode("utf-8", "replace"), 0
+        while True:
+            hi = len(data)
+            if hi - lo > limit:
+                hi = data.rfind(b" ", lo + 1, lo + limit)
+                hi = hi if hi > 0 else data.find(b" ", lo + limit)
+                hi = hi if hi > 0 else len(data)
+            held.append((row, data[lo:hi]))
+            size, lo = size + hi - lo, hi
+            if size >= limit:
+                yield held
+                held, size = [], 0
+            if lo >= len(data):
+                break
     if held:
         yield held
 
 
+def _documents(made: Tokens, texts: pa.Array) -> Iterator[np.ndarray]:
+    """The ids of each whole text."""
+    parts, row = [], None
+    for some in _slices(texts):
+        if not made.by_word:  # a tokenizer that may look over spaces gets whole texts
+            break
+        for (at, _), ids in zip(some, made.ids([data for _, data in some])):
+            if at != row and row is not None:
+                yield np.concatenate(parts)
+                parts = []
+            row = at
+            parts.append(ids)
+    if row is not None:
+        yield np.concatenate(parts)
+    if not made.by_word:
+        for t in texts:
+            yield from made.ids([(t.as_py() or "").encode("utf-8", "replace")])
+
+
 def measured(tokenizer: str, end_id: int, window: int = WINDOW):
     """Column function of a text: its number of tokens with the closing one, the CRC-32 of each full window
     and of the remainder (ids as four bytes each), and the remainder's ids."""
     @F.arrow_udf(_MEASURED)
     def run(texts: pa.Array) -> pa.Array:
         made, out = tokens_of(tokenizer), []
-        for some in _slices(texts):
-            for ids in made.ids(some):
-                ids = np.append(ids, end_id).astype("<u4")
-                whole = len(ids) // window
-                data = memoryview(ids.tobytes())
-                crcs = [zlib.crc32(data[k:k + 4 * window]) for k in range(0, len(data), 4 * window)]
-                tail = ids[whole * window:]
-                out.append((len(ids), crcs, tail.astype("<u4" if made.wide or end_id >> 16 else "<u2").tobytes()))
+        for ids in _documents(made, texts):
+            ids = np.append(ids, end_id).astype("<u4")
+            whole = len(ids) // window
+            data = memoryview(ids.tobytes())
+            crcs = [zlib.crc32(data[k:k + 4 * window]) for k in range(0, len(data), 4 * window)]
+            tail = ids[whole * window:]
+            out.append((len(ids), crcs, tail.astype("<u4" if made.wide or end_id >> 16 else "<u2").tobytes()))
         return pa.StructArray.from_arrays([pa.array([o[0] for o in out], pa.int64()), pa.array([o[1] for o in out], pa.list_(pa.int64())),
                                            pa.array([o[2] for o in out], pa.binary())], _MEASURED.names)
     return run
@@ -299,16 +363,13 @@ def plan(histogram: dict[int, int], window: int = WINDOW) -> tuple[list[tuple],
 _PLAN = "left long, lo long, hi long, at long, size long, base long, first long, each long, off long"
 
 
-def pack(docs: DataFrame, tokenizer: str, end_id: int, text_col: str = "text", window: int = WINDOW) -> DataFrame:
-    """The other columns of ``docs`` for every piece, with start, length, ids_crc32, doc_tokens, sequence_id and offset.
-
-    A document is its text's ids and ``end_id``. Columns of these names in ``docs`` are refused."""
+def pack(docs: DataFrame, tokenizer: str, end_id: int, text_col: str = "text", window: int = WINDOW, out: str = "piece") -> DataFrame:
+    """The other columns of ``docs`` for every piece, and ``out`` (replaced if there is one): a struct of
+    start, length, ids_crc32, doc_tokens, sequence_id and offset. A document is its text's ids and ``end_id``."""
     names = ["start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
-    if taken := {c.lower() for c in docs.columns} & set(names):
-        raise ValueError(f"columns {sorted(taken)} are made here")
     if window & window - 1:
         raise ValueError("the window must be a power of two")
-    rest = [c for c in docs.columns if c != text_col]
+    rest = [c for c in docs.columns if c not in (text_col, out)]
     keep = F.struct(*([F.col(f"`{c}`") for c in rest] or [F.lit(None).alias("none")])).alias("keep")  # their names can't clash from here on
     made = cut_lineage(docs.select(keep, measured(tokenizer, end_id, window)(F.col(text_col).cast("string")).alias("m")))
     made = made.select("keep", "m.*", F.monotonically_increasing_id().alias("row"), (F.col("m.n") % window).alias("left"))
@@ -316,10 +377,10 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int, text_col: str = "text", w
     rows, n_mixed = plan(histogram, window)
     slim = made.select("keep", "row", F.col("n").alias("doc_tokens"), "crcs", "left", F.floor(F.col("n") / window).cast("long").alias("full"))
     ranked = cut_lineage(numbered(slim, ["left"], ["row"], "rank", running=("full", "before"))[0])
-    wide, out = F.lit(window).cast("long"), ["keep", *names]
+    wide = F.lit(window).cast("long")
     full = (ranked.filter("full > 0").select("keep", "doc_tokens", "before", F.posexplode(F.slice("crcs", F.lit(1), F.col("full").cast("int"))).alias("j", "ids_crc32"))
             .withColumns({"start": F.col("j") * wide, "length": wide, "sequence_id": F.lit(n_mixed).cast("long") + F.col("before") + F.col("j"),
-                          "offset": F.lit(0).cast("long")}).select(*out))
+                          "offset": F.lit(0).cast("long")}).select("keep", *names))
     places = F.broadcast(docs.sparkSession.createDataFrame(rows, _PLAN))
     j = F.col("first") + F.col("rank") - F.col("lo")
     met = (ranked.filter("left > 0").join(places, "left").filter("lo <= rank and rank < hi")
@@ -327,12 +388,12 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int, text_col: str = "text", w
                    F.element_at("crcs", -1).alias("ids_crc32"), (F.col("base") + F.floor(j / F.col("each")).cast("long")).alias("sequence_id"),
                    (F.col("off") + j % F.col("each") * F.col("size")).alias("offset")))
     met = cut_lineage(met)
-    whole = met.filter("length = left").select(*out)
+    whole = met.filter("length = left").select("keep", *names)
     width = F.octet_length("tail") / F.col("left")
     part = F.substring("tail", (F.col("at") * width + 1).cast("int"), (F.col("length") * width).cast("int"))
-    cut = met.filter("length < left").join(made.select("row", "tail"), "row").withColumn("ids_crc32", _crc(part, width == 2)).select(*out)
+    cut = met.filter("length < left").join(made.select("row", "tail"), "row").withColumn("ids_crc32", _crc(part, width == 2)).select("keep", *names)
     done = full.unionByName(whole).unionByName(cut)
-    return done.select(*[F.col(f"keep.`{c}`").alias(c) for c in rest], *names)
+    return done.select(*[F.col(f"keep.`{c}`").alias(c) for c in rest], F.struct(*names).alias(out))
 
 
 @F.arrow_udf(T.LongType())

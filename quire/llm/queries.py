@@ -87,7 +87,7 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(prepare(spark), sf_dir, "documents").select("doc_id", "text")
-    return packing.pack(docs, packing.default_tokenizer(), end_id=2)
+    return packing.pack(docs, packing.default_tokenizer(), end_id=2).select("doc_id", "piece.*")
 
 
 def damaged(rows: DataFrame) -> DataFrame:
@@ -112,8 +112,8 @@ def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     tampered = merkle.leaf_hash(*rest, F.try_add(F.col("n_chars"), F.when(hit, 1).otherwise(0)), F.col("text"))
     leaves = docs.select("doc_id", "lang", merkle.leaf_hash(*rest, F.col("n_chars"), F.col("text")).alias("leaf"), F.when(hit, tampered).alias("tampered"))
     done = merkle.manifest(leaves, "lang", ["doc_id"])
-    return (done.select("doc_id", "leaf", "subroot", "root", merkle.proof_digest(F.col("path")).alias("proof_sha256"),
-                        merkle.fold(F.coalesce("tampered", "leaf"), F.col("path")).alias("folded_root"))
+    return (done.select("doc_id", "leaf", "proof.subroot", "proof.root", merkle.proof_digest(F.col("proof.path")).alias("proof_sha256"),
+                        merkle.fold(F.coalesce("tampered", "leaf"), F.col("proof.path")).alias("folded_root"))
             .withColumn("verified", F.col("folded_root") == F.col("root")))
 
 

@@ -46,7 +46,7 @@ def expected(rows):
 
 def manifest(df):
     leaf = merkle.leaf_hash(*[F.col(c) for c in ("doc_id", "source", "lang", "n_chars", "text")])
-    return merkle.manifest(df.select("doc_id", "lang", leaf.alias("leaf"), *[c for c in df.columns if c not in SCHEMA.replace(",", "").split()]), "lang", ["doc_id"])
+    return merkle.manifest(df.select("doc_id", "lang", leaf.alias("leaf"), *[c for c in df.columns if c not in SCHEMA.replace(",", "").split()]), "lang", ["doc_id"]).select("*", "proof.*")
 
 
 def corpus(n=700):
@@ -58,7 +58,7 @@ def corpus(n=700):
 
 def test_manifest_against_a_plain_tree(spark):
     rows = corpus()
-    df = spark.createDataFrame(rows, SCHEMA).withColumns({c: F.lit("mine") for c in ("tree", "rank", "digest", "level", "lo", "tree_")}).repartition(5)
+    df = spark.createDataFrame(rows, SCHEMA).withColumns({c: F.lit("mine") for c in ("tree", "rank", "digest", "level", "lo", "tree_", "n", "depth")}).repartition(5)
     got = manifest(df).collect()
     assert {r.tree for r in got} == {"mine"}
     assert sorted((str(r.doc_id), r.leaf, r.subroot, r.root, [tuple(s) for s in r.path]) for r in got) == sorted((str(i), *rest) for i, *rest in expected(rows))
@@ -85,5 +85,6 @@ def test_a_changed_value_breaks_only_its_own_proof(spark):
 def test_empty_and_clashing(spark):
     none = spark.createDataFrame([], SCHEMA)
     assert manifest(none).count() == 0
-    with pytest.raises(ValueError):
-        manifest(none.withColumn("root", F.lit(1)))
+    one = spark.createDataFrame([(1, "t", "en", "s", 1)], SCHEMA).withColumns({c: F.lit("mine") for c in ("proof", "leaf_", "path", "subroot")})
+    got = merkle.manifest(one.withColumn("leaf", merkle.leaf_hash(F.col("text"))), "lang", ["doc_id"]).first()
+    assert (got.path, got.subroot, got.proof.path, got.proof.subroot) == ("mine", "mine", [], got.leaf)
