@@ -50,7 +50,7 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(prepare(spark), sf_dir, "documents").select("doc_id", "text")
-    return bpe.token_digests(docs, bpe.default_tokenizer())
+    return bpe.token_digests(docs, bpe.default_tokenizer()).select("doc_id", "tokens.*")
 
 
 def op7_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -276,15 +276,50 @@ def test_bpe_round_trip_and_streaming(docs, empty):
             assert np.frombuffer(b"".join(parts), "<u4").tolist() == want
         back = bpe.Decoder(merges)
         assert "".join(map(back.feed, parts)) + back.finish() == library.decode(want, skip_special_tokens=False) == text
-    got = bpe.token_digests(docs.select("doc_id", "text", "source"), path).collect()
-    assert len(got) == len(corpus()) and set(got[0].asDict()) == {"doc_id", "source", "n_tokens", "ids_sha256", "decoded_sha256"}
-    want = sorted(hashlib.sha256((r[1] or "").encode()).hexdigest() for r in corpus())
-    assert sorted(r.decoded_sha256 for r in got) == want
+    clash = clashing(docs).withColumns({c: docs.source for c in ("n_tokens", "ids_sha256", "ids")})
+    found = bpe.token_digests(clash, path, with_ids=True)
+    assert found.columns == [*clash.columns, "tokens"]
+    got = found.collect()
+    assert len(got) == len(corpus()) and all(r.n_tokens == r.source and r.n == "mine" for r in got)
+    for r in got:
+        ids = library.encode(r.text or "", add_special_tokens=False).ids
+        assert (r.tokens.n_tokens, r.tokens.ids) == (len(ids), ids)
+        assert r.tokens.ids_sha256 == hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest()
+        assert r.tokens.decoded_sha256 == hashlib.sha256((r.text or "").encode()).hexdigest()
     ids = bpe.decode_column(bpe.encode_column(docs, path), path)
     assert ids.filter("decoded <> coalesce(text, '')").count() == 0
     assert bpe.token_digests(empty, path).count() == 0
 
 
+def test_bpe_transducer_against_merging():
+    """Every pre-token, short or long, in step or alone, against the plain rule: the earliest merge first."""
+    merges, rng = bpe.merges_of(bpe.default_tokenizer()), random.Random(5)
+    words = ["".join(rng.choice(s) for _ in range(rng.randint(1, n))).encode() for s, n in
+             (("ab", 12), ("aeiorstn", 30), ("é中🙂a", 20), ("=-", 90), ("0123", 40), (" etaoin", 25)) for _ in range(300)]
+    words += [bytes([b]) for b in range(256)] + [merges.bytes_of[i] for i in rng.sample(sorted(merges.id_of.values()), 3000)]
+    words = list(dict.fromkeys(words))
+    want = [np.array(merges.merge(w), "<u4").tobytes() for w in words]
+    assert merges.transduce(words) == want
+    for w, ids in zip(words[::29], want[::29]):
+        run = bpe.Run(merges)
+        assert np.array([*run.feed(w), *run.finish()], "<u4").tobytes() == ids
+    left, right = (np.array(rng.choices(sorted(merges._left.nonzero()[0].tolist()), k=2000)) for _ in range(2))
+    assert merges._stand_beside(left, right).tolist() == [merges.merge(merges.bytes_of[a] + merges.bytes_of[b]) == [a, b] for a, b in zip(left.tolist(), right.tolist())]
+
+
+def test_bpe_caches_change_nothing(monkeypatch):
+    path = bpe.default_tokenizer()
+    texts = [(t or "").encode() for _, t, *_ in corpus()] + ["a'll b'x  c\n\nd\t e 12é× ÷ ÆǅßĿ　x\u00a0y\u1680z\x1cq".encode(), b"", b" ", b"\n", b" \n x", b"x \n"]
+    want = [x.tolist() for x in bpe.Merges(path).ids(texts)]
+    monkeypatch.setattr(bpe, "CACHED", 16)
+    monkeypatch.setattr(bpe, "LANES", 7)
+    small = bpe.Merges(path)
+    assert [x.tolist() for x in small.ids(texts)] == want and len(small.known.new) + len(small.known.old) <= 16
+    from tokenizers import Tokenizer
+    library = Tokenizer.from_file(path)
+    assert want == [library.encode(t.decode(), add_special_tokens=False).ids for t in texts]
+
+
 def test_token_counts(docs, empty):
     from pyspark.sql import functions as F
     import public_tokenizers
