@@ -26,7 +26,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without passages of 50 words or more that occurred before; what has no text left goes."""
+    """Texts without passages of 50 words or more that occurred before. What has no text left goes, null
+    and already empty texts with it."""
     prepare(spark)
     return suffix.remove_repeated_passages(docs).filter("text <> ''")
 
@@ -37,8 +38,9 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids and their digest for every remaining text."""
-    return bpe.token_digests(docs.select("doc_id", "text"), bpe.default_tokenizer())
+    """doc_id, the token ids of every remaining text (null: none), their number and digest, and the digest of the text they give back."""
+    done = bpe.token_digests(docs.select("doc_id", "text"), bpe.default_tokenizer(), with_ids=True)
+    return done.select("doc_id", "tokens.*")
 
 
 STAGES = [
