@@ -92,8 +92,8 @@ def q_stream_ingest(spark: SparkSession, sf: str) -> DataFrame:
     _land(ev.filter(F.col("ts") >= cut), f"{base}/landing")
     for now in STREAM_NOW[1:]:
         run_settled_ingest(spark, f"{base}/landing", ev.schema, f"{base}/state", key, "ts", now)
-    batch = F.when(F.col("batch") < 0, 2).otherwise(F.col("batch")).alias("batch")
-    return selected(spark, f"{base}/state").select("event_id", "pid", "ts", batch)
+    runs = F.array(*[F.lit(n).cast("timestamp_ntz") for n in STREAM_NOW])
+    return selected(spark, f"{base}/state").select("event_id", "pid", "ts", (F.array_position(runs, F.col("run_at")) - 1).cast("int").alias("batch"))
 
 
 def q_stream_requests(spark: SparkSession, sf: str) -> DataFrame:

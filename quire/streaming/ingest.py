@@ -1,101 +1,128 @@
-"""Incremental settled ingest.
-
-Each run reads the new files of a landing directory with the file source.
-A key qualifies once it has a settled hit (older than ``now - minutes``)
-and is not in the done table; all hits of a qualifying key are selected
-and the key is appended to the done table.
-
-State is kept small: a key that is not done cannot have a settled hit in an
-earlier batch (it would have qualified then), so all earlier hits that
-still matter are the unsettled hits of keys that are not done. They are
-kept as a *pending* snapshot. A micro-batch only looks at its own rows plus
-the previous snapshot, never at the whole history; the done table is read
-for the anti join.
-
-Every write is keyed by the micro-batch id (``batch=<id>`` with dynamic
-partition overwrite), and snapshot ``N`` is a function of batch ``N`` and
-snapshot ``N-1`` only. A batch replayed after a failure therefore replaces
-its own output instead of duplicating it. A watermark is not used: it
-would drop late rows, whereas settling only postpones fresh ones.
-"""
-
-from __future__ import annotations
-
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+"""Incremental settled ingest (L1, G5) with keyed state.
 
-from quire.sources.scans import SETTLE_MINUTES, not_done, settled
-from quire.sources.sinks import path_exists
+Each run reads the new files of a landing directory. A key qualifies once it has
+a settled hit (older than ``now - minutes``) and was not selected before; all
+hits of a qualifying key are then selected, once.
 
+Spark's stateful processing keeps the state of each key in its state store: the
+hits that wait, when the first of them settles, and whether the key is done.
+A timer is set for that moment, so neither history nor a table of done keys is
+read again, and a run costs what its new files and its released keys cost.
 
-def _write_batch(df: DataFrame, path: str, batch_id: int) -> None:
-    (df.withColumn("batch", F.lit(batch_id)).write.mode("overwrite")
-       .option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(path))
+Time is what the caller says (``now``), never the clock: every run lands a tick,
+a row that carries ``now`` as event time, and only ticks move the watermark. Rows
+themselves have no event time, so none is ever late. When the watermark has
+passed ``now``, the timers up to it fire, also in a run without a new file.
 
+Every micro-batch writes a folder of its own (``batch=<id>``, with a file even if
+nothing was selected), so a batch that is replayed after a failure replaces its
+own output, and an empty result can still be read.
+"""
 
-def _batch_part(spark: SparkSession, path: str, batch_id: int, schema) -> DataFrame:
-    """Rows of one batch partition, or an empty frame with ``schema``."""
-    part = f"{path}/batch={batch_id}"
-    if batch_id >= 0 and path_exists(spark, part):
-        return spark.read.schema(schema).parquet(part)
-    return spark.createDataFrame([], schema)
+from __future__ import annotations
 
+import uuid
+from collections.abc import Iterator
 
-def run_settled_ingest(spark: SparkSession, landing: str, schema, state: str, key_expr,
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
+
+from quire.sources.scans import SETTLE_MINUTES
+
+_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+_ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+#: Rows travel through the state as JSON, with all digits of their times.
+_JSON = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+
+
+class Settling(StatefulProcessor):
+    """One key: hits wait until the first of them is settled; afterwards the key is done.
+
+    Input columns: hit (text, null in a tick) and due (when the hit is settled, in
+    milliseconds). Output: the key and its hits."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.done = handle.getValueState("done", "done boolean")
+        self.first = handle.getValueState("first", "due bigint")
+        self.hits = handle.getListState("hits", "hit string")
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        done, due = self.done.exists(), None
+        for some in rows:  # to the end, also for a key that is done
+            some = some[some["hit"].notna()]
+            if done or some.empty:
+                continue
+            self.hits.appendList([(h,) for h in some["hit"]])
+            if (times := some["due"].dropna()).size:
+                due = int(times.min()) if due is None else min(due, int(times.min()))
+        if due is None:
+            return
+        if due <= timerValues.getCurrentWatermarkInMs():
+            if self.first.exists():
+                self.handle.deleteTimer(self.first.get()[0])
+            yield self._release(key)
+            return
+        if self.first.exists():
+            if self.first.get()[0] <= due:
+                return
+            self.handle.deleteTimer(self.first.get()[0])
+        self.first.update((due,))
+        self.handle.registerTimer(due)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        yield self._release(key)
+
+    def _release(self, key) -> pd.DataFrame:
+        hits = [h for (h,) in self.hits.get()]
+        self.done.update((True,))
+        self.hits.clear()
+        self.first.clear()
+        return pd.DataFrame({"pid": [key[0]] * len(hits), "hit": hits})
+
+    def close(self) -> None:
+        pass
+
+
+def run_settled_ingest(spark: SparkSession, landing: str, schema: T.StructType, state: str, key_expr: Column,
                        ts_col: str, now, minutes: int = SETTLE_MINUTES) -> None:
-    """One availableNow run over ``landing``; state lives under ``state``."""
-    done_path, pending_path, out = f"{state}/done", f"{state}/pending", f"{state}/selected"
+    """One availableNow run over ``landing``; state lives under ``state``. The key comes out as column
+    pid (in place of one of that name). A null key is never selected, nor is one without a time."""
+    at = F.lit(now).cast("timestamp_ntz")
+    tick = spark.range(1).select(F.to_timestamp_ltz(at.cast("string")).alias("clock"))
+    tick.write.mode("overwrite").parquet(f"{state}/clock/run={uuid.uuid4().hex}")
+    pid = key_expr.cast("string")
+    # settled means ts < now - minutes; the watermark is in milliseconds and passes what it reaches
+    due = F.unix_millis(F.to_timestamp_ltz(F.col(ts_col).cast("timestamp_ntz").cast("string"))) + F.lit(minutes * 60_000 + 1)
+    rows = spark.readStream.schema(schema).parquet(landing).select(
+        pid.alias("pid"), F.to_json(F.struct(*[F.col(f"`{c}`") for c in schema.names]), {**_JSON, "ignoreNullFields": "true"}).alias("hit"),
+        due.alias("due"), F.lit(None).cast("timestamp").alias("clock")).filter("pid is not null")
+    ticks = spark.readStream.schema("clock timestamp, run string").parquet(f"{state}/clock").select(
+        F.lit("\0").alias("pid"), F.lit(None).cast("string").alias("hit"), F.lit(None).cast("long").alias("due"), "clock")
+    released = (rows.unionByName(ticks).withWatermark("clock", "0 seconds").groupBy("pid")
+                .transformWithStateInPandas(Settling(), "pid string, hit string", "append", "eventTime"))
+    rest = [F.col(f"r.`{c}`") for c in schema.names if c != "pid"]
+    found = released.select(F.from_json("hit", schema, _JSON).alias("r"), "pid").select(*rest, "pid", at.alias("run_at"))
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
-        fresh = batch.withColumn("pid", key_expr)
-        candidates = fresh.unionByName(_batch_part(spark, pending_path, batch_id - 1, fresh.schema))
-        # keys marked done by this very batch id (a replay) must not hide its own output
-        done = (spark.read.parquet(done_path).filter(F.col("batch") != batch_id).select("pid")
-                if path_exists(spark, done_path) else spark.createDataFrame([], "pid string"))
-        # three writes read these two frames: keep them for the batch
-        # (lost blocks are recomputed from the batch's lineage)
-        open_hits = not_done(candidates, done, "pid").persist()
-        qualifying = settled(open_hits, ts_col, now, minutes).select("pid").distinct().persist()
-        try:
-            picked = open_hits.join(qualifying, "pid", "left_semi")
-            _write_batch(picked, out, batch_id)
-            _write_batch(qualifying, done_path, batch_id)
-            _write_batch(open_hits.join(qualifying, "pid", "left_anti"), pending_path, batch_id)
-        finally:
-            qualifying.unpersist()
-            open_hits.unpersist()
-
-    q = (spark.readStream.schema(schema).parquet(landing).writeStream
-         .foreachBatch(on_batch).trigger(availableNow=True)
-         .option("checkpointLocation", f"{state}/_checkpoint").start())
-    q.awaitTermination()
-    release_pending(spark, state, ts_col, now, minutes)
-
-
-def release_pending(spark: SparkSession, state: str, ts_col: str, now, minutes: int = SETTLE_MINUTES) -> None:
-    """Selects keys whose pending hits have settled by ``now`` although no new
-    file came. The writes go under a run id made of ``now`` (negative, so it
-    never meets a micro-batch id); repeating the call replaces its own output.
-    The next micro-batch skips the released keys, as they are done."""
-    done_path, pending_path, out = f"{state}/done", f"{state}/pending", f"{state}/selected"
-    if not path_exists(spark, pending_path):
-        return
-    pending = spark.read.parquet(pending_path)
-    last = pending.agg(F.max("batch")).first()[0]
-    if last is None:
-        return
-    run_id = -int(spark.sql("select unix_timestamp(cast(:t as timestamp))", args={"t": str(now)}).first()[0])
-    waiting = pending.filter(F.col("batch") == last).drop("batch")
-    done = spark.read.parquet(done_path).filter(F.col("batch") != run_id).select("pid")
-    open_hits = not_done(waiting, done, "pid")
-    qualifying = settled(open_hits, ts_col, now, minutes).select("pid").distinct().persist()
+        batch.write.mode("overwrite").parquet(f"{state}/selected/batch={batch_id}")
+
+    before = spark.conf.get(_PROVIDER)
+    spark.conf.set(_PROVIDER, _ROCKS)  # the store that keeps lists and timers
     try:
-        if qualifying.limit(1).count():
-            _write_batch(open_hits.join(qualifying, "pid", "left_semi"), out, run_id)
-            _write_batch(qualifying, done_path, run_id)
+        query = (found.writeStream.foreachBatch(on_batch).trigger(availableNow=True)
+                 .option("checkpointLocation", f"{state}/_checkpoint").start())
+        query.awaitTermination()
     finally:
-        qualifying.unpersist()
+        spark.conf.set(_PROVIDER, before)
 
 
 def selected(spark: SparkSession, state: str) -> DataFrame:
-    return spark.read.parquet(f"{state}/selected")
+    """All selected hits; ``batch`` numbers the runs that selected any, from 0, and ``run_at`` is the ``now`` of the run."""
+    rows = spark.read.parquet(f"{state}/selected").drop("batch")
+    # one row for each run, so the window is small
+    runs = rows.select("run_at").distinct().withColumn("batch", (F.row_number().over(Window.orderBy("run_at")) - 1).cast("int"))
+    return rows.join(F.broadcast(runs), "run_at")

@@ -5,7 +5,6 @@ with the reason, written per batch id (idempotent on replay)."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from quire.sources.json_docs import validate_requests
 
@@ -15,9 +14,8 @@ def run_request_stream(spark: SparkSession, landing: str, schema, state: str,
     def on_batch(batch: DataFrame, batch_id: int) -> None:
         valid, bad = validate_requests(batch, json_col, key_cols)
         for df, name in ((valid, "valid"), (bad, "quarantine")):
-            (df.withColumn("batch", F.lit(batch_id)).write.mode("overwrite")
-               .option("partitionOverwriteMode", "dynamic").partitionBy("batch")
-               .parquet(f"{state}/{name}"))
+            # a folder of its own for each batch, with a file even if there are no rows: what is empty can be read
+            df.write.mode("overwrite").parquet(f"{state}/{name}/batch={batch_id}")
 
     q = (spark.readStream.schema(schema).parquet(landing).writeStream
          .foreachBatch(on_batch).trigger(availableNow=True)

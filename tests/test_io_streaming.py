@@ -94,3 +94,41 @@ def test_streaming_ingest_runs_and_replays(spark):
     run_settled_ingest(spark, f"{base}/landing", first.schema, f"{base}/state", F.col("pid"), "ts", now2)
     got = sorted((r.pid, r.batch) for r in selected(spark, f"{base}/state").collect())
     assert got == [("a", 0), ("b", 1), ("c", 1)]
+
+
+def test_streaming_ingest_keeps_every_value_and_releases_without_a_file(spark):
+    base = scratch(spark, "ingest")
+    schema = "event_id long, ts timestamp_ntz, value double, props map<string,string>, tags array<int>, who string"
+    t = dt.datetime(2024, 1, 1, 8, 0, 0, 123456)
+    rows = [(1, t, 0.1, {"a": "b"}, [1, None], "k"), (2, t + dt.timedelta(minutes=50), None, None, None, "k"), (3, t, 1e300, {}, [], None),
+            (4, None, 2.0, None, None, "l")]
+    df = spark.createDataFrame(rows, schema)
+    df.write.parquet(f"{base}/landing")
+    run = lambda now: run_settled_ingest(spark, f"{base}/landing", df.schema, f"{base}/state", F.col("who"), "ts", now)
+    run(t + dt.timedelta(minutes=30))  # settled is older than, not as old as
+    assert selected(spark, f"{base}/state").count() == 0  # nothing selected can be read
+    run(t + dt.timedelta(minutes=30, milliseconds=1))  # no new file
+    got = sorted(tuple(r) for r in selected(spark, f"{base}/state").select(*df.columns).collect())
+    assert got == rows[:2]  # all hits of the key; no null key; no key without a time
+    df.filter("event_id = 2").write.mode("append").parquet(f"{base}/landing")
+    run(t + dt.timedelta(days=1))
+    assert selected(spark, f"{base}/state").count() == 2  # a key that is done stays done
+
+
+def test_streaming_ingest_of_hits_older_than_the_last_run(spark):
+    base = scratch(spark, "ingest")
+    t = dt.datetime(2024, 1, 1, 8, 0)
+    df = spark.createDataFrame([("a", t)], "pid string, ts timestamp_ntz")
+    for k, (name, now) in enumerate((("a", t + dt.timedelta(hours=9)), ("b", t + dt.timedelta(hours=9)), ("c", t + dt.timedelta(hours=8)))):
+        df.withColumn("pid", F.lit(name)).write.mode("append").parquet(f"{base}/landing")
+        run_settled_ingest(spark, f"{base}/landing", df.schema, f"{base}/state", F.col("pid"), "ts", now)
+        assert selected(spark, f"{base}/state").count() == k + 1
+
+
+def test_request_stream_with_one_empty_side(spark):
+    from quire.streaming.requests import run_request_stream
+    base = scratch(spark, "requests")
+    df = spark.createDataFrame([(1, "{not json")], "id int, body string")
+    df.write.parquet(f"{base}/landing")
+    run_request_stream(spark, f"{base}/landing", df.schema, f"{base}/state", "body", ["id"])
+    assert spark.read.parquet(f"{base}/state/valid").count() == 0 and spark.read.parquet(f"{base}/state/quarantine").count() == 1
