@@ -17,15 +17,23 @@ DIGEST_VERSIONS = [
 
 def q_extractive(spark: SparkSession, sf: str) -> DataFrame:
     prepare(spark)
-    from quire.plans.summarise import extractive_summary
-    return extractive_summary(table(spark, sf, "documents"), "doc_id", "text")
+    from quire.plans.summarise import extractive_summary, token_weights
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    return extractive_summary(docs, "doc_id", "text", weights=token_weights(docs, "text"))
 
 
-def _group_bodies(picks: DataFrame) -> DataFrame:
+def _weights(spark: SparkSession, sf: str) -> DataFrame:
+    """Token weights over all articles."""
+    from quire.plans.summarise import token_weights
+    return token_weights(table(spark, sf, "documents").select("text"), "text")
+
+
+def _group_bodies(picks: DataFrame, weights: DataFrame) -> DataFrame:
     """Per group: headlines in rank order (D9) and the body of the prompt (K2, D8):
     the notes of its picked articles, which are of bounded length each."""
-    from quire.plans.enrich import article_notes
-    picks = picks.join(article_notes(picks, "pid", "article"), "pid")
+    from quire.plans.enrich import article_notes, with_order
+    picks = cut_lineage(picks.select("pid", "cluster", "group_rank", "in_rank", "h1", "article"))
+    picks = picks.join(article_notes(with_order(picks, "pid", "article", weights), "pid", "article"), "pid")
     # one aggregation (one pass over the picks) for all three outputs
     items = F.sort_array(F.collect_list(F.struct("in_rank", "h1", "notes")))
     g = picks.groupBy("cluster").agg(F.min("group_rank").alias("group_rank"), items.alias("_items"))
@@ -36,10 +44,10 @@ def _group_bodies(picks: DataFrame) -> DataFrame:
                      "\n\n").alias("body"))
 
 
-def _versions(df: DataFrame, key: str) -> DataFrame:
+def _versions(df: DataFrame, key: str, weights: DataFrame) -> DataFrame:
     """Both prompt versions through the completer, one column each."""
-    from quire.plans.enrich import complete, responses_to_columns, task_prompts
-    prompts = task_prompts(df, key, "body", [(v, i) for v, i in DIGEST_VERSIONS])
+    from quire.plans.enrich import complete, responses_to_columns, task_prompts, with_order
+    prompts = task_prompts(with_order(df, key, "body", weights), key, "body", [(v, i) for v, i in DIGEST_VERSIONS])
     return responses_to_columns(complete(prompts, key), key, [v for v, _ in DIGEST_VERSIONS])
 
 
@@ -52,7 +60,7 @@ def q_prompt_group(spark: SparkSession, sf: str) -> DataFrame:
     prepare(spark)
     from quire.plans.digest import pick_in_groups, rank_groups
     s = _scored(spark, sf)
-    g = _group_bodies(pick_in_groups(s, rank_groups(s)))
+    g = _group_bodies(pick_in_groups(s, rank_groups(s)), _weights(spark, sf))
     return g.select("cluster", "group_rank", "titles", "body")
 
 
@@ -65,18 +73,20 @@ def q_digest(spark: SparkSession, sf: str) -> DataFrame:
     s = _scored(spark, sf)
     groups = cut_lineage(rank_groups(s))
     n_groups = groups.count()
-    g = _group_bodies(pick_in_groups(s, groups))
-    gv = _versions(g.select(F.col("cluster").cast("string").alias("key"), "body"), "key")
+    weights = _weights(spark, sf)
+    g = cut_lineage(_group_bodies(pick_in_groups(s, groups), weights))
+    gv = _versions(g.select(F.col("cluster").cast("string").alias("key"), "body"), "key", weights)
     grows = g.select(F.col("cluster").cast("string").alias("key"), "group_rank", "titles").join(gv, "key") \
              .select(F.col("group_rank").alias("digest_rank"), F.lit("group").alias("kind"), "key", "titles",
                      "ver1", "ver2", "status")
     singles = pick_singles(s, n_groups)
     # at most the quota (<= 25) rows here, so an unpartitioned window is bounded
     singles = singles.withColumn("srank", F.row_number().over(Window.orderBy(F.desc("sort_cri"), F.asc("pid"))) - 1)
-    from quire.plans.enrich import article_notes
-    sb = singles.join(article_notes(singles, "pid", "article"), "pid").select(
-        F.col("pid").alias("key"), "srank", F.col("h1").alias("titles"), F.col("notes").alias("body"))
-    sv = _versions(sb.select("key", "body"), "key")
+    from quire.plans.enrich import article_notes, with_order
+    singles = cut_lineage(singles.select("pid", "srank", "h1", "article"))
+    sb = cut_lineage(singles.join(article_notes(with_order(singles, "pid", "article", weights), "pid", "article"), "pid").select(
+        F.col("pid").alias("key"), "srank", F.col("h1").alias("titles"), F.col("notes").alias("body")))
+    sv = _versions(sb.select("key", "body"), "key", weights)
     srows = sb.join(sv, "key").select((F.col("srank") + F.lit(n_groups)).alias("digest_rank"),
                                       F.lit("single").alias("kind"), "key", "titles", "ver1", "ver2", "status")
     return grows.unionByName(srows)

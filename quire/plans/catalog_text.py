@@ -133,8 +133,10 @@ def q_prompt_articles(spark: SparkSession, sf: str) -> DataFrame:
 
 def q_enrich_pivot(spark: SparkSession, sf: str) -> DataFrame:
     prepare(spark)
-    from quire.plans.enrich import ARTICLE_TASKS, complete, responses_to_columns, task_prompts
-    p = task_prompts(table(spark, sf, "documents"), "doc_id", "text")
+    from quire.plans.enrich import ARTICLE_TASKS, complete, responses_to_columns, task_prompts, with_order
+    from quire.plans.summarise import token_weights
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    p = task_prompts(with_order(docs, "doc_id", "text", token_weights(docs, "text")), "doc_id", "text")
     return responses_to_columns(complete(p, "doc_id"), "doc_id", [t[0] for t in ARTICLE_TASKS])
 
 
@@ -143,9 +145,11 @@ def q_topic_abstract(spark: SparkSession, sf: str) -> DataFrame:
     fenced and concatenated in turn order, three tasks run through the
     completer, and the item count and update time are attached."""
     prepare(spark)
-    from quire.plans.enrich import TOPIC_TASKS, complete, fenced, ordered_concat, responses_to_columns, task_prompts
+    from quire.plans.enrich import TOPIC_TASKS, complete, fenced, ordered_concat, responses_to_columns, task_prompts, with_order
+    from quire.plans.summarise import token_weights
     c = table(spark, sf, "conversations")
     notes = ordered_concat(c, ["conv_id"], ["turn"], fenced(F.col("role"), F.col("text")), "\n", "notes")
+    notes = with_order(notes, "conv_id", "notes", token_weights(notes, "notes"))
     counts = c.groupBy("conv_id").agg(F.count(F.lit(1)).alias("article_num"))
     prompts = task_prompts(notes, "conv_id", "notes", TOPIC_TASKS)
     wide = responses_to_columns(complete(prompts, "conv_id"), "conv_id", [t[0] for t in TOPIC_TASKS])

@@ -14,12 +14,16 @@ from __future__ import annotations
 
 import re
 import time
-from collections.abc import Callable
+from collections import Counter
+from collections.abc import Callable, Iterable
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quire.functions.tokens import py_tokens
+from quire.plans.summarise import SENTENCE, sentence_order
+
 # The four per-article tasks and their length limits.
 ARTICLE_TASKS = [
     ("what_happen_50", "In at most 50 characters, state what happened.", 50),
@@ -40,40 +44,66 @@ NOTE_LABELS = [("事件摘要: ", "what_happen_200"), ("關鍵事件: ", "key_fa
 Completer = Callable[[pd.DataFrame], pd.DataFrame]
 
 
-# Sentences, and the form of each task's answer: characters in all, or
-# items of so many characters (of sentences that name a speaker, for stances).
-SENTENCE = re.compile(r"[^.!?\n]+[.!?]*")
+# The form of each task's answer: characters in all, or items of so
+# many characters (of sentences that name a speaker, for stances).
 FORMS = {"what_happen_50": ("chars", 50), "what_happen_200": ("chars", 200), "key_facts": ("items", 100),
          "stance": ("spoken", 100), "normal": ("chars", 200), "timeline": ("items", 100),
          "ver1": ("chars", 200), "ver2": ("items", 100)}
 MAX_ITEMS = 5
+_SENTENCE = re.compile(SENTENCE)
+
+
+def _own_order(found: list[str]) -> list[int]:
+    """Sentences by the mean number of times their tokens stand in the text, for texts that come without an order."""
+    each = [py_tokens(s) for s in found]
+    times = Counter(t for some in each for t in some)
+    score = [sum(times[t] for t in some) / len(some) if some else 0.0 for some in each]
+    return sorted(range(len(found)), key=lambda k: (-score[k], k))
 
 
-def answer(task: str, text: str) -> str:
-    """The built-in extractive answer (K6) to a task: its leading sentences in the task's form."""
+def answer(task: str, text: str, order: Iterable[int] | None = None) -> str:
+    """The built-in extractive answer (K6) to a task, from the whole text: its best sentences in the
+    task's form, put back in the text's order. ``order`` has their places from the best on."""
     form, size = FORMS.get(task, ("chars", 200))
-    found = [s for s in (m.strip(" ") for m in SENTENCE.findall(text)) if s]
+    found = [s for s in (m.strip(" ") for m in _SENTENCE.findall(text)) if s]
+    order = [int(k) for k in order] if order is not None else _own_order(found)
     if form == "chars":
-        return " ".join(found)[:size]
+        picked, used = [], -1
+        for k in order:
+            used += len(found[k]) + 1
+            if picked and used > size:
+                break
+            picked.append(k)
+        return " ".join(found[k] for k in sorted(picked))[:size]
     if form == "spoken":
-        found = [s for s in found if ":" in s or "：" in s or '"' in s]
-    return "\n".join(s[:size] for s in found[:MAX_ITEMS])
+        order = [k for k in order if any(c in found[k] for c in (":", "：", '"'))]
+    return "\n".join(found[k][:size] for k in sorted(order[:MAX_ITEMS]))
 
 
 def extractive_completer(batch: pd.DataFrame) -> pd.DataFrame:
-    """A stand-in for a model that takes its answers from the prompt's text."""
+    """A stand-in for a model that takes its answers from the prompt's text; column ``order``, if
+    there, has the places of the text's sentences from the best on (``summarise.sentence_order``)."""
     parts = [(p or "").split("\n\n", 1)[-1] for p in batch["prompt"]]
-    return batch.assign(response=[answer(t, x) for t, x in zip(batch["task"], parts)])
+    orders = batch["order"] if "order" in batch else [None] * len(batch)
+    return batch.assign(response=[answer(t, x, o) for t, x, o in zip(batch["task"], parts, orders)])
+
+
+def with_order(df: DataFrame, key: str, text_col: str, weights: DataFrame) -> DataFrame:
+    """``df`` with column ``order`` of its texts' sentences, scored with a corpus's token weights; ``key`` is unique."""
+    return df.drop("order").join(sentence_order(df, key, text_col, weights), key, "left").withColumn(
+        "order", F.coalesce("order", F.array().cast("array<int>")))
 
 
 def task_prompts(df: DataFrame, key: str, text_col: str,
                  tasks: list[tuple] | None = None) -> DataFrame:
     """One row per (key, task): instruction + blank line + text (K1).
-    The task list is a literal array exploded per row, not a join."""
+    The task list is a literal array exploded per row, not a join. A column
+    ``order`` (see ``with_order``) goes along."""
     tasks = tasks or ARTICLE_TASKS
     arr = F.array(*[F.struct(F.lit(t[0]).alias("task"), F.lit(t[1]).alias("instruction")) for t in tasks])
-    return (df.select(key, F.col(text_col).alias("_text"), F.explode(arr).alias("t"))
-              .select(key, F.col("t.task").alias("task"),
+    order = ["order"] if "order" in df.columns else []
+    return (df.select(key, *order, F.col(text_col).alias("_text"), F.explode(arr).alias("t"))
+              .select(key, *order, F.col("t.task").alias("task"),
                       F.concat(F.col("t.instruction"), F.lit("\n\n"), F.coalesce(F.col("_text"), F.lit("")))
                       .alias("prompt")))
 
@@ -83,12 +113,13 @@ def complete(prompts: DataFrame, key: str, completer: Completer = extractive_com
     """Run the completer over the prompt table (K4): (key, task, prompt,
     response, status, error). When a batch fails its rows are called one by one,
     each retried with exponential backoff; what still fails keeps its error."""
+    given = [key, "task", "prompt", *(["order"] if "order" in prompts.columns else [])]
     key_type = prompts.schema[key].dataType.simpleString()
     schema = f"{key} {key_type}, task string, prompt string, response string, status string, error string"
 
     def run(batches):
         for b in batches:
-            b = b[[key, "task", "prompt"]]
+            b = b[given]
             try:
                 parts = [completer(b).assign(status="ok", error=None)]
             except Exception:  # one bad row must not cost its neighbours: each row on its own
@@ -105,7 +136,7 @@ def complete(prompts: DataFrame, key: str, completer: Completer = extractive_com
                 last = e
                 time.sleep(backoff * (2 ** attempt))
         return row.assign(response=None, status="error", error=repr(last))
-    return prompts.mapInPandas(run, schema)
+    return prompts.select(*given).mapInPandas(run, schema)
 
 
 def responses_to_columns(done: DataFrame, key: str, tasks: list[str]) -> DataFrame:
@@ -157,7 +188,8 @@ def stances(df: DataFrame, key: str, text_col: str, order: list[str], left_out:
 
 
 def article_notes(df: DataFrame, key: str, text_col: str, completer: Completer = extractive_completer) -> DataFrame:
-    """(key, notes): what a group prompt says of an article: summary, key facts and stances (K2)."""
+    """(key, notes): what a group prompt says of an article: summary, key facts and stances (K2).
+    A column ``order`` goes along to the completer."""
     tasks = [t for t in ARTICLE_TASKS if t[0] != "what_happen_50"]
     wide = responses_to_columns(complete(task_prompts(df, key, text_col, tasks), key, completer), key, [t[0] for t in tasks])
     labelled = [F.concat(F.lit(label), F.coalesce(F.col(c), F.lit(""))) for label, c in NOTE_LABELS]

@@ -1,52 +1,36 @@
 """DuckDB twins of the summary, group-prompt and digest queries."""
 
 from quire.plans.oracle import DIGEST_CTE
-from quire.plans.oracle_enrich import answer_sql
+from quire.plans.oracle_enrich import answers_sql, ranked_sql, weights_sql
 
-NOTES = ("('事件摘要: ' || " + answer_sql("what_happen_200", "article") + " || chr(10) || '關鍵事件: ' || "
-         + answer_sql("key_facts", "article") + " || chr(10) || '立場文: ' || " + answer_sql("stance", "article") + ")")
+NOTES = "('事件摘要: ' || n_an.what_happen_200 || chr(10) || '關鍵事件: ' || n_an.key_facts || chr(10) || '立場文: ' || n_an.stance)"
 
 
-EXTRACTIVE = r"""WITH raw AS (
-  SELECT doc_id, unnest(regexp_extract_all(text, '[^.!?\n]+[.!?]*')) AS sentence,
-         unnest(range(len(regexp_extract_all(text, '[^.!?\n]+[.!?]*')))) AS sidx FROM documents),
-sent AS (SELECT doc_id, sidx, trim(sentence) AS sentence FROM raw WHERE trim(sentence) <> ''),
-tok AS (SELECT doc_id, sidx, unnest(regexp_extract_all(lower(sentence), '[\p{L}\p{N}_]+')) AS token FROM sent),
-freq AS (SELECT doc_id, token, count(*) AS tf FROM tok GROUP BY doc_id, token),
-sc AS (SELECT t.doc_id, t.sidx, cast(sum(f.tf) AS double) / count(*) AS score
-       FROM tok t JOIN freq f ON t.doc_id = f.doc_id AND t.token = f.token GROUP BY t.doc_id, t.sidx),
-rk AS (SELECT s.doc_id, s.sidx, s.sentence,
-         row_number() OVER (PARTITION BY s.doc_id ORDER BY coalesce(sc.score, 0.0) DESC, s.sidx) AS rank,
-         sum(length(s.sentence)) OVER (PARTITION BY s.doc_id ORDER BY coalesce(sc.score, 0.0) DESC, s.sidx
-                                       ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum
-       FROM sent s LEFT JOIN sc ON s.doc_id = sc.doc_id AND s.sidx = sc.sidx)
-SELECT doc_id, string_agg(substr(sentence, 1, 200), ' ' ORDER BY sidx) AS summary, count(*) AS n_sentences
-FROM rk WHERE rank = 1 OR cum <= 200 GROUP BY doc_id"""
+EXTRACTIVE = f"""WITH {weights_sql("documents", "text")}, {ranked_sql("a", "documents", "doc_id", "text")}
+SELECT key AS doc_id, substr(string_agg(sentence, ' ' ORDER BY sidx), 1, 200) AS summary, count(*) AS n_sentences
+FROM a_rk WHERE rank = 1 OR used <= 200 GROUP BY key"""
 
-PICKS = f"""g AS (SELECT s.cluster, k.group_rank, s.pid, s.h1, {NOTES} AS notes,
+PICKS = f"""{weights_sql("documents", "text")}, {answers_sql("n", "scored", "pid", "article")},
+g AS (SELECT s.cluster, k.group_rank, s.pid, s.h1, {NOTES} AS notes,
              row_number() OVER (PARTITION BY s.cluster ORDER BY s.sort_cri DESC, s.pid) AS in_rank,
              count(*) OVER (PARTITION BY s.cluster) AS size
-      FROM scored s JOIN kept k ON s.cluster = k.cluster),
+      FROM scored s JOIN kept k ON s.cluster = k.cluster JOIN n_an ON n_an.key = s.pid),
 picks AS (SELECT * FROM g WHERE in_rank <= CASE WHEN size < 4 THEN size ELSE floor(size / 2) END),
 gb AS (SELECT cluster, min(group_rank) AS group_rank, string_agg(h1, ' | ' ORDER BY in_rank) AS titles,
               string_agg(notes, chr(10) || chr(10) ORDER BY in_rank) AS body
        FROM picks GROUP BY cluster)"""
 
 
-def _ver(body: str) -> str:
-    return f"{answer_sql('ver1', body)} AS ver1, {answer_sql('ver2', body)} AS ver2, 'ok' AS status"
-
-
 ORACLE_DIGEST = {
     "q_extractive": EXTRACTIVE,
     "q_prompt_group": f"WITH RECURSIVE {DIGEST_CTE}, {PICKS} SELECT cluster, group_rank, titles, body FROM gb",
     "q_digest": f"""WITH RECURSIVE {DIGEST_CTE}, {PICKS},
 ng AS (SELECT count(*) AS n FROM kept),
 sg AS (SELECT pid, h1, {NOTES} AS notes, row_number() OVER (ORDER BY sort_cri DESC, pid) - 1 AS srank
-       FROM scored WHERE cluster < 0)
-SELECT group_rank AS digest_rank, 'group' AS kind, cast(cluster AS varchar) AS key, titles, {_ver('body')} FROM gb
-UNION ALL
-SELECT srank + (SELECT n FROM ng) AS digest_rank, 'single' AS kind, pid AS key, h1 AS titles,
-       {_ver("notes")}
-FROM sg WHERE srank < (SELECT CASE WHEN n < 25 THEN 25 - n ELSE 5 END FROM ng)""",
+       FROM scored JOIN n_an ON n_an.key = pid WHERE cluster < 0),
+entry AS (SELECT group_rank AS digest_rank, 'group' AS kind, cast(cluster AS varchar) AS key, titles, body FROM gb
+  UNION ALL SELECT srank + (SELECT n FROM ng), 'single', pid, h1, notes FROM sg WHERE srank < (SELECT CASE WHEN n < 25 THEN 25 - n ELSE 5 END FROM ng)),
+body_ AS (SELECT kind || key AS id, body FROM entry),
+{answers_sql("v", "body_", "id", "body")}
+SELECT digest_rank, kind, entry.key, titles, what_happen_200 AS ver1, key_facts AS ver2, 'ok' AS status FROM entry JOIN v_an ON v_an.key = kind || entry.key""",
 }

@@ -1,6 +1,6 @@
 """DuckDB twins of the document, request, tagging, name and enrichment queries."""
 
-from quire.plans.enrich import ARTICLE_TASKS, TOPIC_TASKS
+from quire.plans.enrich import ARTICLE_TASKS
 from quire.plans.oracle_text import clean_sql
 
 
@@ -8,17 +8,47 @@ def _q(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
 
-def answer_sql(task: str, text: str) -> str:
-    """Leading sentences in the form of a task: 50 or 200 characters, or five items of 100."""
-    s = (f"list_filter(list_transform(regexp_extract_all(coalesce({text}, ''), '[^.!?\\n]+[.!?]*'), lambda x: trim(x)), "
-         "lambda y: y <> '')")
-    if task == "what_happen_50":
-        return f"substr(array_to_string({s}, ' '), 1, 50)"
-    if task in ("what_happen_200", "normal", "ver1"):
-        return f"substr(array_to_string({s}, ' '), 1, 200)"
-    if task == "stance":
-        s = f"list_filter({s}, lambda z: contains(z, ':') OR contains(z, '：') OR contains(z, '\"'))"
-    return f"array_to_string(list_transform(({s})[1:5], lambda u: substr(u, 1, 100)), chr(10))"
+def _tokens(text: str) -> str:
+    """Every ideograph is a token of its own, so blanks are put round each."""
+    return f"regexp_extract_all(regexp_replace(lower({text}), '(\\p{{Han}})', ' \\1 ', 'g'), '[\\p{{L}}\\p{{N}}_]+')"
+
+
+def weights_sql(corpus: str, text: str) -> str:
+    """CTEs wn and wt: token weights over the texts of a corpus."""
+    return f"""wn AS (SELECT count(*) AS n FROM {corpus}),
+wt AS (SELECT token, cast(round(ln(cast((SELECT n FROM wn) + 1 AS double) / cast(count(*) + 1 AS double)) * 1000) AS bigint) + 1 AS w
+  FROM (SELECT unnest(list_distinct({_tokens(text)})) AS token FROM {corpus}) t GROUP BY token)"""
+
+
+SENTENCE = r"[^.!?。！？\n]+[.!?。！？]*"
+
+
+def ranked_sql(p: str, source: str, key: str, text: str) -> str:
+    """CTE {p}_rk: every sentence of a source's texts with its score and its rank in its text."""
+    return f"""{p}_se AS (SELECT key, sidx, trim(s) AS sentence FROM (SELECT {key} AS key, unnest(m) AS s, unnest(range(len(m))) AS sidx
+  FROM (SELECT {key}, regexp_extract_all(coalesce({text}, ''), '{SENTENCE}') AS m FROM {source}) a) b WHERE trim(s) <> ''),
+{p}_tk AS (SELECT key, sidx, unnest({_tokens("sentence")}) AS token FROM {p}_se),
+{p}_tf AS (SELECT key, token, count(*) AS tf FROM {p}_tk GROUP BY key, token),
+{p}_sc AS (SELECT k.key, k.sidx, cast(sum(tf * coalesce(w, cast(round(ln(cast((SELECT n FROM wn) + 1 AS double)) * 1000) AS bigint) + 1)) AS double) / count(*) AS score
+  FROM {p}_tk k JOIN {p}_tf f ON f.key = k.key AND f.token = k.token LEFT JOIN wt ON wt.token = k.token GROUP BY k.key, k.sidx),
+{p}_rk AS (SELECT s.key, s.sidx, s.sentence, contains(s.sentence, ':') OR contains(s.sentence, '：') OR contains(s.sentence, '"') AS spoken,
+  row_number() OVER (PARTITION BY s.key ORDER BY coalesce(score, 0.0) DESC, s.sidx) AS rank,
+  sum(length(s.sentence) + 1) OVER (PARTITION BY s.key ORDER BY coalesce(score, 0.0) DESC, s.sidx ROWS UNBOUNDED PRECEDING) - 1 AS used
+  FROM {p}_se s LEFT JOIN {p}_sc c ON c.key = s.key AND c.sidx = s.sidx)"""
+
+
+def answers_sql(p: str, source: str, key: str, text: str) -> str:
+    """CTE {p}_an: each text's best sentences in every form of answer, from the whole text."""
+    return f"""{ranked_sql(p, source, key, text)},
+{p}_sp AS (SELECT key, sidx, row_number() OVER (PARTITION BY key ORDER BY rank) AS srank FROM {p}_rk WHERE spoken),
+{p}_fo AS (SELECT r.key,
+  substr(string_agg(sentence, ' ' ORDER BY r.sidx) FILTER (rank = 1 OR used <= 50), 1, 50) AS c50,
+  substr(string_agg(sentence, ' ' ORDER BY r.sidx) FILTER (rank = 1 OR used <= 200), 1, 200) AS c200,
+  string_agg(substr(sentence, 1, 100), chr(10) ORDER BY r.sidx) FILTER (rank <= 5) AS items,
+  string_agg(substr(sentence, 1, 100), chr(10) ORDER BY r.sidx) FILTER (srank <= 5) AS said
+  FROM {p}_rk r LEFT JOIN {p}_sp x ON x.key = r.key AND x.sidx = r.sidx GROUP BY r.key),
+{p}_an AS (SELECT d.{key} AS key, coalesce(c50, '') AS what_happen_50, coalesce(c200, '') AS what_happen_200, coalesce(items, '') AS key_facts,
+  coalesce(said, '') AS stance FROM {source} d LEFT JOIN {p}_fo f ON f.key = d.{key})"""
 
 
 def _prompt(instr: str, body: str) -> str:
@@ -72,13 +102,14 @@ FROM d""",
     "q_prompt_articles": "SELECT doc_id, task, md5(p) AS prompt_md5, cast(length(p) AS integer) AS prompt_len FROM ("
         + " UNION ALL ".join(f"SELECT doc_id, {_q(t)} AS task, {_prompt(i, 'text')} AS p FROM documents"
                              for t, i, _ in ARTICLE_TASKS) + ") x",
-    "q_enrich_pivot": "SELECT doc_id, " + ", ".join(f"{answer_sql(t, 'text')} AS {t}" for t, i, _ in ARTICLE_TASKS)
-        + ", 'ok' AS status, '' AS error FROM documents",
-    "q_topic_abstract": f"""WITH n AS (
+    "q_enrich_pivot": f"""WITH {weights_sql("documents", "text")}, {answers_sql("a", "documents", "doc_id", "text")}
+SELECT key AS doc_id, what_happen_50, what_happen_200, key_facts, stance, 'ok' AS status, '' AS error FROM a_an""",
+    "q_topic_abstract": f"""WITH notes_ AS (
   SELECT conv_id, string_agg({FENCED}, chr(10) ORDER BY turn) AS notes, count(*) AS article_num
-  FROM conversations GROUP BY conv_id)
-SELECT conv_id, """ + ", ".join(f"{answer_sql(t, 'notes')} AS {t}" for t, i in TOPIC_TASKS)
-        + ", 'ok' AS status, '' AS error, article_num, timestamp '2024-02-01 00:00:00' AS update_dt FROM n",
+  FROM conversations GROUP BY conv_id),
+{weights_sql("notes_", "notes")}, {answers_sql("a", "notes_", "conv_id", "notes")}
+SELECT conv_id, what_happen_200 AS normal, key_facts AS timeline, stance, 'ok' AS status, '' AS error, article_num,
+  timestamp '2024-02-01 00:00:00' AS update_dt FROM notes_ JOIN a_an ON key = conv_id""",
     "q_timeline": """SELECT user_id AS tno, cast(ts AS date) AS day,
   string_agg(event_type || ' ' || cast(cast(round(value * 100) AS bigint) AS varchar), ' ' ORDER BY ts, event_id) AS events
 FROM events GROUP BY user_id, cast(ts AS date)""",

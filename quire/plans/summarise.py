@@ -1,57 +1,104 @@
-"""Length-bounded extractive summary (K6) as a distributed job.
-
-Sentences are exploded with their position; a sentence scores the mean
-frequency of its tokens in its own document (Luhn-style). Sentences are taken
-in score order while the running length stays within the budget (the best
-sentence is always kept, cut to the budget) and reassembled in their original
-order, each joined by one space.
-
-Plan shape: the documents are hash-partitioned by key once. Every later
-step (token counts per (key, token), scores per (key, sentence), ranking per
-key, the final fold per key) clusters on the key plus something else, which
-that partitioning already satisfies, so no further shuffle happens. Sentence
-text and its tokens travel in one exploded row set (the text on one marker
-row per sentence, not repeated per token), so no join is needed either.
+"""Extractive summaries of bounded length (K6), scored by TF-IDF over the whole text.
+
+A sentence scores the mean weight of its tokens: how often a token stands in its
+own text, times how rare it is in the corpus (``token_weights``: one aggregate
+over all texts). All sentences of a text are scored, wherever they stand, and
+``sentence_order`` gives their places from the best to the worst. What is made
+of that order is a form: sentences taken best first while they fit a number of
+characters, or the best few, each put back in the order of the text.
+
+Plan. The texts are hash-partitioned by key once; token counts, scores and the
+order all cluster on the key. Only the weights are joined by token, on slim rows
+(key, token, where). Tokens that stand in more than a thousandth of all texts
+come from a table of bounded size (a thousand times the mean number of different
+tokens of a text, whatever the corpus), which is broadcast; the others, none of
+which has more rows than that thousandth, by an equi-join. So a token that every
+text has makes no hot key.
+
+Weights are whole numbers, so that a score does not depend on the order of a sum.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quire.functions.tokens import tokens
+from quire.session import cut_lineage, spread
 
-# Sentence pattern and the default character budget.
-SENTENCE = r"[^.!?\n]+[.!?]*"
+# What ends a sentence (full-width signs too), and the default character budget.
+SENTENCE = r"[^.!?。！？\n]+[.!?。！？]*"
 BUDGET = 200
+#: Token weights (some 50 bytes each) that may be sent to every executor.
+BROADCAST_ROWS = 500_000
+
+
+def sentence_array(text: Column) -> Column:
+    """array<string> of the sentences of a text, trimmed, without empty ones."""
+    found = F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(SENTENCE), 0)
+    return F.filter(F.transform(found, lambda s: F.trim(s)), lambda s: s != "")
+
+
+def token_weights(corpus: DataFrame, text_col: str) -> DataFrame:
+    """(token, weight, common) over a corpus: weight = 1 + 1000 ln((texts + 1) / (texts with the token + 1)), rounded;
+    common: the token is in more than a thousandth of the texts. Materialised; a token that is not in it weighs ``unseen``."""
+    n = corpus.count()
+    seen = spread(corpus.select(text_col)).select(F.explode(F.array_distinct(tokens(F.col(text_col)))).alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("texts"))
+    table = seen.select("token", _weight(F.lit(n), F.col("texts")).alias("weight"), (F.col("texts") * 1000 > n).alias("common"))
+    return cut_lineage(table.withColumn("unseen", _weight(F.lit(n), F.lit(0))))
+
+
+def _weight(n: Column, texts: Column) -> Column:
+    return F.round(F.log((n + 1).cast("double") / (texts + 1).cast("double")) * 1000).cast("long") + 1
+
+
+def sentence_order(df: DataFrame, key: str, text_col: str, weights: DataFrame | None = None) -> DataFrame:
+    """(key, order): the places of each text's sentences, best score first, ties in the text's order.
+    Without weights every token weighs the same. ``key`` is unique; texts without a sentence are left out."""
+    docs = df.select(F.col(key).alias("key"), F.col(text_col).alias("text")).repartition("key")
+    each = docs.select("key", F.posexplode(sentence_array(F.col("text"))).alias("place", "sentence"))
+    rows = each.select("key", "place", F.explode_outer(tokens(F.col("sentence"))).alias("token"))
+    where = rows.groupBy("key", "token").agg(F.collect_list("place").alias("places"))  # of one token in one text
+    weight = F.lit(1)
+    if weights is not None:
+        where, weight = _weighed(where, weights)
+    value = F.when(F.col("token").isNotNull(), F.size("places") * weight)
+    best = (where.select("key", value.alias("value"), F.explode("places").alias("place")).groupBy("key", "place")
+            .agg(F.coalesce(F.sum("value").cast("double") / F.count("value"), F.lit(0.0)).alias("score")))
+    ranked = F.sort_array(F.collect_list(F.struct((-F.col("score")).alias("s"), "place")))
+    return best.groupBy("key").agg(F.transform(ranked, lambda x: x["place"]).alias("order")).withColumnRenamed("key", key)
+
+
+def _weighed(where: DataFrame, weights: DataFrame) -> tuple[DataFrame, Column]:
+    """``where`` with its tokens' weights joined, and the column that says them."""
+    one = weights.select("unseen").first()  # the same in every row
+    unseen = F.lit(one.unseen if one else 1)
+    if weights.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        return where.join(F.broadcast(weights.select("token", "weight")), "token", "left"), F.coalesce(F.col("weight"), unseen)
+    common = F.broadcast(weights.filter("common").select("token", F.col("weight").alias("known")))
+    rare = weights.filter("not common").select(F.col("token").alias("rare_token"), "weight")
+    # a row whose weight is known looks for nothing, and not in one place with the others
+    look = F.when(F.col("known").isNull() & F.col("token").isNotNull(), F.col("token")).otherwise(F.concat(F.lit("\0"), F.xxhash64("key").cast("string")))
+    met = where.join(common, "token", "left").withColumn("look", look).join(rare, F.col("look") == F.col("rare_token"), "left")
+    return met, F.coalesce("known", "weight", unseen)
+
+
+def in_budget(sentences: Column, order: Column, budget: int) -> Column:
+    """Places, in the text's order, of the best sentences that fit ``budget`` characters, a space between two;
+    the first that does not fit ends it, but the best one is always there."""
+    start = F.struct(F.lit(0).cast("long").alias("used"), F.array().cast("array<int>").alias("places"), F.lit(True).alias("open"))
+
+    def add(a: Column, place: Column) -> Column:
+        used = a["used"] + F.length(F.get(sentences, place)) + F.when(F.size(a["places"]) > 0, 1).otherwise(0)
+        fits = a["open"] & ((F.size(a["places"]) == 0) | (used <= budget))
+        return F.struct(used.cast("long").alias("used"), F.when(fits, F.array_append(a["places"], place)).otherwise(a["places"]).alias("places"), fits.alias("open"))
+
+    return F.array_sort(F.aggregate(order, start, add)["places"])
 
 
-def sentences(df: DataFrame, key: str, text_col: str) -> DataFrame:
-    s = df.select(key, F.posexplode(F.regexp_extract_all(F.col(text_col), F.lit(SENTENCE), 0))
-                  .alias("sidx", "sentence"))
-    return s.withColumn("sentence", F.trim("sentence")).filter(F.col("sentence") != "")
-
-
-def extractive_summary(df: DataFrame, key: str, text_col: str, budget: int = BUDGET) -> DataFrame:
-    """(key, summary, n_sentences)."""
-    docs = df.select(key, text_col).repartition(key)
-    sent = sentences(docs, key, text_col)
-    marker = F.array(F.struct(F.lit(None).cast("string").alias("token"), F.col("sentence").alias("text")))
-    toks = F.transform(tokens(F.col("sentence")),
-                       lambda t: F.struct(t.alias("token"), F.lit(None).cast("string").alias("text")))
-    rows = sent.select(key, "sidx", F.explode(F.concat(marker, toks)).alias("r")) \
-               .select(key, "sidx", F.col("r.token").alias("token"), F.col("r.text").alias("text"))
-    rows = rows.withColumn("tf", F.when(F.col("token").isNotNull(),
-                                        F.count("token").over(Window.partitionBy(key, "token"))))
-    per = rows.groupBy(key, "sidx").agg(
-        F.max("text").alias("sentence"),
-        F.coalesce(F.sum("tf").cast("double") / F.count("token"), F.lit(0.0)).alias("score"))
-    w = Window.partitionBy(key).orderBy(F.desc("score"), F.asc("sidx"))
-    ranked = (per.withColumn("rank", F.row_number().over(w))
-                 .withColumn("cum", F.sum(F.length("sentence")).over(
-                     w.rowsBetween(Window.unboundedPreceding, Window.currentRow))))
-    picked = ranked.filter((F.col("rank") == 1) | (F.col("cum") <= budget)).withColumn(
-        "sentence", F.substring("sentence", 1, budget))
-    s = F.sort_array(F.collect_list(F.struct("sidx", "sentence")))
-    return picked.groupBy(key).agg(F.array_join(F.transform(s, lambda x: x["sentence"]), " ").alias("summary"),
-                                   F.count(F.lit(1)).alias("n_sentences"))
+def extractive_summary(df: DataFrame, key: str, text_col: str, budget: int = BUDGET, weights: DataFrame | None = None) -> DataFrame:
+    """(key, summary, n_sentences) of every text that has a sentence."""
+    docs = df.select(key, sentence_array(F.col(text_col)).alias("_s")).repartition(key)
+    picked = docs.join(sentence_order(df, key, text_col, weights), key).select(key, "_s", in_budget(F.col("_s"), F.col("order"), budget).alias("_p"))
+    text = F.array_join(F.transform("_p", lambda i: F.get("_s", i)), " ")
+    return picked.select(key, F.substring(text, 1, budget).alias("summary"), F.size("_p").cast("long").alias("n_sentences"))

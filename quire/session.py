@@ -97,3 +97,10 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint (never a local one): the result survives lost executors."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """``df``, dealt out anew if it comes in fewer partitions than there are cores, as a few files that
+    cannot be split do; a table of many files stays as it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

@@ -1,6 +1,7 @@
 """Batched completion: retries, error status, pivot."""
 
 import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
 from quire.plans.enrich import complete, extractive_completer, responses_to_columns, task_prompts
@@ -25,3 +26,50 @@ def test_failing_completer_keeps_rows_with_status(spark):
     assert "rate limited" in rows[0].error
     ok = complete(p, "id", extractive_completer).filter(F.col("status") == "ok").count()
     assert ok == 1
+
+
+def test_the_best_sentence_may_be_the_last_one(spark):
+    """Sentences are scored over the whole text, against a corpus, and full-width stops end them."""
+    from quire.plans.enrich import ARTICLE_TASKS, with_order
+    from quire.plans.summarise import extractive_summary, token_weights
+    dull = "the of and. " * 20
+    rows = [(1, dull + "Zebras orbit Jupiter."), (2, "他說：的。" + "的的。" * 8 + "火星人登陸台北！"), (3, None), (4, ""), (5, " \n "), (6, "?!"),
+            *[(10 + k, "the of and 的 說 他 so on.") for k in range(40)]]
+    df = spark.createDataFrame(rows, "id long, body string").repartition(4)
+    weights = token_weights(df, "body")
+    done = complete(task_prompts(with_order(df, "id", "body", weights), "id", "body"), "id")
+    got = {r.id: r for r in responses_to_columns(done, "id", [t[0] for t in ARTICLE_TASKS]).collect()}
+    assert len(got) == len(rows)
+    assert "Zebras orbit Jupiter." in got[1].what_happen_50 and got[1].key_facts.endswith("Zebras orbit Jupiter.")
+    assert "火星人登陸台北！" in got[2].what_happen_50 and got[2].stance == "他說：的。"
+    assert all(got[k].what_happen_200 == "" for k in (3, 4, 5, 6))
+    short = {r.id: r.summary for r in extractive_summary(df, "id", "body", 21, weights).collect()}
+    assert short[1] == "Zebras orbit Jupiter." and 3 not in short
+
+
+@pytest.mark.parametrize("broadcast", [500_000, 10])
+def test_order_against_plain_scores(spark, monkeypatch, broadcast):
+    monkeypatch.setattr("quire.plans.summarise.BROADCAST_ROWS", broadcast)
+    import math
+    import random
+
+    from quire.functions.tokens import py_tokens
+    from quire.plans.summarise import sentence_order, token_weights
+    rng = random.Random(4)
+    words = ["the"] * 30 + ["of"] * 9 + [f"w{k}" for k in range(300)]
+    texts = {k: "".join(" ".join(rng.choice([*words, f"r{rng.randrange(100000)}"] if rng.random() < 0.5 else [f"r{rng.randrange(100000)}"]) for _ in range(rng.randint(0, 9))) + rng.choice(".!。\n") for _ in range(rng.randint(1, 30))) for k in range(1100)}
+    df = spark.createDataFrame(list(texts.items()), "id long, t string")
+    weights = token_weights(df, "t")
+    assert weights.filter("common").count() > 0 and weights.filter("not common").count() > 0
+    seen = {}
+    for t in texts.values():
+        for x in set(py_tokens(t)):
+            seen[x] = seen.get(x, 0) + 1
+    weigh = {x: round(1000 * math.log((len(texts) + 1) / (n + 1))) + 1 for x, n in seen.items()}
+    got = {r.id: r.order for r in sentence_order(df, "id", "t", weights).collect()}
+    import re
+    for k, t in texts.items():
+        found = [s for s in (m.strip(" ") for m in re.findall(r"[^.!?。！？\n]+[.!?。！？]*", t)) if s]
+        own = py_tokens(" ".join(found))
+        score = [sum(own.count(x) * weigh[x] for x in py_tokens(s)) / len(py_tokens(s)) if py_tokens(s) else 0.0 for s in found]
+        assert got.get(k, []) == sorted(range(len(found)), key=lambda i: (-score[i], i))
