@@ -4,17 +4,20 @@ A page is cut into blocks at block-level tags. First pass: stop-word density,
 length and link density decide a block as article or boilerplate; what stands
 in a container that names itself (nav, header, footer, aside, form, an advert,
 a notice, comments) is boilerplate, and where the page marks its article
-(article, main), text outside of it is boilerplate, while text inside is taken for
-the article's unless the figures speak against it: few stop words and some
-links, or next to no stop words in a block at the article's edge. Second pass:
-blocks left ambiguous, short ones above all, take the label of the nearest
-decided neighbours; a heading that of what follows.
+(article, main), text outside of it is boilerplate. Text inside is the article's
+but for such containers, for lists of links (blocks that are mostly links and
+stand next to one another), and for blocks with some links and few stop words. Missing stop words alone take nothing out of a marked
+article (lists of ingredients, names and figures have none). In a header inside
+an article headings and whole sentences stay. Second pass: blocks left ambiguous,
+short ones above all, take the label of the nearest decided neighbours; a heading
+that of what follows. If no block of a page was decided to be good, the
+ambiguous ones that end like a sentence are.
 
 The stop words are those of the list that fits most of the page's text; where
 none fits, length and link density alone decide.
 
 A container names itself by a whole class name or id, or by one made of such
-words only (search-form). It is layout, not boilerplate, if it holds <main>; a
+words and of words for any container (search-form, ad-slot-1). It is layout, not boilerplate, if it holds <main>; a
 kind that is also put round whole pages (form, sidebar, widget) if it holds the
 only marked article or most of the page's text without links; any other if it
 holds an article and most of that text. What stands inside a marked article
@@ -45,9 +48,8 @@ STOP_HIGH = 0.30
 LINKS = 0.5
 #: Link density that needs stop words beside it.
 FEW_LINKS = 0.2
-#: Stop-word density of next to none, and the words from which a text of the language has a chance under 1 percent of it.
-NO_STOPS = 0.05
-NO_STOPS_WORDS = 15
+#: Words from which a sentence in an article's header is a lead, not a byline.
+LEAD_WORDS = 8
 #: The least share of a page's text that a list of stop words must fit, and the share from which no other list is tried.
 FITS = 0.25
 FITS_WELL = 0.9
@@ -106,19 +108,23 @@ _CJK = "\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff"
 _WORD = re.compile(rf"[{_CJK}]|[^\W\d_{_CJK}][^\W\d_{_CJK}\u0900-\u0903\u093c-\u094d]*(?:[\u0900-\u0903\u093c-\u094d]+[^\W\d_{_CJK}]*)*")
 _WIDE = re.compile(f"[{_CJK}\uac00-\ud7af]")
 _SENTENCE_END = re.compile(r"[.!?…。！？।؟][\"'»”’」』)）]*$")
-_PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
+_PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|\d+")
+_HIDDEN = re.compile(r"(?:^|\s)hidden(?:[\s/=]|$)|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none")
 
 _BLOCK = frozenset("""address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure
 footer form frameset h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol option p pre section summary table tbody
 td tfoot th thead tr ul""".split())
 _CONTAINER = _BLOCK - frozenset("p hr h1 h2 h3 h4 h5 h6 html body pre option dt dd caption summary legend address".split())
-_OUT_TAGS = frozenset("nav footer aside form menu dialog head fieldset button label".split())
+_OUT_TAGS = frozenset("nav footer aside form menu dialog head fieldset".split())
+_MUTE = frozenset(("button", "label"))  # form controls that may stand inside a line
 _OUT_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
 _OUT_NAMES = frozenset("""ad ads adv advert adverts advertisement advertising adsense banner breadcrumb breadcrumbs byline comment comments
 commentlist consent cookie cookies copyright disclaimer discussion disqus dropdown footer form gdpr header login masthead menu menus modal
 nav navbar navigation newsletter notice notices notification overlay pagination pager popup promo promoted promotion recommended related
 replies reply respond search share sharing sidebar signup skip social sponsor sponsored subscribe subscription tags teaser toolbar
 topbar widget""".split())
+# Words in class names that say nothing of what a container holds.
+_PLAIN_NAMES = frozenset("area bar block box container group holder inner item items left links list outer panel posts results right row section slot top unit user wrap wrapper zone".split())
 # Of these, the ones that are also put round whole pages.
 _WRAPS = frozenset("""banner dialog dropdown fieldset footer form header login masthead menu menus modal nav navbar navigation notice notices
 notification overlay pager popup search share sharing sidebar skip social tags toolbar topbar widget""".split())
@@ -134,7 +140,7 @@ def _role_of(tag: str, attributes: str) -> str:
     if tag in _OUT_TAGS:
         return "wrap" if tag in _WRAP_TAGS else "out"
     found = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _ATTRIBUTE.finditer(attributes)} if "=" in attributes else {}
-    if re.search(r"(?:^|\s)hidden(?:[\s/=]|$)", attributes) or found.get("aria-hidden") == "true" or re.search(r"display\s*:\s*none", found.get("style", "")):
+    if _HIDDEN.search(attributes):
         return "out"
     role = found.get("role", "").lower()
     if role in _OUT_ROLES:
@@ -154,17 +160,21 @@ def _role_of(tag: str, attributes: str) -> str:
 
 
 def _name_parts(name: str) -> set[str]:
-    """The words of a class name or id; the name itself if it is a known one."""
+    """The words of a class name or id, without numbers and words for any container; the name itself if it
+    is a known one. A word with digits inside it is no word that is known."""
     if name.lower() in _OUT_NAMES:
         return {name.lower()}
-    return {p.lower() for p in _PART.findall(name)} if not re.search(r"\d", name) else set()
+    if any(re.search(r"[a-z]\d|\d[a-z]", part, re.I) for part in re.split(r"[-_]", name)):
+        return set()
+    return {p.lower() for p in _PART.findall(name) if not p.isdigit()} - _PLAIN_NAMES
 
 
 class Block:
-    __slots__ = ("text", "links", "out", "main", "heading", "inside", "known")
+    __slots__ = ("text", "links", "out", "main", "heading", "inside", "known", "listed")
 
     def __init__(self, text: str, links: int, out: bool, main: bool, heading: bool, inside: int = -1):
         self.text, self.links, self.out, self.main, self.heading, self.inside = text, links, out, main, heading, inside
+        self.listed = False  # one of a list of links
         self.known: list[str] | None = None
 
     def words(self) -> list[str]:
@@ -225,20 +235,23 @@ def blocks(page: str) -> list[Block]:
     linked: list[str] = []
     in_link = breaks = main = headers = 0
     outs, inside, free_article = Outs(), -1, False
-    heading = ""
+    heading = mute = ""
+    hidden = False
     lower = page.lower()
     last_close: dict[str, int] = {}
 
     def end_block() -> None:
-        nonlocal breaks
+        nonlocal breaks, hidden, mute
         if parts:
-            text = " ".join(html.unescape("".join(parts)).split())
+            text = "" if hidden else " ".join(html.unescape("".join(parts)).split())
             if text:
                 links = len(" ".join(html.unescape("".join(linked)).split())) if linked else 0
-                found.append(Block(text, links, headers > 0 and not (main and heading), main > 0, bool(heading), inside))
+                block = Block(text, links, False, main > 0, bool(heading), inside)
+                block.out = headers > 0 and not (main > 0 and (heading or _is_lead(block)))
+                found.append(block)
             parts.clear()
             linked.clear()
-        breaks = 0
+        breaks, hidden, mute = 0, False, ""
 
     def count(role: str, by: int) -> None:
         nonlocal inside, free_article, main, headers
@@ -255,9 +268,10 @@ def blocks(page: str) -> list[Block]:
     for m in _TOKEN.finditer(page):
         if m.start() > at:
             piece = page[at:m.start()]
-            parts.append(piece)
-            if in_link:
-                linked.append(piece)
+            if not mute:
+                parts.append(piece)
+                if in_link:
+                    linked.append(piece)
             if breaks and not piece.isspace():
                 breaks = 0
         at = m.end()
@@ -271,6 +285,9 @@ def blocks(page: str) -> list[Block]:
                 end_block()
         elif tag == "a":
             in_link = 0 if closing else 1
+        elif tag in _MUTE:  # ends with its own tag, or with the block
+            mute = "" if closing else tag
+            parts.append(" ")
         elif tag in _BLOCK or tag in _OUT_TAGS:
             end_block()
             if tag in _HEADINGS:
@@ -278,6 +295,7 @@ def blocks(page: str) -> list[Block]:
             elif tag == "p":
                 heading = ""
             if tag not in _CONTAINER and tag not in _OUT_TAGS:
+                hidden = not closing and bool(m[4]) and _HIDDEN.search(m[4]) is not None
                 continue
             in_link = 0
             if not closing:
@@ -305,8 +323,18 @@ def blocks(page: str) -> list[Block]:
 
 
 GOOD, BAD, OPEN = 1, 0, None
-#: Inside a marked article: next to no stop words.
-DOUBT = -1
+
+
+def _is_lead(b: Block) -> bool:
+    """A whole sentence, mostly without links."""
+    return b.links <= LINKS * len(b.text) and len(b.words()) >= LEAD_WORDS and _SENTENCE_END.search(b.text) is not None
+
+
+def mark_link_lists(found: list[Block]) -> None:
+    """Marks blocks that are mostly links and stand next to another one."""
+    mostly = [b.links > LINKS * len(b.text) and not b.heading for b in found]
+    for i, b in enumerate(found):
+        b.listed = mostly[i] and (i > 0 and mostly[i - 1] or i + 1 < len(found) and mostly[i + 1])
 
 
 def _size(b: Block) -> int:
@@ -333,50 +361,26 @@ def stop_list(found: list[Block], marked: bool) -> frozenset[str] | None:
 
 
 def first_pass(b: Block, marked: bool, stops: frozenset[str] | None) -> int | None:
-    """Good, bad, open or in doubt, by the block alone; marked: the page marks its article; stops: the page's stop words."""
-    if b.out or marked and not b.main:
+    """Good, bad or open, by the block itself; marked: the page marks its article; stops: the page's stop words."""
+    if b.out or marked and (not b.main or b.listed):
         return BAD
     n, size = len(b.text), _size(b)
     if b.links > LINKS * n and not b.heading:
-        return BAD
+        return GOOD if marked else BAD
     if size < SHORT or b.heading:
         return OPEN
+    if marked:  # here few stop words count only beside links
+        return BAD if stops is not None and b.links > FEW_LINKS * n and _density(b.words(), stops) < STOP_LOW else GOOD
     if stops is None:
-        if marked:
-            return GOOD
         if b.links > FEW_LINKS * n:
             return BAD
         return GOOD if size >= LONG or _SENTENCE_END.search(b.text) else OPEN
-    words = b.words()
-    density = _density(words, stops)
-    if marked:
-        if density < STOP_LOW and b.links > FEW_LINKS * n:
-            return BAD
-        listed = len(words) >= NO_STOPS_WORDS and 2 * len(set(words)) >= len(words)
-        return DOUBT if density < NO_STOPS and listed else GOOD
+    density = _density(b.words(), stops)
     if density >= STOP_HIGH or density >= STOP_LOW and size >= LONG:
         return GOOD
     return OPEN if density >= STOP_LOW else BAD
 
 
-def settle_doubts(found: list[Block], labels: list[int | None]) -> list[int | None]:
-    """Blocks in doubt are bad at the edges of the article, before its first good block
-    and after its last one; between good blocks (tables, lists, names) they are good.
-    A heading before the first good block is not lost with them."""
-    good = [i for i, label in enumerate(labels) if label == GOOD]
-    if not good:
-        return [GOOD if label == DOUBT else label for label in labels]
-    out, follows = list(labels), None
-    for i in range(len(labels) - 1, -1, -1):
-        if labels[i] == DOUBT:
-            out[i] = GOOD if good[0] < i < good[-1] else BAD
-        if labels[i] is not None and (found[i].main and not found[i].out):
-            follows = labels[i]
-        elif found[i].heading and follows == DOUBT and i < good[0]:
-            out[i] = GOOD
-    return out
-
-
 def second_pass(found: list[Block], labels: list[int | None], marked: bool) -> list[int]:
     """Open blocks take their nearest decided neighbours' label: that of both if they
     agree, else the nearer one's; a heading goes with what follows. Inside a marked
@@ -411,7 +415,11 @@ def main_text(page: str | None) -> str:
     found = blocks(page)
     marked = any(b.main and not b.out for b in found)
     stops = stop_list(found, marked)
-    labels = second_pass(found, settle_doubts(found, [first_pass(b, marked, stops) for b in found]), marked)
+    mark_link_lists(found)
+    labels = [first_pass(b, marked, stops) for b in found]
+    if GOOD not in labels:  # a page of short paragraphs
+        labels = [GOOD if x is OPEN and not b.heading and _SENTENCE_END.search(b.text) else x for b, x in zip(found, labels)]
+    labels = second_pass(found, labels, marked)
     return "\n".join(b.text for b, label in zip(found, labels) if label == GOOD)
 
 
