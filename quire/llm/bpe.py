@@ -45,12 +45,12 @@ from pyspark.sql import types as T
 
 #: Bytes of a pre-token that is run through the transducer in step with others; a longer one is run alone, byte by byte.
 SHORT = 256
-#: Pre-tokens that are run in step.
-LANES = 1 << 16
+#: Pre-tokens that are run in step times the bytes of the longest one, four bytes each.
+LANES = 1 << 20
 PIECE = 1 << 18
-AHEAD = 1 << 21
+AHEAD = 1 << 19
 #: Pieces of text whose ids a worker keeps, some 200 bytes each, and how many bytes such a piece has at most.
-CACHED, KEPT = 800_000, 64
+CACHED, KEPT = 100_000, 64
 _NONE = 1 << 60
 
 # Fixed value: the pre-token pattern that a byte-level tokenizer file means by "use_regex".
@@ -202,32 +202,32 @@ class Merges:
         # tokens that can stand in an encoding: single bytes, and what the two parts make when nothing merges first
         usable = {self.byte_ids[b]: bytes([b]) for b in range(256)}
         usable |= {new: self.bytes_of[new] for _, new in self.pairs.values()}
-        node, edges, ends = [{}], {}, {}
+        edges, ends, came = {}, {}, [(0, 0)]  # came: the node before and the byte, for each node
+        depth = [0]
         for token, data in usable.items():
             at = 0
             for b in data:
-                nxt = node[at].get(b)
+                nxt = edges.get(at * 256 + b)
                 if nxt is None:
-                    nxt = node[at][b] = len(node)
-                    node.append({})
-                    edges[at * 256 + b] = nxt
+                    nxt = edges[at * 256 + b] = len(came)
+                    came.append((at, b))
+                    depth.append(depth[at] + 1)
                 at = nxt
             ends[at] = token
-        fail, longest = [0] * len(node), [-1] * len(node)
+        fail, longest = [0] * len(came), [-1] * len(came)
         shorter = np.full(wide, -1, np.int64)
-        queue = [0]
-        for at in queue:
-            for b, nxt in node[at].items():
-                back = fail[at]
-                while at and b not in node[back] and back:
+        for at in sorted(range(1, len(came)), key=depth.__getitem__):
+            before, b = came[at]
+            if before:
+                back = fail[before]
+                while back and back * 256 + b not in edges:
                     back = fail[back]
-                fail[nxt] = node[back].get(b, 0) if at else 0
-                longest[nxt] = ends.get(nxt, longest[fail[nxt]])
-                if nxt in ends:
-                    shorter[ends[nxt]] = longest[fail[nxt]]
-                queue.append(nxt)
+                fail[at] = edges.get(back * 256 + b, 0)
+            longest[at] = ends.get(at, longest[fail[at]])
+            if at in ends:
+                shorter[ends[at]] = longest[fail[at]]
         self._edge, self._fail, self._longest, self._shorter = _Table(edges, -1), np.array(fail), np.array(longest), shorter
-        self._pair, self._fits = np.full(1 << 20, -1, np.int64), np.zeros(1 << 20, bool)  # pairs that were looked at lately
+        self._pair, self._fits = np.full(1 << 18, -1, np.int64), np.zeros(1 << 18, bool)  # pairs that were looked at lately
 
     def _stand_beside(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Whether pairs of tokens can be neighbours in an encoding: going back through the merges that made
@@ -251,7 +251,7 @@ class Merges:
     def _compatible(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """As _stand_beside, from a table of pairs; at the beginning (``begin``) a token needs its own parts to fit."""
         key = left * self.wide + right
-        slot = (key.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(44)).astype(np.int64)
+        slot = (key.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(46)).astype(np.int64)
         out = self._fits[slot]
         new = np.flatnonzero(self._pair[slot] != key)
         if len(new):
@@ -370,10 +370,11 @@ class Merges:
                 elif w not in out:
                     run = Run(self)
                     out[w] = np.array([*run.feed(w), *run.finish()], "<u4").tobytes()
-        short = list(short)
-        for k in range(0, len(short), LANES):
-            some = short[k:k + LANES]
+        short, k = sorted(short, key=len, reverse=True), 0
+        while k < len(short):  # long ones by few, short ones by many
+            some = short[k:k + max(1, LANES // (len(short[k]) + 1))]
             out.update(zip(some, self.transduce(some)))
+            k += len(some)
         for u, words in whole.items():
             out[u] = b"".join([out[w] for w in words])
         for u, ids in out.items():
@@ -566,11 +567,12 @@ class Decoder:
 @lru_cache(maxsize=4)
 def merges_of(path: str) -> Merges:
     """One merge list, with its caches, per Python worker."""
+    pa.default_memory_pool().release_unused()  # a worker may come from another stage
     return Merges(path)
 
 
 def _encoded(m: Merges, texts: pa.Array) -> Iterator[Iterable[bytes]]:
-    """For each text its ids in parts. Texts are worked on together, some half a million bytes ahead;
+    """For each text its ids in parts. Texts are worked on together, some half a million characters ahead;
     one that is longer than PIECE, or holds a special token, is streamed by itself."""
     held, size = [], 0
 
@@ -596,7 +598,7 @@ _DIGEST = T.StructType([T.StructField("n_tokens", T.LongType()), T.StructField("
 def token_digests(docs: DataFrame, tokenizer: str, text_col: str = "text", out: str = "tokens", with_ids: bool = False) -> DataFrame:
     """``docs`` with ``out`` (replaced if there is one): a struct of n_tokens, ids_sha256 (of the ids as four bytes
     each), decoded_sha256 (of the text that the ids give back) and, if asked for, the ids."""
-    kind = T.StructType([*_DIGEST, T.StructField("ids", T.ArrayType(T.LongType()))]) if with_ids else _DIGEST
+    kind = T.StructType([*_DIGEST, T.StructField("ids", T.ArrayType(T.IntegerType()))]) if with_ids else _DIGEST
 
     @F.arrow_udf(kind)
     def digest(texts: pa.Array) -> pa.Array:
@@ -611,9 +613,9 @@ def token_digests(docs: DataFrame, tokenizer: str, text_col: str = "text", out:
                     own.append(ids)
             text_hash.update(decoder.finish().encode())
             out.append((n, ids_hash.hexdigest(), text_hash.hexdigest()))
-            kept.append(np.frombuffer(b"".join(own), "<u4").astype(np.int64))
+            kept.append(np.frombuffer(b"".join(own), "<i4"))
         columns = [pa.array([o[k] for o in out], t) for k, t in enumerate((pa.int64(), pa.string(), pa.string()))]
-        return pa.StructArray.from_arrays([*columns, *([pa.array(kept, pa.list_(pa.int64()))] if with_ids else [])], kind.names)
+        return pa.StructArray.from_arrays([*columns, *([pa.array(kept, pa.list_(pa.int32()))] if with_ids else [])], kind.names)
 
     return docs.withColumn(out, digest(F.col(text_col).cast("string")))
 
