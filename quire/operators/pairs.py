@@ -10,6 +10,10 @@ is B. Only qualifying output leaves a task: edges within ``eps``, one partial
 minimum per row, or at most k neighbours per row, so nothing proportional to
 the square of a block is shuffled. Distances of emitted edges are recomputed
 by direct subtraction so the ``<= eps`` test does not depend on Gram rounding.
+
+Edges and nearest distances over a whole table are cut into pivot cells
+(``cells``): a row is not sent to blocks that the triangle inequality puts out
+of its reach. Jobs within a group are cut by a hash alone.
 """
 
 from __future__ import annotations
@@ -21,6 +25,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quire.operators.cells import in_blocks, make_cells, replicated, vectors
+
 CHUNK = 1024
 SLACK = 1e-6
 
@@ -253,14 +259,35 @@ def _blocks_for(df: DataFrame, blocks: int | None, block_rows: int) -> int:
     return choose_blocks(df.sparkSession, df.count(), block_rows)
 
 
+def _in_reach(df: DataFrame, id_col: str, vec_col: str, eps: float,
+              blocks: int | None, block_rows: int) -> DataFrame | None:
+    """Rows copied to the block pairs that may hold a row within ``eps`` of them."""
+    rows = vectors(df, id_col, vec_col)
+    cells = make_cells(rows, _blocks_for(rows, blocks, block_rows), block_rows)
+    if cells is None:
+        return None
+    cells = cells.reaching({i: eps for i in range(len(cells.ids))})
+    return replicated(in_blocks(rows, cells), cells)
+
+
+def _range_tiles(df: DataFrame, id_col: str, vec_col: str, eps: float | None, blocks: int | None,
+                 block_rows: int, group_col: str | None, eps_col: str | None, fn, schema: str) -> DataFrame:
+    if group_col:
+        rep = _replicate(df, id_col, vec_col, 1, group_col, block_rows, eps_col if eps is None else None)
+        return rep.groupBy(GROUP, "bi", "bj").applyInPandas(fn, schema)
+    rep = _in_reach(df, id_col, vec_col, eps, blocks, block_rows)
+    if rep is None:
+        return df.sparkSession.createDataFrame([], schema)
+    return rep.groupBy("bi", "bj").applyInPandas(fn, schema)
+
+
 def range_edges(df: DataFrame, id_col: str, vec_col: str, eps: float,
                 blocks: int | None = None, block_rows: int = 4096,
                 group_col: str | None = None) -> DataFrame:
     """Euclidean range self-join: (a, b, dist) with a < b and dist <= eps
     (within ``group_col`` when given)."""
-    b = 1 if group_col else _blocks_for(df, blocks, block_rows)
-    rep = _replicate(df, id_col, vec_col, b, group_col, block_rows)
-    return rep.groupBy(GROUP, "bi", "bj").applyInPandas(_edges_fn(float(eps)), "a long, b long, dist double")
+    return _range_tiles(df, id_col, vec_col, float(eps), blocks, block_rows, group_col, None,
+                        _edges_fn(float(eps)), "a long, b long, dist double")
 
 
 def range_star_edges(df: DataFrame, id_col: str, vec_col: str, eps: float | None,
@@ -271,20 +298,66 @@ def range_star_edges(df: DataFrame, id_col: str, vec_col: str, eps: float | None
     ``eps_col`` (constant within each group) every group uses its own eps."""
     if eps is None and not (eps_col and group_col):
         raise ValueError("give eps, or eps_col together with group_col")
-    b = 1 if group_col else _blocks_for(df, blocks, block_rows)
-    rep = _replicate(df, id_col, vec_col, b, group_col, block_rows, eps_col if eps is None else None)
     fixed = float(eps) if eps is not None else None
-    return rep.groupBy(GROUP, "bi", "bj").applyInPandas(_star_edges_fn(fixed), "a long, b long")
+    return _range_tiles(df, id_col, vec_col, fixed, blocks, block_rows, group_col, eps_col,
+                        _star_edges_fn(fixed), "a long, b long")
+
+
+def range_pair_work(df: DataFrame, id_col: str, vec_col: str, eps: float,
+                    blocks: int | None = None, block_rows: int = 4096) -> DataFrame:
+    """What pruning leaves of ``range_edges``, in one row: (rows, tiles,
+    pairs_compared, pairs_all, skipped_share). A tile without rows on both sides
+    compares nothing. An empty table gives zeros."""
+    rep = _in_reach(df, id_col, vec_col, float(eps), blocks, block_rows)
+    if rep is None:
+        return df.sparkSession.createDataFrame(
+            [(0, 0, 0, 0, 0.0)], "rows long, tiles long, pairs_compared long, pairs_all long, skipped_share double")
+    left = F.count(F.when(F.col("blk") == F.col("bi"), True))
+    right = F.count(F.when(F.col("blk") == F.col("bj"), True))
+    tile = rep.groupBy("bi", "bj").agg(left.alias("l"), right.alias("r"))
+    same = F.col("bi") == F.col("bj")
+    pairs = F.when(same, F.expr("l * (l - 1) div 2")).otherwise(F.col("l") * F.col("r"))
+    out = tile.select("l", same.alias("same"), pairs.alias("pairs")).agg(
+        F.sum(F.when(F.col("same"), F.col("l"))).alias("rows"),
+        F.count(F.when(F.col("pairs") > 0, True)).alias("tiles"),
+        F.sum("pairs").alias("pairs_compared"))
+    out = out.withColumn("pairs_all", F.expr("rows * (rows - 1) div 2"))
+    return out.withColumn("skipped_share", F.when(F.col("pairs_all") > 0, 1 - F.col("pairs_compared") / F.col("pairs_all"))
+                                            .otherwise(F.lit(0.0)))
+
+
+def _own_nearest(pdf: pd.DataFrame) -> pd.DataFrame:
+    """Rows of one block with ``near`` lowered to the nearest other row of the block."""
+    own = _nn_fn()(pdf.assign(blk=0, bi=0, bj=0))
+    best = pdf["id"].map(own.groupby("id")["nn_dist"].min()).fillna(np.inf)
+    return pdf.assign(near=np.minimum(pdf["near"], best))
 
 
 def nearest_distance(df: DataFrame, id_col: str, vec_col: str,
                      blocks: int | None = None, block_rows: int = 4096,
                      group_col: str | None = None) -> DataFrame:
-    """Distance from each row to its closest other row (in its group): (id, nn_dist)."""
-    b = 1 if group_col else _blocks_for(df, blocks, block_rows)
-    rep = _replicate(df, id_col, vec_col, b, group_col, block_rows)
-    part = rep.groupBy(GROUP, "bi", "bj").applyInPandas(_nn_fn(), "id long, nn_dist double")
-    return part.groupBy("id").agg(F.min("nn_dist").alias("nn_dist"))
+    """Distance from each row to its closest other row (in its group): (id, nn_dist).
+
+    Over a whole table in two rounds: the first gives each row the distance to the
+    nearest pivot or row of its own block, the second visits only the blocks that
+    may hold a nearer one."""
+    schema = "id long, nn_dist double"
+    if group_col:
+        rep = _replicate(df, id_col, vec_col, 1, group_col, block_rows)
+        part = rep.groupBy(GROUP, "bi", "bj").applyInPandas(_nn_fn(), schema)
+        return part.groupBy("id").agg(F.min("nn_dist").alias("nn_dist"))
+    from quire.session import cut_lineage
+    rows = vectors(df, id_col, vec_col)
+    cells = make_cells(rows, _blocks_for(rows, blocks, block_rows), block_rows)
+    if cells is None:
+        return df.sparkSession.createDataFrame([], schema)
+    placed = in_blocks(rows, cells)
+    placed = cut_lineage(placed.groupBy("blk").applyInPandas(_own_nearest, placed.schema))
+    reach = {r["cell"]: r["m"] for r in placed.groupBy("cell").agg(F.max("near").alias("m")).collect()}
+    rep = replicated(placed, cells.reaching(reach), "near").filter(F.col("bi") != F.col("bj"))
+    part = rep.groupBy("bi", "bj").applyInPandas(_nn_fn(), schema)
+    known = placed.filter(F.col("near") < float("inf")).select("id", F.col("near").alias("nn_dist"))
+    return known.unionByName(part).groupBy("id").agg(F.min("nn_dist").alias("nn_dist"))
 
 
 def cosine_topk(df: DataFrame, id_col: str, vec_col: str, k: int, threshold: float | None = None,

@@ -160,3 +160,55 @@ def test_eps_and_dbscan_per_group(spark):
     lab = {r.id: r.cluster for r in dbscan(df, "id", "v", None, group_col="day", eps_col="eps").collect()}
     assert lab[0] == lab[1] == lab[2] >= 0
     assert lab[3] == -1 and lab[4] == lab[5] >= 0 and lab[4] != lab[0]
+
+
+def clustered(rng, centers, each, dim):
+    mid = rng.normal(size=(centers, dim)) * 50
+    return np.vstack([m + rng.normal(scale=0.4, size=(each, dim)) for m in mid])
+
+
+def brute_distances(pts):
+    return np.sqrt(((pts[:, None, :] - pts[None, :, :]) ** 2).sum(-1))
+
+
+@pytest.mark.parametrize("block_rows", [16, 1000])
+def test_pivot_cells_prune_and_lose_nothing(spark, block_rows):
+    from quire.operators.pairs import range_pair_work
+    rng = np.random.default_rng(5)
+    pts = clustered(rng, 12, 25, 8)
+    pts[:100] = pts[0] + rng.normal(scale=1e-3, size=(100, 8))      # one cell with a third of all rows
+    df, d = points_df(spark, pts), brute_distances(pts)
+    want = {(i, j) for i in range(300) for j in range(i + 1, 300) if d[i, j] <= 1.2}
+    got = [(r.a, r.b) for r in range_edges(df, "id", "v", 1.2, blocks=12, block_rows=block_rows).collect()]
+    assert len(got) == len(set(got)) and set(got) == want
+    np.fill_diagonal(d, np.inf)
+    nn = {r.id: r.nn_dist for r in nearest_distance(df, "id", "v", blocks=12, block_rows=block_rows).collect()}
+    assert len(nn) == 300 and all(math.isclose(nn[i], d[i].min(), rel_tol=1e-9) for i in range(300))
+    work = range_pair_work(df, "id", "v", 1.2, blocks=12, block_rows=block_rows).first()
+    assert work.rows == 300 and work.pairs_all == 300 * 299 // 2 and work.skipped_share > 0.6
+
+
+def test_pivot_cells_without_structure_skip_nothing(spark):
+    from quire.operators.pairs import range_pair_work
+    rng = np.random.default_rng(6)
+    pts = rng.normal(size=(200, 64))
+    pts /= np.linalg.norm(pts, axis=1)[:, None]
+    work = range_pair_work(points_df(spark, pts), "id", "v", 1.3, blocks=5).first()
+    assert work.pairs_compared == work.pairs_all == 200 * 199 // 2 and work.skipped_share == 0
+
+
+def test_pivot_cells_edge_cases(spark):
+    from quire.operators.pairs import range_pair_work
+    nan, inf = float("nan"), float("inf")
+    rows = [(0, [0.0, 0.0]), (1, [0.0, 0.0]), (2, [3.0, 0.0]), (3, [nan, 0.0]), (4, [inf, 0.0]), (5, None),
+            (6, []), (7, [None, 1.0])]
+    df = spark.createDataFrame(rows, "id long, v array<double>")
+    assert [tuple(r) for r in range_edges(df, "id", "v", 1.0).collect()] == [(0, 1, 0.0)]
+    assert {r.id: r.nn_dist for r in nearest_distance(df, "id", "v").collect()} == {0: 0.0, 1: 0.0, 2: 3.0}
+    one = df.filter("id = 2")
+    assert nearest_distance(one, "id", "v").count() == 0 and range_edges(one, "id", "v", 9.0).count() == 0
+    none = df.filter("id < 0")
+    assert nearest_distance(none, "id", "v").count() == 0 and range_edges(none, "id", "v", 1.0).count() == 0
+    assert range_pair_work(none, "id", "v", 1.0).first().pairs_all == 0
+    labels = {r.id: r.cluster for r in dbscan(df, "id", "v", 1.0).collect()}
+    assert labels == {0: 0, 1: 0, 2: -1, 3: -1, 4: -1, 5: -1, 6: -1, 7: -1}
