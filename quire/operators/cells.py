@@ -80,8 +80,8 @@ class Cells:
         return replace(self, reach=np.array([reach.get(i, -np.inf) for i in range(len(self.ids))]))
 
 
-def make_cells(rows: DataFrame, pivots: int, block_rows: int) -> Cells | None:
-    """Cells of ``vectors`` rows; None for an empty table."""
+def choose_pivots(rows: DataFrame, pivots: int) -> tuple[np.ndarray, np.ndarray] | None:
+    """(ids, vectors) of up to ``pivots`` rows far apart; None for an empty table."""
     first = rows.select(F.size("v").alias("n")).first()
     if first is None:
         return None
@@ -89,8 +89,17 @@ def make_cells(rows: DataFrame, pivots: int, block_rows: int) -> Cells | None:
     sample = rows.orderBy(F.xxhash64("id"), "id").limit(SAMPLED * pivots).toPandas()
     points = np.stack(sample["v"].to_numpy()).astype(np.float64)
     at = _far_apart(points, pivots)
-    ids, centers = sample["id"].to_numpy(np.int64)[at], points[at]
+    return sample["id"].to_numpy(np.int64)[at], points[at]
+
+
+def make_cells(rows: DataFrame, pivots: int, block_rows: int) -> Cells | None:
+    """Cells of ``vectors`` rows; None for an empty table."""
+    chosen = choose_pivots(rows, pivots)
+    return measured(rows, *chosen, block_rows) if chosen else None
+
 
+def measured(rows: DataFrame, ids: np.ndarray, centers: np.ndarray, block_rows: int) -> Cells:
+    """The cells that ``rows`` form around given pivots."""
     def nearest(batches):
         for pdf in batches:
             if len(pdf):
@@ -130,25 +139,32 @@ def in_blocks(rows: DataFrame, cells: Cells) -> DataFrame:
     return hashed.mapInPandas(run, "id long, v array<double>, cell int, blk long, near double")
 
 
-def replicated(placed: DataFrame, cells: Cells, reach_col: str | None = None) -> DataFrame:
-    """Placed rows -> (bi, bj, blk, id, v), one copy for each pair of the row's own
-    block with a block in reach. Without ``reach_col`` a row's reach is that of its
-    cell. Only block numbers are made in Python; the copies are made by an explode."""
+def sent(placed: DataFrame, theirs: Cells, reach_col: str | None = None) -> DataFrame:
+    """(blk, other, id, v): placed rows, one copy for each block of ``theirs`` that may
+    hold a row within the reach of either. Without ``reach_col`` only the reach of
+    their cells counts. Only block numbers are made in Python; the copies are made
+    by an explode."""
     def run(batches):
-        first, inside = cells.first, cells.radius >= 0
-        spans = [np.arange(a, a + n) for a, n in zip(first, cells.blocks)]
+        inside = theirs.radius >= 0
+        spans = [np.arange(a, a + n) for a, n in zip(theirs.first, theirs.blocks)]
+        none = np.empty(0, np.int64)
         for pdf in batches:
             if not len(pdf):
                 continue
             v = np.stack(pdf["v"].to_numpy()).astype(np.float64)
-            d, room = distances(v, cells.centers)
-            reach = (pdf["reach"].to_numpy(np.float64) if reach_col else cells.reach[pdf["cell"].to_numpy()])
-            ok = inside[None, :] & (d <= cells.radius[None, :] + np.maximum(reach[:, None], cells.reach[None, :]) + room)
-            ok[np.arange(len(v)), pdf["cell"].to_numpy()] = True
-            others = [np.concatenate([spans[q] for q in np.flatnonzero(row)]) for row in ok]
+            d, room = distances(v, theirs.centers)
+            reach = pdf["reach"].to_numpy(np.float64)[:, None] if reach_col else -np.inf
+            ok = inside[None, :] & (d <= theirs.radius[None, :] + np.maximum(reach, theirs.reach[None, :]) + room)
+            others = [np.concatenate([none] + [spans[q] for q in np.flatnonzero(row)]) for row in ok]
             yield pd.DataFrame({"id": pdf["id"], "v": pdf["v"], "blk": pdf["blk"], "others": others})
 
-    cols = ["id", "v", "cell", "blk"] + ([F.col(reach_col).alias("reach")] if reach_col else [])
-    sent = placed.select(*cols).mapInPandas(run, "id long, v array<double>, blk long, others array<long>")
-    rep = sent.select("id", "v", "blk", F.explode("others").alias("other"))
+    cols = ["id", "v", "blk"] + ([F.col(reach_col).alias("reach")] if reach_col else [])
+    out = placed.select(*cols).mapInPandas(run, "id long, v array<double>, blk long, others array<long>")
+    return out.select("blk", F.explode("others").alias("other"), "id", "v")
+
+
+def replicated(placed: DataFrame, cells: Cells, reach_col: str | None = None) -> DataFrame:
+    """Placed rows -> (bi, bj, blk, id, v), one copy for each pair of the row's own
+    block with a block of the same table in reach."""
+    rep = sent(placed, cells, reach_col)
     return rep.select(F.least("blk", "other").alias("bi"), F.greatest("blk", "other").alias("bj"), "blk", "id", "v")

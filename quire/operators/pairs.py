@@ -11,9 +11,10 @@ minimum per row, or at most k neighbours per row, so nothing proportional to
 the square of a block is shuffled. Distances of emitted edges are recomputed
 by direct subtraction so the ``<= eps`` test does not depend on Gram rounding.
 
-Edges and nearest distances over a whole table are cut into pivot cells
-(``cells``): a row is not sent to blocks that the triangle inequality puts out
-of its reach. Jobs within a group are cut by a hash alone.
+Edges and nearest distances over a whole table, and the top-k of one table in
+another, are cut into pivot cells (``cells``): a row is not sent to blocks that
+the triangle inequality puts out of its reach. Jobs within a group, and the
+top-k within one table, are cut by a hash alone.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quire.operators.cells import in_blocks, make_cells, replicated, vectors
+from quire.operators.cells import choose_pivots, in_blocks, make_cells, measured, replicated, sent, vectors
 
 CHUNK = 1024
 SLACK = 1e-6
@@ -378,45 +379,135 @@ def cosine_topk(df: DataFrame, id_col: str, vec_col: str, k: int, threshold: flo
     return cand.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
 
 
+def _units(rows: DataFrame) -> DataFrame:
+    """(id, v, zero): vectors of length one; a vector of length zero stays as it is."""
+    def run(batches):
+        for pdf in batches:
+            if len(pdf):
+                v = np.stack(pdf["v"].to_numpy()).astype(np.float64)
+                norm = np.linalg.norm(v, axis=1)
+                unit = v / np.where(norm == 0, 1, norm)[:, None]
+                yield pd.DataFrame({"id": pdf["id"], "v": list(unit), "zero": norm == 0})
+    return rows.mapInPandas(run, "id long, v array<double>, zero boolean")
+
+
+def _sides(pdf: pd.DataFrame):
+    """Ids and vectors of a tile's left rows and right rows; None if one has none."""
+    parts = [pdf[pdf["is_left"]], pdf[~pdf["is_left"]]]
+    if not all(len(p) for p in parts):
+        return None
+    return [(p["id"].to_numpy(np.int64), np.stack(p["v"].to_numpy()).astype(np.float64)) for p in parts]
+
+
+def _similarities(a, av, b, bv, include_self: bool):
+    """Row chunks of a tile: (place of the first row, similarities)."""
+    for s in range(0, len(a), CHUNK):
+        sims = av[s:s + CHUNK] @ bv.T
+        if not include_self:
+            sims[a[s:s + CHUNK, None] == b[None, :]] = -np.inf
+        yield s, sims
+
+
+def _reach_fn(k: int, threshold: float | None, include_self: bool, clamp: float | None):
+    """Left rows of a first-round tile with ``reach``: no row farther away than that
+    can be among the k best, for k rows of this tile are as near."""
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        left = pdf[pdf["is_left"]]
+        worth = np.full(len(left), -1.0 if threshold is None else max(threshold, -1.0))
+        both = _sides(pdf)
+        if both and both[1][1].shape[0] >= k:
+            (a, av), (b, bv) = both
+            for s, sims in _similarities(a, av, b, bv, include_self):
+                kth = -np.partition(-sims, k - 1, axis=1)[:, k - 1]
+                worth[s:s + len(kth)] = np.maximum(worth[s:s + len(kth)], kth)
+        reach = np.sqrt(np.maximum(2.0 - 2.0 * worth, 0.0))
+        if clamp is not None:
+            # at or below the clamp all similarities are 0 and ids decide
+            reach[worth <= max(clamp, 0.0)] = np.inf
+        return pd.DataFrame({"id": left["id"], "v": left["v"], "blk": left["blk"], "cell": left["cell"], "reach": reach})
+    return run
+
+
+def _topk_tiles(left: DataFrame, right: DataFrame, k: int, threshold: float | None, block_rows: int,
+                include_self: bool, clamp: float | None) -> DataFrame | None:
+    """(bi, bj, id, v, is_left): units with a length, dealt into tiles of a left and a
+    right block. The first round compares a left block with one right block of its
+    cell, the second sends rows only where the k-th similarity found can be beaten."""
+    from quire.session import cut_lineage
+    chosen = choose_pivots(right, _blocks_for(right, None, block_rows))
+    if chosen is None:
+        return None
+    theirs, mine = (measured(x, *chosen, block_rows) for x in (right, left))
+    l_rows, r_rows = in_blocks(left, mine), in_blocks(right, theirs)
+    # a left block meets one right block of its cell; which one goes by its number
+    meets = [(int(p + i), int(q + i % n)) for p, m, q, n in zip(mine.first, mine.blocks, theirs.first, theirs.blocks)
+             if n for i in range(m)]
+    spark = left.sparkSession
+    pairs = spark.createDataFrame(meets, "bi long, bj long")
+    first = (l_rows.select(F.col("blk").alias("bi"), "id", "v", "cell", F.lit(True).alias("is_left"))
+             .unionByName(r_rows.join(pairs, r_rows["blk"] == pairs["bj"])
+                          .select("bi", "id", "v", "cell", F.lit(False).alias("is_left"))))
+    first = first.withColumn("blk", F.col("bi"))
+    found = cut_lineage(first.groupBy("bi").applyInPandas(
+        _reach_fn(k, threshold, include_self, clamp), "id long, v array<double>, blk long, cell int, reach double"))
+    reach = {r["cell"]: r["m"] for r in found.groupBy("cell").agg(F.max("reach").alias("m")).collect()}
+    mine, theirs = mine.reaching(reach), theirs.reaching({})
+    return (sent(found, theirs, "reach").select(F.col("blk").alias("bi"), F.col("other").alias("bj"), "id", "v",
+                                                F.lit(True).alias("is_left"))
+            .unionByName(sent(r_rows, mine).select(F.col("other").alias("bi"), F.col("blk").alias("bj"), "id", "v",
+                                                   F.lit(False).alias("is_left"))))
+
+
 def cosine_topk_between(left: DataFrame, right: DataFrame, id_col: str, vec_col: str, k: int,
                         threshold: float | None = None, block_rows: int = 4096,
                         include_self: bool = False, clamp: float | None = None) -> DataFrame:
-    """``cosine_topk`` of the rows of ``left`` only, among those of ``right``: (a, b, sim,
-    rank). Both sides are cut into blocks of their own; a row is copied once for
-    each block of the other side, so few left rows against a long archive send
-    every archive row to few tiles."""
+    """``cosine_topk`` of the rows of ``left`` only, among those of ``right`` (unique ids):
+    (a, b, sim, rank). Both sides fall into cells around pivots of the right side. A
+    first round with one block each gives every left row a k-th similarity; in the
+    second it visits only blocks that can beat it, and a right row goes only to left
+    blocks that may want it. A vector of length zero has similarity 0 with all:
+    the k + 1 smallest ids on the right are then all that can count."""
     from pyspark.sql import Window
 
-    def side(df: DataFrame, mine: int, others: int, is_left: bool) -> DataFrame:
-        v = F.col(vec_col).cast("array<double>")
-        rows = df.select(F.col(id_col).cast("long").alias("id"), v.alias("v")).filter(F.size("v") > 0)
-        own, other = ("bi", "bj") if is_left else ("bj", "bi")
-        return rows.select("id", "v", F.pmod(F.xxhash64("id"), F.lit(mine)).cast("int").alias(own),
-                           F.explode(F.sequence(F.lit(0), F.lit(others - 1))).alias(other),
-                           F.lit(is_left).alias("is_left")).select("id", "v", "bi", "bj", "is_left")
-
-    n_left, n_right = (max(1, math.ceil(df.count() / block_rows)) for df in (left, right))
-    n_right = max(n_right, math.ceil(left.sparkSession.sparkContext.defaultParallelism / n_left))
-    tiles = side(left, n_left, n_right, True).unionByName(side(right, n_right, n_left, False))
+    schema = "a long, b long, sim double"
+    l_all, r_all = (_units(vectors(x, id_col, vec_col)) for x in (left, right))
+    l_rows, r_rows = (x.filter(~F.col("zero")).select("id", "v") for x in (l_all, r_all))
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        parts = []
-        a, b = pdf[pdf["is_left"]], pdf[~pdf["is_left"]]
-        if len(a) and len(b):
-            ids, unit = [], []
-            for x in (a, b):
-                v = np.stack(x["v"].to_numpy()).astype(np.float64)
-                norm = np.linalg.norm(v, axis=1)
-                ids.append(x["id"].to_numpy(np.int64))
-                unit.append(v / np.where(norm == 0, 1, norm)[:, None])
-            for s in range(0, len(a), CHUNK):
-                sims = unit[0][s:s + CHUNK] @ unit[1].T
-                if not include_self:
-                    sims[ids[0][s:s + CHUNK, None] == ids[1][None, :]] = -np.inf
-                parts.append(_best(ids[0][s:s + CHUNK], ids[1], sims, k, threshold, clamp))
+        parts, both = [], _sides(pdf)
+        if both:
+            (a, av), (b, bv) = both
+            parts = [_best(a[s:s + CHUNK], b, sims, k, threshold, clamp)
+                     for s, sims in _similarities(a, av, b, bv, include_self)]
         out = [np.concatenate([p[i] for p in parts]) if parts else np.empty(0) for i in range(3)]
         return pd.DataFrame({"a": out[0].astype(np.int64), "b": out[1].astype(np.int64), "sim": out[2]})
 
-    cand = tiles.groupBy("bi", "bj").applyInPandas(run, "a long, b long, sim double")
+    def with_zero(rows: DataFrame, others: DataFrame) -> DataFrame:
+        ids = [r["id"] for r in others.select("id").orderBy("id").limit(k + 1).collect()]
+        out = rows.select(F.col("id").alias("a"), F.explode(F.array(*map(F.lit, ids)).cast("array<long>")).alias("b"),
+                          F.lit(0.0).alias("sim"))
+        return out if include_self else out.filter(F.col("a") != F.col("b"))
+
+    tiles = _topk_tiles(l_rows, r_rows, k, threshold, block_rows, include_self, clamp)
+    cand = (tiles.groupBy("bi", "bj").applyInPandas(run, schema) if tiles is not None
+            else left.sparkSession.createDataFrame([], schema))
+    if threshold is None or threshold < 0:
+        cand = cand.unionByName(with_zero(l_rows, r_all.filter("zero"))).unionByName(with_zero(l_all.filter("zero"), r_all))
     w = Window.partitionBy("a").orderBy(F.desc("sim"), F.asc("b"))
     return cand.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+
+
+def topk_pair_work(left: DataFrame, right: DataFrame, id_col: str, vec_col: str, k: int,
+                   threshold: float | None = None, block_rows: int = 4096,
+                   include_self: bool = False, clamp: float | None = None) -> DataFrame:
+    """What pruning leaves of the second round of ``cosine_topk_between``, in one row:
+    (tiles, pairs_compared). No row on one side gives zeros."""
+    l_rows, r_rows = (_units(vectors(x, id_col, vec_col)).filter(~F.col("zero")).select("id", "v")
+                      for x in (left, right))
+    tiles = _topk_tiles(l_rows, r_rows, k, threshold, block_rows, include_self, clamp)
+    if tiles is None:
+        return left.sparkSession.createDataFrame([(0, 0)], "tiles long, pairs_compared long")
+    n_left, n = F.count(F.when(F.col("is_left"), True)), F.count(F.lit(1))
+    per = tiles.groupBy("bi", "bj").agg((n_left * (n - n_left)).alias("pairs"))
+    return per.agg(F.count(F.when(F.col("pairs") > 0, True)).alias("tiles"),
+                   F.coalesce(F.sum("pairs"), F.lit(0)).alias("pairs_compared"))

@@ -212,3 +212,54 @@ def test_pivot_cells_edge_cases(spark):
     assert range_pair_work(none, "id", "v", 1.0).first().pairs_all == 0
     labels = {r.id: r.cluster for r in dbscan(df, "id", "v", 1.0).collect()}
     assert labels == {0: 0, 1: 0, 2: -1, 3: -1, 4: -1, 5: -1, 6: -1, 7: -1}
+
+
+def brute_topk(left, right, k, threshold=None, include_self=False, clamp=None):
+    def unit(v):
+        v = np.array(v, dtype=float)
+        n = np.linalg.norm(v)
+        return v / n if n else v
+    out = {}
+    for a, av in left:
+        sims = []
+        for b, bv in right:
+            if a == b and not include_self:
+                continue
+            s = float(unit(av) @ unit(bv))
+            if clamp is not None and s <= clamp:
+                s = 0.0
+            if threshold is None or s > threshold:
+                sims.append((-s, b))
+        out[a] = [b for _, b in sorted(sims)[:k]]
+    return {a: b for a, b in out.items() if b}
+
+
+@pytest.mark.parametrize("options", [{}, {"threshold": 0.5}, {"threshold": -0.2},
+                                     {"include_self": True, "clamp": 0.5}, {"include_self": True, "clamp": 0.9995}])
+def test_topk_between_visits_only_what_can_count(spark, options):
+    from quire.operators.pairs import cosine_topk_between, topk_pair_work
+    rng = np.random.default_rng(8)
+    pts = clustered(rng, 10, 20, 6)
+    pts[60:130] = pts[60] + rng.normal(scale=1e-2, size=(70, 6))     # a cell with a third of all rows
+    right = [(i, [float(x) for x in p]) for i, p in enumerate(pts)] + [(200, [0.0] * 6), (7000, [0.0] * 6)]
+    left = [r for r in right if r[0] % 3 == 0 or r[0] == 200]
+    schema = "id long, v array<double>"
+    bad = [(900, None), (901, []), (902, [float("nan")] * 6)]
+    l_df, r_df = spark.createDataFrame(left + bad, schema), spark.createDataFrame(right + bad, schema)
+    got = {}
+    for r in cosine_topk_between(l_df, r_df, "id", "v", 4, block_rows=30, **options).orderBy("a", "rank").collect():
+        got.setdefault(r.a, []).append(r.b)
+    assert got == brute_topk(left, right, 4, **options)
+    work = topk_pair_work(l_df, r_df, "id", "v", 4, block_rows=30, **options).first()
+    assert 0 < work.tiles and work.pairs_compared <= len(left) * len(right)
+    if options.get("threshold") == 0.5:
+        assert work.pairs_compared < 0.6 * len(left) * len(right)
+
+
+def test_topk_between_empty_sides(spark):
+    from quire.operators.pairs import cosine_topk_between, topk_pair_work
+    some = spark.createDataFrame([(1, [1.0, 0.0]), (2, [1.0, 0.1])], "id long, v array<double>")
+    none = some.filter("id < 0")
+    for a, b in ((none, some), (some, none), (none, none)):
+        assert cosine_topk_between(a, b, "id", "v", 2).count() == 0
+        assert topk_pair_work(a, b, "id", "v", 2).first().pairs_compared == 0
