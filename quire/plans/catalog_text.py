@@ -103,24 +103,18 @@ def q_entities(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_name_annotate(spark: SparkSession, sf: str) -> DataFrame:
-    """Person-name pass (K10): a bracketed name list per document (built from
-    the document's words and the nation/region dictionaries) is parsed (I17)
-    and every listed name in the whole text is annotated (C10)."""
+    """Person-name pass (K10): the name list of a document, one entry a line, holds its
+    words of six to eight letters with the document's language as title. The lists of
+    all documents are parsed (I17) into one dictionary, and every name of it is
+    annotated wherever it stands in any whole text (C10), inside longer words too."""
     prepare(spark)
-    from quire.functions.text import annotate_names, name_entries, parse_name_list
-    d = table(spark, sf, "documents").withColumn("nk", (F.col("n_chars") % 25).cast("int"))
-    nation = table(spark, sf, "nation")
-    region = table(spark, sf, "region")
-    dims = nation.join(region, nation.n_regionkey == region.r_regionkey).select(
-        F.col("n_nationkey").alias("nk"), "n_name", "r_name")
-    d = d.join(dims, "nk", "inner")
-    w1 = F.regexp_extract(F.col("text"), r"\p{L}{6,}", 0)
-    w2 = F.regexp_extract(F.col("text"), r"\p{L}{9,}", 0)
-    raw = F.concat(F.lit("['"), w1, F.lit("|"), F.col("n_name"), F.lit("', '"), w2, F.lit("|"), F.reverse(w2),
-                   F.lit("|"), F.col("r_name"), F.lit("']"))
-    names = parse_name_list(raw)
-    return d.select("doc_id", F.size(names).alias("n_names"),
-                    annotate_names(F.col("text"), name_entries(names)).alias("annotated"))
+    from quire.plans.topic import person_name_pass
+    words = F.filter(F.regexp_extract_all(F.col("text"), F.lit(r"(\p{L}+)"), 1),
+                     lambda w: F.length(w).between(6, 8))
+    raw = F.array_join(F.transform(F.array_sort(F.array_distinct(words)),
+                                   lambda w: F.concat(w, F.lit("|"), F.coalesce(F.col("lang"), F.lit("-")))), "\n")
+    d = table(spark, sf, "documents").select("doc_id", "text", raw.alias("name_list"))
+    return person_name_pass(d, "text", "name_list").select("doc_id", "n_names", "annotated")
 
 
 def q_prompt_articles(spark: SparkSession, sf: str) -> DataFrame:

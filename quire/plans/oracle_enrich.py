@@ -61,17 +61,6 @@ KEPT = ("array_to_string(list_filter(list_transform(w, lambda x: CASE WHEN x IN
 ENTS = (r"array_to_string(list_sort(list_distinct(list_filter(w, lambda x: regexp_matches(x, '^\p{Lu}') "
         r"AND length(x) > 1 AND length(x) % 12 NOT IN (1, 3, 6)))), ' ')")
 
-# A mark stands for the longer name while the shorter one is looked for, so no place is annotated twice.
-NOTE1, NOTE2 = "w1 || '（' || n_name || '）'", "w2 || '（' || reverse(w2) || '，' || r_name || '）'"
-
-
-def _two_names(long: str, long_note: str, short: str, short_note: str) -> str:
-    marked = f"CASE WHEN {long} = '' THEN text ELSE replace(text, {long}, chr(1)) END"
-    both = f"CASE WHEN {short} = '' OR {short} = {long} THEN {marked} ELSE replace({marked}, {short}, {short_note}) END"
-    return f"CASE WHEN {long} = '' THEN {both} ELSE replace({both}, chr(1), {long_note}) END"
-
-
-
 FENCED = "'### ' || role || chr(10) || '```' || chr(10) || coalesce(text, '') || chr(10) || '```'"
 
 ORACLE_ENRICH = {
@@ -90,15 +79,27 @@ FROM conversations""",
     "q_pos_filter": f"WITH t AS (SELECT doc_id, {WORDS} AS w FROM documents) SELECT doc_id, {KEPT} AS kept FROM t",
     "q_entities": f"""WITH t AS (SELECT doc_id, split_part(text, chr(10), 1) AS title, {WORDS} AS w FROM documents)
 SELECT doc_id, {ENTS} AS entities, title || ' ' || {KEPT} || ' entities: ' || {ENTS} AS embed_text FROM t""",
-    "q_name_annotate": f"""WITH d AS (
-  SELECT doc_id, text, n_name, r_name,
-         regexp_extract(text, '\\p{{L}}{{6,}}', 0) AS w1, regexp_extract(text, '\\p{{L}}{{9,}}', 0) AS w2
-  FROM documents JOIN nation ON n_nationkey = cast(n_chars % 25 AS integer)
-  JOIN region ON n_regionkey = r_regionkey)
-SELECT doc_id, cast(2 AS integer) AS n_names,
-  CASE WHEN length(w2) > length(w1) THEN {_two_names('w2', NOTE2, 'w1', NOTE1)}
-       ELSE {_two_names('w1', NOTE1, 'w2', NOTE2)} END AS annotated
-FROM d""",
+    "q_name_annotate": """WITH RECURSIVE runs AS (
+  SELECT doc_id, lang, regexp_extract_all(text, '\\p{L}+') AS w, regexp_split_to_array(text, '\\p{L}+') AS gap FROM documents),
+names AS (
+  SELECT name, '（' || min(coalesce(lang, '-')) || '）' AS note
+  FROM (SELECT unnest(w) AS name, lang FROM runs) x WHERE length(name) BETWEEN 6 AND 8 GROUP BY name),
+vocabulary AS (SELECT DISTINCT unnest(w) AS word FROM runs),
+walk AS (
+  SELECT word, 1 AS p, '' AS done FROM vocabulary WHERE length(word) >= 6
+  UNION ALL
+  SELECT k.word, k.p + coalesce(length(a.name), length(b.name), length(c.name), 1),
+         k.done || coalesce(a.name || a.note, b.name || b.note, c.name || c.note, substr(k.word, k.p, 1))
+  FROM walk k LEFT JOIN names a ON a.name = substr(k.word, k.p, 8)
+  LEFT JOIN names b ON b.name = substr(k.word, k.p, 7) LEFT JOIN names c ON c.name = substr(k.word, k.p, 6)
+  WHERE k.p <= length(k.word)),
+annotated_words AS (SELECT word, done FROM walk WHERE p > length(word)),
+places AS (SELECT doc_id, unnest(gap) AS gap, unnest(w) AS word, generate_subscripts(gap, 1) AS i FROM runs),
+rebuilt AS (
+  SELECT doc_id, string_agg(gap || coalesce(done, places.word, ''), '' ORDER BY i) AS annotated
+  FROM places LEFT JOIN annotated_words v ON v.word = places.word GROUP BY doc_id)
+SELECT doc_id, cast(coalesce(len(list_distinct(list_filter(w, lambda x: length(x) BETWEEN 6 AND 8))), 0) AS integer) AS n_names, annotated
+FROM runs LEFT JOIN rebuilt USING (doc_id)""",
     "q_prompt_articles": "SELECT doc_id, task, md5(p) AS prompt_md5, cast(length(p) AS integer) AS prompt_len FROM ("
         + " UNION ALL ".join(f"SELECT doc_id, {_q(t)} AS task, {_prompt(i, 'text')} AS p FROM documents"
                              for t, i, _ in ARTICLE_TASKS) + ") x",

@@ -7,9 +7,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quire.functions.dates import resolve_day_mentions, resolve_relative_dates, story_date
-from quire.functions.text import (annotate_names, clean_article, embedding_text, entity_words,
-                                  flatten_tagger, name_entries, parse_name_list, pos_filter,
-                                  split_keywords)
+from quire.functions.text import (clean_article, embedding_text, entity_words, flatten_tagger,
+                                  name_entries, parse_name_list, pos_filter, split_keywords)
+from quire.operators.names import annotate_all, name_dictionary
 
 
 def normalise_articles(df: DataFrame, content_col: str = "content", dt_col: str = "published_dt",
@@ -44,6 +44,9 @@ def join_tagger_output(articles: DataFrame, tagged: DataFrame, key: str = "pid")
 
 
 def person_name_pass(df: DataFrame, text_col: str, names_col: str) -> DataFrame:
-    """Parse the returned name list and annotate the text."""
-    names = parse_name_list(F.col(names_col))
-    return df.withColumn("annotated", annotate_names(F.col(text_col), name_entries(names)))
+    """Parse each row's name list, make one dictionary of all lists and annotate every
+    text with it (K10): ``annotated``, and ``n_names``, the entries of the row's list."""
+    listed = parse_name_list(F.col(names_col))
+    entries = df.select(F.explode(name_entries(listed)).alias("e")).select("e.*")
+    out = annotate_all(df, text_col, name_dictionary(entries))
+    return out.withColumn("n_names", F.coalesce(F.size(listed), F.lit(0)))
