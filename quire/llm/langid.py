@@ -210,28 +210,39 @@ def padded(windows: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 
 def _crops(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        out = {"lang": [], "crop": []}
-        for lang, where, text in zip(*(batch.column(c).to_pylist() for c in ("lang", "h", "text"))):
+        out = {"lang": [], "id": [], "fp": [], "crop": []}
+        for lang, where, name, fp, text in zip(*(batch.column(c).to_pylist() for c in ("lang", "h", "id", "fp", "text"))):
             data = text.encode("utf-8", "replace")
             rng = np.random.default_rng(where & 0xFFFFFFFF)
             last = max(0, len(data) - WINDOW)
             for at in sorted({0, *rng.integers(0, last + 1, CROPS - 1).tolist()}):
                 if data[at:at + WINDOW].strip():
-                    out["lang"].append(lang)
-                    out["crop"].append(data[at:at + WINDOW])
-        yield pa.RecordBatch.from_pydict(out, pa.schema([("lang", pa.string()), ("crop", pa.binary())]))
+                    for key, value in zip(out, (lang, name, fp, data[at:at + WINDOW])):
+                        out[key].append(value)
+        yield pa.RecordBatch.from_pydict(out, pa.schema([("lang", pa.string()), ("id", pa.string()),
+                                                         ("fp", pa.int64()), ("crop", pa.binary())]))
 
 
 def train(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
           per_language: int = PER_LANGUAGE) -> Network | None:
-    """A network fitted to the bounded sample of the rows for which ``learn`` holds; None without any."""
+    """A network fitted to the bounded sample of the rows for which ``learn`` holds; None
+    without any. The sample has ``per_language`` texts of each language, or all if there
+    are fewer: rows that repeat id, language and text are one, rows of one id with
+    different texts are several, and a null id is an id like any other. Only their
+    windows reach the driver, ``CROPS`` a text at most."""
     rows = docs.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).cast("string").alias("text"),
                        F.col(lang_col).cast("string").alias("lang"), learn.alias("learn"))
-    known = rows.filter(F.col("learn") & F.col("lang").isNotNull() & (F.length("text") > 0)).withColumn("h", F.xxhash64("id"))
-    rank = F.row_number().over(W.partitionBy("lang").orderBy("h", "id"))
-    picked = cut_lineage(known.select("lang", "h", "id").withColumn("rank", rank).filter(F.col("rank") <= per_language).drop("rank"))
-    some = known.join(small(picked.distinct()), ["lang", "h", "id"]).select("lang", "h", "text")
-    crops = some.mapInArrow(_crops, "lang string, crop binary").toPandas().sort_values(["lang", "crop"])
+    known = (rows.filter(F.col("learn") & F.col("lang").isNotNull() & (F.length("text") > 0))
+             .withColumn("h", F.xxhash64("id")).withColumn("fp", F.xxhash64("text")))
+    rank = F.row_number().over(W.partitionBy("lang").orderBy("h", "id", "fp"))
+    texts = known.select("lang", "h", "id", "fp").distinct().withColumn("rank", rank)
+    key = ("lang", "h", "id", "fp")
+    picked = cut_lineage(texts.filter(F.col("rank") <= per_language).select(*(F.col(c).alias("_" + c) for c in key)))
+    keys = [F.col(c).eqNullSafe(F.col("_" + c)) for c in key]
+    some = known.join(small(picked), keys, "left_semi").select("lang", "h", "id", "fp", "text")
+    # rows that repeat one another give equal windows, and these are one before they leave the tasks
+    crops = (some.mapInArrow(_crops, "lang string, id string, fp long, crop binary").distinct()
+             .select("lang", "crop").toPandas().sort_values(["lang", "crop"]))
     if crops.empty:
         return None
     labels = sorted(set(crops["lang"]))

@@ -8,6 +8,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from quire.llm import bpe, chat, counts, decontam, extract, jaccard, langid, quality, spans, suffix
 
@@ -370,6 +371,30 @@ def test_language_id(spark, empty):
     assert {r.language.lang_pred for r in langid.predict(docs, None).collect()} == {"und"}
 
 
+def test_language_sample_is_bounded(spark, monkeypatch):
+    """Repeated rows count once, texts of one id each for itself, null ids like others."""
+    seen = {}
+
+    def fit(self, crops, labels):
+        for crop, label in zip(crops, labels):
+            seen.setdefault(self.labels[int(label)], []).append(crop)
+    monkeypatch.setattr(langid.Network, "fit", fit)
+    word = lambda i: f"{i:05d} word " * 3
+    rows = [(7, word(0), "x", "s", 1)] * 300 + [(7, word(i), "x", "s", 1) for i in range(1, 40)]
+    rows += [(None, word(i), "y", "s", 1) for i in range(3)] * 50
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(5)
+    langid.train(docs, F.lit(True), per_language=10)
+    assert len(seen["x"]) == len(set(seen["x"])) == 10
+    assert sorted(seen["y"]) == sorted(word(i).encode()[:langid.WINDOW] for i in range(3))
+
+
+def test_language_held_out_accuracy(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").filter("lang IS NOT NULL AND length(text) > 60")
+    net = langid.train(docs, ~langid.held_out())
+    got = langid.predict(docs.filter(langid.held_out()), net).select("lang", "language.lang_pred").collect()
+    assert len(got) > 30 and sum(r.lang == r.lang_pred for r in got) >= 0.95 * len(got)
+
+
 PAGE = """<html><head><title>T</title><script>var a="<p>no</p>";</script></head><body><header><p>Site name and the motto of it</p></header>
 <nav><ul><li><a href="/">Home</a></li></ul></nav>%s<footer>&copy; all of it</footer></body></html>"""
 
