@@ -61,67 +61,70 @@ class _Block:
         self.names, self.id = names, key
 
 
-def _find(block: _Block):
+def _hits(automaton, text: str | None, before) -> list[tuple[int, int, str]]:
+    """(at, size, note) in order of place, the longest name for each place: those
+    carried along and those of this block."""
+    best = {h["at"]: (h["size"], h["note"]) for h in before or ()}
+    if text and len(automaton):
+        for end, (size, note) in automaton.iter(text):
+            at = end + 1 - size
+            if at not in best or best[at][0] < size:
+                best[at] = (size, note)
+    return [(at, *best[at]) for at in sorted(best)]
+
+
+def _carried(text, hits):
+    return [{"at": at, "size": size, "note": note} for at, size, note in hits]
+
+
+def _annotated(text, hits):
+    if not text:
+        return text
+    parts, last = [], 0
+    for at, size, note in hits:
+        if at >= last:
+            parts += [text[last:at + size], note]
+            last = at + size
+    return "".join([*parts, text[last:]])
+
+
+def _names(text, hits):
+    if text is None:
+        return None
+    found, last = set(), 0
+    for at, size, _ in hits:
+        if at >= last:
+            last = at + size
+            found.add(text[at:last])
+    return sorted(found)
+
+
+def _meet(block: _Block, make, kind: T.DataType, arrow: pa.DataType):
+    """``make(text, hits)`` of every text after it has met the block."""
     def run(texts: pa.Array, before: pa.Array) -> pa.Array:
-        automaton, out = _automaton(block), []
-        for text, hits in zip(texts.to_pylist(), before.to_pylist()):
-            best = {h["at"]: (h["size"], h["note"]) for h in hits or ()}
-            if text and len(automaton):
-                for end, (size, note) in automaton.iter(text):
-                    at = end + 1 - size
-                    if at not in best or best[at][0] < size:
-                        best[at] = (size, note)
-            out.append([{"at": at, "size": best[at][0], "note": best[at][1]} for at in sorted(best)])
-        return pa.array(out, ARROW_HITS)
-    return F.arrow_udf(run, HITS)
-
-
-def _pass(hits) -> list[tuple[int, int, str]]:
-    """The hits, in order of place, that one pass takes."""
-    taken, end = [], 0
-    for h in hits or ():
-        if h["at"] >= end:
-            end = h["at"] + h["size"]
-            taken.append((h["at"], end, h["note"]))
-    return taken
-
-
-@F.arrow_udf(T.StringType())
-def _annotated(texts: pa.Array, hits: pa.Array) -> pa.Array:
-    out = []
-    for text, some in zip(texts.to_pylist(), hits.to_pylist()):
-        if text:
-            parts, last = [], 0
-            for _, end, note in _pass(some):
-                parts += [text[last:end], note]
-                last = end
-            text = "".join([*parts, text[last:]])
-        out.append(text)
-    return pa.array(out, pa.string())
-
-
-@F.arrow_udf(T.ArrayType(T.StringType()))
-def _names(texts: pa.Array, hits: pa.Array) -> pa.Array:
-    out = []
-    for text, some in zip(texts.to_pylist(), hits.to_pylist()):
-        out.append(None if text is None else sorted({text[at:end] for at, end, _ in _pass(some)}))
-    return pa.array(out, pa.list_(pa.string()))
-
-
-def _with_hits(df: DataFrame, text: Column, names: DataFrame, hits: str, block_bytes: int) -> DataFrame:
+        automaton = _automaton(block)
+        return pa.array([make(text, _hits(automaton, text, hits))
+                         for text, hits in zip(texts.to_pylist(), before.to_pylist())], arrow)
+    return F.arrow_udf(run, kind)
+
+
+def _over_blocks(df: DataFrame, text: Column, names: DataFrame, out_col: str, make, kind: T.DataType,
+                 arrow: pa.DataType, block_bytes: int) -> DataFrame:
     names = cut_lineage(names.select("name", "note"))
     size = names.agg(F.sum(F.octet_length("name") + F.octet_length("note"))).first()[0] or 0
     blocks = max(1, math.ceil(size / block_bytes))
-    out = df.withColumn(hits, F.lit(None).cast(HITS))
+    out = df.withColumn("_hits", F.lit(None).cast(HITS))
     for i in range(blocks):
         mine = names.filter(F.pmod(F.xxhash64("name"), F.lit(blocks)) == i)
         rows = [(r["name"], r["note"]) for r in mine.toLocalIterator()]
         shared = df.sparkSession.sparkContext.broadcast(rows)
-        out = out.withColumn(hits, _find(_Block(shared, uuid.uuid4().hex))(text, F.col(hits)))
+        block = _Block(shared, uuid.uuid4().hex)
         if i + 1 < blocks:
-            out = cut_lineage(out)
+            out = cut_lineage(out.withColumn("_hits", _meet(block, _carried, HITS, ARROW_HITS)(text, F.col("_hits"))))
             shared.unpersist()
-    return out
+        else:
+            out = out.withColumn(out_col, _meet(block, make, kind, arrow)(text, F.col("_hits")))
+    return out.drop("_hits")
 
 
 def annotate_all(df: DataFrame, text_col: str, names: DataFrame, out_col: str = "annotated",
@@ -129,13 +132,12 @@ def annotate_all(df: DataFrame, text_col: str, names: DataFrame, out_col: str =
     """``df`` with ``out_col``: the text with the note of every name of ``names``
     (name, note; see ``name_dictionary``) behind it. A null text stays null, an empty
     one empty; without names the text is as it was."""
-    out = _with_hits(df, F.col(text_col), names, "_hits", block_bytes)
-    return out.withColumn(out_col, _annotated(F.col(text_col), F.col("_hits"))).drop("_hits")
+    return _over_blocks(df, F.col(text_col), names, out_col, _annotated, T.StringType(), pa.string(), block_bytes)
 
 
 def names_found(df: DataFrame, text_col: str, names: DataFrame, out_col: str = "names",
                 block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """``df`` with ``out_col``: the different names that one pass takes, sorted by code
     point; null for a null text."""
-    out = _with_hits(df, F.col(text_col), names, "_hits", block_bytes)
-    return out.withColumn(out_col, _names(F.col(text_col), F.col("_hits"))).drop("_hits")
+    return _over_blocks(df, F.col(text_col), names, out_col, _names, T.ArrayType(T.StringType()),
+                        pa.list_(pa.string()), block_bytes)
