@@ -3,8 +3,9 @@
 A few rows of a bounded sample, chosen far apart, are pivots; every row belongs
 to the cell of its nearest pivot, and a cell knows its radius. A cell is cut by
 a hash of the id into blocks of about ``block_rows`` rows, so a cell that holds
-a third of all rows is no hot spot. A row x that looks for rows within ``reach``
-of it is sent to the blocks of cell q only if
+a third of all rows is no hot spot; small cells next to one another share a block,
+so that there are no more blocks, and copies of a row, than rows ask for. A row x
+that looks for rows within ``reach`` of it is sent to the blocks of cell q only if
 
     d(x, pivot of q) <= radius of q + max(reach of x, greatest reach in q)
 
@@ -20,12 +21,11 @@ component, are in no pair."""
 
 from __future__ import annotations
 
-import math
 from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 MAX_PIVOTS = 1024
@@ -35,14 +35,23 @@ SAMPLED = 4
 SLACK = 4e-6
 
 
+def vector(df: DataFrame, vec_col: str) -> Column:
+    """A vector column as it travels: floats stay floats (tasks widen them), all else becomes doubles."""
+    v = F.col(vec_col)
+    return v if df.select(v).schema[0].dataType.simpleString() == "array<float>" else v.cast("array<double>")
+
+
 def vectors(df: DataFrame, id_col: str, vec_col: str) -> DataFrame:
     """(id, v) of the rows that can be in a pair."""
-    v = F.col(vec_col).cast("array<double>")
-    rows = df.select(F.col(id_col).cast("long").alias("id"), v.alias("v")).filter(F.size("v") > 0)
+    rows = df.select(F.col(id_col).cast("long").alias("id"), vector(df, vec_col).alias("v")).filter(F.size("v") > 0)
     finite = F.forall("v", lambda x: F.coalesce(~F.isnan(x) & (F.abs(x) < float("inf")), F.lit(False)))
     return rows.filter(finite)
 
 
+def _type(rows: DataFrame) -> str:
+    return rows.schema["v"].dataType.simpleString()
+
+
 def _far_apart(points: np.ndarray, k: int) -> np.ndarray:
     """Places of up to ``k`` points, each the farthest from those before it."""
     chosen = [0]
@@ -69,13 +78,10 @@ class Cells:
     ids: np.ndarray
     centers: np.ndarray
     radius: np.ndarray          # -1 for a cell without rows
+    first: np.ndarray           # number of the cell's first block
     blocks: np.ndarray          # blocks that the cell is cut into
     reach: np.ndarray           # greatest reach of a row of the cell
 
-    @property
-    def first(self) -> np.ndarray:
-        return np.cumsum(self.blocks) - self.blocks
-
     def reaching(self, reach: dict[int, float]) -> Cells:
         return replace(self, reach=np.array([reach.get(i, -np.inf) for i in range(len(self.ids))]))
 
@@ -92,14 +98,42 @@ def choose_pivots(rows: DataFrame, pivots: int) -> tuple[np.ndarray, np.ndarray]
     return sample["id"].to_numpy(np.int64)[at], points[at]
 
 
-def make_cells(rows: DataFrame, pivots: int, block_rows: int) -> Cells | None:
+def make_cells(rows: DataFrame, pivots: int, block_rows: int, shared: int = 0) -> Cells | None:
     """Cells of ``vectors`` rows; None for an empty table."""
     chosen = choose_pivots(rows, pivots)
-    return measured(rows, *chosen, block_rows) if chosen else None
-
-
-def measured(rows: DataFrame, ids: np.ndarray, centers: np.ndarray, block_rows: int) -> Cells:
-    """The cells that ``rows`` form around given pivots."""
+    return measured(rows, *chosen, block_rows, shared) if chosen else None
+
+
+def _chain(points: np.ndarray) -> list[int]:
+    """All places, each followed by the nearest that is left."""
+    left, at, out = np.ones(len(points), bool), 0, []
+    while True:
+        out.append(at)
+        left[at] = False
+        if not left.any():
+            return out
+        at = int(np.where(left, ((points - points[at]) ** 2).sum(axis=1), np.inf).argmin())
+
+
+def _block_numbers(centers: np.ndarray, n: np.ndarray, block_rows: int, shared: int) -> tuple[np.ndarray, np.ndarray]:
+    """(first block, blocks) of cells of ``n`` rows: cells that have fewer than ``shared`` rows
+    together, one next to the other, fall into one block."""
+    first, blocks = np.zeros(len(n), np.int64), -(-n // max(block_rows, 1))
+    at, held = 0, 0                     # the number of the next block, rows of the open one before it
+    for c in _chain(centers):
+        if not n[c]:
+            continue
+        if held and held + n[c] <= shared:
+            first[c], held = at - 1, held + n[c]
+        else:
+            first[c], held = at, n[c]
+            at += blocks[c]
+            held = held if blocks[c] == 1 else 0
+    return first, blocks
+
+
+def measured(rows: DataFrame, ids: np.ndarray, centers: np.ndarray, block_rows: int, shared: int = 0) -> Cells:
+    """The cells that ``rows`` form around given pivots; cells of together up to ``shared`` rows share a block."""
     def nearest(batches):
         for pdf in batches:
             if len(pdf):
@@ -110,11 +144,11 @@ def measured(rows: DataFrame, ids: np.ndarray, centers: np.ndarray, block_rows:
 
     found = (rows.select("v").mapInPandas(nearest, "cell int, d double")
                  .groupBy("cell").agg(F.max("d").alias("r"), F.count(F.lit(1)).alias("n")).collect())
-    radius, blocks = np.full(len(ids), -1.0), np.zeros(len(ids), np.int64)
+    radius, n = np.full(len(ids), -1.0), np.zeros(len(ids), np.int64)
     for r in found:
-        radius[r["cell"]] = r["r"]
-        blocks[r["cell"]] = math.ceil(r["n"] / max(block_rows, 1))
-    return Cells(ids, centers, radius, blocks, np.full(len(ids), np.inf))
+        radius[r["cell"]], n[r["cell"]] = r["r"], r["n"]
+    first, blocks = _block_numbers(centers, n, block_rows, min(shared, block_rows))
+    return Cells(ids, centers, radius, first, blocks, np.full(len(ids), np.inf))
 
 
 def in_blocks(rows: DataFrame, cells: Cells) -> DataFrame:
@@ -136,7 +170,7 @@ def in_blocks(rows: DataFrame, cells: Cells) -> DataFrame:
             yield pd.DataFrame({"id": pdf["id"], "v": pdf["v"], "cell": cell, "blk": first[cell] + sub, "near": near})
 
     hashed = rows.select("id", "v", F.xxhash64("id").alias("h"))
-    return hashed.mapInPandas(run, "id long, v array<double>, cell int, blk long, near double")
+    return hashed.mapInPandas(run, f"id long, v {_type(rows)}, cell int, blk long, near double")
 
 
 def sent(placed: DataFrame, theirs: Cells, reach_col: str | None = None) -> DataFrame:
@@ -155,11 +189,11 @@ def sent(placed: DataFrame, theirs: Cells, reach_col: str | None = None) -> Data
             d, room = distances(v, theirs.centers)
             reach = pdf["reach"].to_numpy(np.float64)[:, None] if reach_col else -np.inf
             ok = inside[None, :] & (d <= theirs.radius[None, :] + np.maximum(reach, theirs.reach[None, :]) + room)
-            others = [np.concatenate([none] + [spans[q] for q in np.flatnonzero(row)]) for row in ok]
+            others = [np.unique(np.concatenate([none] + [spans[q] for q in np.flatnonzero(row)])) for row in ok]
             yield pd.DataFrame({"id": pdf["id"], "v": pdf["v"], "blk": pdf["blk"], "others": others})
 
     cols = ["id", "v", "blk"] + ([F.col(reach_col).alias("reach")] if reach_col else [])
-    out = placed.select(*cols).mapInPandas(run, "id long, v array<double>, blk long, others array<long>")
+    out = placed.select(*cols).mapInPandas(run, f"id long, v {_type(placed)}, blk long, others array<long>")
     return out.select("blk", F.explode("others").alias("other"), "id", "v")
 
 

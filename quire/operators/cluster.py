@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 
 from quire.operators.components import connected_components
 from quire.operators.indexing import rank_within, with_global_index
-from quire.operators.pairs import nearest_distance, range_edges, range_star_edges
+from quire.operators.pairs import nearest_distance, range_edges, range_neighbours, range_star_edges
+from quire.session import cut_lineage
 
 
 def _number_roots(node_root: DataFrame, name: str) -> DataFrame:
@@ -45,16 +46,26 @@ def dbscan(df: DataFrame, id_col: str, vec_col: str, eps: float | None, min_samp
         # only connectivity matters: tiles emit local stars, not every edge
         star = range_star_edges(df, id_col, vec_col, eps, blocks=blocks, group_col=group_col, eps_col=eps_col)
         return label_components(df, id_col, connected_components(star), name)
-    e = edges if edges is not None else range_edges(df, id_col, vec_col, eps, blocks=blocks, group_col=group_col)
-    e = e.filter(F.col("dist") <= eps).select("a", "b")
-    if min_samples <= 2:
-        return label_components(df, id_col, connected_components(e), name)
-    # General min_samples (J4): core = degree + 1 >= min_samples.
-    deg = (e.select(F.col("a").alias("n")).unionByName(e.select(F.col("b").alias("n")))
-             .groupBy("n").agg(F.count(F.lit(1)).alias("deg")))
-    core = deg.filter(F.col("deg") + 1 >= min_samples).select(F.col("n").alias("core"))
-    ce = (e.join(core.withColumnRenamed("core", "a"), "a", "left_semi")
-            .join(core.withColumnRenamed("core", "b"), "b", "left_semi"))
+    if edges is None and not group_col:
+        # counts and stars leave the tiles, never every edge; a row that is not core has few neighbours and names them
+        part = cut_lineage(range_neighbours(df, id_col, vec_col, eps, min_samples - 2, blocks=blocks))
+        deg = part.groupBy(F.col("id").alias("n")).agg(F.sum("n").alias("deg"))
+        core = cut_lineage(deg.filter(F.col("deg") + 1 >= min_samples).select(F.col("n").alias("core")))
+        inner = df.join(core, df[id_col].cast("long") == core["core"], "left_semi")
+        ce = range_star_edges(inner, id_col, vec_col, eps, blocks=blocks)
+        beside = part.filter("near IS NOT NULL").select(F.col("id").alias("a"), F.explode("near").alias("b"))
+    else:
+        e = edges if edges is not None else range_edges(df, id_col, vec_col, eps, blocks=blocks, group_col=group_col)
+        e = e.filter(F.col("dist") <= eps).select("a", "b")
+        if min_samples <= 2:
+            return label_components(df, id_col, connected_components(e), name)
+        # General min_samples (J4): core = degree + 1 >= min_samples.
+        e = cut_lineage(e)
+        beside = e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        deg = beside.groupBy(F.col("a").alias("n")).agg(F.count(F.lit(1)).alias("deg"))
+        core = deg.filter(F.col("deg") + 1 >= min_samples).select(F.col("n").alias("core"))
+        ce = (e.join(core.withColumnRenamed("core", "a"), "a", "left_semi")
+                .join(core.withColumnRenamed("core", "b"), "b", "left_semi"))
     comp = connected_components(ce)
     single = (core.join(comp.select(F.col("node").alias("core")), "core", "left_anti")
                   .select(F.col("core").alias("node"), F.col("core").alias("root")))
@@ -62,11 +73,10 @@ def dbscan(df: DataFrame, id_col: str, vec_col: str, eps: float | None, min_samp
     numbered = _number_roots(comp, name)
     core_lab = comp.join(numbered, "root").select(F.col("node"), F.col(name))
     # border points: non-core with a core neighbour take the smallest neighbouring label
-    both = e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    border = (both.join(core_lab.withColumnRenamed("node", "b"), "b")
-                  .join(core.withColumnRenamed("core", "a"), "a", "left_anti")
-                  .groupBy("a").agg(F.min(name).alias(name))
-                  .withColumnRenamed("a", "node"))
+    border = (beside.join(core_lab.withColumnRenamed("node", "b"), "b")
+                    .join(core.withColumnRenamed("core", "a"), "a", "left_anti")
+                    .groupBy("a").agg(F.min(name).alias(name))
+                    .withColumnRenamed("a", "node"))
     labels = core_lab.unionByName(border).withColumnRenamed("node", id_col)
     return (df.join(labels, id_col, "left")
               .withColumn(name, F.coalesce(F.col(name), F.lit(-1)).cast("int")))
@@ -77,14 +87,19 @@ def dbscan_two_stage(df: DataFrame, id_col: str, vec_col: str, eps: float, eps2:
     """Two-stage clustering (J3). Stage-1 labels in ``cluster``; inside every stage-1 cluster the points
     are clustered again with ``eps2`` into ``cluster2`` (numbered from 0 per
     stage-1 cluster in row order; -1 = stage-2 noise; null for stage-1 noise)."""
-    e = edges if edges is not None else range_edges(df, id_col, vec_col, max(eps, eps2))
-    s1 = dbscan(df, id_col, vec_col, eps, edges=e, name="cluster")
+    s1 = dbscan(df, id_col, vec_col, eps, edges=edges, name="cluster")
     lab = s1.select(F.col(id_col).alias("a"), F.col("cluster").alias("ca"))
-    e2 = (e.filter(F.col("dist") <= eps2)
-           .join(lab, "a")
-           .join(lab.select(F.col("a").alias("b"), F.col("ca").alias("cb")), "b")
-           .filter((F.col("ca") == F.col("cb")) & (F.col("ca") >= 0))
-           .select("a", "b"))
+    if edges is not None:
+        e2 = (edges.filter(F.col("dist") <= eps2)
+              .join(lab, "a")
+              .join(lab.select(F.col("a").alias("b"), F.col("ca").alias("cb")), "b")
+              .filter((F.col("ca") == F.col("cb")) & (F.col("ca") >= 0))
+              .select("a", "b"))
+    elif eps2 <= eps:
+        # what is within eps2 is in one stage-1 cluster already
+        e2 = range_star_edges(df, id_col, vec_col, eps2)
+    else:
+        e2 = range_star_edges(s1.filter(F.col("cluster") >= 0), id_col, vec_col, eps2, group_col="cluster")
     comp = connected_components(e2)
     roots = (comp.join(lab.select(F.col("a").alias("node"), "ca"), "node")
                  .select("ca", "root").distinct())
@@ -115,7 +130,6 @@ def _band_floor(low: float, high: float, d_min: float, max_steps: int = 500) ->
 def _eps_candidates(nn: DataFrame, high: float, low: float, dist_col: str):
     """(drops table, band floor). ``nn`` is checkpointed first: the blocked
     nearest-neighbour job then runs once, not once per statistic."""
-    from quire.session import cut_lineage
     nn = cut_lineage(nn.select(F.col(dist_col).alias("d")))
     d = F.col("d")
     d_min = nn.agg(F.min(d)).first()[0]
@@ -171,7 +185,6 @@ def select_eps_by_group(nn: DataFrame, group_col: str, high: float = 0.8, low: f
     literal list of reachable bounds, the "next smaller distance" comes from
     the skew-safe in-group rank, and the arg-max is a grouped ``max_by``.
     A group with no candidate gets a null eps."""
-    from quire.session import cut_lineage
     g, d = F.col(group_col), F.col("d")
     nn = cut_lineage(nn.select(g.alias("g"), F.col(dist_col).alias("d")))
     steps = F.array(*[F.lit(v) for v in _step_values(low)])

@@ -3,13 +3,15 @@ distance (C7) and top-k cosine neighbours (C8).
 
 Rows are hashed into B blocks; each row is sent to the B unordered block
 pairs that contain its block, so one task sees two blocks (or one, on the
-diagonal) and compares them with a numpy Gram matrix in row chunks. Task
+diagonal) and compares them with a numpy Gram matrix in small chunks. Task
 memory is bounded by ``block_rows`` (about 2 * block_rows * dim doubles plus
-one chunk x block_rows tile) whatever the table size; the replication factor
-is B. Only qualifying output leaves a task: edges within ``eps``, one partial
-minimum per row, or at most k neighbours per row, so nothing proportional to
-the square of a block is shuffled. Distances of emitted edges are recomputed
-by direct subtraction so the ``<= eps`` test does not depend on Gram rounding.
+one chunk) whatever the table size; the replication factor is B. By default a
+block holds ``BLOCK_VALUES`` components, 16 MB as doubles, so narrow vectors are
+copied to few blocks, and float vectors travel as floats. Only qualifying output
+leaves a task: edges within ``eps`` (for clustering at most one for each row),
+counts, one partial minimum per row, or at most k neighbours per row. Distances
+of emitted edges are recomputed by direct subtraction so the ``<= eps`` test does
+not depend on Gram rounding.
 
 Edges and nearest distances over a whole table, and the top-k of one table in
 another, are cut into pivot cells (``cells``): a row is not sent to blocks that
@@ -26,12 +28,26 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quire.operators.cells import choose_pivots, in_blocks, make_cells, measured, replicated, sent, vectors
+from quire.operators.cells import choose_pivots, in_blocks, make_cells, measured, replicated, sent, vector, vectors
 
-CHUNK = 1024
+#: Left and right rows of one chunk of a tile; pairs that are looked at closely, or held, at once.
+CHUNK, WIDE = 512, 1024
+CLOSE, HELD = 1 << 16, 1 << 20
+#: Components of a block, and the rows that it has at least and at most.
+BLOCK_VALUES, MIN_ROWS, MAX_ROWS = 1 << 21, 1024, 1 << 16
+#: Rows for each pivot.
+PIVOT_ROWS = 4096
 SLACK = 1e-6
 
 
+def rows_of_block(df: DataFrame, vec_col: str, block_rows: int | None = None) -> int:
+    """``block_rows``, or as many rows as ``BLOCK_VALUES`` components make."""
+    if block_rows:
+        return block_rows
+    first = df.select(F.size(vec_col).alias("n")).filter("n > 0").first()
+    return max(MIN_ROWS, min(MAX_ROWS, BLOCK_VALUES // first["n"])) if first else MAX_ROWS
+
+
 def choose_blocks(spark, n: int, block_rows: int = 4096) -> int:
     """Enough blocks to bound task memory, and enough block pairs to use the cores."""
     par = spark.sparkContext.defaultParallelism
@@ -52,7 +68,7 @@ def _replicate(df: DataFrame, id_col: str, vec_col: str, blocks: int,
     day of articles), and every group gets its own block count from its row
     count (a grouped count joined on the group key), so a group holding a
     large share of the rows is cut into proportionally more blocks."""
-    cols = [F.col(id_col).cast("long").alias("id"), F.col(vec_col).cast("array<double>").alias("v")]
+    cols = [F.col(id_col).cast("long").alias("id"), vector(df, vec_col).alias("v")]
     if group_col:
         cols.append(F.col(group_col).alias(GROUP))
     if eps_col:
@@ -88,39 +104,80 @@ def _exact(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.sqrt(((a - b) ** 2).sum(axis=1))
 
 
+def _chunks(n_left: int, n_right: int):
+    """Slices of a tile, one chunk of left rows by one of right rows after the other."""
+    for i in range(0, n_left, CHUNK):
+        for j in range(0, n_right, WIDE):
+            yield slice(i, i + CHUNK), slice(j, j + WIDE)
+
+
+def _gram(lv: np.ndarray, rv: np.ndarray):
+    """Squared lengths of both sides, and both sides widened so that one product gives squared distances."""
+    ln, rn = (lv * lv).sum(axis=1), (rv * rv).sum(axis=1)
+    return ln, rn, np.column_stack([lv, ln, np.ones(len(lv))]), np.column_stack([-2.0 * rv, np.ones(len(rv)), rn])
+
+
+def _same(a: np.ndarray, b: np.ndarray) -> np.ndarray | None:
+    """Where ids of a chunk are equal; None if none are."""
+    return a[:, None] == b[None, :] if np.isin(a, b).any() else None
+
+
+def _near_pairs(pdf: pd.DataFrame, eps_fixed: float | None, measure: bool):
+    """(left ids, right ids, places, distances) of the pairs of a tile within eps, chunk by chunk; each unordered
+    pair once. Without ``measure`` only pairs near the border are measured, and distances are None."""
+    # a fixed eps, or the group's own eps carried in the rows
+    eps = eps_fixed if eps_fixed is not None else pdf["_eps"].iloc[0]
+    if eps is None or not np.isfinite(eps):
+        return              # a group without an eps has no edges: all noise
+    diag, lid, lv, rid, rv = _split(pdf)
+    if not len(lid) or not len(rid):
+        return
+    ln, rn, la, ra = _gram(lv, rv)
+    for left, right in _chunks(len(lid), len(rid)):
+        d2 = la[left] @ ra[right].T
+        # the Gram form's rounding grows with the norms, so the slack does too
+        room = 64 * np.finfo(float).eps * (ln[left].max() + rn[right].max())
+        ii, jj = np.nonzero(d2 <= (eps + SLACK) ** 2 + SLACK + room)
+        sure = d2[ii, jj] < max(eps - SLACK, 0.0) ** 2 - SLACK - room
+        ii, jj = ii + left.start, jj + right.start
+        keep = lid[ii] < rid[jj] if diag else lid[ii] != rid[jj]
+        ii, jj, sure = ii[keep], jj[keep], sure[keep]
+        for s in range(0, len(ii), CLOSE):
+            i, j, ok = ii[s:s + CLOSE], jj[s:s + CLOSE], sure[s:s + CLOSE]
+            if measure:
+                dist = _exact(lv[i], rv[j])
+                ok = dist <= eps
+                yield lid[i[ok]], rid[j[ok]], dist[ok]
+            else:
+                at = np.flatnonzero(~ok)
+                ok[at] = _exact(lv[i[at]], rv[j[at]]) <= eps
+                yield lid[i[ok]], rid[j[ok]], None
+
+
 def _edges_fn(eps_fixed: float | None):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        # a fixed eps, or the group's own eps carried in the rows
-        eps = eps_fixed if eps_fixed is not None else pdf["_eps"].iloc[0]
-        if eps is None or not np.isfinite(eps):
-            eps = -1.0          # a group without an eps has no edges: all noise
-        diag, lid, lv, rid, rv = _split(pdf)
-        out_a, out_b, out_d = [], [], []
-        if len(lid) and len(rid):
-            rn = (rv * rv).sum(axis=1)
-            for s in range(0, len(lid), CHUNK):
-                blk = lv[s:s + CHUNK]
-                d2 = (blk * blk).sum(axis=1)[:, None] + rn[None, :] - 2.0 * blk @ rv.T
-                # the Gram form's rounding grows with the norms, so the slack does too
-                room = SLACK + 64 * np.finfo(float).eps * ((blk * blk).sum(axis=1)[:, None] + rn[None, :])
-                ii, jj = np.nonzero(d2 <= (eps + SLACK) ** 2 + room)
-                ii = ii + s
-                keep = lid[ii] != rid[jj]
-                if diag:
-                    keep &= lid[ii] < rid[jj]
-                ii, jj = ii[keep], jj[keep]
-                if len(ii):
-                    dist = _exact(lv[ii], rv[jj])
-                    ok = dist <= eps
-                    a, b = lid[ii][ok], rid[jj][ok]
-                    out_a.append(np.minimum(a, b))
-                    out_b.append(np.maximum(a, b))
-                    out_d.append(dist[ok])
-        if not out_a:
-            return pd.DataFrame({"a": pd.Series([], dtype="int64"), "b": pd.Series([], dtype="int64"),
-                                 "dist": pd.Series([], dtype="float64")})
-        return pd.DataFrame({"a": np.concatenate(out_a), "b": np.concatenate(out_b),
-                             "dist": np.concatenate(out_d)})
+        found = [(np.minimum(a, b), np.maximum(a, b), d) for a, b, d in _near_pairs(pdf, eps_fixed, True) if len(a)]
+        out = [np.concatenate([f[i] for f in found]) if found else np.empty(0) for i in range(3)]
+        return pd.DataFrame({"a": out[0].astype(np.int64), "b": out[1].astype(np.int64), "dist": out[2]})
+    return run
+
+
+def _neighbours_fn(eps: float, most: int):
+    """For each row of a tile that has neighbours in it: how many, and which if there are at most ``most``."""
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        # rows are told apart by their place, as ids may repeat
+        pdf = pdf.assign(row=np.arange(len(pdf)))
+        ids, n, near = pdf["id"].to_numpy(np.int64), np.zeros(len(pdf), np.int64), [[] for _ in range(len(pdf))]
+        for i, j in _near_rows(pdf, eps):
+            for me, other in ((i, j), (j, i)):
+                order = np.argsort(me, kind="stable")
+                rows, first, count = np.unique(me[order], return_index=True, return_counts=True)
+                for r, at, c in zip(rows[n[rows] < most], first[n[rows] < most], count[n[rows] < most]):
+                    near[r].extend(ids[other[order[at:at + most]]].tolist())
+                n[rows] += count
+        has = np.flatnonzero(n)
+        few = pd.Series([near[r] if n[r] <= most else None for r in has], dtype=object)
+        return pd.DataFrame({"id": ids[has], "n": n[has], "near": few})
     return run
 
 
@@ -146,15 +203,24 @@ def _local_stars(a: np.ndarray, b: np.ndarray):
 def _star_edges_fn(eps: float | None):
     """Edges within eps, reduced inside the task to one edge from every node
     to the smallest node of its local component: same connectivity, far
-    fewer edges, and the global star rounds start from stars."""
-    inner = _edges_fn(eps)
-
+    fewer edges, and the global star rounds start from stars. They are reduced
+    whenever ``HELD`` are at hand, so a tile of near copies needs no more memory."""
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        e = inner(pdf)
-        if len(e) == 0:
-            return pd.DataFrame({"a": pd.Series([], dtype="int64"), "b": pd.Series([], dtype="int64")})
-        node, root = _local_stars(e["a"].to_numpy(np.int64), e["b"].to_numpy(np.int64))
-        return pd.DataFrame({"a": root, "b": node})
+        held, n = [], 0
+
+        def stars():
+            node, root = _local_stars(*(np.concatenate([h[i] for h in held]) for i in range(2)))
+            return root, node
+
+        for a, b, _ in _near_pairs(pdf, eps, False):
+            if len(a):
+                held.append((a, b))
+                n += len(a)
+            if n > HELD + len(pdf):
+                held = [stars()]
+                n = len(held[0][0])
+        a, b = stars() if held else (np.empty(0, np.int64), np.empty(0, np.int64))
+        return pd.DataFrame({"a": a, "b": b})
     return run
 
 
@@ -163,33 +229,31 @@ def _nn_fn():
         diag, lid, lv, rid, rv = _split(pdf)
         ids, mins = [], []
         if len(lid) and len(rid):
-            rn = (rv * rv).sum(axis=1)
-            ln_ = (lv * lv).sum(axis=1)
-            best_r = np.full(len(rid), np.inf)
-            arg_r = np.full(len(rid), -1)
-            for s in range(0, len(lid), CHUNK):
-                blk = lv[s:s + CHUNK]
-                d2 = ln_[s:s + CHUNK, None] + rn[None, :] - 2.0 * blk @ rv.T
-                same = lid[s:s + CHUNK, None] == rid[None, :]
-                d2[same] = np.inf
-                # left rows: nearest among right rows
+            _, _, la, ra = _gram(lv, rv)
+            sides = [[np.full(len(x), np.inf), np.full(len(x), -1)] for x in (lid, rid)]
+
+            def lower(side, part, arg, val, start):
+                best, at = side
+                better = val < best[part]
+                best[part][better] = val[better]
+                at[part][better] = arg[better] + start
+
+            for left, right in _chunks(len(lid), len(rid)):
+                d2 = la[left] @ ra[right].T
+                same = _same(lid[left], rid[right])
+                if same is not None:
+                    d2[same] = np.inf
                 j = np.argmin(d2, axis=1)
-                fin = np.isfinite(d2[np.arange(len(blk)), j])
-                if fin.any():
-                    li = np.arange(len(blk))[fin]
-                    ids.append(lid[s:s + CHUNK][fin])
-                    mins.append(_exact(blk[li], rv[j[fin]]))
+                lower(sides[0], left, j, d2[np.arange(len(d2)), j], right.start)
                 if not diag:
                     i = np.argmin(d2, axis=0)
-                    val = d2[i, np.arange(len(rid))]
-                    better = val < best_r
-                    best_r[better] = val[better]
-                    arg_r[better] = i[better] + s
-            if not diag:
-                fin = np.isfinite(best_r)
-                if fin.any():
-                    ids.append(rid[fin])
-                    mins.append(_exact(rv[fin], lv[arg_r[fin]]))
+                    lower(sides[1], right, i, d2[i, np.arange(d2.shape[1])], left.start)
+            for (_, at), own, mine, theirs in ((sides[0], lid, lv, rv), *([] if diag else [(sides[1], rid, rv, lv)])):
+                fin = np.flatnonzero(at >= 0)
+                for s in range(0, len(fin), CLOSE):
+                    some = fin[s:s + CLOSE]
+                    ids.append(own[some])
+                    mins.append(_exact(mine[some], theirs[at[some]]))
         if not ids:
             return pd.DataFrame({"id": pd.Series([], dtype="int64"),
                                  "nn_dist": pd.Series([], dtype="float64")})
@@ -217,54 +281,103 @@ def _best(src_ids, dst_ids, sims, k: int, threshold: float | None, clamp: float
     return src_ids[rows[ok]], dst_ids[cols[ok]], vals[ok]
 
 
+def _topk_rows(a, av, b, bv, k: int, threshold: float | None, include_self: bool, clamp: float | None):
+    """The k best of the rows ``b`` for each row of ``a``: (a, b, value). ``b`` is gone through by
+    ascending id, so what comes later and only ties never counts, however many rows tie."""
+    order = np.argsort(b, kind="stable")
+    b, bv = b[order], bv[order]
+    out = []
+    for s in range(0, len(a), CHUNK):
+        ids, held = a[s:s + CHUNK], None
+        worth = np.full(len(ids), -np.inf)       # what a row must beat
+        for t in range(0, len(b), WIDE):
+            sims, theirs = av[s:s + CHUNK] @ bv[t:t + WIDE].T, b[t:t + WIDE]
+            same = None if include_self else _same(ids, theirs)
+            if same is not None:
+                sims[same] = -np.inf
+            if held is None:
+                got = _best(np.arange(len(ids)), theirs, sims, k, threshold, clamp)
+            else:
+                if clamp is not None:
+                    sims = np.where(np.isfinite(sims) & (sims <= clamp), 0.0, sims)
+                rows, cols = np.nonzero(sims > worth[:, None])
+                if not len(rows):
+                    continue
+                got = [np.concatenate(x) for x in zip(held, (rows, theirs[cols], sims[rows, cols]))]
+                at = np.lexsort((got[1], -got[2], got[0]))
+                got = [x[at] for x in got]
+                ok = np.arange(len(at)) - np.searchsorted(got[0], got[0]) < k
+                got = [x[ok] for x in got]
+            held = got
+            full = np.flatnonzero(np.bincount(held[0], minlength=len(ids)) >= k)
+            worth[:] = -np.inf if threshold is None else threshold
+            worth[full] = held[2][np.searchsorted(held[0], full, "right") - 1]
+        if held is not None:
+            out.append((ids[held[0]], held[1], held[2]))
+    return [np.concatenate([o[i] for o in out]) if out else np.empty(0) for i in range(3)]
+
+
+def _topk_frame(parts) -> pd.DataFrame:
+    a, b, v = (np.concatenate([p[i] for p in parts]) if parts else np.empty(0) for i in range(3))
+    return pd.DataFrame({"a": a.astype(np.int64), "b": b.astype(np.int64), "sim": v.astype(np.float64)})
+
+
 def _topk_fn(k: int, threshold: float | None, include_self: bool = False, clamp: float | None = None):
     """Local top-k per row. ``clamp``: similarities at or below it become 0
     and still compete (ties by id, exact via lexsort); ``include_self`` keeps
     the row itself as a candidate."""
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         diag, lid, lv, rid, rv = _split(pdf)
-        qa, qb, qs = [], [], []
+        parts = []
         if len(lid) and len(rid):
             lnorm = np.linalg.norm(lv, axis=1)
             rnorm = np.linalg.norm(rv, axis=1)
             lu = lv / np.where(lnorm == 0, 1, lnorm)[:, None]
             ru = rv / np.where(rnorm == 0, 1, rnorm)[:, None]
-
-            def emit(src_ids, dst_ids, sims):
-                a, b, v = _best(src_ids, dst_ids, sims, k, threshold, clamp)
-                qa.append(a)
-                qb.append(b)
-                qs.append(v)
-
-            for s in range(0, len(lid), CHUNK):
-                sims = lu[s:s + CHUNK] @ ru.T
-                if not include_self:
-                    sims[lid[s:s + CHUNK, None] == rid[None, :]] = -np.inf
-                emit(lid[s:s + CHUNK], rid, sims)
+            parts = [_topk_rows(lid, lu, rid, ru, k, threshold, include_self, clamp)]
             if not diag:
-                for s in range(0, len(rid), CHUNK):
-                    sims = ru[s:s + CHUNK] @ lu.T
-                    if not include_self:
-                        sims[rid[s:s + CHUNK, None] == lid[None, :]] = -np.inf
-                    emit(rid[s:s + CHUNK], lid, sims)
-        if not qa:
-            return pd.DataFrame({"a": pd.Series([], dtype="int64"), "b": pd.Series([], dtype="int64"),
-                                 "sim": pd.Series([], dtype="float64")})
-        return pd.DataFrame({"a": np.concatenate(qa), "b": np.concatenate(qb), "sim": np.concatenate(qs)})
+                parts.append(_topk_rows(rid, ru, lid, lu, k, threshold, include_self, clamp))
+        return _topk_frame(parts)
     return run
 
 
+def _near_rows(pdf: pd.DataFrame, eps: float):
+    """(left, right) row places (column ``row``) of the pairs of a tile within eps, chunk by chunk."""
+    # places stand in for ids, which go along to leave out pairs of one id
+    ids = pdf["id"].to_numpy(np.int64)
+    for i, j, _ in _near_pairs(pdf.assign(id=pdf["row"]), eps, False):
+        ok = ids[i] != ids[j]
+        yield i[ok], j[ok]
+
+
 def _blocks_for(df: DataFrame, blocks: int | None, block_rows: int) -> int:
     if blocks:
         return blocks
     return choose_blocks(df.sparkSession, df.count(), block_rows)
 
 
+def _pivots_for(rows: DataFrame, blocks: int | None, block_rows: int) -> tuple[int, int]:
+    """How many pivots to choose, and up to how many rows their cells may share a block. A number of
+    blocks that the caller gives is the number of pivots, and no cells share."""
+    if blocks:
+        return blocks, 0
+    n = rows.count()
+    few = choose_blocks(rows.sparkSession, n, block_rows)
+    return max(few, math.ceil(n / PIVOT_ROWS)), math.ceil(n / few)
+
+
+def _cells_of(rows: DataFrame, blocks: int | None, block_rows: int | None):
+    """Cells of ``vectors`` rows; None for an empty table."""
+    block_rows = rows_of_block(rows, "v", block_rows)
+    pivots, shared = _pivots_for(rows, blocks, block_rows)
+    return make_cells(rows, pivots, block_rows, shared)
+
+
 def _in_reach(df: DataFrame, id_col: str, vec_col: str, eps: float,
-              blocks: int | None, block_rows: int) -> DataFrame | None:
+              blocks: int | None, block_rows: int | None) -> DataFrame | None:
     """Rows copied to the block pairs that may hold a row within ``eps`` of them."""
     rows = vectors(df, id_col, vec_col)
-    cells = make_cells(rows, _blocks_for(rows, blocks, block_rows), block_rows)
+    cells = _cells_of(rows, blocks, block_rows)
     if cells is None:
         return None
     cells = cells.reaching({i: eps for i in range(len(cells.ids))})
@@ -272,9 +385,9 @@ def _in_reach(df: DataFrame, id_col: str, vec_col: str, eps: float,
 
 
 def _range_tiles(df: DataFrame, id_col: str, vec_col: str, eps: float | None, blocks: int | None,
-                 block_rows: int, group_col: str | None, eps_col: str | None, fn, schema: str) -> DataFrame:
+                 block_rows: int | None, group_col: str | None, eps_col: str | None, fn, schema: str) -> DataFrame:
     if group_col:
-        rep = _replicate(df, id_col, vec_col, 1, group_col, block_rows, eps_col if eps is None else None)
+        rep = _replicate(df, id_col, vec_col, 1, group_col, rows_of_block(df, vec_col, block_rows), eps_col if eps is None else None)
         return rep.groupBy(GROUP, "bi", "bj").applyInPandas(fn, schema)
     rep = _in_reach(df, id_col, vec_col, eps, blocks, block_rows)
     if rep is None:
@@ -283,7 +396,7 @@ def _range_tiles(df: DataFrame, id_col: str, vec_col: str, eps: float | None, bl
 
 
 def range_edges(df: DataFrame, id_col: str, vec_col: str, eps: float,
-                blocks: int | None = None, block_rows: int = 4096,
+                blocks: int | None = None, block_rows: int | None = None,
                 group_col: str | None = None) -> DataFrame:
     """Euclidean range self-join: (a, b, dist) with a < b and dist <= eps
     (within ``group_col`` when given)."""
@@ -292,7 +405,7 @@ def range_edges(df: DataFrame, id_col: str, vec_col: str, eps: float,
 
 
 def range_star_edges(df: DataFrame, id_col: str, vec_col: str, eps: float | None,
-                     blocks: int | None = None, block_rows: int = 4096,
+                     blocks: int | None = None, block_rows: int | None = None,
                      group_col: str | None = None, eps_col: str | None = None) -> DataFrame:
     """(a, b) edges with the same connected components as the ``dist <= eps``
     graph, pre-reduced to stars inside each task (no distances). With
@@ -304,8 +417,18 @@ def range_star_edges(df: DataFrame, id_col: str, vec_col: str, eps: float | None
                         _star_edges_fn(fixed), "a long, b long")
 
 
+def range_neighbours(df: DataFrame, id_col: str, vec_col: str, eps: float, most: int,
+                     blocks: int | None = None, block_rows: int | None = None) -> DataFrame:
+    """(id, n, near): how many rows of another id lie within ``eps`` of a row, in parts (one for each
+    tile that has any; a row's number is their sum), and in each part their ids if there are at most
+    ``most`` (else null). So a row with ``most`` neighbours or fewer names them all, and no part is
+    longer, however many near copies the table holds."""
+    return _range_tiles(df, id_col, vec_col, float(eps), blocks, block_rows, None, None,
+                        _neighbours_fn(float(eps), most), "id long, n long, near array<long>")
+
+
 def range_pair_work(df: DataFrame, id_col: str, vec_col: str, eps: float,
-                    blocks: int | None = None, block_rows: int = 4096) -> DataFrame:
+                    blocks: int | None = None, block_rows: int | None = None) -> DataFrame:
     """What pruning leaves of ``range_edges``, in one row: (rows, tiles,
     pairs_compared, pairs_all, skipped_share). A tile without rows on both sides
     compares nothing. An empty table gives zeros."""
@@ -335,7 +458,7 @@ def _own_nearest(pdf: pd.DataFrame) -> pd.DataFrame:
 
 
 def nearest_distance(df: DataFrame, id_col: str, vec_col: str,
-                     blocks: int | None = None, block_rows: int = 4096,
+                     blocks: int | None = None, block_rows: int | None = None,
                      group_col: str | None = None) -> DataFrame:
     """Distance from each row to its closest other row (in its group): (id, nn_dist).
 
@@ -344,12 +467,12 @@ def nearest_distance(df: DataFrame, id_col: str, vec_col: str,
     may hold a nearer one."""
     schema = "id long, nn_dist double"
     if group_col:
-        rep = _replicate(df, id_col, vec_col, 1, group_col, block_rows)
+        rep = _replicate(df, id_col, vec_col, 1, group_col, rows_of_block(df, vec_col, block_rows))
         part = rep.groupBy(GROUP, "bi", "bj").applyInPandas(_nn_fn(), schema)
         return part.groupBy("id").agg(F.min("nn_dist").alias("nn_dist"))
     from quire.session import cut_lineage
     rows = vectors(df, id_col, vec_col)
-    cells = make_cells(rows, _blocks_for(rows, blocks, block_rows), block_rows)
+    cells = _cells_of(rows, blocks, block_rows)
     if cells is None:
         return df.sparkSession.createDataFrame([], schema)
     placed = in_blocks(rows, cells)
@@ -362,7 +485,7 @@ def nearest_distance(df: DataFrame, id_col: str, vec_col: str,
 
 
 def cosine_topk(df: DataFrame, id_col: str, vec_col: str, k: int, threshold: float | None = None,
-                blocks: int | None = None, block_rows: int = 4096,
+                blocks: int | None = None, block_rows: int | None = None,
                 include_self: bool = False, clamp: float | None = None,
                 group_col: str | None = None) -> DataFrame:
     """For every row its k most cosine-similar other rows: (a, b, sim, rank).
@@ -371,6 +494,7 @@ def cosine_topk(df: DataFrame, id_col: str, vec_col: str, k: int, threshold: flo
     candidates are shuffled before the final ``row_number() <= k`` (ties by id).
     """
     from pyspark.sql import Window
+    block_rows = rows_of_block(df, vec_col, block_rows)
     b = 1 if group_col else _blocks_for(df, blocks, block_rows)
     rep = _replicate(df, id_col, vec_col, b, group_col, block_rows)
     cand = rep.groupBy(GROUP, "bi", "bj").applyInPandas(_topk_fn(int(k), threshold, include_self, clamp),
@@ -401,10 +525,12 @@ def _sides(pdf: pd.DataFrame):
 
 def _similarities(a, av, b, bv, include_self: bool):
     """Row chunks of a tile: (place of the first row, similarities)."""
-    for s in range(0, len(a), CHUNK):
-        sims = av[s:s + CHUNK] @ bv.T
-        if not include_self:
-            sims[a[s:s + CHUNK, None] == b[None, :]] = -np.inf
+    step = max(1, CHUNK * WIDE // max(len(b), 1))
+    for s in range(0, len(a), step):
+        sims = av[s:s + step] @ bv.T
+        same = None if include_self else _same(a[s:s + step], b)
+        if same is not None:
+            sims[same] = -np.inf
         yield s, sims
 
 
@@ -434,16 +560,19 @@ def _topk_tiles(left: DataFrame, right: DataFrame, k: int, threshold: float | No
     right block. The first round compares a left block with one right block of its
     cell, the second sends rows only where the k-th similarity found can be beaten."""
     from quire.session import cut_lineage
-    chosen = choose_pivots(right, _blocks_for(right, None, block_rows))
+    pivots, shared = _pivots_for(right, None, block_rows)
+    chosen = choose_pivots(right, pivots)
     if chosen is None:
         return None
-    theirs, mine = (measured(x, *chosen, block_rows) for x in (right, left))
+    theirs, mine = (measured(x, *chosen, block_rows, shared) for x in (right, left))
     l_rows, r_rows = in_blocks(left, mine), in_blocks(right, theirs)
-    # a left block meets one right block of its cell; which one goes by its number
-    meets = [(int(p + i), int(q + i % n)) for p, m, q, n in zip(mine.first, mine.blocks, theirs.first, theirs.blocks)
-             if n for i in range(m)]
+    # a left block meets one right block of its (first) cell; which one goes by its number
+    meets: dict[int, int] = {}
+    for p, m, q, n in zip(mine.first, mine.blocks, theirs.first, theirs.blocks):
+        for i in range(m if n else 0):
+            meets.setdefault(int(p + i), int(q + i % n))
     spark = left.sparkSession
-    pairs = spark.createDataFrame(meets, "bi long, bj long")
+    pairs = spark.createDataFrame(list(meets.items()), "bi long, bj long")
     first = (l_rows.select(F.col("blk").alias("bi"), "id", "v", "cell", F.lit(True).alias("is_left"))
              .unionByName(r_rows.join(pairs, r_rows["blk"] == pairs["bj"])
                           .select("bi", "id", "v", "cell", F.lit(False).alias("is_left"))))
@@ -459,7 +588,7 @@ def _topk_tiles(left: DataFrame, right: DataFrame, k: int, threshold: float | No
 
 
 def cosine_topk_between(left: DataFrame, right: DataFrame, id_col: str, vec_col: str, k: int,
-                        threshold: float | None = None, block_rows: int = 4096,
+                        threshold: float | None = None, block_rows: int | None = None,
                         include_self: bool = False, clamp: float | None = None) -> DataFrame:
     """``cosine_topk`` of the rows of ``left`` only, among those of ``right`` (unique ids):
     (a, b, sim, rank). Both sides fall into cells around pivots of the right side. A
@@ -470,17 +599,16 @@ def cosine_topk_between(left: DataFrame, right: DataFrame, id_col: str, vec_col:
     from pyspark.sql import Window
 
     schema = "a long, b long, sim double"
+    block_rows = block_rows or rows_of_block(right, vec_col) // 2      # units are doubles, on both sides
     l_all, r_all = (_units(vectors(x, id_col, vec_col)) for x in (left, right))
     l_rows, r_rows = (x.filter(~F.col("zero")).select("id", "v") for x in (l_all, r_all))
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        parts, both = [], _sides(pdf)
-        if both:
-            (a, av), (b, bv) = both
-            parts = [_best(a[s:s + CHUNK], b, sims, k, threshold, clamp)
-                     for s, sims in _similarities(a, av, b, bv, include_self)]
-        out = [np.concatenate([p[i] for p in parts]) if parts else np.empty(0) for i in range(3)]
-        return pd.DataFrame({"a": out[0].astype(np.int64), "b": out[1].astype(np.int64), "sim": out[2]})
+        both = _sides(pdf)
+        if not both:
+            return _topk_frame([])
+        (a, av), (b, bv) = both
+        return _topk_frame([_topk_rows(a, av, b, bv, k, threshold, include_self, clamp)])
 
     def with_zero(rows: DataFrame, others: DataFrame) -> DataFrame:
         ids = [r["id"] for r in others.select("id").orderBy("id").limit(k + 1).collect()]
@@ -498,10 +626,11 @@ def cosine_topk_between(left: DataFrame, right: DataFrame, id_col: str, vec_col:
 
 
 def topk_pair_work(left: DataFrame, right: DataFrame, id_col: str, vec_col: str, k: int,
-                   threshold: float | None = None, block_rows: int = 4096,
+                   threshold: float | None = None, block_rows: int | None = None,
                    include_self: bool = False, clamp: float | None = None) -> DataFrame:
     """What pruning leaves of the second round of ``cosine_topk_between``, in one row:
     (tiles, pairs_compared). No row on one side gives zeros."""
+    block_rows = block_rows or rows_of_block(right, vec_col) // 2
     l_rows, r_rows = (_units(vectors(x, id_col, vec_col)).filter(~F.col("zero")).select("id", "v")
                       for x in (left, right))
     tiles = _topk_tiles(l_rows, r_rows, k, threshold, block_rows, include_self, clamp)

@@ -31,10 +31,11 @@ def related_articles(current: DataFrame, earlier: DataFrame, done: DataFrame, id
     pool = current.unionByName(earlier, allowMissingColumns=True)
     todo = current.join(done, "pid", "left_anti").select(F.col(id_col).alias("a"), "pid")
     left = cut_lineage(current.join(done, "pid", "left_anti").select(id_col, vec_col))
+    vecs = cut_lineage(pool.select(id_col, vec_col).filter(F.size(vec_col) > 0))     # read many times below
     if mode == "default":
-        rel = cosine_topk_between(left, pool, id_col, vec_col, k, threshold=threshold)
+        rel = cosine_topk_between(left, vecs, id_col, vec_col, k, threshold=threshold)
     elif mode == "reference":
-        rel = cosine_topk_between(left, pool, id_col, vec_col, k + 1, include_self=True, clamp=threshold)
+        rel = cosine_topk_between(left, vecs, id_col, vec_col, k + 1, include_self=True, clamp=threshold)
         rel = rel.filter(F.col("rank").between(2, k + 1))
     else:
         raise ValueError(f"unknown mode {mode!r}")

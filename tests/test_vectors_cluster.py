@@ -263,3 +263,67 @@ def test_topk_between_empty_sides(spark):
     for a, b in ((none, some), (some, none), (none, none)):
         assert cosine_topk_between(a, b, "id", "v", 2).count() == 0
         assert topk_pair_work(a, b, "id", "v", 2).first().pairs_compared == 0
+
+
+def test_tiles_hold_many_narrow_rows_and_cells_share_blocks(spark):
+    from quire.operators.cells import in_blocks, vectors
+    from quire.operators.pairs import _cells_of, _in_reach
+    pts = np.random.default_rng(1).normal(size=(20000, 4)).astype("float32")
+    df = spark.createDataFrame([(i, p.tolist()) for i, p in enumerate(pts)], "id long, v array<float>")
+    rows = vectors(df, "id", "v")
+    assert rows.schema["v"].dataType.simpleString() == "array<float>"
+    cells = _cells_of(rows, None, None)
+    per = {r["blk"]: r["count"] for r in in_blocks(rows, cells).groupBy("blk").count().collect()}
+    assert sum(per.values()) == 20000 and len(per) < 2 * len(cells.ids)
+    # as many copies as blocks at most, however many pivots there are
+    assert _in_reach(df, "id", "v", 100.0, None, None).count() == 20000 * len(per)
+
+
+def test_many_small_cells_share_few_blocks():
+    from quire.operators.cells import _block_numbers
+    centers = np.arange(40.0)[:, None]
+    first, blocks = _block_numbers(centers, np.array([10] * 39 + [250]), 100, 100)
+    assert blocks.tolist() == [1] * 39 + [3] and len(set(first[:39])) == 4 and first[39] == 4
+    first, blocks = _block_numbers(centers, np.array([10] * 40), 100, 0)
+    assert first.tolist() == list(range(40))
+
+
+@pytest.mark.parametrize("k,clamp,include_self", [(3, None, False), (4, 0.3, True), (2, None, True)])
+def test_topk_of_a_tile_in_chunks(monkeypatch, k, clamp, include_self):
+    from quire.operators import pairs
+    monkeypatch.setattr(pairs, "CHUNK", 7)
+    monkeypatch.setattr(pairs, "WIDE", 5)
+    rng = np.random.default_rng(k)
+    v = np.repeat(rng.normal(size=(20, 3)), 3, axis=0)
+    v /= np.linalg.norm(v, axis=1)[:, None]
+    ids = rng.permutation(60)
+    a, b, s = pairs._topk_rows(ids, v, ids, v, k, None, include_self, clamp)
+    sims = (v @ v.T).round(9)
+    for i in range(60):
+        row = [(0.0 if clamp is not None and sims[i, j] <= clamp else sims[i, j], ids[j]) for j in range(60) if include_self or i != j]
+        want = sorted(row, key=lambda x: (-x[0], x[1]))[:k]
+        assert np.allclose(s[a == ids[i]], [w[0] for w in want])
+        assert len(set(b[a == ids[i]])) == k
+
+
+def test_copies_make_no_square_of_edges(spark):
+    from quire.operators.pairs import range_neighbours, range_star_edges
+    pts = [(i, [float(i % 3), 0.0]) for i in range(600)] + [(600, [50.0, 0.0]), (601, [50.5, 0.0])]
+    df = spark.createDataFrame(pts, "id long, v array<double>")
+    part = range_neighbours(df, "id", "v", 0.6, 1).collect()
+    assert sum(r.n for r in part) == 3 * 200 * 199 + 2
+    assert all(r.near is None or len(r.near) <= 1 for r in part) and len(part) < 602 * 12
+    assert {r.id: r.near for r in part if r.id >= 600} == {600: [601], 601: [600]}
+    assert range_star_edges(df, "id", "v", 0.6).count() < 602 * 12
+    lab = {r.id: r.cluster for r in dbscan(df, "id", "v", 0.6, min_samples=3).collect()}
+    assert lab[600] == lab[601] == -1 and [lab[i] for i in range(3)] == [0, 1, 2]
+
+
+@pytest.mark.parametrize("eps2", [0.6, 1.5])
+def test_two_stages_without_edges(spark, eps2):
+    pts = np.random.default_rng(3).uniform(size=(80, 2)) * 8
+    df = points_df(spark, pts)
+    got = {r.id: (r.cluster, r.cluster2) for r in dbscan_two_stage(df, "id", "v", 1.0, eps2).collect()}
+    edges = range_edges(df, "id", "v", max(1.0, eps2))
+    want = {r.id: (r.cluster, r.cluster2) for r in dbscan_two_stage(df, "id", "v", 1.0, eps2, edges=edges).collect()}
+    assert got == want
