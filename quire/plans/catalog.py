@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from quire.operators.scoring import score_articles
 from quire.session import prepare
-from quire.sources.tables import articles, table
+from quire.sources.tables import articles, headline, table
 
 # The keyword list used by the article queries on driver data.
 DEMO_KEYWORDS = ["the", "que", "der"]
@@ -127,11 +127,29 @@ def q_dbscan_grouped(spark: SparkSession, sf: str) -> DataFrame:
     return dbscan(emb, "vec_id", "embedding", EPS_WIDE, group_col="source").select("vec_id", "source", "cluster")
 
 
+def _slim_articles(spark, sf):
+    """Articles with their vectors, excluded and tagged; their texts stay behind (``_with_texts`` brings them back)."""
+    from quire.plans.digest import exclude_and_tag
+
+    def early(a):
+        tagged = exclude_and_tag(a, DEMO_KEYWORDS, DEMO_EXCLUDE)
+        return tagged.withColumn("text_key", F.xxhash64("article")).drop("h1", "article", "text")
+    return articles(spark, sf, with_embeddings=True, early=early)
+
+
+def _with_texts(spark, sf, rows):
+    """``rows`` of ``_slim_articles`` with h1 and article: only the texts of these rows are kept, and of
+    rows that repeat an id each finds its own by the text's fingerprint."""
+    key = ["doc_id", "text_key"]
+    texts = table(spark, sf, "documents").select("doc_id", F.xxhash64("text").alias("text_key"), F.col("text").alias("article"))
+    found = texts.join(rows.select(*key), key, "left_semi").dropDuplicates(key)
+    return rows.join(found, key).withColumn("h1", headline(F.col("article")))
+
+
 def _scored_clusters(spark, sf, eps=None):
+    """Articles with cluster and score, without their texts."""
     from quire.plans.digest import tag_cluster_score
-    a = articles(spark, sf, with_embeddings=True)
-    scored, _ = tag_cluster_score(a, DEMO_KEYWORDS, eps=eps, band=BAND, exclude_pattern=DEMO_EXCLUDE)
-    return scored
+    return tag_cluster_score(_slim_articles(spark, sf), DEMO_KEYWORDS, eps=eps, band=BAND, tagged=True)[0]
 
 
 def q_cluster_rank_by_source(spark: SparkSession, sf: str) -> DataFrame:
@@ -146,8 +164,7 @@ def q_cluster_rank_by_source(spark: SparkSession, sf: str) -> DataFrame:
 
 def _scored_by_source(spark, sf):
     from quire.plans.digest import tag_cluster_score
-    a = articles(spark, sf, with_embeddings=True)
-    return tag_cluster_score(a, DEMO_KEYWORDS, band=BAND, exclude_pattern=DEMO_EXCLUDE, group_col="category")[0]
+    return tag_cluster_score(_slim_articles(spark, sf), DEMO_KEYWORDS, band=BAND, group_col="category", tagged=True)[0]
 
 
 def q_digest_by_source(spark: SparkSession, sf: str) -> DataFrame:
@@ -170,7 +187,7 @@ def q_singles(spark: SparkSession, sf: str) -> DataFrame:
     prepare(spark)
     from quire.plans.digest import pick_singles, rank_groups
     from quire.session import cut_lineage
-    s = cut_lineage(_scored_clusters(spark, sf, EPS_WIDE))
+    s = cut_lineage(_scored_clusters(spark, sf, EPS_WIDE).select("cluster", "pid", "sort_cri"))
     n_groups = rank_groups(s).count()
     return pick_singles(s, n_groups).select("pid", _r("sort_cri").alias("sort_cri"))
 
@@ -204,7 +221,7 @@ def q_cluster_pick_fixed(spark: SparkSession, sf: str) -> DataFrame:
     prepare(spark)
     from quire.plans.digest import pick_in_groups, rank_groups
     from quire.session import cut_lineage
-    s = cut_lineage(_scored_clusters(spark, sf, EPS_WIDE))
+    s = cut_lineage(_scored_clusters(spark, sf, EPS_WIDE).select("cluster", "pid", "sort_cri"))
     p = pick_in_groups(s, rank_groups(s))
     return p.select("cluster", "group_rank", "pid", "in_rank", "size")
 
@@ -226,7 +243,7 @@ def q_cluster_pick(spark: SparkSession, sf: str) -> DataFrame:
     prepare(spark)
     from quire.plans.digest import pick_in_groups, rank_groups
     from quire.session import cut_lineage
-    s = cut_lineage(_scored_clusters(spark, sf))
+    s = cut_lineage(_scored_clusters(spark, sf).select("cluster", "pid", "sort_cri"))
     p = pick_in_groups(s, rank_groups(s))
     return p.select("cluster", "group_rank", "pid", "in_rank", "size")
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from quire.operators.cluster import dbscan, select_eps, select_eps_by_group
 from quire.operators.indexing import indexed, rank_within, with_keyed_index
-from quire.operators.pairs import choose_blocks, nearest_distance
+from quire.operators.pairs import nearest_distance
 from quire.operators.scoring import article_score, tag_keywords
 from quire.session import cut_lineage
 
@@ -40,19 +40,24 @@ def flag_membership(df: DataFrame, ids: DataFrame, key: str = "pid", name: str =
               .withColumn(name, F.coalesce(F.col("_hit"), F.lit(0)).cast("int")).drop("_hit"))
 
 
+def exclude_and_tag(df: DataFrame, keywords: Iterable[str], exclude_pattern: str | None = ROUTINE_PATTERN) -> DataFrame:
+    """Articles without routine items, with in_keywords and keywords_tag. What comes after it reads no text."""
+    return tag_keywords(exclude_routine(df, exclude_pattern) if exclude_pattern else df, keywords)
+
+
 def tag_cluster_score(df: DataFrame, keywords: Iterable[str], eps: float | None = None,
                       band: tuple[float, float] = EPS_BAND, exclude_pattern: str | None = ROUTINE_PATTERN,
                       weights: Mapping[str, float] | None = None,
                       order: list[str] | None = None,
-                      group_col: str | None = None) -> tuple[DataFrame, float]:
-    """Articles with in_keywords, keywords_tag, position, cluster, position_score, sort_cri."""
+                      group_col: str | None = None, tagged: bool = False) -> tuple[DataFrame, float]:
+    """Articles with in_keywords, keywords_tag, position, cluster, position_score, sort_cri.
+    ``tagged``: ``df`` has been through ``exclude_and_tag`` already."""
     order = order or ["dt", "pid"]
-    a = exclude_routine(df, exclude_pattern) if exclude_pattern else df
-    a = tag_keywords(a, keywords)
-    # one reliable checkpoint: the neighbour job, the edge job, the component
-    # labels and the scores below all read this table instead of re-running
-    # the scan, the keyword regexes and the index
-    a = cut_lineage(with_keyed_index(a, ["pid"], order, "position"))
+    a = df if tagged else exclude_and_tag(df, keywords, exclude_pattern)
+    # reliable checkpoints: the index, the neighbour job, the edge job, the component
+    # labels and the scores below all read these tables instead of re-running
+    # the scan, the joins and the keyword regexes
+    a = cut_lineage(with_keyed_index(cut_lineage(a) if tagged else a, ["pid"], order, "position"))
     if eps is None and group_col:
         # eps chosen inside every group (e.g. every day), as a per-row column
         per = select_eps_by_group(nearest_distance(a, "position", "embeddings", group_col=group_col)
@@ -65,12 +70,10 @@ def tag_cluster_score(df: DataFrame, keywords: Iterable[str], eps: float | None
                         slim=list(dict.fromkeys([group_col, "position", *order])), unique=["position"])
         place = F.col("position_in_group").cast("double") - 1
         return article_score(a.withColumn("position_score", F.log1p(place)), weights), float("nan")
-    # one count of the (checkpointed) table sets the block count of both pair jobs
-    blocks = choose_blocks(a.sparkSession, a.count())
+    # only rows with a vector are counted into blocks
     if eps is None:
-        eps = select_eps(nearest_distance(a, "position", "embeddings", blocks=blocks, group_col=group_col),
-                         band[0], band[1])
-    a = dbscan(a, "position", "embeddings", eps, name="cluster", blocks=blocks, group_col=group_col)
+        eps = select_eps(nearest_distance(a, "position", "embeddings", group_col=group_col), band[0], band[1])
+    a = dbscan(a, "position", "embeddings", eps, name="cluster", group_col=group_col)
     a = a.withColumn("position_score", F.log1p(F.col("position").cast("double")))
     return article_score(a, weights), eps
 

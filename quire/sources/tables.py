@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,7 +31,8 @@ def headline(text: Column) -> Column:
     return F.substring_index(text, "\n", 1)
 
 
-def articles(spark: SparkSession, sf_dir: str, with_embeddings: bool = False) -> DataFrame:
+def articles(spark: SparkSession, sf_dir: str, with_embeddings: bool = False,
+             early: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """The article table of the digest job, derived from ``documents``.
 
     pid = doc_id as text, dt = epoch + doc_id minutes, h1 = first line,
@@ -40,27 +43,33 @@ def articles(spark: SparkSession, sf_dir: str, with_embeddings: bool = False) ->
     statistics say it is small, and otherwise shuffles both sides on doc_id.
     With embeddings every article stays; one without a vector has null there
     and is noise to the clustering.
+
+    ``early`` works on the rows before the joins (all columns but focus and
+    embeddings), each row by itself; the texts that it drops are in no shuffle.
     """
-    docs = table(spark, sf_dir, "documents")
-    labels = table(spark, sf_dir, "labels").select("doc_id", "quality")
-    out = docs.join(labels, "doc_id", "left").select(
+    labels = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("focus"))
+    out = table(spark, sf_dir, "documents").select(
         F.col("doc_id").cast("string").alias("pid"),
         (F.to_timestamp_ntz(F.lit(ARTICLE_EPOCH))
          + F.make_dt_interval(F.lit(0), F.lit(0), F.col("doc_id").cast("int"))).alias("dt"),
         headline(F.col("text")).alias("h1"),
         F.col("text").alias("article"),
         F.col("text").alias("text"),
-        F.coalesce(F.col("quality"), F.lit(0)).cast("int").alias("focus"),
         (F.col("n_chars") % 3).cast("int").alias("extender"),
         (F.col("n_chars") % 5).cast("int").alias("attachments"),
         F.col("source").alias("category"),
         F.col("doc_id"),
     )
+    out = early(out) if early else out
+    out = out.join(labels, "doc_id", "left").withColumn("focus", F.coalesce(F.col("focus"), F.lit(0)).cast("int"))
     if with_embeddings:
         emb = table(spark, sf_dir, "embeddings").select(
             F.col("vec_id").alias("doc_id"), F.col("embedding").alias("embeddings"))
         out = out.join(emb, "doc_id", "left")
-    return out
+    if early:
+        return out
+    return out.select("pid", "dt", "h1", "article", "text", "focus", "extender", "attachments", "category", "doc_id",
+                      *(["embeddings"] if with_embeddings else []))
 
 
 def article_columns(df: DataFrame) -> DataFrame:
