@@ -53,14 +53,19 @@ def _versions(df: DataFrame, key: str, weights: DataFrame) -> DataFrame:
 
 def _scored(spark, sf):
     from quire.plans.catalog import _scored_clusters
-    return cut_lineage(_scored_clusters(spark, sf))
+    return cut_lineage(_scored_clusters(spark, sf).select("pid", "cluster", "sort_cri", "doc_id", "text_key"))
+
+
+def _texts(spark, sf, rows):
+    from quire.plans.catalog import _with_texts
+    return _with_texts(spark, sf, cut_lineage(rows))
 
 
 def q_prompt_group(spark: SparkSession, sf: str) -> DataFrame:
     prepare(spark)
     from quire.plans.digest import pick_in_groups, rank_groups
     s = _scored(spark, sf)
-    g = _group_bodies(pick_in_groups(s, rank_groups(s)), _weights(spark, sf))
+    g = _group_bodies(_texts(spark, sf, pick_in_groups(s, rank_groups(s))), _weights(spark, sf))
     return g.select("cluster", "group_rank", "titles", "body")
 
 
@@ -74,7 +79,7 @@ def q_digest(spark: SparkSession, sf: str) -> DataFrame:
     groups = cut_lineage(rank_groups(s))
     n_groups = groups.count()
     weights = _weights(spark, sf)
-    g = cut_lineage(_group_bodies(pick_in_groups(s, groups), weights))
+    g = cut_lineage(_group_bodies(_texts(spark, sf, pick_in_groups(s, groups)), weights))
     gv = _versions(g.select(F.col("cluster").cast("string").alias("key"), "body"), "key", weights)
     grows = g.select(F.col("cluster").cast("string").alias("key"), "group_rank", "titles").join(gv, "key") \
              .select(F.col("group_rank").alias("digest_rank"), F.lit("group").alias("kind"), "key", "titles",
@@ -83,7 +88,7 @@ def q_digest(spark: SparkSession, sf: str) -> DataFrame:
     # at most the quota (<= 25) rows here, so an unpartitioned window is bounded
     singles = singles.withColumn("srank", F.row_number().over(Window.orderBy(F.desc("sort_cri"), F.asc("pid"))) - 1)
     from quire.plans.enrich import article_notes, with_order
-    singles = cut_lineage(singles.select("pid", "srank", "h1", "article"))
+    singles = cut_lineage(_texts(spark, sf, singles).select("pid", "srank", "h1", "article"))
     sb = cut_lineage(singles.join(article_notes(with_order(singles, "pid", "article", weights), "pid", "article"), "pid").select(
         F.col("pid").alias("key"), "srank", F.col("h1").alias("titles"), F.col("notes").alias("body")))
     sv = _versions(sb.select("key", "body"), "key", weights)
