@@ -8,12 +8,13 @@ of that order is a form: sentences taken best first while they fit a number of
 characters, or the best few, each put back in the order of the text.
 
 Plan. The texts are hash-partitioned by key once; token counts, scores and the
-order all cluster on the key. Only the weights are joined by token, on slim rows
-(key, token, where). Tokens that stand in more than a thousandth of all texts
-come from a table of bounded size (a thousand times the mean number of different
-tokens of a text, whatever the corpus), which is broadcast; the others, none of
-which has more rows than that thousandth, by an equi-join. So a token that every
-text has makes no hot key.
+order all cluster on the key. Tokens that stand in more than a thousandth of all
+texts come from a table of bounded size (a thousand times the mean number of
+different tokens of a text, whatever the corpus), which is broadcast: most rows
+stay where they are and are summed up by sentence there. Only the others, slim
+rows (key, token, where) of tokens none of which has more rows than that
+thousandth, meet their weights in an equi-join. So a token that every text has
+makes no hot key, and no shuffle carries it.
 
 Weights are whole numbers, so that a score does not depend on the order of a sum.
 """
@@ -59,28 +60,37 @@ def sentence_order(df: DataFrame, key: str, text_col: str, weights: DataFrame |
     each = docs.select("key", F.posexplode(sentence_array(F.col("text"))).alias("place", "sentence"))
     rows = each.select("key", "place", F.explode_outer(tokens(F.col("sentence"))).alias("token"))
     where = rows.groupBy("key", "token").agg(F.collect_list("place").alias("places"))  # of one token in one text
-    weight = F.lit(1)
-    if weights is not None:
-        where, weight = _weighed(where, weights)
-    value = F.when(F.col("token").isNotNull(), F.size("places") * weight)
-    best = (where.select("key", value.alias("value"), F.explode("places").alias("place")).groupBy("key", "place")
-            .agg(F.coalesce(F.sum("value").cast("double") / F.count("value"), F.lit(0.0)).alias("score")))
+    parts = _weighed(where, weights) if weights is not None else [(where, F.lit(1))]
+    mean = lambda total, n: F.coalesce(total.cast("double") / n, F.lit(0.0)).alias("score")
+    each = [w.select("key", _value(weight).alias("value"), F.explode("places").alias("place")) for w, weight in parts]
+    best = each[0].groupBy("key", "place")
+    if len(each) == 1:
+        best = best.agg(mean(F.sum("value"), F.count("value")))
+    else:
+        here = best.agg(F.sum("value").alias("value"), F.count("value").alias("n"))
+        met = here.unionByName(each[1].withColumn("n", F.lit(1).cast("long"))).repartition("key")
+        best = met.groupBy("key", "place").agg(mean(F.sum("value"), F.sum("n")))
     ranked = F.sort_array(F.collect_list(F.struct((-F.col("score")).alias("s"), "place")))
     return best.groupBy("key").agg(F.transform(ranked, lambda x: x["place"]).alias("order")).withColumnRenamed("key", key)
 
 
-def _weighed(where: DataFrame, weights: DataFrame) -> tuple[DataFrame, Column]:
-    """``where`` with its tokens' weights joined, and the column that says them."""
+def _value(weight: Column) -> Column:
+    """What a token adds to a sentence, each time it stands there; null without a token."""
+    return F.when(F.col("token").isNotNull(), F.size("places") * weight)
+
+
+def _weighed(where: DataFrame, weights: DataFrame) -> list[tuple[DataFrame, Column]]:
+    """``where`` in one or two parts, each with the column that says the tokens' weights: the first lies as
+    ``where`` does, the second, of rare tokens, has been dealt out by token."""
     one = weights.select("unseen").first()  # the same in every row
     unseen = F.lit(one.unseen if one else 1)
     if weights.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
-        return where.join(F.broadcast(weights.select("token", "weight")), "token", "left"), F.coalesce(F.col("weight"), unseen)
-    common = F.broadcast(weights.filter("common").select("token", F.col("weight").alias("known")))
-    rare = weights.filter("not common").select(F.col("token").alias("rare_token"), "weight")
-    # a row whose weight is known looks for nothing, and not in one place with the others
-    look = F.when(F.col("known").isNull() & F.col("token").isNotNull(), F.col("token")).otherwise(F.concat(F.lit("\0"), F.xxhash64("key").cast("string")))
-    met = where.join(common, "token", "left").withColumn("look", look).join(rare, F.col("look") == F.col("rare_token"), "left")
-    return met, F.coalesce("known", "weight", unseen)
+        return [(where.join(F.broadcast(weights.select("token", "weight")), "token", "left"), F.coalesce(F.col("weight"), unseen))]
+    common = F.broadcast(weights.filter("common").select("token", "weight"))
+    rare = weights.filter("not common").select("token", "weight")
+    here = where.join(common, "token", "left")
+    others = where.filter("token IS NOT NULL").join(common, "token", "left_anti").join(rare, "token", "left")
+    return [(here.filter("weight IS NOT NULL OR token IS NULL"), F.col("weight")), (others, F.coalesce(F.col("weight"), unseen))]
 
 
 def in_budget(sentences: Column, order: Column, budget: int) -> Column:

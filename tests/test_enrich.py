@@ -73,3 +73,24 @@ def test_order_against_plain_scores(spark, monkeypatch, broadcast):
         own = py_tokens(" ".join(found))
         score = [sum(own.count(x) * weigh[x] for x in py_tokens(s)) / len(py_tokens(s)) if py_tokens(s) else 0.0 for s in found]
         assert got.get(k, []) == sorted(range(len(found)), key=lambda i: (-score[i], i))
+
+
+def test_only_rare_tokens_are_dealt_out_by_token(spark, monkeypatch):
+    from quire.plans import summarise
+    monkeypatch.setattr(summarise, "BROADCAST_ROWS", 1)
+    where = spark.createDataFrame([(1, "the", [0]), (1, "odd", [1]), (2, "the", [0, 1]), (2, None, [2]), (2, "new", [3])], "key long, token string, places array<int>")
+    weights = spark.createDataFrame([("the", 1, True, 9), ("odd", 5, False, 9)], "token string, weight long, common boolean, unseen long")
+    (here, _), (others, weight) = summarise._weighed(where, weights)
+    assert sorted((r.key, r.token or "") for r in here.collect()) == [(1, "the"), (2, ""), (2, "the")]
+    assert sorted(others.select("token", weight.alias("w")).collect()) == [("new", 9), ("odd", 5)]
+
+
+def test_scored_clusters_leave_texts_behind(spark):
+    from quire.plans.catalog import _scored_clusters, _slim_articles, _with_texts
+    sf = "/root/testdata/sf0.001"
+    slim = _slim_articles(spark, sf)
+    assert not {"h1", "article", "text"} & set(slim.columns)
+    assert not {"h1", "article", "text"} & set(_scored_clusters(spark, sf, 1.1).columns)
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    got = _with_texts(spark, sf, slim.filter("doc_id % 7 = 0")).select("doc_id", "article", "h1").collect()
+    assert got and all(r.article == texts[r.doc_id] and r.h1 == r.article.split("\n")[0] for r in got)
