@@ -132,3 +132,69 @@ def test_request_stream_with_one_empty_side(spark):
     df.write.parquet(f"{base}/landing")
     run_request_stream(spark, f"{base}/landing", df.schema, f"{base}/state", "body", ["id"])
     assert spark.read.parquet(f"{base}/state/valid").count() == 0 and spark.read.parquet(f"{base}/state/quarantine").count() == 1
+
+
+class _Handle:
+    """State of one group in dictionaries."""
+
+    def __init__(self):
+        self.timers, self.calls = [], 0
+        self.registerTimer, self.deleteTimer = self.timers.append, self.timers.remove
+
+    def getMapState(self, *_):
+        return _Map()
+
+    def getValueState(self, *_):
+        return _Value()
+
+
+class _Map(dict):
+    getValue, removeKey = dict.get, lambda self, key: self.pop(key, None)
+    updateValue, iterator = dict.__setitem__, lambda self: iter(list(self.items()))
+
+
+class _Value:
+    value = None
+
+    def exists(self):
+        return self.value is not None
+
+    def get(self):
+        return self.value
+
+    def update(self, value):
+        self.value = value
+
+    def clear(self):
+        self.value = None
+
+
+def test_settling_takes_many_keys_in_one_call():
+    import pandas as pd
+    from pyspark.sql.streaming.stateful_processor import TimerValues
+    from quire.streaming.ingest import Settling
+    one, handle = Settling(), _Handle()
+    one.init(handle)
+    rows = lambda *r: pd.DataFrame(r, columns=["pid", "hit", "due"])
+    out = lambda frames: sorted(tuple(r) for f in frames for r in f.itertuples(index=False))
+    # the batches of one call: b waits, c has no time, a's second hit comes in the second batch
+    first = iter([rows(("a", "a1", 10), ("b", "b1", 30), ("c", "c1", None)), rows(("a", "a2", 40), (None, None, None))])
+    assert out(one.handleInputRows((3,), first, TimerValues(0, 0))) == [] and handle.timers == [10]
+    assert out(one.handleExpiredTimer((3,), TimerValues(0, 20), None)) == [("a", "a1"), ("a", "a2")] and handle.timers[-1] == 30
+    # a is done, d is due at once, b's earlier hit moves the timer
+    again = iter([rows(("a", "a3", 5), ("d", "d1", 15)), rows(("b", "b2", 25), ("d", "d2", 99))])
+    assert out(one.handleInputRows((3,), again, TimerValues(0, 20))) == [("d", "d1"), ("d", "d2")] and handle.timers[-1] == 25
+    assert out(one.handleExpiredTimer((3,), TimerValues(0, 25), None)) == [("b", "b1"), ("b", "b2")]
+    assert list(one.keys) == [("a",), ("b",), ("c",), ("d",)] and list(one.hits) == [("c", 0)] and not one.first
+
+
+def test_streaming_ingest_deals_keys_into_few_groups(spark):
+    base = scratch(spark, "ingest")
+    t = dt.datetime(2024, 1, 1, 8, 0)
+    df = spark.range(3000).select((F.col("id") % 1000).cast("string").alias("pid"), F.lit("a\nb").alias("v"), "id",
+                                  (F.lit(t).cast("timestamp_ntz") + F.expr("make_dt_interval(0, 0, 0, id)")).alias("ts"))
+    df.write.parquet(f"{base}/landing")
+    for minutes in (40, 90):
+        run_settled_ingest(spark, f"{base}/landing", df.schema, f"{base}/state", F.col("pid"), "ts", t + dt.timedelta(minutes=minutes))
+    got = {(r.pid, r.id, r.v, r.batch) for r in selected(spark, f"{base}/state").collect()}
+    assert got == {(str(i % 1000), i, "a\nb", 0 if i % 1000 < 600 else 1) for i in range(3000)}
