@@ -4,18 +4,20 @@ a text (C11). The list of a single row is ``functions.text.annotate_names``.
 The rule is that of one pass over a text: at each place the longest listed name
 that begins there counts, and the pass goes on behind it. Names are literal.
 
-A dictionary may have any size. It is dealt by a hash into blocks of about
-``block_bytes`` of names and notes; one block at a time goes through the driver
-to the workers as an automaton over all its names, and every text meets every
-block. A row carries its hits from block to block, the longest for each place,
-and is cut to the checkpoint folder between blocks, so that no worker holds more
-than one block. A dictionary of one block is one pass without a shuffle or a cut.
+A dictionary may have any size. One of up to ``block_bytes`` of names and notes
+goes to the workers as one automaton: one pass without a shuffle or a cut. Of a
+larger one, every chunk of rows (about CHUNK_BYTES of text) gets the names whose
+first WINDOW characters occur in it: a chunk's different windows of these lengths
+meet the names in a join, and the names found travel to the chunk's rows, ahead
+of them. A text is moved once and searched once, whatever the dictionary's size,
+and no worker holds more than the names of one chunk.
 """
 
 from __future__ import annotations
 
-import math
+import re
 import uuid
+from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -25,9 +27,9 @@ from pyspark.sql import types as T
 from quire.session import cut_lineage
 
 BLOCK_BYTES = 4 << 20
-HITS = T.ArrayType(T.StructType([T.StructField("at", T.IntegerType()), T.StructField("size", T.IntegerType()),
-                                 T.StructField("note", T.StringType())]))
-ARROW_HITS = pa.list_(pa.struct([("at", pa.int32()), ("size", pa.int32()), ("note", pa.string())]))
+CHUNK_BYTES = 16 << 20
+#: Characters of a name by which it is looked up, and how many different windows a worker holds.
+WINDOW, HELD = 16, 500_000
 _ready: dict[str, object] = {}          # the automaton of the block at hand, one for each worker
 
 
@@ -42,15 +44,19 @@ def name_dictionary(entries: DataFrame) -> DataFrame:
                                        F.coalesce(F.col("e.title"), F.lit("")), F.lit("）")).alias("note"))
 
 
+def _built(names):
+    import ahocorasick
+    made = ahocorasick.Automaton()
+    for name, note in names:
+        made.add_word(name, (len(name), note))
+    if len(made):
+        made.make_automaton()
+    return made
+
+
 def _automaton(block):
     if _ready.get("block") != block.id:
-        import ahocorasick
-        made = ahocorasick.Automaton()
-        for name, note in block.names.value:
-            made.add_word(name, (len(name), note))
-        if len(made):
-            made.make_automaton()
-        _ready.update(block=block.id, automaton=made)
+        _ready.update(block=block.id, automaton=_built(block.names.value))
     return _ready["automaton"]
 
 
@@ -61,10 +67,9 @@ class _Block:
         self.names, self.id = names, key
 
 
-def _hits(automaton, text: str | None, before) -> list[tuple[int, int, str]]:
-    """(at, size, note) in order of place, the longest name for each place: those
-    carried along and those of this block."""
-    best = {h["at"]: (h["size"], h["note"]) for h in before or ()}
+def _hits(automaton, text: str | None) -> list[tuple[int, int, str]]:
+    """(at, size, note) in order of place, the longest name for each place."""
+    best = {}
     if text and len(automaton):
         for end, (size, note) in automaton.iter(text):
             at = end + 1 - size
@@ -73,10 +78,6 @@ def _hits(automaton, text: str | None, before) -> list[tuple[int, int, str]]:
     return [(at, *best[at]) for at in sorted(best)]
 
 
-def _carried(text, hits):
-    return [{"at": at, "size": size, "note": note} for at, size, note in hits]
-
-
 def _annotated(text, hits):
     if not text:
         return text
@@ -100,31 +101,99 @@ def _names(text, hits):
 
 
 def _meet(block: _Block, make, kind: T.DataType, arrow: pa.DataType):
-    """``make(text, hits)`` of every text after it has met the block."""
-    def run(texts: pa.Array, before: pa.Array) -> pa.Array:
+    """``make(text, hits)`` of every text."""
+    def run(texts: pa.Array) -> pa.Array:
         automaton = _automaton(block)
-        return pa.array([make(text, _hits(automaton, text, hits))
-                         for text, hits in zip(texts.to_pylist(), before.to_pylist())], arrow)
+        return pa.array([make(text, _hits(automaton, text)) for text in texts.to_pylist()], arrow)
     return F.arrow_udf(run, kind)
 
 
-def _over_blocks(df: DataFrame, text: Column, names: DataFrame, out_col: str, make, kind: T.DataType,
-                 arrow: pa.DataType, block_bytes: int) -> DataFrame:
+def _windows(lengths: list[int], letters: str):
+    """(chunk, part): the different parts of these lengths, in letters of names only, of each chunk's texts;
+    now and then one of them again."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        runs = re.compile(f"[{re.escape(letters)}]{{{lengths[0]},}}")
+        chunk, seen, parts = None, set(), set()
+
+        def done() -> Iterator[pa.RecordBatch]:
+            some = list(parts)
+            for k in range(0, len(some), 50_000):
+                own = pa.array(some[k:k + 50_000], pa.string())
+                yield pa.RecordBatch.from_arrays([pa.array([chunk] * len(own), pa.int64()), own], ["chunk", "part"])
+            seen.clear()
+            parts.clear()
+
+        for batch in batches:
+            for mine, text in zip(batch.column("chunk").to_pylist(), batch.column("text").to_pylist()):
+                if mine != chunk:
+                    yield from done()
+                    chunk = mine
+                for found in runs.finditer(text or ""):
+                    word = found[0]
+                    if len(word) <= 64:
+                        if word in seen:
+                            continue
+                        seen.add(word)
+                    for size in lengths:
+                        for at in range(0, len(word) - size + 1, HELD):  # a stretch of any length by pieces
+                            parts.update([word[k:k + size] for k in range(at, min(at + HELD, len(word) - size + 1))])
+                            if len(parts) >= HELD:
+                                yield from done()
+        yield from done()
+    return run
+
+
+def _search(make, arrow: pa.DataType, names: list[str]):
+    """``make(text, hits)`` of rows that are sorted by chunk, each chunk's names first."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        chunk, held, automaton = None, [], None
+        for batch in batches:
+            texts, rows, out = batch.column("text").to_pylist(), [], []
+            some = zip(batch.column("chunk").to_pylist(), batch.column("name").to_pylist(), batch.column("note").to_pylist())
+            for k, (mine, name, note) in enumerate(some):
+                if mine != chunk:
+                    chunk, held, automaton = mine, [], None
+                if name is not None:
+                    held.append((name, note))
+                    continue
+                if automaton is None:
+                    automaton, held = _built(held), []
+                rows.append(k)
+                out.append(make(texts[k], _hits(automaton, texts[k])))
+            if rows:
+                whole = batch.column("row").take(pa.array(rows))
+                yield pa.RecordBatch.from_arrays([*whole.flatten(), pa.array(out, arrow)], names)
+    return run
+
+
+def _by_chunks(df: DataFrame, text: Column, names: DataFrame, out_col: str, make, kind: T.DataType,
+               arrow: pa.DataType) -> DataFrame:
+    df = df.drop(out_col) if out_col in df.columns else df
+    row, chunk, part = F.struct(*[F.col(f"`{c}`") for c in df.columns]), F.col("chunk"), F.substring("name", 1, WINDOW)
+    # numbers hold only for rows that stay as they are
+    rows = cut_lineage(df.select(row.alias("row"), text.cast("string").alias("text"), F.monotonically_increasing_id().alias("at")))
+    n, size = rows.agg(F.count("*"), F.sum(F.octet_length("text"))).first()
+    rows = rows.withColumn("chunk", F.expr(f"at div {max(1, n * CHUNK_BYTES // max(1, size or 0))}"))
+    lengths = sorted(r[0] for r in names.select(F.length(part)).distinct().collect())  # WINDOW of them at most
+    letters = "".join(sorted(r[0] for r in names.select(F.explode(F.split("name", ""))).distinct().collect()))
+    met = (rows.select("chunk", "text").mapInArrow(_windows(lengths, letters), "chunk long, part string")
+           .join(names.withColumn("part", part), "part").select("chunk", "name", "note").distinct())
+    none = F.lit(None).cast("string")
+    both = (met.withColumn("row", F.lit(None).cast(rows.schema["row"].dataType)).withColumn("text", none)
+            .unionByName(rows.drop("at").withColumn("name", none).withColumn("note", none)))
+    dealt = both.repartition("chunk").sortWithinPartitions(chunk, F.col("name").isNull())
+    return dealt.select("chunk", "name", "note", "text", "row").mapInArrow(
+        _search(make, arrow, [*df.columns, out_col]), T.StructType([*df.schema, T.StructField(out_col, kind)]))
+
+
+def _over_names(df: DataFrame, text: Column, names: DataFrame, out_col: str, make, kind: T.DataType,
+                arrow: pa.DataType, block_bytes: int) -> DataFrame:
     names = cut_lineage(names.select("name", "note"))
     size = names.agg(F.sum(F.octet_length("name") + F.octet_length("note"))).first()[0] or 0
-    blocks = max(1, math.ceil(size / block_bytes))
-    out = df.withColumn("_hits", F.lit(None).cast(HITS))
-    for i in range(blocks):
-        mine = names.filter(F.pmod(F.xxhash64("name"), F.lit(blocks)) == i)
-        rows = [(r["name"], r["note"]) for r in mine.toLocalIterator()]
-        shared = df.sparkSession.sparkContext.broadcast(rows)
-        block = _Block(shared, uuid.uuid4().hex)
-        if i + 1 < blocks:
-            out = cut_lineage(out.withColumn("_hits", _meet(block, _carried, HITS, ARROW_HITS)(text, F.col("_hits"))))
-            shared.unpersist()
-        else:
-            out = out.withColumn(out_col, _meet(block, make, kind, arrow)(text, F.col("_hits")))
-    return out.drop("_hits")
+    if size > block_bytes:
+        return _by_chunks(df, text, names, out_col, make, kind, arrow)
+    shared = df.sparkSession.sparkContext.broadcast([(r["name"], r["note"]) for r in names.toLocalIterator()])
+    return df.withColumn(out_col, _meet(_Block(shared, uuid.uuid4().hex), make, kind, arrow)(text))
 
 
 def annotate_all(df: DataFrame, text_col: str, names: DataFrame, out_col: str = "annotated",
@@ -132,12 +201,12 @@ def annotate_all(df: DataFrame, text_col: str, names: DataFrame, out_col: str =
     """``df`` with ``out_col``: the text with the note of every name of ``names``
     (name, note; see ``name_dictionary``) behind it. A null text stays null, an empty
     one empty; without names the text is as it was."""
-    return _over_blocks(df, F.col(text_col), names, out_col, _annotated, T.StringType(), pa.string(), block_bytes)
+    return _over_names(df, F.col(text_col), names, out_col, _annotated, T.StringType(), pa.string(), block_bytes)
 
 
 def names_found(df: DataFrame, text_col: str, names: DataFrame, out_col: str = "names",
                 block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """``df`` with ``out_col``: the different names that one pass takes, sorted by code
     point; null for a null text."""
-    return _over_blocks(df, F.col(text_col), names, out_col, _names, T.ArrayType(T.StringType()),
+    return _over_names(df, F.col(text_col), names, out_col, _names, T.ArrayType(T.StringType()),
                         pa.list_(pa.string()), block_bytes)

@@ -52,3 +52,21 @@ def test_name_pass_uses_all_lists(spark):
     got = {r.id: (r.annotated, r.n_names) for r in person_name_pass(docs, "text", "names").collect()}
     assert got == {1: ("Ann（aide） met Bob（Robert，chair）", 1), 2: ("Bob（Robert，chair） met Ann Lee（head）", 2),
                    3: (None, 0), 4: ("Cy", 0)}
+
+
+def test_a_large_dictionary_meets_every_text_once(spark, monkeypatch):
+    from quire.operators import names as module
+    monkeypatch.setattr(module, "CHUNK_BYTES", 4000)
+    cuts, cut = [], module.cut_lineage
+    monkeypatch.setattr(module, "cut_lineage", lambda df: cuts.append(df.columns) or cut(df))
+    rng = np.random.default_rng(5)
+
+    def word(n):
+        return "".join(rng.choice(list("ab é𠮷"), n))
+    notes = {word(int(n)): f"（{i}）" for i, n in enumerate(rng.integers(1, 40, 300))}
+    listed = list(notes)
+    texts = [word(int(n)) + listed[int(n) % len(listed)] + "|" + word(30) for n in rng.integers(0, 900, 60)] * 2 + ["", None, "|"]
+    docs = spark.createDataFrame([(i % 50, t) for i, t in enumerate(texts)], "id int, text string")  # ids repeat
+    got = annotate_all(docs, "text", spark.createDataFrame(list(notes.items()), "name string, note string"), block_bytes=100)
+    assert sorted(((r.id, r.text, r.annotated) for r in got.collect()), key=str) == sorted(((i % 50, t, one_pass(t, notes)) for i, t in enumerate(texts)), key=str)
+    assert len(cuts) == 2  # the names and the rows, however many names there are
