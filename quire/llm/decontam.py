@@ -129,7 +129,7 @@ def _scanner(known, rest: bool):
                     left = (without(some[k], places) if places else some[k]).decode("utf-8", "replace")
                 out.append({"n_words": n, "spans": spans, "items": [w.ids[i] for i in sorted(items)], "places": places, "rest": left})
         return pa.array(out, _ARROW)
-    return scan
+    return scan.asNondeterministic()  # for Spark only: a filter on its result would else scan a second time, in workers of its own
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id",

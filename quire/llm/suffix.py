@@ -205,5 +205,6 @@ def remove_repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col:
     """``docs`` with repeated passages cut from the text; with column ``spans`` if it is named."""
     out = spans or fresh(docs, "spans")
     found = repeated_passages(docs, id_col, text_col, out)
-    done = found.withColumn(text_col, _without(F.col(text_col).cast("string"), F.col(out)))
+    # not deterministic for Spark only: a filter on the text would else run it a second time, in workers of its own
+    done = found.withColumn(text_col, _without.asNondeterministic()(F.col(text_col).cast("string"), F.col(out)))
     return done if spans else done.drop(out)

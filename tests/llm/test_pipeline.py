@@ -33,3 +33,10 @@ def test_stages_and_rows(spark, tmp_path):
     library = Tokenizer.from_file(bpe.default_tokenizer())
     assert all(r.n_tokens == len(library.encode(texts[r.doc_id], add_special_tokens=False).ids) for r in docs.collect())
     assert sorted(map(tuple, corpus_pipeline.run(spark, SF_SMALL).collect())) == sorted(map(tuple, docs.collect()))
+
+
+def test_a_filter_runs_no_stage_a_second_time(spark):
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    for stage in (corpus_pipeline.repeated_passages, corpus_pipeline.decontamination):
+        plan = stage(spark, docs, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("ArrowEvalPython [") == 1  # two of them take two workers a task, which keep their memory
