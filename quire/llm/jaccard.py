@@ -14,7 +14,10 @@ levels, each a Spark stage:
    Classes are cut by size into bands, and in a band of largest difference D the
    shingles are dealt into more than D fine groups. Two linking sets differ in D
    groups at most, so some filled group has equal content in both: the classes
-   are keyed by the content of each filled group and meet in that cell. (Cells
+   are keyed by the content of filled groups and meet in that cell. Of the groups
+   with equal content the first in any fixed order comes after at most D others, so
+   D + 1 groups are enough; those with the most shingles are taken, as unrelated
+   texts seldom share several shingles and nothing else of a group. (Cells
    are complete as a set has more filled groups than D; where chance could leave
    fewer, in small bands, several independent dealings are used, so that a miss
    is as unlikely as a clash of two 64-bit hashes.)
@@ -85,6 +88,11 @@ class Bands:
             out.append(out[-1] + 1)
         return out
 
+    def differ(self, k: int, n: int) -> int:
+        """In how many shingles a set of n and a partner that it meets in band k differ at most."""
+        p, top = self.percent, self.edge(k + 1) - 1
+        return (100 - p) * (n + min(top, 100 * n // p)) // (100 + p)
+
     def dealing(self, k: int) -> tuple[int, int]:
         """(fine groups, independent dealings) of band k: the fewest keys with which some
         set has too few filled groups in every dealing with a chance below e**-32."""
@@ -96,7 +104,7 @@ class Bands:
             for m in range(d + 2, 3 * d + 8):
                 worst = -math.inf
                 for n in {low, (low + top) // 2, top}:
-                    own = min(d, n * (100 - p) // p)  # groups that a partner can change
+                    own = self.differ(k, n)  # groups that a partner can change
                     if own >= 1:
                         worst = max(worst, math.lgamma(m + 1) - math.lgamma(own + 1) - math.lgamma(m - own + 1) + n * math.log(own / m))
                 dealings = 1 if worst == -math.inf else math.ceil(32 / -worst) if worst < -1 else 99
@@ -122,20 +130,24 @@ def signature(s: np.ndarray) -> int:
 
 
 def cell_keys(s: np.ndarray, bands: Bands) -> np.ndarray:
-    """The keys of the cells that a set falls into."""
+    """The keys of the cells in which a set is sure to meet its partners: of its filled groups those
+    with the most shingles, one more than a partner can change."""
     if len(s) < bands.least:
         return np.empty(0, U64)
     out = []
     for k in bands.of(len(s)):
         m, dealings = bands.dealing(k)
+        most = bands.differ(k, len(s)) + 1
         for seed in range(dealings):
             x = mix(s + U64(0x632BE59BD9B4E019 * (seed + 1) % (1 << 64)))
             group = (x >> U64(32)).astype(np.int64) % m
             content = np.zeros(m, U64)
             np.add.at(content, group, mix(x))
-            filled = np.bincount(group, minlength=m) > 0
+            count = np.bincount(group, minlength=m)
             name = mix(np.arange(m).astype(U64) + U64((k << 40) + (seed << 32)))
-            out.append(mix(content ^ name)[filled])
+            key = mix(content ^ name)
+            order = np.lexsort((key, -count))[:most]  # the same order in every set: equal cells have equal counts
+            out.append(key[order[count[order] > 0]])
     return np.concatenate(out)
 
 

@@ -180,6 +180,29 @@ def test_bands_miss_nothing():
                     assert set(jaccard.cell_keys(a, bands).tolist()) & set(jaccard.cell_keys(b, bands).tolist())
 
 
+def test_cells_of_many_shingles_miss_nothing_and_part_unrelated_texts():
+    """Linking sets that differ on both sides share a cell; sets with one shingle in common don't."""
+    rng = np.random.default_rng(5)
+    some = lambda n: np.unique(rng.integers(0, 1 << 63, n).astype(np.uint64))
+    met = 0
+    for percent in (80, 90):
+        bands = jaccard.Bands(percent)
+        for n in (*range(bands.least, 60), 94, 141, 210, 211, 700):
+            for _ in range(4):
+                base, mine, other = some(n), some(n), some(n)
+                one = rng.integers(0, n + 1)  # of what may differ, so much on one side
+                d = next(d for d in range(n, -1, -1) if 100 * (n - min(d, one)) >= percent * (n + max(0, d - one)))
+                a, b = base, np.union1d(base[min(d, one):], other[: max(0, d - one)])
+                assert 100 * len(np.intersect1d(a, b)) >= percent * len(np.union1d(a, b))
+                if len(b) >= bands.least:
+                    assert set(jaccard.cell_keys(a, bands).tolist()) & set(jaccard.cell_keys(b, bands).tolist())
+        for _ in range(1500):
+            a, b = some(150), some(160)
+            b[7] = a[5]
+            met += bool(set(jaccard.cell_keys(a, bands).tolist()) & set(jaccard.cell_keys(b, bands).tolist()))
+    assert met == 0
+
+
 def benchmark_rows(rows):
     return [("b1", rows[1][1][:150]), ("b2", None), ("b3", ""), ("b4", "one"), (None, rows[2][1][:90]), ("b1", rows[1][1][:150]), ("b5", "never seen words")]
 
