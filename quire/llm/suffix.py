@@ -15,9 +15,9 @@ passages of LENGTH words or more, however long, less first occurrences.
 
 Shuffles: one to count the first words of suffixes (partial sums), one by those
 words for the suffixes that can have a match. First words found more than HOT
-times (a passage that many documents share) are dealt by stretch instead, after
-each task has kept only its own first occurrence of a stretch; so no task gets
-more than a bounded share of them.
+times (a passage that many documents share) are dealt by place and then by stretch
+instead, after each task has kept only its own first occurrence of a stretch; so no
+task gets more than a bounded share of them.
 
 Nulls, empty texts and texts under LENGTH words have no stretch and stay as
 they are. A null doc_id orders before all others. Repeated rows (same id, same
@@ -184,7 +184,8 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     common = suffixes.filter("not hot").drop("hot").repartition("key").sortWithinPartitions("key")
     later = common.mapInArrow(_compare, "id long, fp long, lo long, hi long")
     if known.filter("hot").limit(1).count():
-        hot = suffixes.filter("hot").drop("hot").mapInArrow(_by_stretch, PLACES)
+        # dealt out anew, so that no task keeps two Python steps at a time, each in a worker with its own memory
+        hot = suffixes.filter("hot").drop("hot").repartition("id", "fp", "lo").mapInArrow(_by_stretch, PLACES)
         later = later.unionByName(later_places(hot))
     return with_spans(docs, spans_by_text(later), id_col, text_col, out)
 

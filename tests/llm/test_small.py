@@ -259,6 +259,15 @@ def suffix_id(i):
     return jaccard.NULL_ID if i is None else i
 
 
+def test_no_task_of_suffix_dedup_keeps_two_python_steps(docs, monkeypatch):
+    monkeypatch.setattr(suffix, "HOT", 2)
+    seen, later = [], suffix.later_places
+    monkeypatch.setattr(suffix, "later_places", lambda hot: seen.append(hot) or later(hot))
+    suffix.remove_repeated_passages(docs)
+    plan = seen[0]._jdf.queryExecution().sparkPlan().toString()
+    assert re.findall(r"MapInArrow|Exchange", plan) == ["MapInArrow", "Exchange", "MapInArrow"]
+
+
 @pytest.mark.parametrize("hot", [2, 500])
 def test_suffix_dedup_against_all_stretches(docs, empty, monkeypatch, hot):
     monkeypatch.setattr(suffix, "HOT", hot)
