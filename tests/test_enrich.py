@@ -85,6 +85,49 @@ def test_only_rare_tokens_are_dealt_out_by_token(spark, monkeypatch):
     assert sorted(others.select("token", weight.alias("w")).collect()) == [("new", 9), ("odd", 5)]
 
 
+def test_a_chunk_sends_each_token_once(spark, monkeypatch):
+    """Not a row for each token of each text: these are what weighing took its time for."""
+    from quire.plans import summarise
+    df = spark.createDataFrame([(k, f"the cat sat. a dog {'ran' if k % 2 else 'lay'}!") for k in range(600)], "id long, t string")
+    weights, seen, weighed = summarise.token_weights(df, "t"), [], summarise._weighed
+    monkeypatch.setattr(summarise, "_weighed", lambda where, w: seen.append(where.count()) or weighed(where, w))
+    assert summarise.sentence_order(df, "id", "t", weights).count() == 600
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert 0 < sum(seen) <= 7 * partitions < 600 * 6
+
+
+def test_texts_are_cut_as_the_jvm_cuts_them(spark):
+    import random
+
+    import pyarrow as pa
+
+    from quire.functions.tokens import char_kinds, kind_table, tokens
+    from quire.plans.summarise import _cut, sentence_array, sentence_list
+    rng = random.Random(8)
+    parts = [*"abΣσßİŉé々〇⺀漢字火１Ⅷ²٣𠀀𝒜😀_ \t\u3000\xa0\u200b\u0301\x00\r", *".!?。！？\n" * 2, "  ", "the", "of"]
+    rows = [(k, "".join(rng.choice(parts) for _ in range(rng.randint(0, 40)))) for k in range(300)]
+    df = spark.createDataFrame(rows, "id long, t string")
+    got = sorted(df.select("id", "t", F.lower("t").alias("low"), sentence_array(F.col("t")).alias("s"),
+                           F.transform(sentence_array(F.lower("t")), tokens).alias("tokens")).collect())
+    found, sentence, text = _cut([pa.array([r.low for r in got[:150]]), pa.array([r.low for r in got[150:]])], kind_table(char_kinds(spark)))
+    cut = [[] for _ in text]
+    for s, token in zip(sentence, found.to_pylist()):
+        cut[s].append(token)
+    for k, r in enumerate(got):
+        assert [c for c, of in zip(cut, text) if of == k] == r.tokens and sentence_list(r.t) == r.s
+
+
+def test_repeated_and_null_keys_and_a_final_sigma(spark):
+    from quire.plans.summarise import extractive_summary, sentence_order, token_weights
+    rows = [(1, "aa bb. cc"), (1, "aa. dd ee!"), (2, None), (2, "ΟΔΟΣ.Σ x.  . ΟΔΟΣ y"), (None, "zz. zz"), (3, "..."), (4, "same here. odd"), (4, "same here. odd")]
+    df = spark.createDataFrame(rows + [(9, "οδος of. σ of.")] * 9, "id long, t string")
+    weights = token_weights(df, "t")
+    got = {r.id: r.order for r in sentence_order(df, "id", "t", weights).collect()}
+    assert {k: sorted(v) for k, v in got.items()} == {1: [0, 1], 2: [0, 1, 2, 3], None: [0, 1], 4: [0, 1], 9: list(range(2))}
+    assert got[2] == [3, 1, 0, 2]
+    assert sorted(r.id for r in extractive_summary(df, "id", "t", 200, weights).collect() if r.id < 9) == [1, 1, 2, 2, 4, 4]
+
+
 def test_scored_clusters_leave_texts_behind(spark):
     from quire.plans.catalog import _scored_clusters, _slim_articles, _with_texts
     sf = "/root/testdata/sf0.001"
